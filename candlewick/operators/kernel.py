@@ -1,0 +1,466 @@
+"""Per-series recursive work: the one grouped-map function of the engine.
+
+Everything that can be phrased as a Spark window, projection or aggregate is
+done in Spark (see ``indicators.py`` / ``patterns.py``).  What is left here is
+what a window cannot express:
+
+* first-order recursions (EMA, MACD, Wilder smoothing for ATR / DI / ADX),
+* local-extrema detection with the greedy minimum-distance rule and the
+  prominence walk,
+* the swing searches that look back to the previous two swing points
+  (higher peak / lower trough, divergence, two-largest power bars).
+
+One call handles one ``(ticker, period)`` series.  A series holds at most one
+row per calendar day of its ticker, so its size is bounded by the covered
+time span, not by the size of the input data.
+
+Arithmetic follows the usual technical-analysis library conventions
+(TA-Lib): sequential seed sums, ``e = (x - e) * k + e`` recursions, Wilder
+``s = s - s / n + x`` sums, NaN poisoning from a missing bar onward, and a
+start at the first row where all inputs are present.
+"""
+
+from __future__ import annotations
+
+import math
+
+import numpy as np
+import pandas as pd
+
+from candlewick.params import IndicatorParams, PatternParams
+
+NAN = float("nan")
+
+
+def _first_valid(*cols: list[float]) -> int:
+    """First index where every input is a number (not NaN)."""
+    n = len(cols[0])
+    for i in range(n):
+        if all(c[i] == c[i] for c in cols):
+            return i
+    return n
+
+
+def ema(x: list[float], n: int, begin: int | None = None) -> list[float]:
+    """Exponential moving average; seed = mean of the first n values."""
+    size = len(x)
+    out = [NAN] * size
+    b = _first_valid(x) if begin is None else begin
+    if size - b < n:
+        return out
+    return _ema_seeded(x, n, b, b + n - 1, out)
+
+
+def _ema_seeded(x: list[float], n: int, seed_start: int, first_out: int,
+                out: list[float]) -> list[float]:
+    """EMA whose seed is the mean of x[seed_start : seed_start + n], placed at
+    ``first_out`` (== seed_start + n - 1), recursing afterwards."""
+    total = 0.0
+    for i in range(seed_start, seed_start + n):
+        total += x[i]
+    e = total / n
+    out[first_out] = e
+    k = 2.0 / (n + 1)
+    for i in range(first_out + 1, len(x)):
+        e = (x[i] - e) * k + e
+        out[i] = e
+    return out
+
+
+def macd(close: list[float], fast: int, slow: int, signal: int):
+    """MACD line, signal and histogram.  Both EMAs start on the same row
+    (slow - 1); the first value of all three is on row slow + signal - 2."""
+    size = len(close)
+    if slow < fast:
+        fast, slow = slow, fast
+    line = [NAN] * size
+    sig = [NAN] * size
+    hist = [NAN] * size
+    b = _first_valid(close)
+    start = b + slow - 1
+    first = start + signal - 1
+    if first >= size:
+        return line, sig, hist
+    slow_e = _ema_seeded(close, slow, b, start, [NAN] * size)
+    fast_e = _ema_seeded(close, fast, start - fast + 1, start, [NAN] * size)
+    raw = [NAN] * size
+    for i in range(start, size):
+        raw[i] = fast_e[i] - slow_e[i]
+    sig_all = _ema_seeded(raw, signal, start, first, [NAN] * size)
+    for i in range(first, size):
+        line[i] = raw[i]
+        sig[i] = sig_all[i]
+        hist[i] = raw[i] - sig_all[i]
+    return line, sig, hist
+
+
+def _is_zero(v: float) -> bool:
+    return -0.00000001 < v < 0.00000001
+
+
+def _true_range(h: float, l: float, prev_c: float) -> float:
+    g = h - l
+    v = abs(prev_c - h)
+    if v > g:
+        g = v
+    v = abs(prev_c - l)
+    if v > g:
+        g = v
+    return g
+
+
+def atr(high, low, close, n: int) -> list[float]:
+    """Average true range: the first value (row n) is the mean of the true
+    ranges of rows 1..n, then ``a = (a * (n - 1) + tr) / n``."""
+    size = len(close)
+    out = [NAN] * size
+    b = _first_valid(high, low, close)
+    if size - b <= n:
+        return out
+    total = 0.0
+    for i in range(b + 1, b + n + 1):
+        total += _true_range(high[i], low[i], close[i - 1])
+    a = total / n
+    out[b + n] = a
+    for i in range(b + n + 1, size):
+        a = a * (n - 1)
+        a = a + _true_range(high[i], low[i], close[i - 1])
+        a = a / n
+        out[i] = a
+    return out
+
+
+def _dm(h, l, ph, pl):
+    up = h - ph
+    down = pl - l
+    plus = up if (up > 0 and up > down) else 0.0
+    minus = down if (down > 0 and up < down) else 0.0
+    return plus, minus
+
+
+def directional(high, low, close, n: int):
+    """PLUS_DI and MINUS_DI: Wilder sums seeded by plain sums of rows
+    1..n-1, first value on row n; 0 when the true-range sum is 0."""
+    size = len(close)
+    plus_out = [NAN] * size
+    minus_out = [NAN] * size
+    b = _first_valid(high, low, close)
+    if size - b <= n:
+        return plus_out, minus_out
+    sp = sm = st = 0.0
+    for i in range(b + 1, b + n):
+        p, m = _dm(high[i], low[i], high[i - 1], low[i - 1])
+        sp += p
+        sm += m
+        st += _true_range(high[i], low[i], close[i - 1])
+    for i in range(b + n, size):
+        p, m = _dm(high[i], low[i], high[i - 1], low[i - 1])
+        sp = sp - sp / n + p
+        sm = sm - sm / n + m
+        st = st - st / n + _true_range(high[i], low[i], close[i - 1])
+        if _is_zero(st):
+            plus_out[i] = 0.0
+            minus_out[i] = 0.0
+        else:
+            plus_out[i] = 100.0 * (sp / st)
+            minus_out[i] = 100.0 * (sm / st)
+    return plus_out, minus_out
+
+
+def adx(high, low, close, n: int) -> list[float]:
+    """Average directional index; first value on row 2n-1 = mean of n DX."""
+    size = len(close)
+    out = [NAN] * size
+    b = _first_valid(high, low, close)
+    if size - b <= 2 * n - 1:
+        return out
+    sp = sm = st = 0.0
+    for i in range(b + 1, b + n):
+        p, m = _dm(high[i], low[i], high[i - 1], low[i - 1])
+        sp += p
+        sm += m
+        st += _true_range(high[i], low[i], close[i - 1])
+
+    def step(i):
+        nonlocal sp, sm, st
+        p, m = _dm(high[i], low[i], high[i - 1], low[i - 1])
+        sm = sm - sm / n + m
+        sp = sp - sp / n + p
+        st = st - st / n + _true_range(high[i], low[i], close[i - 1])
+        if _is_zero(st):
+            return None
+        mdi = 100.0 * (sm / st)
+        pdi = 100.0 * (sp / st)
+        tot = mdi + pdi
+        if _is_zero(tot):
+            return None
+        return 100.0 * (abs(mdi - pdi) / tot)
+
+    sum_dx = 0.0
+    for i in range(b + n, b + 2 * n):
+        dx = step(i)
+        if dx is not None:
+            sum_dx += dx
+    a = sum_dx / n
+    out[b + 2 * n - 1] = a
+    for i in range(b + 2 * n, size):
+        dx = step(i)
+        if dx is not None:
+            a = (a * (n - 1) + dx) / n
+        out[i] = a
+    return out
+
+
+# --------------------------------------------------------------------------
+# Local extrema (peak finding with minimum distance and prominence)
+# --------------------------------------------------------------------------
+
+def local_maxima(x: np.ndarray) -> np.ndarray:
+    """Samples (or flat runs, reported at their middle) strictly above both
+    neighbours.  The first and last sample never count; NaN never matches."""
+    n = len(x)
+    if n < 3:
+        return np.empty(0, dtype=np.int64)
+    change = np.ones(n, dtype=bool)
+    change[1:] = x[1:] != x[:-1]
+    starts = np.flatnonzero(change)
+    ends = np.append(starts[1:] - 1, n - 1)
+    ok = (starts >= 1) & (ends <= n - 2)
+    s, e = starts[ok], ends[ok]
+    with np.errstate(invalid="ignore"):
+        is_peak = (x[s - 1] < x[s]) & (x[e + 1] < x[s])
+    return ((s[is_peak] + e[is_peak]) // 2).astype(np.int64)
+
+
+def select_by_distance(peaks: np.ndarray, priority: np.ndarray, distance: int) -> np.ndarray:
+    """Greedy: from the highest peak down (later sample first on ties), each
+    kept peak removes the peaks closer than ``distance`` samples."""
+    m = len(peaks)
+    keep = np.ones(m, dtype=bool)
+    d = math.ceil(distance)
+    order = np.argsort(priority, kind="stable")
+    pk = peaks.tolist()
+    for r in range(m - 1, -1, -1):
+        j = int(order[r])
+        if not keep[j]:
+            continue
+        k = j - 1
+        while k >= 0 and pk[j] - pk[k] < d:
+            keep[k] = False
+            k -= 1
+        k = j + 1
+        while k < m and pk[k] - pk[j] < d:
+            keep[k] = False
+            k += 1
+    return peaks[keep]
+
+
+def prominences(x: list[float], peaks: list[int]) -> list[float]:
+    """Height of each peak over the higher of its two bases; a base is the
+    lowest sample met walking away from the peak until a higher one."""
+    n = len(x)
+    out = []
+    for p in peaks:
+        h = x[p]
+        left_min = h
+        i = p
+        while i >= 0 and x[i] <= h:
+            if x[i] < left_min:
+                left_min = x[i]
+            i -= 1
+        right_min = h
+        i = p
+        while i < n and x[i] <= h:
+            if x[i] < right_min:
+                right_min = x[i]
+            i += 1
+        out.append(h - max(left_min, right_min))
+    return out
+
+
+def find_extrema(x: np.ndarray, distance: int, prominence: float) -> np.ndarray:
+    peaks = local_maxima(x)
+    if len(peaks) == 0:
+        return peaks
+    if distance and distance > 1:
+        peaks = select_by_distance(peaks, x[peaks], distance)
+    xl = x.tolist()
+    prom = prominences(xl, peaks.tolist())
+    return peaks[np.asarray(prom) >= prominence] if len(peaks) else peaks
+
+
+# --------------------------------------------------------------------------
+# Swing searches
+# --------------------------------------------------------------------------
+
+def swing_search(price: list[float], tolerance: list[float], points: list[int],
+                 back: int, higher: bool):
+    """For each swing point after the first ``back`` ones, look at the
+    previous ``back`` swing points and take the earliest one that this point
+    exceeds (higher=True) or undercuts (higher=False) by at most the
+    tolerance.  Returns {ordinal: ordinal of that earlier point}."""
+    found = {}
+    for idx in range(back, len(points)):
+        i = points[idx]
+        tol = tolerance[i]
+        for jdx in range(idx - back, idx):
+            j = points[jdx]
+            diff = abs(price[i] - price[j])
+            better = price[i] > price[j] if higher else price[i] < price[j]
+            if diff <= tol and better:
+                found[i] = j
+                break
+    return found
+
+
+def divergence(values: list[float], i: int, start: int, threshold: float, down: bool):
+    """Row j in [start, i) with the largest percentage change of ``values``
+    from j to i, counting only moves against the price (down: values[i] <
+    values[j]) of at least ``threshold``.  Earliest j on ties; None if none."""
+    vi = values[i]
+    best_j = None
+    best = -1.0
+    for j in range(start, i):
+        vj = values[j]
+        if (vi < vj) if down else (vi > vj):
+            change = math.inf if vj == 0 else abs(vi - vj) / abs(vj) * 100
+            if change >= threshold and change > best:
+                best = change
+                best_j = j
+    return best_j
+
+
+def power_pair(values: list[float], i: int, start: int, positive: bool):
+    """The two rows of [start, i) with the largest |values| among values > 0
+    (positive) or < 0; returns (first, second) when the largest comes first."""
+    v1 = v2 = -1.0
+    j1 = j2 = None
+    for j in range(start, i):
+        v = values[j]
+        if (v > 0) if positive else (v < 0):
+            a = abs(v)
+            if j1 is None or a > v1:
+                v2, j2 = v1, j1
+                v1, j1 = a, j
+            elif j2 is None or a > v2:
+                v2, j2 = a, j
+    if j1 is not None and j2 is not None and j1 < j2:
+        return j1, j2
+    return None
+
+
+# --------------------------------------------------------------------------
+# Grouped-map entry point
+# --------------------------------------------------------------------------
+
+KERNEL_COLUMNS = [
+    ("rn", "int"),
+    ("EMA13", "double"), ("EMA26", "double"),
+    ("MACD", "double"), ("MACD_signal", "double"), ("MACD_hist", "double"),
+    ("ADX", "double"), ("PLUS_DI", "double"), ("MINUS_DI", "double"),
+    ("ATR", "double"), ("FI", "double"), ("FI_2", "double"), ("FI_13", "double"),
+    ("price_Peak", "boolean"), ("price_Trough", "boolean"),
+    ("Higher_Peak", "boolean"), ("Lower_Trough", "boolean"), ("price_search", "int"),
+    ("FI_2_Peak", "boolean"), ("FI_2_Trough", "boolean"),
+    ("MACD_hist_trend", "string"), ("FI_13_trend", "string"),
+    ("MACD_hist_trend_pair", "string"), ("FI_13_trend_pair", "string"),
+    ("Bull_Power_trend", "string"), ("Bear_Power_trend", "string"),
+    ("Bull_Power_trend_pair", "string"), ("Bear_Power_trend_pair", "string"),
+]
+
+
+def _col(pdf: pd.DataFrame, name: str) -> list[float]:
+    return pdf[name].astype("float64").tolist()
+
+
+def analyse_series(pdf: pd.DataFrame, ip: IndicatorParams, pp: PatternParams) -> pd.DataFrame:
+    """Recursive indicators and swing patterns of one series sorted by Date."""
+    pdf = pdf.sort_values("Date", kind="stable").reset_index(drop=True)
+    n = len(pdf)
+    high, low, close = _col(pdf, "High"), _col(pdf, "Low"), _col(pdf, "Close")
+    volume = _col(pdf, "Volume")
+
+    res: dict[str, object] = {"rn": np.arange(n, dtype=np.int32)}
+    emas = {p: ema(close, p) for p in sorted(set(ip.ema_periods) | {ip.power_period, pp.ema_short, pp.ema_long})}
+    for p in ip.ema_periods:
+        res[f"EMA{p}"] = emas[p]
+    res["MACD"], res["MACD_signal"], res["MACD_hist"] = macd(close, ip.macd_fast, ip.macd_slow, ip.macd_signal)
+    res["ADX"] = adx(high, low, close, ip.adx_period)
+    res["PLUS_DI"], res["MINUS_DI"] = directional(high, low, close, ip.di_period)
+    res["ATR"] = atr(high, low, close, ip.atr_period)
+    fi = [0.0] * n
+    for i in range(1, n):
+        fi[i] = (close[i] - close[i - 1]) * volume[i]
+    if n and volume[0] != volume[0]:
+        fi[0] = NAN
+    res["FI"] = fi
+    for p in ip.fi_periods:
+        res[f"FI_{p}"] = ema(fi, p)
+    power_ema = emas[ip.power_period]
+    bull = [high[i] - power_ema[i] for i in range(n)]
+    bear = [low[i] - power_ema[i] for i in range(n)]
+
+    # --- price extrema and swing points -----------------------------------
+    price = np.asarray(_col(pdf, pp.price_column))
+    peaks = find_extrema(price, pp.price_distance, pp.price_prominence)
+    troughs = find_extrema(-price, pp.price_distance, pp.price_prominence)
+    peak_flag = np.zeros(n, dtype=bool)
+    trough_flag = np.zeros(n, dtype=bool)
+    peak_flag[peaks] = True
+    trough_flag[troughs] = True
+    pl = price.tolist()
+    atr_l = res["ATR"]
+    higher = swing_search(pl, atr_l, peaks.tolist(), pp.search_quantity, higher=True)
+    lower = swing_search(pl, atr_l, troughs.tolist(), pp.search_quantity, higher=False)
+    search = [None] * n
+    for i, j in {**higher, **lower}.items():
+        search[i] = j
+    hp = np.zeros(n, dtype=bool)
+    lt = np.zeros(n, dtype=bool)
+    hp[list(higher)] = True
+    lt[list(lower)] = True
+
+    fi2 = np.asarray(res[f"FI_{ip.fi_periods[0]}"], dtype=np.float64)
+    fp = find_extrema(fi2, pp.fi2_distance, pp.fi2_prominence)
+    ft = find_extrema(-fi2, pp.fi2_distance, pp.fi2_prominence)
+    fi2_peak = np.zeros(n, dtype=bool)
+    fi2_trough = np.zeros(n, dtype=bool)
+    fi2_peak[fp[fi2[fp] > 0]] = True
+    fi2_trough[ft[fi2[ft] < 0]] = True
+
+    # --- divergence and power pairs ---------------------------------------
+    out_str = {k: [None] * n for k in (
+        "MACD_hist_trend", "FI_13_trend", "MACD_hist_trend_pair", "FI_13_trend_pair",
+        "Bull_Power_trend", "Bear_Power_trend", "Bull_Power_trend_pair", "Bear_Power_trend_pair")}
+    for swings, down in ((higher, True), (lower, False)):
+        for i, s in swings.items():
+            for ind, thr in pp.divergence:
+                j = divergence(res[ind], i, s, thr, down)
+                if j is not None:
+                    out_str[f"{ind}_trend"][i] = "Down" if down else "Up"
+                    out_str[f"{ind}_trend_pair"][i] = f"{j}_{i}"
+    for i, s in higher.items():
+        pair = power_pair(bull, i, s, positive=True)
+        if pair:
+            out_str["Bull_Power_trend"][i] = "Down"
+            out_str["Bull_Power_trend_pair"][i] = f"{pair[0]}_{pair[1]}"
+    for i, s in lower.items():
+        pair = power_pair(bear, i, s, positive=False)
+        if pair:
+            out_str["Bear_Power_trend"][i] = "Up"
+            out_str["Bear_Power_trend_pair"][i] = f"{pair[0]}_{pair[1]}"
+
+    out = pdf.copy()
+    for name, _ in KERNEL_COLUMNS:
+        if name in res:
+            out[name] = np.asarray(res[name], dtype=np.int32 if name == "rn" else np.float64)
+    out["price_Peak"] = peak_flag
+    out["price_Trough"] = trough_flag
+    out["Higher_Peak"] = hp
+    out["Lower_Trough"] = lt
+    out["price_search"] = pd.array(search, dtype="Int32")
+    out["FI_2_Peak"] = fi2_peak
+    out["FI_2_Trough"] = fi2_trough
+    for k, v in out_str.items():
+        out[k] = pd.Series(v, dtype="object")
+    return out
