@@ -95,11 +95,89 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fundamentals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """fx_fundamentals: one snapshot row per part, ASCII column aliases."""
-    p = table(spark, sf_dir, "part")
+    return fundamentals_from_part(table(spark, sf_dir, "part")).drop("p_partkey")
+
+
+def company_old(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Previous company list: every customer outside the HOUSEHOLD segment."""
+    c = table(spark, sf_dir, "customer")
+    return c.filter(F.col("c_mktsegment") != "HOUSEHOLD").select(
+        F.col("c_custkey").alias("cik"),
+        F.concat(F.lit("T"), F.col("c_custkey").cast("string")).alias("ticker"),
+        F.col("c_name").alias("title"),
+        F.to_timestamp(F.lit("2024-01-01 00:00:00")).alias("last_updated"),
+        F.lit(True).alias("is_active"),
+    )
+
+
+def company_new(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """New company list batch (cik, ticker, title) before stamping: every
+    customer outside the BUILDING segment, titles changed for nations 0-4."""
+    c = table(spark, sf_dir, "customer")
+    title = F.when(F.col("c_nationkey") < 5, F.concat(F.col("c_name"), F.lit(" (renamed)"))).otherwise(F.col("c_name"))
+    return c.filter(F.col("c_mktsegment") != "BUILDING").select(
+        F.col("c_custkey").alias("cik"),
+        F.concat(F.lit("T"), F.col("c_custkey").cast("string")).alias("ticker"),
+        title.alias("title"),
+    )
+
+
+# --- fixed values: fixture parameters ---------------------------------------
+GOLD_CUT = "1998-06-30"          # fx_gold_old holds bars up to this date
+GOLD_CHANGE_FROM = "1998-06-01"  # fx_gold_new changes Close from this date on
+AS_OF = "1998-12-31"             # as-of date of the daily lookback filter
+SNAPSHOT_DATES = ("2024-01-31", "2024-02-29")
+TICK_LINES = {"upperband": 100.0, "lowerband": 5.0, "upper_1_7": 60.0, "lower_1_7": 20.0}
+HOLIDAY_ROWS = [("2024-01-01", ""), ("2024-01-15", ""), ("2024-01-26", "09:30-13:00")]
+# -----------------------------------------------------------------------------
+
+
+def gold_old(bars: DataFrame) -> DataFrame:
+    """fx_gold_old: every bar up to the cut date."""
+    return bars.filter(F.col("Date") <= F.to_date(F.lit(GOLD_CUT)))
+
+
+def gold_new(spark: SparkSession, sf_dir: str, bars: DataFrame) -> DataFrame:
+    """fx_gold_new: full history of the tickers of suppliers in nations 0-12,
+    with Close raised by 1.0 from the change date on."""
+    sup = table(spark, sf_dir, "supplier").filter(F.col("s_nationkey") < 13).select(
+        F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("ticker"))
+    changed = F.when(F.col("Date") >= F.to_date(F.lit(GOLD_CHANGE_FROM)), F.col("Close") + 1.0).otherwise(F.col("Close"))
+    return bars.join(sup, "ticker", "left_semi").withColumn("Close", changed)
+
+
+def fundamentals_info(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vendor-style attribute JSON per part ticker, with dirty values:
+    trailingPE is 'Infinity' for k % 11 = 0 and 'n/a' for k % 13 = 0,
+    recommendationKey is the text 'None' for k % 9 = 0."""
+    from candlewick.sources.records import VENDOR_KEYS
+
+    part = table(spark, sf_dir, "part")
+    kcol = F.col("p_partkey")
+    trailing = (F.when(kcol % 11 == 0, F.lit("Infinity")).when(kcol % 13 == 0, F.lit("n/a"))
+                .otherwise(((kcol % 50) * 1.25).cast("string")))
+    rec_key = F.when(kcol % 9 == 0, F.lit("None")).when(kcol % 7 == 0, F.lit(None)).otherwise(F.lit("buy"))
+    joined = fundamentals_from_part(part).select("*", trailing.alias("trailing_pe"), rec_key.alias("analyst_key2"))
+    entries = []
+    for alias, key in VENDOR_KEYS.items():
+        if alias == "trailing_pe":
+            val = F.col("trailing_pe")
+        elif alias == "analyst_key":
+            val = F.col("analyst_key2")
+        elif alias in joined.columns:
+            val = F.col(alias).cast("string")
+        else:
+            continue
+        entries += [F.lit(key), val]
+    return joined.select("created_at", "ticker", F.to_json(F.create_map(*entries)).alias("info"))
+
+
+def fundamentals_from_part(p: DataFrame) -> DataFrame:
     k = F.col("p_partkey")
     ticker = (F.when(k == 1, "AAPL").when(k == 2, "NVDA").when(k == 3, "SPY")
               .otherwise(F.concat(F.lit("P"), k.cast("string"))))
     return p.select(
+        "p_partkey",
         F.to_date(F.lit("2024-01-31")).alias("created_at"),
         ticker.alias("ticker"),
         (F.lit(4e8) + (k * 7919 % 1000) * 5e6).alias("market_cap"),
@@ -121,25 +199,19 @@ def fundamentals(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def company_old(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Previous company list: every customer outside the HOUSEHOLD segment."""
+def company_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Company-list JSON documents, one per customer: {"<custkey>": {cik_str, ticker, title}}."""
     c = table(spark, sf_dir, "customer")
-    return c.filter(F.col("c_mktsegment") != "HOUSEHOLD").select(
-        F.col("c_custkey").alias("cik"),
-        F.concat(F.lit("T"), F.col("c_custkey").cast("string")).alias("ticker"),
-        F.col("c_name").alias("title"),
-        F.to_timestamp(F.lit("2024-01-01 00:00:00")).alias("last_updated"),
-        F.lit(True).alias("is_active"),
-    )
-
-
-def company_new(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """New company list batch (cik, ticker, title) before stamping: every
-    customer outside the BUILDING segment, titles changed for nations 0-4."""
-    c = table(spark, sf_dir, "customer")
-    title = F.when(F.col("c_nationkey") < 5, F.concat(F.col("c_name"), F.lit(" (renamed)"))).otherwise(F.col("c_name"))
-    return c.filter(F.col("c_mktsegment") != "BUILDING").select(
-        F.col("c_custkey").alias("cik"),
-        F.concat(F.lit("T"), F.col("c_custkey").cast("string")).alias("ticker"),
-        title.alias("title"),
-    )
+    obj = F.struct(F.col("c_custkey").alias("cik_str"),
+                   F.concat(F.lit("T"), F.col("c_custkey").cast("string")).alias("ticker"),
+                   F.col("c_name").alias("title"))
+    return c.select(F.to_json(F.create_map(F.col("c_custkey").cast("string"), obj)).alias("value"))
+
+
+def trade_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Envelope messages built from the ticks: 'error' events become 'ping'
+    messages, every other event one trade envelope."""
+    t = ticks(spark, sf_dir)
+    typ = F.when(F.col("s") == "error", "ping").otherwise("trade")
+    env = F.struct(typ.alias("type"), F.array(F.struct("s", "p", "t", "v", "c")).alias("data"))
+    return t.select(F.to_json(env).alias("value"))
