@@ -1,0 +1,20 @@
+"""Join helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Largest static side (rows) that is broadcast without AQE's runtime statistics.
+BROADCAST_MAX_ROWS = 2_000_000
+
+
+def join_checked(left: DataFrame, right: DataFrame, on, how: str = "inner",
+                 max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Join with a broadcast of ``right`` only when its row count is checked
+    to be at most ``max_rows``; otherwise a shuffle join.  For static sides of
+    streaming queries, where AQE cannot measure the side at run time."""
+    n = right.limit(max_rows + 1).count()
+    if n <= max_rows:
+        return left.join(F.broadcast(right), on, how)
+    return left.join(right, on, how)

@@ -1,10 +1,18 @@
 """Technical indicators (in_*) and the per-series pass.
 
-``series_pass`` runs the grouped-map kernel once per ``(ticker, period)``
-series for the recursive indicators and swing patterns; every indicator a
-window can express (SMA, STOCH, WILLR, band width, force index lag, power)
-is then computed with Spark window functions over the same partitioning,
-so no further shuffle happens.
+Plan of the series stage (one shuffle by ticker for everything):
+
+1. ``with_window_indicators``: every indicator a window can express (SMA,
+   STOCH, WILLR, the rolling standard deviation of the bands) with Spark
+   window functions partitioned by (ticker, period), ordered by Date;
+2. ``series_pass``: the grouped-map kernel once per series for the recursive
+   indicators, previous-row patterns and swing searches, on the same
+   partitioning and sort order;
+3. ``finish_indicators``: projections that combine both (bands, power).
+
+The window step runs before the kernel on purpose: Spark cannot see that
+the kernel's output keeps the ticker partitioning, so a window after it
+would shuffle the series again.
 """
 
 from __future__ import annotations
@@ -21,7 +29,7 @@ SERIES_KEY = ["ticker", "period"]
 
 
 def series_window() -> Window:
-    return Window.partitionBy(*SERIES_KEY).orderBy("rn")
+    return Window.partitionBy(*SERIES_KEY).orderBy("Date")
 
 
 def series_pass(bars: DataFrame, ip: IndicatorParams = DEFAULT_INDICATORS,
@@ -48,6 +56,20 @@ def series_pass(bars: DataFrame, ip: IndicatorParams = DEFAULT_INDICATORS,
     return bars.groupBy(*SERIES_KEY).applyInPandas(fn, schema=schema)
 
 
+def series_parallelism(spark) -> int:
+    """Partitions for the per-ticker stage: the session's shuffle partitions,
+    at least the cluster's default parallelism (the stage is CPU-bound, so it
+    must not be coalesced into a few tasks just because its bytes are few)."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+
+
+def by_ticker(df: DataFrame) -> DataFrame:
+    """Hash-partition by ticker with an explicit partition count.  Every later
+    per-ticker step (period anchor window, resample aggregation, series
+    kernel, indicator windows, as-of window) reuses this partitioning."""
+    return df.repartition(series_parallelism(df.sparkSession), "ticker")
+
+
 def _full(col: Column, n: int, w: Window) -> Column:
     """NULL unless the n-row frame is complete and has no missing value."""
     return F.count(col).over(w.rowsBetween(-(n - 1), 0)) == n
@@ -65,9 +87,9 @@ def rolling_std(col: str, n: int) -> Column:
 
 
 def with_window_indicators(df: DataFrame, ip: IndicatorParams = DEFAULT_INDICATORS) -> DataFrame:
-    """SMA, STOCH, WILLR, both band pairs and bull/bear power.
-
-    Needs the kernel output (``rn`` and the EMA columns)."""
+    """SMA, STOCH, WILLR and the band standard deviations, per series."""
+    if "period" not in df.columns:
+        df = df.withColumn("period", F.lit("D"))
     w = series_window()
     hlc_ok = F.col("High").isNotNull() & F.col("Low").isNotNull() & F.col("Close").isNotNull()
 
@@ -90,12 +112,17 @@ def with_window_indicators(df: DataFrame, ip: IndicatorParams = DEFAULT_INDICATO
     )
     out = out.withColumn("_slowk", sma("_fastk", ip.stoch_slowk))
     out = out.withColumn("STOCH_slowd", sma("_slowk", ip.stoch_slowd))
+    return (out.withColumn("STOCH_slowk", F.when(F.col("STOCH_slowd").isNotNull(), F.col("_slowk")))
+            .drop("_fastk", "_slowk"))
+
+
+def finish_indicators(df: DataFrame, ip: IndicatorParams = DEFAULT_INDICATORS) -> DataFrame:
+    """Bands (EMA middle, +-k standard deviations) and bull/bear power."""
     ema_bb = F.col(f"EMA{ip.bb_period}")
     ema_17 = F.col(f"EMA{ip.sd17_period}")
     ema_pw = F.col(f"EMA{ip.power_period}")
-    return out.select(
+    return df.select(
         "*",
-        F.when(F.col("STOCH_slowd").isNotNull(), F.col("_slowk")).alias("STOCH_slowk"),
         (ema_bb + F.col("_std_bb") * ip.bb_dev).alias("upperband"),
         ema_bb.alias("middleband"),
         (ema_bb - F.col("_std_bb") * ip.bb_dev).alias("lowerband"),
@@ -103,4 +130,12 @@ def with_window_indicators(df: DataFrame, ip: IndicatorParams = DEFAULT_INDICATO
         (ema_17 - F.col("_std_17") * ip.sd17_dev).alias("lower_1_7"),
         (F.col("High") - ema_pw).alias("Bull_Power"),
         (F.col("Low") - ema_pw).alias("Bear_Power"),
-    ).drop("_fastk", "_slowk", "_std_bb", "_std_17")
+    ).drop("_std_bb", "_std_17")
+
+
+def indicators_and_patterns(bars: DataFrame, ip: IndicatorParams = DEFAULT_INDICATORS,
+                            pp: PatternParams = DEFAULT_PATTERNS) -> DataFrame:
+    """in_all + pt_mark_all: windows, kernel, projections (one shuffle)."""
+    from candlewick.operators.patterns import with_patterns
+
+    return with_patterns(finish_indicators(series_pass(with_window_indicators(bars, ip), ip, pp), ip), pp)

@@ -366,9 +366,35 @@ KERNEL_COLUMNS = [
     ("MACD_hist_trend_pair", "string"), ("FI_13_trend_pair", "string"),
     ("Bull_Power_trend", "string"), ("Bear_Power_trend", "string"),
     ("Bull_Power_trend_pair", "string"), ("Bear_Power_trend_pair", "string"),
+    ("EMA_bullbear", "string"), ("EMA13_slope", "double"),
+    ("FI_13_diff", "double"), ("FI_13_Peak", "boolean"), ("FI_13_Trough", "boolean"),
 ]
 
 
+def _lag(a: np.ndarray) -> np.ndarray:
+    out = np.empty_like(a)
+    if len(a):
+        out[0] = np.nan
+        out[1:] = a[:-1]
+    return out
+
+
+def lag_patterns(ema_short: np.ndarray, ema_long: np.ndarray, fi13: np.ndarray, spike_pct: float):
+    """EMA cross, EMA slope and FI_13 spikes: previous-row comparisons,
+    computed here so the series needs no second pass after the kernel."""
+    with np.errstate(invalid="ignore", divide="ignore"):
+        diff = ema_short - ema_long
+        prev = _lag(diff)
+        cross = np.where((diff > 0) & (prev < 0), "Long", np.where((diff < 0) & (prev > 0), "Short", None))
+        slope = ema_short - _lag(ema_short)
+        fprev = _lag(fi13)
+        fdiff = fi13 - fprev
+        big = np.where(fprev == 0, True, np.abs(fdiff / fprev) * 100 >= spike_pct)
+        peak = (fi13 > 0) & (fdiff > 0) & big
+        trough = (fi13 < 0) & (fdiff < 0) & big
+    return cross.astype(object), slope, fdiff, peak, trough
+
+
 def _col(pdf: pd.DataFrame, name: str) -> list[float]:
     return pdf[name].astype("float64").tolist()
 
@@ -450,17 +476,25 @@ def analyse_series(pdf: pd.DataFrame, ip: IndicatorParams, pp: PatternParams) ->
             out_str["Bear_Power_trend"][i] = "Up"
             out_str["Bear_Power_trend_pair"][i] = f"{pair[0]}_{pair[1]}"
 
-    out = pdf.copy()
+    cross, slope, fdiff, fpeak, ftrough = lag_patterns(
+        np.asarray(emas[pp.ema_short]), np.asarray(emas[pp.ema_long]),
+        np.asarray(res[f"FI_{ip.fi_periods[-1]}"], dtype=np.float64), pp.fi13_spike_pct)
+    res["EMA13_slope"] = slope
+    res["FI_13_diff"] = fdiff
+    cols = {c: pdf[c] for c in pdf.columns}
     for name, _ in KERNEL_COLUMNS:
         if name in res:
-            out[name] = np.asarray(res[name], dtype=np.int32 if name == "rn" else np.float64)
-    out["price_Peak"] = peak_flag
-    out["price_Trough"] = trough_flag
-    out["Higher_Peak"] = hp
-    out["Lower_Trough"] = lt
-    out["price_search"] = pd.array(search, dtype="Int32")
-    out["FI_2_Peak"] = fi2_peak
-    out["FI_2_Trough"] = fi2_trough
+            cols[name] = np.asarray(res[name], dtype=np.int32 if name == "rn" else np.float64)
+    cols["price_Peak"] = peak_flag
+    cols["price_Trough"] = trough_flag
+    cols["Higher_Peak"] = hp
+    cols["Lower_Trough"] = lt
+    cols["price_search"] = pd.array(search, dtype="Int32")
+    cols["FI_2_Peak"] = fi2_peak
+    cols["FI_2_Trough"] = fi2_trough
     for k, v in out_str.items():
-        out[k] = pd.Series(v, dtype="object")
-    return out
+        cols[k] = np.asarray(v, dtype=object)
+    cols["EMA_bullbear"] = cross
+    cols["FI_13_Peak"] = fpeak
+    cols["FI_13_Trough"] = ftrough
+    return pd.DataFrame(cols)

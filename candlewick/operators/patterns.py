@@ -1,58 +1,25 @@
-"""Pattern and signal operators expressible as windows and projections
-(pt_ema_cross, pt_ema_slope, pt_fi13_spike, pt_side_1/2/3).  The extrema,
-swing, divergence and power-pair searches run in the series kernel."""
+"""Pattern and signal operators that are projections of the series
+columns (EMA trend, pt_side_1/2/3).  Previous-row patterns (pt_ema_cross,
+pt_ema_slope, pt_fi13_spike), extrema, swings, divergence and power pairs are
+computed in the series kernel's single pass."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.operators.indicators import series_window
 from candlewick.params import DEFAULT_PATTERNS, PatternParams
 
 
-def _prev(col: Column) -> Column:
-    return F.lag(col, 1).over(series_window())
-
-
-def ema_cross(short: Column, long: Column) -> Column:
-    """Long when short-long turns strictly positive from strictly negative."""
-    diff = short - long
-    prev = _prev(diff)
-    return F.when((diff > 0) & (prev < 0), "Long").when((diff < 0) & (prev > 0), "Short")
-
-
 def trend_of(slope: Column) -> Column:
     return F.when(slope > 0, "Up").when(slope < 0, "Down")
 
 
-def spike(value: Column, diff: Column, prev: Column, pct: float, up: bool) -> Column:
-    """Sign-consistent jump of at least ``pct`` percent over the previous
-    value; a previous value of 0 counts as an infinite jump."""
-    sign_ok = (value > 0) & (diff > 0) if up else (value < 0) & (diff < 0)
-    big = F.when(prev == 0, F.lit(True)).otherwise(F.abs(F.try_divide(diff, prev)) * 100 >= pct)
-    return F.coalesce(sign_ok & big, F.lit(False))
-
-
 def with_patterns(df: DataFrame, pp: PatternParams = DEFAULT_PATTERNS) -> DataFrame:
-    short = F.col(f"EMA{pp.ema_short}")
-    long = F.col(f"EMA{pp.ema_long}")
-    fi13 = F.col("FI_13")
-    out = df.select(
-        "*",
-        ema_cross(short, long).alias("EMA_bullbear"),
-        (short - _prev(short)).alias(f"EMA{pp.ema_short}_slope"),
-        (fi13 - _prev(fi13)).alias("FI_13_diff"),
-        _prev(fi13).alias("_fi13_prev"),
-    )
+    """EMA trend and the three Long/Short signals from the kernel's columns
+    (EMA_bullbear, EMA13_slope, FI_13_diff/Peak/Trough come from the kernel)."""
     slope = F.col(f"EMA{pp.ema_short}_slope")
-    d = F.col("FI_13_diff")
-    out = out.select(
-        "*",
-        trend_of(slope).alias(f"EMA{pp.ema_short}_trend"),
-        spike(fi13, d, F.col("_fi13_prev"), pp.fi13_spike_pct, up=True).alias("FI_13_Peak"),
-        spike(fi13, d, F.col("_fi13_prev"), pp.fi13_spike_pct, up=False).alias("FI_13_Trough"),
-    ).drop("_fi13_prev")
+    out = df.select("*", trend_of(slope).alias(f"EMA{pp.ema_short}_trend"))
     return with_sides(out, pp)
 
 

@@ -70,9 +70,11 @@ def resample(daily: DataFrame, periods=PERIODS, gap_policy: str = "drop") -> Dat
     for c, t in (("Dividends", "double"), ("Stock Splits", "double"), ("created_at", "timestamp")):
         if c not in daily.columns:
             daily = daily.withColumn(c, F.lit(None).cast(t))
+    from candlewick.operators.indicators import by_ticker as _by_ticker
+
     by_ticker = Window.partitionBy("ticker")
     tagged = (
-        daily.withColumn("_d0", F.min("Date").over(by_ticker))
+        _by_ticker(daily).withColumn("_d0", F.min("Date").over(by_ticker))
         .withColumn("_c0", F.min_by("created_at", "Date").over(by_ticker))
         .withColumn("_tag", F.explode(F.array(*[
             F.struct(F.lit(p).alias("period"), period_label(p, F.col("Date"), F.col("_d0")).alias("label"))

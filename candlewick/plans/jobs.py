@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame
 from candlewick.functions.scalars import truncate_numeric
 from candlewick.operators.asof import conclusion
 from candlewick.operators.clean import clean_ohlcv
-from candlewick.operators.indicators import series_pass, with_window_indicators
-from candlewick.operators.patterns import with_patterns
+from candlewick.operators.indicators import indicators_and_patterns
 from candlewick.operators.resample import resample
 from candlewick.params import DEFAULT_INDICATORS, DEFAULT_PATTERNS, PERIODS, IndicatorParams, PatternParams
 from candlewick.schemas import GOLD_BASE, GOLD_INDICATORS, GOLD_PATTERNS
@@ -18,9 +17,7 @@ from candlewick.schemas import GOLD_BASE, GOLD_INDICATORS, GOLD_PATTERNS
 def analyse(bars: DataFrame, ip: IndicatorParams = DEFAULT_INDICATORS,
             pp: PatternParams = DEFAULT_PATTERNS) -> DataFrame:
     """in_all + pt_mark_all over (ticker, period) series, untruncated."""
-    s = series_pass(bars, ip, pp)
-    s = with_window_indicators(s, ip)
-    return with_patterns(s, pp)
+    return indicators_and_patterns(bars, ip, pp)
 
 
 def job_silver(bronze: DataFrame) -> DataFrame:

@@ -14,8 +14,7 @@ from pyspark.sql import functions as F
 
 from candlewick.operators.asof import asof_periods
 from candlewick.operators.clean import clean_audit, clean_ohlcv
-from candlewick.operators.indicators import series_pass, with_window_indicators
-from candlewick.operators.patterns import with_patterns
+from candlewick.operators.indicators import by_ticker, indicators_and_patterns
 from candlewick.operators.resample import resample
 from candlewick.params import ASOF_OFFSET_DAYS, PERIODS
 from candlewick.plans import oracles as O
@@ -100,7 +99,7 @@ def q_resample_gaps(spark, sf):
 
 def _analysed_daily(spark, sf):
     bars = _wide_bars(spark, sf).withColumn("period", F.lit("D"))
-    return with_patterns(with_window_indicators(series_pass(bars)))
+    return indicators_and_patterns(by_ticker(bars))
 
 
 def _ind_query(cols, digits=6):
