@@ -36,6 +36,12 @@ def series_pass(bars: DataFrame, ip: IndicatorParams = DEFAULT_INDICATORS,
                 pp: PatternParams = DEFAULT_PATTERNS) -> DataFrame:
     """Run the recursive kernel over each (ticker, period) series of ``bars``.
 
+    ``bars`` must be hash-partitioned so that a ticker's rows share one
+    partition (``by_ticker``).  The kernel streams over each sorted partition
+    with ``mapInPandas`` instead of one ``applyInPandas`` call per series:
+    thousands of short series would otherwise pay the per-group Arrow and
+    pandas conversion many times over.
+
     ``bars`` needs ticker, period, Date, High, Low, Close, Volume; every
     other column passes through.  Adds ``rn`` (0-based ordinal by Date) and
     the columns of ``kernel.KERNEL_COLUMNS``.
@@ -50,10 +56,13 @@ def series_pass(bars: DataFrame, ip: IndicatorParams = DEFAULT_INDICATORS,
         fields.append(T.StructField(name, T._parse_datatype_string(typ), True))
     schema = T.StructType(fields)
 
-    def fn(pdf):
-        return kernel.analyse_series(pdf, ip, pp)
+    def fn(batches):
+        return kernel.analyse_partition(batches, ip, pp)
 
-    return bars.groupBy(*SERIES_KEY).applyInPandas(fn, schema=schema)
+    # Rows of a series are co-located (hash partitioning by ticker) and sorted;
+    # the window step before already sorted them, so this sort is elided.
+    ordered = bars.sortWithinPartitions(*SERIES_KEY, "Date")
+    return ordered.mapInPandas(fn, schema=schema)
 
 
 def series_parallelism(spark) -> int:

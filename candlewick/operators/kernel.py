@@ -400,8 +400,46 @@ def _col(pdf: pd.DataFrame, name: str) -> list[float]:
 
 
 def analyse_series(pdf: pd.DataFrame, ip: IndicatorParams, pp: PatternParams) -> pd.DataFrame:
-    """Recursive indicators and swing patterns of one series sorted by Date."""
+    """Input columns plus the kernel columns of one series (any row order)."""
     pdf = pdf.sort_values("Date", kind="stable").reset_index(drop=True)
+    cols = {c: pdf[c] for c in pdf.columns}
+    cols.update(series_columns(pdf, ip, pp))
+    cols["price_search"] = pd.Series(cols["price_search"]).astype("Int32")
+    return pd.DataFrame(cols)
+
+
+def analyse_partition(batches, ip: IndicatorParams, pp: PatternParams):
+    """Stream over Arrow batches of a partition sorted by (ticker, period,
+    Date): every completed series is analysed, the series still open at a
+    batch end is carried over.  Memory holds one batch plus one series; the
+    output is assembled once per batch, not once per series."""
+    pending = None
+    for pdf in batches:
+        if pending is not None and len(pending):
+            pdf = pd.concat([pending, pdf], ignore_index=True)
+        if not len(pdf):
+            continue
+        key = (pdf["ticker"].astype(str) + "\x00" + pdf["period"].astype(str)).to_numpy()
+        cuts = np.flatnonzero(key[1:] != key[:-1]) + 1
+        last_start = int(cuts[-1]) if len(cuts) else 0
+        pending = pdf.iloc[last_start:].reset_index(drop=True)
+        if last_start:
+            yield _assemble(pdf.iloc[:last_start].reset_index(drop=True), [0, *cuts[:-1].tolist(), last_start], ip, pp)
+    if pending is not None and len(pending):
+        yield _assemble(pending, [0, len(pending)], ip, pp)
+
+
+def _assemble(pdf: pd.DataFrame, bounds, ip, pp) -> pd.DataFrame:
+    parts = [series_columns(pdf.iloc[a:b].reset_index(drop=True), ip, pp) for a, b in zip(bounds[:-1], bounds[1:])]
+    cols = {c: pdf[c] for c in pdf.columns}
+    for name, _ in KERNEL_COLUMNS:
+        cols[name] = np.concatenate([p[name] for p in parts])
+    cols["price_search"] = pd.Series(cols["price_search"]).astype("Int32")
+    return pd.DataFrame(cols)
+
+
+def series_columns(pdf: pd.DataFrame, ip: IndicatorParams, pp: PatternParams) -> dict:
+    """Kernel columns of one series whose rows are sorted by Date."""
     n = len(pdf)
     high, low, close = _col(pdf, "High"), _col(pdf, "Low"), _col(pdf, "Close")
     volume = _col(pdf, "Volume")
@@ -481,7 +519,7 @@ def analyse_series(pdf: pd.DataFrame, ip: IndicatorParams, pp: PatternParams) ->
         np.asarray(res[f"FI_{ip.fi_periods[-1]}"], dtype=np.float64), pp.fi13_spike_pct)
     res["EMA13_slope"] = slope
     res["FI_13_diff"] = fdiff
-    cols = {c: pdf[c] for c in pdf.columns}
+    cols = {}
     for name, _ in KERNEL_COLUMNS:
         if name in res:
             cols[name] = np.asarray(res[name], dtype=np.int32 if name == "rn" else np.float64)
@@ -489,7 +527,7 @@ def analyse_series(pdf: pd.DataFrame, ip: IndicatorParams, pp: PatternParams) ->
     cols["price_Trough"] = trough_flag
     cols["Higher_Peak"] = hp
     cols["Lower_Trough"] = lt
-    cols["price_search"] = pd.array(search, dtype="Int32")
+    cols["price_search"] = np.asarray([np.nan if v is None else v for v in search], dtype=np.float64)
     cols["FI_2_Peak"] = fi2_peak
     cols["FI_2_Trough"] = fi2_trough
     for k, v in out_str.items():
@@ -497,4 +535,4 @@ def analyse_series(pdf: pd.DataFrame, ip: IndicatorParams, pp: PatternParams) ->
     cols["EMA_bullbear"] = cross
     cols["FI_13_Peak"] = fpeak
     cols["FI_13_Trough"] = ftrough
-    return pd.DataFrame(cols)
+    return cols
