@@ -128,7 +128,12 @@ def cross_alerts(trades: DataFrame, thresholds: DataFrame) -> DataFrame:
         _cross_alert_fn, ALERT_OUT, STATE_SCHEMA, "append", "NoTimeout")
 
 
-def start_alerts(trades: DataFrame, thresholds: DataFrame, checkpoint: str, sink: str = "memory",
-                 query_name: str = "alerts"):
-    return (cross_alerts(trades, thresholds).writeStream.format(sink).queryName(query_name)
-            .option("checkpointLocation", checkpoint).outputMode("append").start())
+def start_alerts(trades: DataFrame, thresholds: DataFrame, checkpoint: str, sink: str = "parquet",
+                 path: str | None = None, query_name: str = "alerts"):
+    """Alert query; a file sink (default) is exactly-once across restarts with
+    the checkpoint, the memory sink is for interactive use only."""
+    w = (cross_alerts(trades, thresholds).writeStream.format(sink).queryName(query_name)
+         .option("checkpointLocation", checkpoint).outputMode("append"))
+    if path is not None:
+        w = w.option("path", path)
+    return w.start()
