@@ -218,3 +218,109 @@ def asof_sql(values=("Close",)) -> str:
     SELECT {', '.join(cols)}
     FROM (SELECT * FROM allp WHERE period = 'D') b
     {' '.join(parts)}"""
+
+
+def patterns_sql(series: str = DAILY_WIDE) -> str:
+    """Extrema, swing points, divergence, power pairs and the three signals in
+    SQL: runs of equal values for local maxima, a recursive CTE (per ticker and
+    signal, in height order) for the minimum-distance rule, range subqueries
+    for prominence, and range joins over [search, i) for the swing searches."""
+    ind = indicators_sql(series)
+    return f"""
+    WITH RECURSIVE base AS (SELECT * FROM ({ind}) i),
+    sigs AS (SELECT ticker, rn, 'pp' AS sig, x AS v FROM base
+             UNION ALL SELECT ticker, rn, 'pt', -x FROM base
+             UNION ALL SELECT ticker, rn, 'fp', "FI_2" FROM base
+             UNION ALL SELECT ticker, rn, 'ft', -"FI_2" FROM base),
+    runs AS (SELECT *, sum(newrun) OVER (PARTITION BY ticker, sig ORDER BY rn) AS run_id,
+                    count(*) OVER (PARTITION BY ticker, sig) AS n
+             FROM (SELECT *, CASE WHEN v = lag(v) OVER w THEN 0 ELSE 1 END AS newrun FROM sigs
+                   WINDOW w AS (PARTITION BY ticker, sig ORDER BY rn)) z),
+    rr AS (SELECT ticker, sig, run_id, min(rn) AS a, max(rn) AS b, any_value(v) AS v, any_value(n) AS n
+           FROM runs GROUP BY ticker, sig, run_id),
+    cand AS (SELECT ticker, sig, CAST((a + b) // 2 AS INTEGER) AS pos, v
+             FROM (SELECT *, lag(v) OVER w AS pv, lead(v) OVER w AS nv FROM rr
+                   WINDOW w AS (PARTITION BY ticker, sig ORDER BY run_id)) q
+             WHERE a >= 1 AND b <= n - 2 AND pv < v AND nv < v),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY ticker, sig ORDER BY v DESC, pos DESC) AS k FROM cand),
+    g AS (SELECT ticker, sig, k, [pos] AS kept FROM ranked WHERE k = 1
+          UNION ALL
+          SELECT r.ticker, r.sig, r.k,
+                 CASE WHEN len(list_filter(g.kept, lambda y: abs(y - r.pos) < 5)) = 0
+                      THEN list_append(g.kept, r.pos) ELSE g.kept END
+          FROM g JOIN ranked r ON r.ticker = g.ticker AND r.sig = g.sig AND r.k = g.k + 1),
+    kept AS (SELECT ticker, sig, unnest(kept) AS pos FROM g
+             QUALIFY k = max(k) OVER (PARTITION BY ticker, sig)),
+    prom AS (SELECT f.ticker, f.sig, f.pos, s.v AS h,
+                    (SELECT max(s2.rn) FROM sigs s2 WHERE s2.ticker = f.ticker AND s2.sig = f.sig
+                       AND s2.rn < f.pos AND s2.v > s.v) AS lj,
+                    (SELECT min(s2.rn) FROM sigs s2 WHERE s2.ticker = f.ticker AND s2.sig = f.sig
+                       AND s2.rn > f.pos AND s2.v > s.v) AS rj
+             FROM kept f JOIN sigs s ON s.ticker = f.ticker AND s.sig = f.sig AND s.rn = f.pos),
+    pm AS (SELECT p.*,
+                  (SELECT min(s3.v) FROM sigs s3 WHERE s3.ticker = p.ticker AND s3.sig = p.sig
+                     AND s3.rn > coalesce(p.lj, -1) AND s3.rn <= p.pos) AS lmin,
+                  (SELECT min(s3.v) FROM sigs s3 WHERE s3.ticker = p.ticker AND s3.sig = p.sig
+                     AND s3.rn >= p.pos AND s3.rn < coalesce(p.rj, 2147483647)) AS rmin
+           FROM prom p),
+    ext AS (SELECT ticker, sig, pos FROM pm
+            WHERE h - greatest(lmin, rmin) >= CASE WHEN sig IN ('pp', 'pt') THEN 1 ELSE 5 END
+              AND (sig IN ('pp', 'pt') OR h > 0)),
+    sp AS (SELECT b.ticker, b.rn, b.x, b."ATR" AS atr, e.sig,
+                  row_number() OVER (PARTITION BY b.ticker, e.sig ORDER BY b.rn) AS k
+           FROM base b JOIN ext e ON e.ticker = b.ticker AND e.pos = b.rn AND e.sig IN ('pp', 'pt')),
+    swing AS (SELECT ticker, rn, sig, CASE
+                WHEN k > 2 AND abs(x - lag(x, 2) OVER w) <= atr
+                     AND CASE WHEN sig = 'pp' THEN x > lag(x, 2) OVER w ELSE x < lag(x, 2) OVER w END THEN lag(rn, 2) OVER w
+                WHEN k > 2 AND abs(x - lag(x, 1) OVER w) <= atr
+                     AND CASE WHEN sig = 'pp' THEN x > lag(x, 1) OVER w ELSE x < lag(x, 1) OVER w END THEN lag(rn, 1) OVER w
+                END AS s
+              FROM sp WINDOW w AS (PARTITION BY ticker, sig ORDER BY rn)),
+    sw AS (SELECT ticker, rn AS i, s, CASE WHEN sig = 'pp' THEN 'Down' ELSE 'Up' END AS dir FROM swing WHERE s IS NOT NULL),
+    iv AS (SELECT ticker, rn, 'MACD_hist' AS name, 30.0::DOUBLE AS thr, "MACD_hist" AS val FROM base
+           UNION ALL SELECT ticker, rn, 'FI_13', 70.0::DOUBLE, "FI_13" FROM base),
+    dv AS (SELECT sw.ticker, sw.i, sw.dir, a.name, b.rn AS j,
+                  CASE WHEN b.val = 0 THEN 'inf'::DOUBLE ELSE abs(a.val - b.val) / abs(b.val) * 100 END AS ch, a.thr
+           FROM sw JOIN iv a ON a.ticker = sw.ticker AND a.rn = sw.i
+                   JOIN iv b ON b.ticker = sw.ticker AND b.name = a.name AND b.rn >= sw.s AND b.rn < sw.i
+           WHERE (sw.dir = 'Down' AND a.val < b.val) OR (sw.dir = 'Up' AND a.val > b.val)),
+    dbest AS (SELECT ticker, i, dir, name, j FROM dv WHERE ch >= thr
+              QUALIFY row_number() OVER (PARTITION BY ticker, i, name ORDER BY ch DESC, j) = 1),
+    pw AS (SELECT sw.ticker, sw.i, sw.dir, b.rn AS j,
+                  abs(CASE WHEN sw.dir = 'Down' THEN b."Bull_Power" ELSE b."Bear_Power" END) AS av
+           FROM sw JOIN base b ON b.ticker = sw.ticker AND b.rn >= sw.s AND b.rn < sw.i
+           WHERE (sw.dir = 'Down' AND b."Bull_Power" > 0) OR (sw.dir = 'Up' AND b."Bear_Power" < 0)),
+    ppair AS (SELECT ticker, i, dir, max(CASE WHEN r = 1 THEN j END) AS j1, max(CASE WHEN r = 2 THEN j END) AS j2
+              FROM (SELECT *, row_number() OVER (PARTITION BY ticker, i ORDER BY av DESC, j) AS r FROM pw) q
+              WHERE r <= 2 GROUP BY ticker, i, dir),
+    out AS (
+      SELECT b.ticker, b."Date", b.rn,
+             EXISTS (SELECT 1 FROM ext e WHERE e.ticker = b.ticker AND e.pos = b.rn AND e.sig = 'pp') AS "price_Peak",
+             EXISTS (SELECT 1 FROM ext e WHERE e.ticker = b.ticker AND e.pos = b.rn AND e.sig = 'pt') AS "price_Trough",
+             EXISTS (SELECT 1 FROM ext e WHERE e.ticker = b.ticker AND e.pos = b.rn AND e.sig = 'fp') AS "FI_2_Peak",
+             EXISTS (SELECT 1 FROM ext e WHERE e.ticker = b.ticker AND e.pos = b.rn AND e.sig = 'ft') AS "FI_2_Trough",
+             hp.i IS NOT NULL AS "Higher_Peak", lt.i IS NOT NULL AS "Lower_Trough",
+             COALESCE(hp.s, lt.s) AS price_search,
+             dm.dir AS "MACD_hist_trend", df.dir AS "FI_13_trend",
+             CAST(dm.j AS VARCHAR) || '_' || CAST(dm.i AS VARCHAR) AS "MACD_hist_trend_pair",
+             CAST(df.j AS VARCHAR) || '_' || CAST(df.i AS VARCHAR) AS "FI_13_trend_pair",
+             CASE WHEN bu.j2 IS NOT NULL AND bu.j1 < bu.j2 THEN 'Down' END AS "Bull_Power_trend",
+             CASE WHEN be.j2 IS NOT NULL AND be.j1 < be.j2 THEN 'Up' END AS "Bear_Power_trend",
+             CASE WHEN bu.j2 IS NOT NULL AND bu.j1 < bu.j2 THEN CAST(bu.j1 AS VARCHAR) || '_' || CAST(bu.j2 AS VARCHAR) END AS "Bull_Power_trend_pair",
+             CASE WHEN be.j2 IS NOT NULL AND be.j1 < be.j2 THEN CAST(be.j1 AS VARCHAR) || '_' || CAST(be.j2 AS VARCHAR) END AS "Bear_Power_trend_pair",
+             CASE WHEN b."EMA13_slope" > 0 THEN 'Up' WHEN b."EMA13_slope" < 0 THEN 'Down' END AS ema_trend
+      FROM base b
+      LEFT JOIN sw hp ON hp.ticker = b.ticker AND hp.i = b.rn AND hp.dir = 'Down'
+      LEFT JOIN sw lt ON lt.ticker = b.ticker AND lt.i = b.rn AND lt.dir = 'Up'
+      LEFT JOIN dbest dm ON dm.ticker = b.ticker AND dm.i = b.rn AND dm.name = 'MACD_hist'
+      LEFT JOIN dbest df ON df.ticker = b.ticker AND df.i = b.rn AND df.name = 'FI_13'
+      LEFT JOIN ppair bu ON bu.ticker = b.ticker AND bu.i = b.rn AND bu.dir = 'Down'
+      LEFT JOIN ppair be ON be.ticker = b.ticker AND be.i = b.rn AND be.dir = 'Up')
+    SELECT *,
+           CASE WHEN "MACD_hist_trend" = 'Up' AND "FI_13_trend" = 'Up' THEN 'Long'
+                WHEN "MACD_hist_trend" = 'Down' AND "FI_13_trend" = 'Down' THEN 'Short' END AS "Side_1",
+           CASE WHEN ema_trend = 'Up' AND "FI_2_Trough" THEN 'Long'
+                WHEN ema_trend = 'Down' AND "FI_2_Peak" THEN 'Short' END AS "Side_2",
+           CASE WHEN "Bear_Power_trend" = 'Up' AND "Lower_Trough" THEN 'Long'
+                WHEN "Bull_Power_trend" = 'Down' AND "Higher_Peak" THEN 'Short' END AS "Side_3"
+    FROM out"""

@@ -399,15 +399,25 @@ def _pat(cols):
     return lambda spark, sf: _analysed_daily(spark, sf).select("ticker", "Date", *cols)
 
 
-register("pt_local_extrema")(_pat(["price_Peak", "price_Trough"]))
-register("pt_fi2_extrema")(_pat(["FI_2_Peak", "FI_2_Trough"]))
-register("pt_higher_peak")(_pat(["Higher_Peak", "price_search"]))
-register("pt_lower_trough")(_pat(["Lower_Trough", "price_search"]))
-register("pt_divergence")(_pat(["MACD_hist_trend", "FI_13_trend", "MACD_hist_trend_pair", "FI_13_trend_pair"]))
-register("pt_power_top2")(_pat(["Bull_Power_trend", "Bear_Power_trend", "Bull_Power_trend_pair", "Bear_Power_trend_pair"]))
-register("pt_side_1")(_pat(["Side_1"]))
-register("pt_side_2")(_pat(["Side_2"]))
-register("pt_side_3")(_pat(["Side_3"]))
+_PAT = O.patterns_sql()
+
+
+def _pat_sql(cols):
+    return f"SELECT ticker, \"Date\", {', '.join(chr(34) + c + chr(34) for c in cols)} FROM ({_PAT}) p"
+
+
+for _key, _cols in {
+    "pt_local_extrema": ["price_Peak", "price_Trough"],
+    "pt_fi2_extrema": ["FI_2_Peak", "FI_2_Trough"],
+    "pt_higher_peak": ["Higher_Peak", "price_search"],
+    "pt_lower_trough": ["Lower_Trough", "price_search"],
+    "pt_divergence": ["MACD_hist_trend", "FI_13_trend", "MACD_hist_trend_pair", "FI_13_trend_pair"],
+    "pt_power_top2": ["Bull_Power_trend", "Bear_Power_trend", "Bull_Power_trend_pair", "Bear_Power_trend_pair"],
+    "pt_side_1": ["Side_1"],
+    "pt_side_2": ["Side_2"],
+    "pt_side_3": ["Side_3"],
+}.items():
+    register(_key, _pat_sql(_cols))(_pat(_cols))
 
 
 @register("job_gold")
