@@ -324,3 +324,47 @@ def patterns_sql(series: str = DAILY_WIDE) -> str:
            CASE WHEN "Bear_Power_trend" = 'Up' AND "Lower_Trough" THEN 'Long'
                 WHEN "Bull_Power_trend" = 'Down' AND "Higher_Peak" THEN 'Short' END AS "Side_3"
     FROM out"""
+
+
+def gold_sides_sql(bars: str = BARS_WIDE) -> str:
+    """Side_1..3 of every (ticker, period) series, gaps dropped."""
+    allp = all_periods_sql(bars)
+    series = f"""SELECT ticker || '|' || period AS ticker, "Date", "High", "Low", "Close", "Volume" FROM ({allp}) a"""
+    return f"""SELECT split_part(ticker, '|', 1) AS ticker, split_part(ticker, '|', 2) AS period, "Date",
+                      "Side_1", "Side_2", "Side_3" FROM ({patterns_sql(series)}) p"""
+
+
+def conclusion_sql(bars: str = BARS_WIDE) -> str:
+    """Entry-conclusion mart: LATERAL as-of of every longer period, minus each
+    ticker's latest daily row."""
+    from candlewick.params import MART_SUFFIX
+    parts, dates, sides = [], [], {s: [] for s in ("Side_1", "Side_2", "Side_3")}
+    for p, n in ASOF_OFFSET_DAYS.items():
+        a = f"a_{p}"
+        parts.append(f"""LEFT JOIN LATERAL (SELECT "Date", "Side_1", "Side_2", "Side_3" FROM gold
+             WHERE period = '{p}' AND ticker = b.ticker AND "Date" <= b."Date" + INTERVAL '{n} days'
+             ORDER BY "Date" DESC LIMIT 1) {a} ON TRUE""")
+        dates.append(f'{a}."Date" AS "Date_{MART_SUFFIX[p]}"')
+        for s in sides:
+            sides[s].append(f'{a}."{s}" AS "{s}_{MART_SUFFIX[p]}"')
+    cols = ['b.ticker', 'b."Date" AS "Date_D"', *dates]
+    for s, lst in sides.items():
+        cols += [f'b."{s}" AS "{s}_D"', *lst]
+    return f"""WITH gold AS ({gold_sides_sql(bars)})
+    SELECT * EXCLUDE (max_date) FROM (
+      SELECT {', '.join(cols)}, max(b."Date") OVER (PARTITION BY b.ticker) AS max_date
+      FROM (SELECT * FROM gold WHERE period = 'D') b
+      {' '.join(parts)}) x
+    WHERE "Date_D" < max_date"""
+
+
+def report_sql(bars: str = BARS_WIDE) -> str:
+    """Report rows: every mart value as text, NULL as 'None', dates ISO."""
+    from candlewick.params import MART_SUFFIX
+    names = ["ticker"] + [f"Date_{MART_SUFFIX[p]}" for p in ("D", *ASOF_OFFSET_DAYS)]
+    names += [f"{s}_{MART_SUFFIX[p]}" for s in ("Side_1", "Side_2", "Side_3") for p in ("D", *ASOF_OFFSET_DAYS)]
+    cols = []
+    for c in names:
+        expr = f'strftime("{c}", \'%Y-%m-%d\')' if c.startswith("Date_") else f'CAST("{c}" AS VARCHAR)'
+        cols.append(f"COALESCE({expr}, 'None') AS \"{c}\"")
+    return f"SELECT {', '.join(cols)} FROM ({conclusion_sql(bars)}) c"

@@ -426,14 +426,14 @@ def q_job_gold(spark, sf):
     return gold_wide(spark, sf).drop("created_at")
 
 
-@register("job_conclusion")
+@register("job_conclusion", O.conclusion_sql())
 def q_job_conclusion(spark, sf):
     from candlewick.plans.flagship import gold_wide
     from candlewick.plans.jobs import job_conclusion
     return job_conclusion(gold_wide(spark, sf))
 
 
-@register("snk_report")
+@register("snk_report", O.report_sql())
 def q_report(spark, sf):
     from candlewick.plans.flagship import gold_wide
     from candlewick.plans.jobs import job_conclusion
