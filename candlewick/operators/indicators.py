@@ -96,29 +96,51 @@ def rolling_std(col: str, n: int) -> Column:
 
 
 def with_window_indicators(df: DataFrame, ip: IndicatorParams = DEFAULT_INDICATORS) -> DataFrame:
-    """SMA, STOCH, WILLR and the band standard deviations, per series."""
+    """SMA, STOCH, WILLR and the band standard deviations, per series.
+
+    Each distinct window aggregate is computed once (one Window operator for
+    the price frames, then two small ones for the STOCH smoothing) and the
+    indicators are projections of those columns."""
     if "period" not in df.columns:
         df = df.withColumn("period", F.lit("D"))
     w = series_window()
-    hlc_ok = F.col("High").isNotNull() & F.col("Low").isNotNull() & F.col("Close").isNotNull()
-
-    def hl_range(n):
-        frame = w.rowsBetween(-(n - 1), 0)
-        full = F.count(F.when(hlc_ok, 1)).over(frame) == n
-        return F.when(full, F.max("High").over(frame)), F.when(full, F.min("Low").over(frame))
-
-    hh_k, ll_k = hl_range(ip.stoch_fastk)
-    hh_w, ll_w = hl_range(ip.willr_period)
-    out = df.select(
+    hlc = F.when(F.col("High").isNotNull() & F.col("Low").isNotNull() & F.col("Close").isNotNull(), 1)
+    raw, tmp = [], []
+
+    def frame(n):
+        return w.rowsBetween(-(n - 1), 0)
+
+    for n in sorted({ip.stoch_fastk, ip.willr_period}):
+        raw += [F.count(hlc).over(frame(n)).alias(f"_hlc{n}"), F.max("High").over(frame(n)).alias(f"_hh{n}"),
+                F.min("Low").over(frame(n)).alias(f"_ll{n}")]
+        tmp += [f"_hlc{n}", f"_hh{n}", f"_ll{n}"]
+    for n in sorted(set(ip.sma_periods) | {ip.bb_period, ip.sd17_period}):
+        raw.append(F.count("Close").over(frame(n)).alias(f"_cc{n}"))
+        tmp.append(f"_cc{n}")
+    for n in sorted(set(ip.sma_periods)):
+        raw.append(F.avg("Close").over(frame(n)).alias(f"_avg{n}"))
+        tmp.append(f"_avg{n}")
+    for n in sorted({ip.bb_period, ip.sd17_period}):
+        raw.append(F.stddev_pop("Close").over(frame(n)).alias(f"_sd{n}"))
+        tmp.append(f"_sd{n}")
+    out = df.select("*", *raw)
+
+    def hl(n):
+        full = F.col(f"_hlc{n}") == n
+        return F.when(full, F.col(f"_hh{n}")), F.when(full, F.col(f"_ll{n}"))
+
+    hh_k, ll_k = hl(ip.stoch_fastk)
+    hh_w, ll_w = hl(ip.willr_period)
+    out = out.select(
         "*",
         F.when((hh_k - ll_k) != 0, (F.col("Close") - ll_k) / ((hh_k - ll_k) / 100.0))
         .when(hh_k.isNotNull(), F.lit(0.0)).alias("_fastk"),
         F.when((hh_w - ll_w) != 0, (hh_w - F.col("Close")) / ((hh_w - ll_w) / -100.0))
         .when(hh_w.isNotNull(), F.lit(0.0)).alias("WILLR"),
-        *[sma("Close", n).alias(f"SMA{n}") for n in ip.sma_periods],
-        rolling_std("Close", ip.bb_period).alias("_std_bb"),
-        rolling_std("Close", ip.sd17_period).alias("_std_17"),
-    )
+        *[F.when(F.col(f"_cc{n}") == n, F.col(f"_avg{n}")).alias(f"SMA{n}") for n in ip.sma_periods],
+        F.when(F.col(f"_cc{ip.bb_period}") == ip.bb_period, F.col(f"_sd{ip.bb_period}")).alias("_std_bb"),
+        F.when(F.col(f"_cc{ip.sd17_period}") == ip.sd17_period, F.col(f"_sd{ip.sd17_period}")).alias("_std_17"),
+    ).drop(*tmp)
     out = out.withColumn("_slowk", sma("_fastk", ip.stoch_slowk))
     out = out.withColumn("STOCH_slowd", sma("_slowk", ip.stoch_slowd))
     return (out.withColumn("STOCH_slowk", F.when(F.col("STOCH_slowd").isNotNull(), F.col("_slowk")))
