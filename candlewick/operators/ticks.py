@@ -111,8 +111,11 @@ def with_previous_price(ticks: DataFrame, bucket_ms: int = BUCKET_MS) -> DataFra
     b = ticks.withColumn("_bucket", F.floor(F.col("t") / bucket_ms))
     inner = Window.partitionBy("s", "_bucket").orderBy("t", "event_id")
     b = b.withColumn("_prev", F.lag("p").over(inner))
+    # (t, event_id) packed into one fixed-width decimal so the partial
+    # aggregation stays a hash aggregation (a struct key would force a sort)
+    order_key = F.col("t").cast("decimal(38,0)") * F.lit("10000000000000000000").cast("decimal(38,0)") + F.col("event_id")
     last = (b.groupBy("s", "_bucket")
-            .agg(F.max_by("p", F.struct("t", "event_id")).alias("_last"))
+            .agg(F.max_by("p", order_key).alias("_last"))
             .withColumn("_carry", F.lag("_last").over(Window.partitionBy("s").orderBy("_bucket")))
             .select("s", "_bucket", "_carry"))
     return (b.join(last, ["s", "_bucket"], "left")
