@@ -442,3 +442,53 @@ def q_report(spark, sf):
 
 
 __all__ = ["Window"]
+
+
+# ----------------------------------------------------------------------------
+# Scalars, summaries and the screen job
+# ----------------------------------------------------------------------------
+
+@register("sc_trunc2", f"""SELECT ticker, "Date", {', '.join(
+    f'CAST(trunc("{c}" * 100.0::DOUBLE) AS BIGINT) / 100.0::DOUBLE AS "{c}"' for c in ("EMA13", "MACD_hist", "ATR", "FI_13"))}
+FROM ({O.indicators_sql()}) i""")
+def q_trunc2(spark, sf):
+    from candlewick.functions.scalars import truncate_numeric
+    return truncate_numeric(_analysed_daily(spark, sf).select("ticker", "Date", "EMA13", "MACD_hist", "ATR", "FI_13"), 2)
+
+
+@register("sc_time_key", f"""SELECT event_id, strftime({_LOCAL}, '%Y%m%d') AS day_key, strftime({_LOCAL}, '%Y%m') AS month_key,
+       strftime({_LOCAL}, '%Y%m%d_%H%M%S') AS second_key FROM ({TICKS}) k""")
+def q_time_key(spark, sf):
+    from candlewick.functions.scalars import time_key
+    t = fx.ticks(spark, sf)
+    lt = tk.local_time(F.col("t"))
+    return t.select("event_id", time_key(lt, "day").alias("day_key"), time_key(lt, "month").alias("month_key"),
+                    time_key(lt, "second").alias("second_key"))
+
+
+@register("ag_status_summary", f"""
+SELECT 'clean' AS stage, status, count(*) AS n_items FROM (
+  SELECT ticker, CASE WHEN count_if("Close" IS NOT NULL AND "Volume" IS NOT NULL) > 0 THEN 'success' ELSE 'failed' END AS status
+  FROM ({O.BRONZE}) b GROUP BY ticker) a GROUP BY status""")
+def q_status(spark, sf):
+    from candlewick.operators.clean import clean_audit, status_summary
+    audit = clean_audit(fx.bronze(spark, sf)).select(F.lit("clean").alias("stage"), F.col("ticker").alias("item"), "status")
+    return status_summary(audit).select("stage", "status", "n_items")
+
+
+_FUND2 = (f"SELECT DATE '2024-02-29' AS created_at, {_TICKER} AS ticker, "
+          + ", ".join(f"({v}) * 2 AS {a}" if a == "market_cap" else f"{v} AS {a}" for a, v in _fund_cols().items())
+          + " FROM part WHERE p_size >= 25")
+
+
+@register("job_screen", f"""
+WITH o AS ({SCREEN_SQL % FUND}), n AS ({SCREEN_SQL % _FUND2})
+SELECT * FROM o WHERE NOT EXISTS (SELECT 1 FROM n WHERE n.created_at = o.created_at AND n.ticker = o.ticker)
+UNION ALL SELECT * FROM n""")
+def q_job_screen(spark, sf):
+    old = screen(fx.fundamentals(spark, sf))
+    batch = (fx.fundamentals_from_part(fx.table(spark, sf, "part").filter(F.col("p_size") >= 25))
+             .drop("p_partkey")
+             .withColumn("created_at", F.to_date(F.lit("2024-02-29")))
+             .withColumn("market_cap", F.col("market_cap") * 2))
+    return upsert_snapshot(old, screen(batch))
