@@ -294,7 +294,7 @@ def patterns_sql(series: str = DAILY_WIDE) -> str:
               FROM (SELECT *, row_number() OVER (PARTITION BY ticker, i ORDER BY av DESC, j) AS r FROM pw) q
               WHERE r <= 2 GROUP BY ticker, i, dir),
     out AS (
-      SELECT b.ticker, b."Date", b.rn,
+      SELECT b.*,
              EXISTS (SELECT 1 FROM ext e WHERE e.ticker = b.ticker AND e.pos = b.rn AND e.sig = 'pp') AS "price_Peak",
              EXISTS (SELECT 1 FROM ext e WHERE e.ticker = b.ticker AND e.pos = b.rn AND e.sig = 'pt') AS "price_Trough",
              EXISTS (SELECT 1 FROM ext e WHERE e.ticker = b.ticker AND e.pos = b.rn AND e.sig = 'fp') AS "FI_2_Peak",
@@ -368,3 +368,72 @@ def report_sql(bars: str = BARS_WIDE) -> str:
         expr = f'strftime("{c}", \'%Y-%m-%d\')' if c.startswith("Date_") else f'CAST("{c}" AS VARCHAR)'
         cols.append(f"COALESCE({expr}, 'None') AS \"{c}\"")
     return f"SELECT {', '.join(cols)} FROM ({conclusion_sql(bars)}) c"
+
+
+def _trunc2(expr: str) -> str:
+    return f"CAST(trunc(({expr}) * 100.0::DOUBLE) AS BIGINT) / 100.0::DOUBLE"
+
+
+def gold_sql(bars: str = BARS_WIDE) -> str:
+    """The gold table: every period's bars with the 24 indicators and 24
+    pattern columns, numbers truncated to 2 decimals.  Window sums are left
+    folds (``list_reduce``), the same summation order as Spark's frames."""
+    allp = all_periods_sql(bars)
+    series = f"""SELECT ticker || '|' || period AS ticker, "Date", "High", "Low", "Close", "Volume" FROM ({allp}) a"""
+    pat = patterns_sql(series)
+
+    def fold(col: str, n: int) -> str:
+        return f"list_reduce(list({col}) OVER w{n}, lambda a, b: a + b) / {n}"
+
+    win = f"""
+    SELECT ticker || '|' || period AS sid, ticker, period, "Date", "Open", "Adj Close", "Volume" AS vol,
+           CASE WHEN period = 'D' THEN 0.0::DOUBLE END AS "Dividends",
+           CASE WHEN period = 'D' THEN 0.0::DOUBLE END AS "Stock Splits",
+           CASE WHEN count("Close") OVER w50 = 50 THEN {fold('"Close"', 50)} END AS "SMA50",
+           CASE WHEN count("Close") OVER w200 = 200 THEN {fold('"Close"', 200)} END AS "SMA200",
+           CASE WHEN count(*) OVER w5 = 5 THEN max("High") OVER w5 END AS hh5,
+           CASE WHEN count(*) OVER w5 = 5 THEN min("Low") OVER w5 END AS ll5,
+           CASE WHEN count(*) OVER w7 = 7 THEN max("High") OVER w7 END AS hh7,
+           CASE WHEN count(*) OVER w7 = 7 THEN min("Low") OVER w7 END AS ll7
+    FROM ({allp}) a
+    WINDOW w50 AS (PARTITION BY ticker, period ORDER BY "Date" ROWS BETWEEN 49 PRECEDING AND CURRENT ROW),
+           w200 AS (PARTITION BY ticker, period ORDER BY "Date" ROWS BETWEEN 199 PRECEDING AND CURRENT ROW),
+           w5 AS (PARTITION BY ticker, period ORDER BY "Date" ROWS BETWEEN 4 PRECEDING AND CURRENT ROW),
+           w7 AS (PARTITION BY ticker, period ORDER BY "Date" ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)"""
+    return f"""
+    WITH p AS ({pat}),
+    w AS ({win}),
+    j AS (SELECT w.*, p.*,
+                 CASE WHEN hh5 - ll5 <> 0 THEN (p.x - ll5) / ((hh5 - ll5) / 100.0::DOUBLE)
+                      WHEN hh5 IS NOT NULL THEN 0.0::DOUBLE END AS fastk,
+                 CASE WHEN hh7 - ll7 <> 0 THEN (hh7 - p.x) / ((hh7 - ll7) / -100.0::DOUBLE)
+                      WHEN hh7 IS NOT NULL THEN 0.0::DOUBLE END AS willr
+          FROM w JOIN p ON p.ticker = w.sid AND p."Date" = w."Date"),
+    k1 AS (SELECT *, CASE WHEN count(fastk) OVER w3 = 3 THEN {fold('fastk', 3).replace('w3', 'w3')} END AS slowk FROM j
+           WINDOW w3 AS (PARTITION BY sid ORDER BY "Date" ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)),
+    k2 AS (SELECT *, CASE WHEN count(slowk) OVER w3 = 3 THEN {fold('slowk', 3)} END AS slowd FROM k1
+           WINDOW w3 AS (PARTITION BY sid ORDER BY "Date" ROWS BETWEEN 2 PRECEDING AND CURRENT ROW))
+    SELECT "Date", {_trunc2('"Open"')} AS "Open", {_trunc2('"High"')} AS "High", {_trunc2('"Low"')} AS "Low",
+           {_trunc2('x')} AS "Close", {_trunc2('"Adj Close"')} AS "Adj Close", vol AS "Volume",
+           {_trunc2('"Dividends"')} AS "Dividends", {_trunc2('"Stock Splits"')} AS "Stock Splits",
+           split_part(sid, '|', 1) AS ticker, split_part(sid, '|', 2) AS period,
+           {', '.join(f'{_trunc2(chr(34) + c + chr(34))} AS "{c}"' for c in (
+               "ADX", "MACD", "MACD_signal", "MACD_hist", "PLUS_DI", "MINUS_DI"))},
+           {_trunc2('CASE WHEN slowd IS NOT NULL THEN slowk END')} AS "STOCH_slowk", {_trunc2('slowd')} AS "STOCH_slowd",
+           {_trunc2('willr')} AS "WILLR",
+           {_trunc2('"EMA13" + std13 * 2.7::DOUBLE')} AS upperband, {_trunc2('"EMA13"')} AS middleband,
+           {_trunc2('"EMA13" - std13 * 2.7::DOUBLE')} AS lowerband,
+           {_trunc2('"EMA13" + std13 * 1.7::DOUBLE')} AS upper_1_7, {_trunc2('"EMA13" - std13 * 1.7::DOUBLE')} AS lower_1_7,
+           {', '.join(f'{_trunc2(chr(34) + c + chr(34))} AS "{c}"' for c in (
+               "EMA13", "EMA26", "SMA50", "SMA200", "ATR", "FI", "FI_2", "FI_13", "Bull_Power", "Bear_Power"))},
+           CASE WHEN ema_diff > 0 AND ema_diff_prev < 0 THEN 'Long' WHEN ema_diff < 0 AND ema_diff_prev > 0 THEN 'Short' END
+             AS "EMA_bullbear",
+           {_trunc2('"EMA13_slope"')} AS "EMA13_slope", ema_trend AS "EMA13_trend",
+           "price_Peak", "price_Trough", "Higher_Peak", "Lower_Trough", price_search, "FI_2_Peak", "FI_2_Trough",
+           {_trunc2('"FI_13_diff"')} AS "FI_13_diff",
+           COALESCE("FI_13" > 0 AND "FI_13_diff" > 0 AND (fi13_prev = 0 OR abs("FI_13_diff" / fi13_prev) * 100 >= 70), false) AS "FI_13_Peak",
+           COALESCE("FI_13" < 0 AND "FI_13_diff" < 0 AND (fi13_prev = 0 OR abs("FI_13_diff" / fi13_prev) * 100 >= 70), false) AS "FI_13_Trough",
+           "MACD_hist_trend", "FI_13_trend", "MACD_hist_trend_pair", "FI_13_trend_pair",
+           "Bull_Power_trend", "Bear_Power_trend", "Bull_Power_trend_pair", "Bear_Power_trend_pair",
+           "Side_1", "Side_2", "Side_3"
+    FROM k2"""

@@ -420,7 +420,7 @@ for _key, _cols in {
     register(_key, _pat_sql(_cols))(_pat(_cols))
 
 
-@register("job_gold")
+@register("job_gold", O.gold_sql())
 def q_job_gold(spark, sf):
     from candlewick.plans.flagship import gold_wide
     return gold_wide(spark, sf).drop("created_at")
