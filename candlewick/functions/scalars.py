@@ -53,8 +53,9 @@ def fill_text(col: Column) -> Column:
 
 
 def epoch_ms_local(col: Column, tz: str = "America/New_York") -> Column:
-    """Epoch milliseconds to a local wall-clock timestamp (sc_epoch_tz)."""
-    return F.from_utc_timestamp(F.timestamp_millis(col), tz)
+    """Epoch milliseconds to a local wall-clock TIMESTAMP_NTZ (sc_epoch_tz)."""
+    from candlewick.operators.ticks import local_time
+    return local_time(col, tz)
 
 
 def time_key(col: Column, kind: str) -> Column:

@@ -42,9 +42,21 @@ def exclude_codes(ticks: DataFrame, codes=EXCLUDED_CODES) -> DataFrame:
     return ticks.filter(~F.coalesce(hit, F.lit(False)))
 
 
+EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
+
+
 def local_time(t: Column, tz: str = MARKET_TZ) -> Column:
-    """sc_epoch_tz: epoch ms -> wall-clock timestamp in ``tz``."""
-    return F.from_utc_timestamp(F.timestamp_millis(t), tz)
+    """sc_epoch_tz: epoch ms -> wall-clock time in ``tz`` as TIMESTAMP_NTZ.
+
+    Built from NTZ arithmetic and ``convert_timezone``, so hour, date and
+    formatting do not depend on the session time zone."""
+    utc_wall = F.timestamp_add("MILLISECOND", t, F.expr(EPOCH_NTZ))
+    return F.convert_timezone(F.lit("UTC"), F.lit(tz), utc_wall)
+
+
+def epoch_ms(ts_ntz: Column) -> Column:
+    """Epoch milliseconds of a UTC wall-clock TIMESTAMP_NTZ (truncated)."""
+    return F.timestamp_diff("MILLISECOND", F.expr(EPOCH_NTZ), ts_ntz.cast("timestamp_ntz"))
 
 
 def _seconds_of_day(hhmm: Column) -> Column:

@@ -49,7 +49,8 @@ def current_version(spark, table_root: str) -> str | None:
 
 def write_tick_landing(ticks: DataFrame, path: str, tz: str = "America/New_York") -> None:
     """snk_tick_landing: JSON lines per symbol and local trade date."""
-    date = F.to_date(F.from_utc_timestamp(F.timestamp_millis("t"), tz))
+    from candlewick.operators.ticks import local_time
+    date = F.to_date(local_time(F.col("t"), tz))
     ticks.withColumn("date", date).write.mode("append").partitionBy("s", "date").json(path)
 
 

@@ -81,13 +81,15 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """fx_ticks: trades from events.  s = event type, p = value, t = epoch ms,
     v = event_id % 100 + 1, c = [k % 30] with k from the props JSON."""
+    from candlewick.operators.ticks import epoch_ms
+
     ev = table(spark, sf_dir, "events")
     k = F.get_json_object("props", "$.k").cast("int")
     return ev.select(
         F.col("event_id"),
         F.col("event_type").alias("s"),
         F.col("value").alias("p"),
-        F.unix_millis(F.col("ts").cast("timestamp")).alias("t"),
+        epoch_ms(F.col("ts")).alias("t"),
         (F.col("event_id") % 100 + 1).cast("double").alias("v"),
         F.array((k % 30).cast("string")).alias("c"),
     )

@@ -57,7 +57,8 @@ def start_landing(trades: DataFrame, out_path: str, checkpoint: str, trigger_sec
                   tz: str = "America/New_York"):
     """st_landing: JSON files partitioned by symbol and local trade date;
     the checkpoint makes the file output exactly-once."""
-    date = F.to_date(F.from_utc_timestamp(F.timestamp_millis("t"), tz))
+    from candlewick.operators.ticks import local_time
+    date = F.to_date(local_time(F.col("t"), tz))
     return (exclude_codes(trades).withColumn("date", date).writeStream.format("json")
             .option("path", out_path).option("checkpointLocation", checkpoint)
             .partitionBy("s", "date").trigger(processingTime=f"{trigger_seconds} seconds").start())
