@@ -55,7 +55,7 @@ def period_label(period: str, d: Column, d0: Column) -> Column:
     return _month_end(m0 + k * n)
 
 
-def resample(daily: DataFrame, periods=PERIODS, gap_policy: str = "drop") -> DataFrame:
+def resample(daily: DataFrame, periods=PERIODS, gap_policy: str = "emit") -> DataFrame:
     """Bars of every requested period from a silver daily table.
 
     ``daily`` has ticker, Date, Open, High, Low, Close, Adj Close, Volume and

@@ -25,7 +25,7 @@ def job_silver(bronze: DataFrame) -> DataFrame:
     return clean_ohlcv(bronze)
 
 
-def job_gold(silver: DataFrame, periods=PERIODS, gap_policy: str = "drop",
+def job_gold(silver: DataFrame, periods=PERIODS, gap_policy: str = "emit",
              ip: IndicatorParams = DEFAULT_INDICATORS, pp: PatternParams = DEFAULT_PATTERNS,
              truncate: bool = True) -> DataFrame:
     """job_gold: silver daily -> every period's bars with 24 indicator and 24

@@ -59,7 +59,7 @@ def test_resample_conserves_volume(spark):
 def test_asof_matches_brute_force(spark):
     rows = _random_daily(9, tickers=2, n=120)
     df = spark.createDataFrame(rows, ["ticker", "Date", "Open", "High", "Low", "Close", "Adj Close", "Volume"])
-    bars = resample(df)
+    bars = resample(df, gap_policy="drop")
     got = asof_periods(bars, value_cols=("Close",)).toPandas()
     allp = bars.select("ticker", "period", "Date", "Close").toPandas()
     for _, r in got.sample(60, random_state=1).iterrows():
@@ -72,3 +72,19 @@ def test_asof_matches_brute_force(spark):
             else:
                 best = cand.sort_values("Date").iloc[-1]
                 assert hit["Date"] == best.Date and hit["Close"] == best.Close
+
+
+def test_gold_with_empty_bins_poisons_recursions(spark):
+    """Empty bins (gap_policy='emit') carry NULL prices; recursive indicators
+    are NULL from the first empty bin of a series on, nothing fails."""
+    from conftest import SF_SMALL
+    from candlewick.plans.flagship import gold_long
+
+    g = gold_long(spark, SF_SMALL, gap_policy="emit").filter(F.col("period") == "W")
+    pdf = g.select("ticker", "Date", "Close", "EMA13", "SMA50", "Side_1").toPandas().sort_values(["ticker", "Date"])
+    assert pdf["Close"].isna().any()
+    for _, s in pdf.groupby("ticker"):
+        gaps = s.index[s["Close"].isna()]
+        if len(gaps):
+            after = s.loc[gaps[0]:]
+            assert after["EMA13"].isna().all()
