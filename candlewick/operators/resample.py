@@ -110,36 +110,33 @@ def resample(daily: DataFrame, periods=PERIODS, gap_policy: str = "emit") -> Dat
 
 
 def _emit_gaps(bars: DataFrame, periods) -> DataFrame:
-    """Add the empty bins of every non-daily series (prices NULL, Volume 0)."""
+    """Add the empty bins of every non-daily series (prices NULL, Volume 0).
+
+    Each bar emits itself followed by the empty labels up to the next bar of
+    its series (``lead`` over the series window), in one ``explode``: no
+    second scan, join or union of the bars."""
     if not periods:
         return bars
     steps = F.create_map(*[x for p in periods for x in (F.lit(p), F.lit(period_step(p)[1]))])
     kinds = F.create_map(*[x for p in periods for x in (F.lit(p), F.lit(period_step(p)[0]))])
-    span = (
-        bars.filter(F.col("period") != "D")
-        .groupBy("ticker", "period")
-        .agg(F.min("Date").alias("_lo"), F.max("Date").alias("_hi"), F.first("created_at").alias("_c0"))
-        .withColumn("_n", steps[F.col("period")])
-        .withColumn("_kind", kinds[F.col("period")])
-    )
-    m_lo, m_hi = _month_ordinal(F.col("_lo")), _month_ordinal(F.col("_hi"))
-    week_count = F.floor(F.datediff("_hi", "_lo") / (7 * F.col("_n")))
-    month_count = F.floor((m_hi - m_lo) / F.col("_n"))
-    grid = (
-        span.withColumn("_k", F.explode(F.sequence(F.lit(0), F.when(F.col("_kind") == "week", week_count)
-                                                     .otherwise(month_count).cast("int"))))
-        .select(
-            "ticker", "period", "_c0",
-            F.when(F.col("_kind") == "week", F.date_add("_lo", (F.col("_k") * 7 * F.col("_n")).cast("int")))
-            .otherwise(_month_end(m_lo + F.col("_k") * F.col("_n"))).alias("Date"),
-        )
-    )
-    missing = grid.join(bars.select("ticker", "period", "Date"), ["ticker", "period", "Date"], "left_anti")
-    empty = missing.select(
-        "ticker", "period", "Date",
-        *[F.lit(None).cast("double").alias(c) for c in ("Open", "High", "Low", "Close", "Adj Close")],
-        F.lit(0).cast("bigint").alias("Volume"),
-        F.lit(None).cast("double").alias("Dividends"), F.lit(None).cast("double").alias("Stock Splits"),
-        F.col("_c0").alias("created_at"),
-    )
-    return bars.unionByName(empty)
+    n = steps[F.col("period")]
+    kind = kinds[F.col("period")]
+    nxt = F.lead("Date").over(Window.partitionBy("ticker", "period").orderBy("Date"))
+    week_gap = F.floor(F.datediff(nxt, F.col("Date")) / (n * 7)) - 1
+    month_gap = F.floor((_month_ordinal(nxt) - _month_ordinal(F.col("Date"))) / n) - 1
+    gap_k = F.coalesce(F.when(kind == "week", week_gap).when(kind == "month", month_gap), F.lit(0)).cast("int")
+    fields = ["Date", "Open", "High", "Low", "Close", "Adj Close", "Volume", "Dividends", "Stock Splits", "created_at"]
+    self_row = F.struct(*[F.col(f"`{c}`").alias(c) for c in fields])
+
+    def empty(k):
+        label = F.when(kind == "week", F.date_add(F.col("Date"), (k * n * 7).cast("int"))) \
+            .otherwise(_month_end(_month_ordinal(F.col("Date")) + k * n))
+        return F.struct(label.alias("Date"),
+                        *[F.lit(None).cast("double").alias(c) for c in ("Open", "High", "Low", "Close", "Adj Close")],
+                        F.lit(0).cast("bigint").alias("Volume"), F.lit(None).cast("double").alias("Dividends"),
+                        F.lit(None).cast("double").alias("Stock Splits"), F.col("created_at").alias("created_at"))
+
+    ks = F.when(F.col("_gapk") >= 1, F.sequence(F.lit(1), F.col("_gapk"))).otherwise(F.array().cast("array<int>"))
+    rows = F.concat(F.array(self_row), F.transform(ks, empty))
+    return (bars.withColumn("_gapk", gap_k).select("ticker", "period", F.explode(rows).alias("_r"))
+            .select("ticker", "period", *[F.col(f"_r.`{c}`").alias(c) for c in fields]))
