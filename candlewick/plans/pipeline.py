@@ -51,3 +51,16 @@ def run_conclusion(spark: SparkSession, history_path: str, mart_path: str, as_of
     """job_conclusion / snk_mart: the mart from the written history table."""
     gold = spark.read.parquet(history_path)
     write_parquet(job_conclusion(gold, as_of=as_of), mart_path)
+
+
+def run_staged_merge(spark: SparkSession, target_root: str, staged: DataFrame, period: str) -> str:
+    """snk_staged_merge: merge one period's staged rows into the versioned
+    warehouse table (delete newest-2 dates of the staged tickers, then MERGE
+    on (Date, ticker, period)) and switch to the new version only when the
+    write succeeded -- the all-or-nothing step of the reference's transaction."""
+    from candlewick.operators.upsert import warehouse_merge
+
+    cur = current_version(spark, target_root)
+    target = read_table(spark, cur) if cur else None
+    merged = staged if target is None else warehouse_merge(target, staged, period)
+    return write_version(merged, target_root, partition_by=["period"])

@@ -357,13 +357,17 @@ register("st_monitor", f"""SELECT s, t, printf('[%s]  %-6s  %10.3f  vol:%6s', st
 register("src_trades_envelope", f"SELECT s, p, t, v, array_to_string(c, ',') AS c FROM ({TICKS}) k WHERE s <> 'error'")(
     lambda spark, sf: parse_trade_envelopes(fx.trade_messages(spark, sf)).withColumn("c", F.array_join("c", ",")))
 
-_LINES = "SELECT * FROM (VALUES " + ", ".join(
-    f"('{lab}', {v}::DOUBLE, {tk.ALERT_LINES[lab][0]}, '{tk.ALERT_LINES[lab][1]}')"
-    for lab, v in fx.TICK_LINES.items()) + ") v(label, threshold, cooldown, level)"
-register("st_alert_batch", f"""
+def _lines_sql(lines: dict) -> str:
+    return "SELECT * FROM (VALUES " + ", ".join(
+        f"('{lab}', {v}::DOUBLE, {tk.ALERT_LINES[lab][0]}, '{tk.ALERT_LINES[lab][1]}')"
+        for lab, v in lines.items()) + ") v(label, threshold, cooldown, level)"
+
+
+def _alerts_sql(lines: dict) -> str:
+    return f"""
 WITH RECURSIVE f AS (SELECT * FROM ({TICKS}) k WHERE {_KEEP}),
 pv AS (SELECT *, lag(p) OVER (PARTITION BY s ORDER BY t, event_id) AS prev_p FROM f),
-th AS (SELECT s, l.* FROM (SELECT DISTINCT s FROM ({TICKS}) k2) ss, ({_LINES}) l),
+th AS (SELECT s, l.* FROM (SELECT DISTINCT s FROM ({TICKS}) k2) ss, ({_lines_sql(lines)}) l),
 x AS (SELECT pv.s, pv.t, pv.event_id, pv.p, pv.prev_p, th.label, th.threshold, th.cooldown
       FROM pv JOIN th ON pv.s = th.s
       WHERE prev_p IS NOT NULL AND ((contains(label, 'upper') AND prev_p <= threshold AND p > threshold)
@@ -375,9 +379,19 @@ r AS (SELECT s, label, k, CASE WHEN t > cooldown * 1000 THEN t ELSE 0 END AS las
       SELECT o.s, o.label, o.k, CASE WHEN o.t - r.last_sent > o.cooldown * 1000 THEN o.t ELSE r.last_sent END,
              o.t - r.last_sent > o.cooldown * 1000
       FROM r JOIN o ON o.s = r.s AND o.label = r.label AND o.k = r.k + 1)
-SELECT o.s, o.label, o.t, o.event_id, o.prev_p, o.p FROM o JOIN r USING (s, label, k) WHERE r.fired""")(
-    lambda spark, sf: (lambda t: tk.alerts(t, tk.tick_thresholds(t, fx.TICK_LINES)))(fx.ticks(spark, sf))
-    .select("s", "label", "t", "event_id", "prev_p", "p"))
+SELECT o.s, o.label, o.t, o.event_id, o.prev_p, o.p FROM o JOIN r USING (s, label, k) WHERE r.fired"""
+
+
+def _alerts_query(lines: dict):
+    def q(spark, sf):
+        t = fx.ticks(spark, sf)
+        return tk.alerts(t, tk.tick_thresholds(t, lines)).select("s", "label", "t", "event_id", "prev_p", "p")
+    return q
+
+
+register("st_alert_batch", _alerts_sql(fx.TICK_LINES))(_alerts_query(fx.TICK_LINES))
+# st_alert_simple (older variant): one fixed downward line per symbol, 60 s cooldown.
+register("st_alert_simple", _alerts_sql(fx.SIMPLE_LINE))(_alerts_query(fx.SIMPLE_LINE))
 
 register("st_alert_config", f"""
 SELECT ticker, label, {O.rnd('threshold', 4)} AS threshold, cooldown, level FROM (
@@ -492,3 +506,23 @@ def q_job_screen(spark, sf):
              .withColumn("created_at", F.to_date(F.lit("2024-02-29")))
              .withColumn("market_cap", F.col("market_cap") * 2))
     return upsert_snapshot(old, screen(batch))
+
+
+# ----------------------------------------------------------------------------
+# Vendor history normalisation and fetch status
+# ----------------------------------------------------------------------------
+
+@register("src_price_normalise", f"""SELECT ticker, "Date", "Close", "Volume" FROM ({DAILY}) d""")
+def q_price_normalise(spark, sf):
+    from candlewick.sources.records import normalise_prices
+    raw = _daily(spark, sf).withColumn("Date", F.timestamp_add("HOUR", F.lit(4), F.col("Date").cast("timestamp_ntz")))
+    return normalise_prices(raw, BATCH_TIME).select("ticker", "Date", "Close", "Volume")
+
+
+@register("ag_fetch_status", f"""
+SELECT s.ticker, COALESCE(c.n, 0) AS n_rows, CASE WHEN COALESCE(c.n, 0) > 0 THEN 'success' ELSE 'failed' END AS status
+FROM (SELECT DISTINCT 'S' || CAST(s_suppkey AS VARCHAR) AS ticker FROM supplier) s
+LEFT JOIN (SELECT ticker, count(*) AS n FROM ({DAILY}) d GROUP BY ticker) c USING (ticker)""")
+def q_fetch_status(spark, sf):
+    from candlewick.sources.records import fetch_status
+    return fetch_status(_supp(spark, sf), _daily(spark, sf))

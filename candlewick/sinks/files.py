@@ -12,6 +12,11 @@ from pyspark.sql import functions as F
 from candlewick.functions.scalars import fill_text
 
 
+def layer_path(path: str, src: str = "bronze", dst: str = "silver") -> str:
+    """snk_silver_path: the same object path one layer up (first occurrence only)."""
+    return path.replace(f"{src}/", f"{dst}/", 1)
+
+
 def write_parquet(df: DataFrame, path: str, partition_by=None, mode: str = "overwrite") -> None:
     """snk_parquet: overwrite a Parquet table, snappy-compressed."""
     w = df.write.mode(mode).option("compression", "snappy")

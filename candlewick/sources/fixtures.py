@@ -130,6 +130,7 @@ GOLD_CHANGE_FROM = "1998-06-01"  # fx_gold_new changes Close from this date on
 AS_OF = "1998-12-31"             # as-of date of the daily lookback filter
 SNAPSHOT_DATES = ("2024-01-31", "2024-02-29")
 TICK_LINES = {"upperband": 100.0, "lowerband": 5.0, "upper_1_7": 60.0, "lower_1_7": 20.0}
+SIMPLE_LINE = {"lowerband": 90.0}  # older alert consumer: fixed level 90, downward only
 HOLIDAY_ROWS = [("2024-01-01", ""), ("2024-01-15", ""), ("2024-01-26", "09:30-13:00")]
 # -----------------------------------------------------------------------------
 

@@ -76,3 +76,21 @@ def parse_trade_envelopes(messages: DataFrame, value: str = "value") -> DataFram
     env = F.from_json(F.col(value), TRADE_ENVELOPE)
     return (messages.select(env.alias("e")).filter(F.col("e.type") == "trade")
             .select(F.explode("e.data").alias("d")).select("d.*"))
+
+
+def normalise_prices(raw: DataFrame, batch_time) -> DataFrame:
+    """src_price_normalise: vendor daily history (Date as a timestamp) ->
+    bronze rows with Date truncated to DATE and the batch time stamped."""
+    ts = batch_time if isinstance(batch_time, Column) else F.to_timestamp(F.lit(batch_time))
+    rest = [c for c in raw.columns if c not in ("ticker", "Date", "created_at")]
+    return raw.select("ticker", F.to_date("Date").alias("Date"), *[F.col(f"`{c}`") for c in rest],
+                      ts.alias("created_at"))
+
+
+def fetch_status(requested: DataFrame, rows: DataFrame) -> DataFrame:
+    """Per requested ticker: rows received and status; an empty history is a
+    failed item (partial counts per partition before the shuffle)."""
+    counts = rows.groupBy("ticker").agg(F.count(F.lit(1)).alias("n_rows"))
+    return (requested.select("ticker").distinct().join(counts, "ticker", "left")
+            .select("ticker", F.coalesce("n_rows", F.lit(0)).alias("n_rows"))
+            .withColumn("status", F.when(F.col("n_rows") > 0, "success").otherwise("failed")))
