@@ -46,3 +46,21 @@ def test_cut_lineage_uses_shared_checkpoint_dir(spark):
     df = fx.bars_wide(spark, SF_SMALL)
     c = P.cut_lineage(df)
     assert c.count() == df.count()
+
+
+def test_staged_merge_and_layer_path(spark):
+    from pyspark.sql import functions as F
+
+    from candlewick.sinks.files import layer_path
+    assert layer_path("stock/bronze/AAPL.parquet") == "stock/silver/AAPL.parquet"
+    assert layer_path("bronze/x/bronze/y") == "silver/x/bronze/y"
+    root = tempfile.mkdtemp(prefix="cw-wh-")
+    rows = [("2024-01-0%d" % d, "A", "W", float(d)) for d in range(1, 5)]
+    t = spark.createDataFrame(rows, "Date string, ticker string, period string, Close double") \
+        .withColumn("Date", F.to_date("Date"))
+    v1 = P.run_staged_merge(spark, f"{root}/wh", t, "W")          # first run: staged rows only
+    s = t.filter("Date = '2024-01-02'").withColumn("Close", F.lit(20.0))
+    v2 = P.run_staged_merge(spark, f"{root}/wh", s, "W")
+    assert v1 != v2
+    got = {str(r.Date): r.Close for r in spark.read.parquet(v2).collect()}
+    assert got == {"2024-01-01": 1.0, "2024-01-02": 20.0}
