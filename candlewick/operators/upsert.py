@@ -61,33 +61,52 @@ def upsert_snapshot(old: DataFrame | None, new: DataFrame, key=("created_at", "t
 def upsert_gold_history(old: DataFrame | None, new: DataFrame, scope: str = "ticker_period") -> DataFrame:
     """up_gold_history: for tickers present in ``new`` the old newest 2 rows
     (per ticker, or per ticker and period) are released; new rows fill every
-    (Date, ticker, period) the kept old rows do not have (old rows win)."""
+    (Date, ticker, period) the kept old rows do not have (old rows win).
+
+    Old and new rows are stacked and every decision is a window over the
+    ticker: one shuffle by ticker, no joins.  A ticker's history is bounded by
+    its calendar span times the number of periods."""
     if old is None:
         return new
-    keys = ["ticker"] if scope == "ticker" else ["ticker", "period"]
     from pyspark.sql.window import Window
-    w = Window.partitionBy(*keys).orderBy(F.col("Date").desc(), F.col("period").asc())
-    updated = new.select("ticker").distinct().withColumn("_upd", F.lit(True))
-    kept = (old.withColumn("_rn", F.row_number().over(w))
-            .join(updated, "ticker", "left")
-            .filter(F.col("_upd").isNull() | (F.col("_rn") > 2))
-            .drop("_rn", "_upd")
-            .withColumn("_p", F.lit(1)))
-    both = kept.unionByName(new.withColumn("_p", F.lit(2)), allowMissingColumns=True)
-    return dedupe_priority(both, GOLD_KEY, "_p").drop("_p")
+
+    both = (old.withColumn("_p", F.lit(1))
+            .unionByName(new.withColumn("_p", F.lit(2)), allowMissingColumns=True)
+            .repartition("ticker"))
+    by_ticker = Window.partitionBy("ticker")
+    scope_keys = ["ticker"] if scope == "ticker" else ["ticker", "period"]
+    newest = Window.partitionBy(*scope_keys, "_p").orderBy(F.col("Date").desc(), F.col("period").asc())
+    flagged = both.select(
+        "*",
+        F.max(F.col("_p") == 2).over(by_ticker).alias("_upd"),
+        F.row_number().over(newest).alias("_rn"))
+    kept = flagged.filter((F.col("_p") == 2) | ~F.col("_upd") | (F.col("_rn") > 2)).drop("_upd", "_rn")
+    return dedupe_priority(kept, GOLD_KEY, "_p").drop("_p")
 
 
 def warehouse_merge(target: DataFrame, staged: DataFrame, period: str) -> DataFrame:
     """up_warehouse_merge for one period: delete the target rows of the
     staged tickers dated on any of their newest-2 dates, then MERGE the
-    staged rows on (Date, ticker, period): update matched, insert new."""
+    staged rows on (Date, ticker, period): update matched, insert new.
+
+    Target and staged rows are stacked and decided by windows over
+    (ticker, period): one shuffle.  The deleted dates form a set of calendar
+    days (at most one per day of the covered span), so that set is broadcast."""
     from pyspark.sql.window import Window
-    tickers = staged.select("ticker").distinct()
-    scoped = target.filter(F.col("period") == period).join(tickers, "ticker", "left_semi")
-    w = Window.partitionBy("ticker", "period").orderBy(F.col("Date").desc())
-    hot_dates = (scoped.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= 2)
-                 .select("Date").distinct())
-    doomed = scoped.join(hot_dates, "Date", "left_semi").select(*GOLD_KEY)
-    remaining = target.join(doomed, GOLD_KEY, "left_anti")
-    merged = remaining.join(staged.select(*GOLD_KEY), GOLD_KEY, "left_anti")
-    return merged.unionByName(staged, allowMissingColumns=True)
+
+    both = (target.withColumn("_src", F.lit(0))
+            .unionByName(staged.withColumn("_src", F.lit(1)), allowMissingColumns=True)
+            .repartition("ticker", "period"))
+    series = Window.partitionBy("ticker", "period")
+    newest_target = Window.partitionBy("ticker", "period", "_src").orderBy(F.col("Date").desc())
+    key = Window.partitionBy(*GOLD_KEY)
+    flagged = both.select(
+        "*",
+        F.max("_src").over(series).alias("_staged_ticker"),
+        F.row_number().over(newest_target).alias("_rn"),
+        F.max("_src").over(key).alias("_key_staged"))
+    scoped = (F.col("period") == period) & (F.col("_staged_ticker") == 1) & (F.col("_src") == 0)
+    hot_dates = flagged.filter(scoped & (F.col("_rn") <= 2)).select(F.col("Date").alias("_hot")).distinct()
+    j = flagged.join(F.broadcast(hot_dates), F.col("Date") == F.col("_hot"), "left")
+    keep = (F.col("_src") == 1) | ((F.col("_key_staged") == 0) & ~(scoped & F.col("_hot").isNotNull()))
+    return j.filter(keep).drop("_src", "_staged_ticker", "_rn", "_key_staged", "_hot")
