@@ -66,10 +66,13 @@ def series_pass(bars: DataFrame, ip: IndicatorParams = DEFAULT_INDICATORS,
 
 
 def series_parallelism(spark) -> int:
-    """Partitions for the per-ticker stage: the session's shuffle partitions,
-    at least the cluster's default parallelism (the stage is CPU-bound, so it
-    must not be coalesced into a few tasks just because its bytes are few)."""
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    """Partitions for the per-ticker stage.  The stage is CPU-bound, so it
+    must not be coalesced into a few tasks just because its bytes are few:
+    at least the cluster's default parallelism, the session's shuffle
+    partitions when larger, but not beyond four tasks per core."""
+    cores = spark.sparkContext.defaultParallelism
+    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(cores, min(shuffle, 4 * cores))
 
 
 def by_ticker(df: DataFrame) -> DataFrame:

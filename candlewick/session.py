@@ -28,6 +28,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -45,3 +46,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``candlewick`` importable in the Python workers of this session.
+
+    The grouped-map kernel and the alert state function live in this package;
+    executors receive it as a zip through ``addPyFile`` (once per
+    application), so no install on the cluster nodes is needed."""
+    import shutil
+
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    base = os.path.join(tempfile.mkdtemp(prefix="candlewick-pkg-"), "candlewick")
+    archive = shutil.make_archive(base, "zip", root_dir=root, base_dir="candlewick")
+    sc.addPyFile(archive)
+    _SHIPPED.add(app)
