@@ -139,9 +139,13 @@ def crossings(ticks: DataFrame, thresholds: DataFrame) -> DataFrame:
     """Threshold crossings: upper lines fire when prev <= thr < price, lower
     lines when prev >= thr > price; the first tick of a symbol never fires.
     ``ticks`` must already exclude filtered trades (they do not update prev)."""
+    from candlewick.functions.joins import join_checked
+
     withprev = with_previous_price(ticks)
     th = thresholds.select(F.col("ticker").alias("s"), "label", "threshold", "cooldown", "level")
-    j = withprev.filter(F.col("prev_p").isNotNull()).join(th, "s")
+    # four lines per screened ticker: broadcast after a row-count check, so the
+    # (possibly skewed) tick stream is not shuffled again by symbol
+    j = join_checked(withprev.filter(F.col("prev_p").isNotNull()), th, "s")
     upper = F.col("label").contains("upper")
     lower = F.col("label").contains("lower")
     hit = ((upper & (F.col("prev_p") <= F.col("threshold")) & (F.col("p") > F.col("threshold")))
