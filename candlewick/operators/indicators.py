@@ -101,25 +101,25 @@ def rolling_std(col: str, n: int) -> Column:
 def with_window_indicators(df: DataFrame, ip: IndicatorParams = DEFAULT_INDICATORS) -> DataFrame:
     """SMA, STOCH, WILLR and the band standard deviations, per series.
 
-    Each distinct window aggregate is computed once (one Window operator for
-    the price frames, then two small ones for the STOCH smoothing) and the
-    indicators are projections of those columns."""
+    Each distinct window aggregate is computed once and the indicators are
+    projections of those columns.  Completeness guards ("the n-row frame is
+    full and has no missing value") use running counts and a lag, O(1) per
+    row, instead of another sliding frame."""
     if "period" not in df.columns:
         df = df.withColumn("period", F.lit("D"))
     w = series_window()
+    running = w.rowsBetween(Window.unboundedPreceding, 0)
     hlc = F.when(F.col("High").isNotNull() & F.col("Low").isNotNull() & F.col("Close").isNotNull(), 1)
-    raw, tmp = [], []
+    raw, tmp = [F.count("Close").over(running).alias("_pc"), F.count(hlc).over(running).alias("_ph")], ["_pc", "_ph"]
 
     def frame(n):
         return w.rowsBetween(-(n - 1), 0)
 
-    for n in sorted({ip.stoch_fastk, ip.willr_period}):
-        raw += [F.count(hlc).over(frame(n)).alias(f"_hlc{n}"), F.max("High").over(frame(n)).alias(f"_hh{n}"),
-                F.min("Low").over(frame(n)).alias(f"_ll{n}")]
-        tmp += [f"_hlc{n}", f"_hh{n}", f"_ll{n}"]
-    for n in sorted(set(ip.sma_periods) | {ip.bb_period, ip.sd17_period}):
-        raw.append(F.count("Close").over(frame(n)).alias(f"_cc{n}"))
-        tmp.append(f"_cc{n}")
+    hl_periods = sorted({ip.stoch_fastk, ip.willr_period})
+    close_periods = sorted(set(ip.sma_periods) | {ip.bb_period, ip.sd17_period})
+    for n in hl_periods:
+        raw += [F.max("High").over(frame(n)).alias(f"_hh{n}"), F.min("Low").over(frame(n)).alias(f"_ll{n}")]
+        tmp += [f"_hh{n}", f"_ll{n}"]
     for n in sorted(set(ip.sma_periods)):
         raw.append(F.avg("Close").over(frame(n)).alias(f"_avg{n}"))
         tmp.append(f"_avg{n}")
@@ -127,10 +127,18 @@ def with_window_indicators(df: DataFrame, ip: IndicatorParams = DEFAULT_INDICATO
         raw.append(F.stddev_pop("Close").over(frame(n)).alias(f"_sd{n}"))
         tmp.append(f"_sd{n}")
     out = df.select("*", *raw)
+    # counts inside the last n rows = running count now - running count n rows back
+    full = []
+    for n in hl_periods:
+        full.append((F.col("_ph") - F.coalesce(F.lag("_ph", n).over(w), F.lit(0)) == n).alias(f"_hf{n}"))
+        tmp.append(f"_hf{n}")
+    for n in close_periods:
+        full.append((F.col("_pc") - F.coalesce(F.lag("_pc", n).over(w), F.lit(0)) == n).alias(f"_cf{n}"))
+        tmp.append(f"_cf{n}")
+    out = out.select("*", *full)
 
     def hl(n):
-        full = F.col(f"_hlc{n}") == n
-        return F.when(full, F.col(f"_hh{n}")), F.when(full, F.col(f"_ll{n}"))
+        return F.when(F.col(f"_hf{n}"), F.col(f"_hh{n}")), F.when(F.col(f"_hf{n}"), F.col(f"_ll{n}"))
 
     hh_k, ll_k = hl(ip.stoch_fastk)
     hh_w, ll_w = hl(ip.willr_period)
@@ -140,9 +148,9 @@ def with_window_indicators(df: DataFrame, ip: IndicatorParams = DEFAULT_INDICATO
         .when(hh_k.isNotNull(), F.lit(0.0)).alias("_fastk"),
         F.when((hh_w - ll_w) != 0, (hh_w - F.col("Close")) / ((hh_w - ll_w) / -100.0))
         .when(hh_w.isNotNull(), F.lit(0.0)).alias("WILLR"),
-        *[F.when(F.col(f"_cc{n}") == n, F.col(f"_avg{n}")).alias(f"SMA{n}") for n in ip.sma_periods],
-        F.when(F.col(f"_cc{ip.bb_period}") == ip.bb_period, F.col(f"_sd{ip.bb_period}")).alias("_std_bb"),
-        F.when(F.col(f"_cc{ip.sd17_period}") == ip.sd17_period, F.col(f"_sd{ip.sd17_period}")).alias("_std_17"),
+        *[F.when(F.col(f"_cf{n}"), F.col(f"_avg{n}")).alias(f"SMA{n}") for n in ip.sma_periods],
+        F.when(F.col(f"_cf{ip.bb_period}"), F.col(f"_sd{ip.bb_period}")).alias("_std_bb"),
+        F.when(F.col(f"_cf{ip.sd17_period}"), F.col(f"_sd{ip.sd17_period}")).alias("_std_17"),
     ).drop(*tmp)
     out = out.withColumn("_slowk", sma("_fastk", ip.stoch_slowk))
     out = out.withColumn("STOCH_slowd", sma("_slowk", ip.stoch_slowd))
