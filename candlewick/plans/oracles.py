@@ -251,12 +251,28 @@ def patterns_sql(series: str = DAILY_WIDE) -> str:
           FROM g JOIN ranked r ON r.ticker = g.ticker AND r.sig = g.sig AND r.k = g.k + 1),
     kept AS (SELECT ticker, sig, unnest(kept) AS pos FROM g
              QUALIFY k = max(k) OVER (PARTITION BY ticker, sig)),
-    prom AS (SELECT f.ticker, f.sig, f.pos, s.v AS h,
-                    (SELECT max(s2.rn) FROM sigs s2 WHERE s2.ticker = f.ticker AND s2.sig = f.sig
-                       AND s2.rn < f.pos AND s2.v > s.v) AS lj,
-                    (SELECT min(s2.rn) FROM sigs s2 WHERE s2.ticker = f.ticker AND s2.sig = f.sig
-                       AND s2.rn > f.pos AND s2.v > s.v) AS rj
-             FROM kept f JOIN sigs s ON s.ticker = f.ticker AND s.sig = f.sig AND s.rn = f.pos),
+    -- previous / next strictly higher sample of every sample (monotonic stack,
+    -- one recursion step per row; a missing value acts as a barrier)
+    sb AS (SELECT ticker, sig, rn, coalesce(v, 'inf'::DOUBLE) AS vb,
+                  max(rn) OVER (PARTITION BY ticker, sig) AS last_rn FROM sigs),
+    lst AS (SELECT ticker, sig, rn, CAST(NULL AS INTEGER) AS g, [struct_pack(r := rn, v := vb)] AS st
+            FROM sb WHERE rn = 0
+            UNION ALL
+            SELECT b.ticker, b.sig, b.rn,
+                   list_filter(l.st, lambda e: e.v > b.vb)[-1].r,
+                   list_append(list_filter(l.st, lambda e: e.v > b.vb), struct_pack(r := b.rn, v := b.vb))
+            FROM lst l JOIN sb b ON b.ticker = l.ticker AND b.sig = l.sig AND b.rn = l.rn + 1),
+    rst AS (SELECT ticker, sig, rn, CAST(NULL AS INTEGER) AS g, [struct_pack(r := rn, v := vb)] AS st
+            FROM sb WHERE rn = last_rn
+            UNION ALL
+            SELECT b.ticker, b.sig, b.rn,
+                   list_filter(l.st, lambda e: e.v > b.vb)[-1].r,
+                   list_append(list_filter(l.st, lambda e: e.v > b.vb), struct_pack(r := b.rn, v := b.vb))
+            FROM rst l JOIN sb b ON b.ticker = l.ticker AND b.sig = l.sig AND b.rn = l.rn - 1),
+    prom AS (SELECT f.ticker, f.sig, f.pos, s.v AS h, l.g AS lj, r.g AS rj
+             FROM kept f JOIN sigs s ON s.ticker = f.ticker AND s.sig = f.sig AND s.rn = f.pos
+             JOIN lst l ON l.ticker = f.ticker AND l.sig = f.sig AND l.rn = f.pos
+             JOIN rst r ON r.ticker = f.ticker AND r.sig = f.sig AND r.rn = f.pos),
     pm AS (SELECT p.*,
                   (SELECT min(s3.v) FROM sigs s3 WHERE s3.ticker = p.ticker AND s3.sig = p.sig
                      AND s3.rn > coalesce(p.lj, -1) AND s3.rn <= p.pos) AS lmin,
