@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from candlewick.schemas import HOLIDAYS, THRESHOLDS
+from candlewick.schemas import HOLIDAYS
 
 # --- fixed values: market rules of the live-trade pipeline --------------------
 EXCLUDED_CODES = ("24", "25")          # outside-market trade condition codes
@@ -207,5 +207,3 @@ def tick_thresholds(ticks: DataFrame, lines: dict[str, float]) -> DataFrame:
     return (ticks.select(F.col("s").alias("ticker")).distinct()
             .select("ticker", rows.alias("_r")).select("ticker", "_r.label", "_r.threshold", "_r.cooldown", "_r.level"))
 
-
-__all__ = ["THRESHOLDS"]

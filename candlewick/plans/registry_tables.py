@@ -1,11 +1,10 @@
 """Registered queries for table maintenance, windows, joins, screens,
-fundamentals, company lists and trade ticks (with their DuckDB oracles), and
-the rows-only queries of the kernel-based patterns and composite jobs."""
+fundamentals, company lists, trade ticks, the kernel-based patterns and the
+composite jobs, each with its DuckDB oracle."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from candlewick.functions.scalars import safe_ratio
 from candlewick.operators import ticks as tk
@@ -406,7 +405,7 @@ JOIN (VALUES ('upperband', 60, 'critical'), ('lowerband', 60, 'critical'), ('upp
 
 
 # ----------------------------------------------------------------------------
-# Kernel-based patterns and composite jobs (rows-only: see tests/)
+# Kernel-based patterns and composite jobs
 # ----------------------------------------------------------------------------
 
 def _pat(cols):
@@ -455,8 +454,6 @@ def q_report(spark, sf):
     return report_frame(job_conclusion(gold_wide(spark, sf)))
 
 
-__all__ = ["Window"]
-
 
 # ----------------------------------------------------------------------------
 # Scalars, summaries and the screen job
