@@ -115,3 +115,20 @@ HOLIDAYS = T.StructType([
     T.StructField("atDate", T.StringType(), False),
     T.StructField("tradingHour", T.StringType(), True),
 ])
+
+
+def fundamentals_to_ascii(df):
+    """Rename reference-named fundamentals columns to their ASCII aliases."""
+    mapping = dict(FUNDAMENTAL_COLUMNS)
+    for ref, alias in mapping.items():
+        if ref in df.columns:
+            df = df.withColumnRenamed(ref, alias)
+    return df
+
+
+def fundamentals_to_reference(df):
+    """Rename ASCII aliases back to the reference column names (for export)."""
+    for ref, alias in FUNDAMENTAL_COLUMNS:
+        if alias in df.columns:
+            df = df.withColumnRenamed(alias, ref)
+    return df

@@ -72,3 +72,14 @@ def test_window_helpers(spark):
     assert {(r.ticker, r.Date) for r in latest_row(df).collect()} == {("A", 3), ("B", 1)}
     assert {(r.ticker, r.Date) for r in drop_latest_n(df, 2).collect()} == {("A", 1)}
     assert dedupe_priority(df.unionByName(df), ["ticker", "Date"], "_p").count() == 4
+
+
+def test_fundamentals_names_round_trip(spark, tmp_path):
+    from candlewick.schemas import fundamentals_to_ascii, fundamentals_to_reference
+    f = fx.fundamentals(spark, SF_SMALL)
+    ref = fundamentals_to_reference(f)
+    assert "市值" in ref.columns and "ROE" in ref.columns
+    ref.write.parquet(str(tmp_path / "fund"))            # names with CJK, '/', '(' round-trip
+    back = fundamentals_to_ascii(spark.read.parquet(str(tmp_path / "fund")))
+    assert sorted(back.columns) == sorted(f.columns)
+    assert screen(back).count() == screen(f).count()
