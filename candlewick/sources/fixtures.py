@@ -16,15 +16,37 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _daily_bars(li: DataFrame, ticker: Column) -> DataFrame:
+def _packed_key(px: Column) -> Column:
+    """(l_orderkey, l_linenumber, l_partkey, px) as one DECIMAL(38,0) with the
+    same order: 16 + 2 + 12 + 8 digits.  A component outside its width makes
+    the ANSI decimal arithmetic fail instead of silently misordering."""
+    def d(c: Column) -> Column:
+        return c.cast("decimal(38,0)")
+
+    def scale(e: int) -> Column:
+        return F.lit("1" + "0" * e).cast("decimal(38,0)")
+
+    return (d(F.col("l_orderkey")) * scale(22) + d(F.col("l_linenumber")) * scale(20)
+            + d(F.col("l_partkey")) * scale(8) + d(px))
+
+
+def _daily_bars(li: DataFrame, ticker: Column, per_supplier: bool = False) -> DataFrame:
     """Daily OHLCV bars from line items: one bar per (ticker, ship date).
 
     Prices are integer cents so that first/last/max/min/sum are exact.  The
     aggregation is partial per input partition before the shuffle, so a
     ticker holding a large share of the line items does not overload a task.
+    Open/Close are the prices at the smallest/largest key (l_orderkey,
+    l_linenumber, l_partkey, l_suppkey, price).  When the ticker is the
+    supplier, l_suppkey is constant within a bar and the key packs into one
+    fixed-width decimal, which keeps the aggregation hash-based; otherwise a
+    struct key is used (sort-based aggregation).
     """
     px = F.round(F.col("l_extendedprice") * 100).cast("bigint")
-    order_key = F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", px.alias("px"))
+    if per_supplier:
+        order_key = _packed_key(px)
+    else:
+        order_key = F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", px.alias("px"))
     agg = (
         li.select(ticker.alias("ticker"), F.to_date("l_shipdate").alias("Date"),
                   px.alias("px"), order_key.alias("k"), "l_quantity")
@@ -49,7 +71,7 @@ def bars_long(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bars_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """fx_bars_wide: one daily series per supplier, ticker = 'S' || suppkey."""
     li = table(spark, sf_dir, "lineitem")
-    return _daily_bars(li, F.concat(F.lit("S"), F.col("l_suppkey").cast("string")))
+    return _daily_bars(li, F.concat(F.lit("S"), F.col("l_suppkey").cast("string")), per_supplier=True)
 
 
 FIXED_CREATED_AT = "2024-01-31 00:00:00"
