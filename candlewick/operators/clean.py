@@ -34,13 +34,16 @@ def clean_ohlcv(bronze: DataFrame) -> DataFrame:
 
 
 def clean_audit(bronze: DataFrame) -> DataFrame:
-    """ag_clean_audit: per input ticker raw / kept / dropped row counts and status."""
+    """ag_clean_audit: per input ticker raw / kept / dropped row counts and
+    status.  A ticker whose rows were read is 'success' even when every row
+    was dropped (as in the reference); a read failure fails the Spark job
+    itself instead of producing a 'failed' row."""
     return (
         bronze.groupBy("ticker")
         .agg(F.count(F.lit(1)).alias("raw_rows"), F.count_if(valid_row()).alias("kept_rows"))
         .select("ticker", "raw_rows", "kept_rows",
                 (F.col("raw_rows") - F.col("kept_rows")).alias("dropped_rows"),
-                F.when(F.col("kept_rows") > 0, "success").otherwise("failed").alias("status"))
+                F.lit("success").alias("status"))
     )
 
 
