@@ -190,10 +190,17 @@ def alerts(ticks: DataFrame, thresholds: DataFrame) -> DataFrame:
     return ordered.mapInPandas(_cooldown_scan, ALERT_SCHEMA)
 
 
+# --- fixed values: alert message parts ----------------------------------------
+ALERT_EMOJI = {"critical": "🚨", "warning": "⚠️"}
+ALERT_DIRECTION = {"upper": "▲ 升破", "lower": "▼ 跌破"}
+# -----------------------------------------------------------------------------
+
+
 def alert_text(a: DataFrame) -> DataFrame:
-    """st_alert_text: level / symbol / direction / label / threshold / prices."""
-    direction = F.when(F.col("label").contains("upper"), "UP").otherwise("DOWN")
-    text = F.format_string("[ %-8s] %-6s %s %-12s(%8.3f): %8.3f -> %8.3f", F.upper("level"), F.col("s"),
+    """st_alert_text: '<emoji> [ LEVEL   ] SYMBOL <direction> label(threshold)：prev → price'."""
+    emoji = F.when(F.col("level") == "critical", ALERT_EMOJI["critical"]).otherwise(ALERT_EMOJI["warning"])
+    direction = F.when(F.col("label").contains("upper"), ALERT_DIRECTION["upper"]).otherwise(ALERT_DIRECTION["lower"])
+    text = F.format_string("%s [ %-8s] %-6s %s %-12s(%8.3f)：%8.3f → %8.3f", emoji, F.upper("level"), F.col("s"),
                            direction, F.col("label"), F.col("threshold"), F.col("prev_p"), F.col("p"))
     return a.withColumn("text", text)
 

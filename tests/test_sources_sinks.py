@@ -51,4 +51,4 @@ def test_alert_text(spark):
     t = fx.ticks(spark, SF_SMALL)
     a = tk.alert_text(tk.alerts(t, tk.tick_thresholds(t, fx.TICK_LINES)))
     r = a.filter(F.col("label") == "upperband").first()
-    assert r.text.startswith("[ CRITICAL]") and "UP" in r.text
+    assert r.text.startswith("🚨 [ CRITICAL]") and "▲" in r.text and "→" in r.text
