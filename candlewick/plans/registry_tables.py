@@ -521,3 +521,19 @@ LEFT JOIN (SELECT ticker, count(*) AS n FROM ({DAILY}) d GROUP BY ticker) c USIN
 def q_fetch_status(spark, sf):
     from candlewick.sources.records import fetch_status
     return fetch_status(_supp(spark, sf), _daily(spark, sf))
+
+
+@register("st_alert_text", f"""
+SELECT s, label, t, event_id,
+       printf('%s [ %-8s] %-6s %s %-12s(%8.3f)：%8.3f → %8.3f',
+              CASE WHEN level = 'critical' THEN '{tk.ALERT_EMOJI["critical"]}' ELSE '{tk.ALERT_EMOJI["warning"]}' END,
+              upper(level), s,
+              CASE WHEN contains(label, 'upper') THEN '{tk.ALERT_DIRECTION["upper"]}' ELSE '{tk.ALERT_DIRECTION["lower"]}' END,
+              label, threshold, prev_p, p) AS text
+FROM ({_alerts_sql(fx.TICK_LINES).replace(
+    "SELECT o.s, o.label, o.t, o.event_id, o.prev_p, o.p FROM o JOIN r USING (s, label, k) WHERE r.fired",
+    "SELECT o.s, o.label, o.t, o.event_id, o.prev_p, o.p, o.threshold, th2.level FROM o JOIN r USING (s, label, k) "
+    "JOIN th th2 ON th2.s = o.s AND th2.label = o.label WHERE r.fired")}) a""")
+def q_alert_text(spark, sf):
+    t = fx.ticks(spark, sf)
+    return tk.alert_text(tk.alerts(t, tk.tick_thresholds(t, fx.TICK_LINES))).select("s", "label", "t", "event_id", "text")
