@@ -88,3 +88,21 @@ def test_gold_with_empty_bins_poisons_recursions(spark):
         if len(gaps):
             after = s.loc[gaps[0]:]
             assert after["EMA13"].isna().all()
+
+
+def test_conclusion_lookback_and_drop_latest(spark):
+    from conftest import SF_SMALL
+    from candlewick.operators.asof import conclusion
+    from candlewick.plans.flagship import gold_long
+
+    g = gold_long(spark, SF_SMALL)
+    full = conclusion(g)
+    recent = conclusion(g, as_of="1998-12-31")
+    assert recent.count() < full.count()
+    assert recent.filter(F.col("Date_D") < F.lit("1996-12-31").cast("date")).count() == 0
+    # each ticker's latest daily row is dropped
+    latest = g.filter("period = 'D'").groupBy("ticker").agg(F.max("Date").alias("m"))
+    assert full.join(latest, (full.ticker == latest.ticker) & (full.Date_D == latest.m)).count() == 0
+    # the as-of never looks further ahead than the tolerance
+    assert full.filter(F.datediff("Date_W", "Date_D") > 8).count() == 0
+    assert full.filter(F.datediff("Date_3M", "Date_D") > 93).count() == 0
