@@ -109,7 +109,19 @@ def _true_range(h: float, l: float, prev_c: float) -> float:
     return g
 
 
-def atr(high, low, close, n: int) -> list[float]:
+def ranges(high, low, close):
+    """True range and directional movements of every row (row 0: NaN / 0)."""
+    size = len(close)
+    tr = [NAN] * size
+    pdm = [0.0] * size
+    mdm = [0.0] * size
+    for i in range(1, size):
+        tr[i] = _true_range(high[i], low[i], close[i - 1])
+        pdm[i], mdm[i] = _dm(high[i], low[i], high[i - 1], low[i - 1])
+    return tr, pdm, mdm
+
+
+def atr(high, low, close, n: int, pre=None) -> list[float]:
     """Average true range: the first value (row n) is the mean of the true
     ranges of rows 1..n, then ``a = (a * (n - 1) + tr) / n``."""
     size = len(close)
@@ -117,14 +129,15 @@ def atr(high, low, close, n: int) -> list[float]:
     b = _first_valid(high, low, close)
     if size - b <= n:
         return out
+    tr = (pre or ranges(high, low, close))[0]
     total = 0.0
     for i in range(b + 1, b + n + 1):
-        total += _true_range(high[i], low[i], close[i - 1])
+        total += tr[i]
     a = total / n
     out[b + n] = a
     for i in range(b + n + 1, size):
         a = a * (n - 1)
-        a = a + _true_range(high[i], low[i], close[i - 1])
+        a = a + tr[i]
         a = a / n
         out[i] = a
     return out
@@ -138,7 +151,7 @@ def _dm(h, l, ph, pl):
     return plus, minus
 
 
-def directional(high, low, close, n: int):
+def directional(high, low, close, n: int, pre=None):
     """PLUS_DI and MINUS_DI: Wilder sums seeded by plain sums of rows
     1..n-1, first value on row n; 0 when the true-range sum is 0."""
     size = len(close)
@@ -147,17 +160,16 @@ def directional(high, low, close, n: int):
     b = _first_valid(high, low, close)
     if size - b <= n:
         return plus_out, minus_out
+    tr, pdm, mdm = pre or ranges(high, low, close)
     sp = sm = st = 0.0
     for i in range(b + 1, b + n):
-        p, m = _dm(high[i], low[i], high[i - 1], low[i - 1])
-        sp += p
-        sm += m
-        st += _true_range(high[i], low[i], close[i - 1])
+        sp += pdm[i]
+        sm += mdm[i]
+        st += tr[i]
     for i in range(b + n, size):
-        p, m = _dm(high[i], low[i], high[i - 1], low[i - 1])
-        sp = sp - sp / n + p
-        sm = sm - sm / n + m
-        st = st - st / n + _true_range(high[i], low[i], close[i - 1])
+        sp = sp - sp / n + pdm[i]
+        sm = sm - sm / n + mdm[i]
+        st = st - st / n + tr[i]
         if _is_zero(st):
             plus_out[i] = 0.0
             minus_out[i] = 0.0
@@ -167,26 +179,25 @@ def directional(high, low, close, n: int):
     return plus_out, minus_out
 
 
-def adx(high, low, close, n: int) -> list[float]:
+def adx(high, low, close, n: int, pre=None) -> list[float]:
     """Average directional index; first value on row 2n-1 = mean of n DX."""
     size = len(close)
     out = [NAN] * size
     b = _first_valid(high, low, close)
     if size - b <= 2 * n - 1:
         return out
+    tr, pdm, mdm = pre or ranges(high, low, close)
     sp = sm = st = 0.0
     for i in range(b + 1, b + n):
-        p, m = _dm(high[i], low[i], high[i - 1], low[i - 1])
-        sp += p
-        sm += m
-        st += _true_range(high[i], low[i], close[i - 1])
+        sp += pdm[i]
+        sm += mdm[i]
+        st += tr[i]
 
     def step(i):
         nonlocal sp, sm, st
-        p, m = _dm(high[i], low[i], high[i - 1], low[i - 1])
-        sm = sm - sm / n + m
-        sp = sp - sp / n + p
-        st = st - st / n + _true_range(high[i], low[i], close[i - 1])
+        sm = sm - sm / n + mdm[i]
+        sp = sp - sp / n + pdm[i]
+        st = st - st / n + tr[i]
         if _is_zero(st):
             return None
         mdi = 100.0 * (sm / st)
@@ -449,9 +460,10 @@ def series_columns(pdf: pd.DataFrame, ip: IndicatorParams, pp: PatternParams) ->
     for p in ip.ema_periods:
         res[f"EMA{p}"] = emas[p]
     res["MACD"], res["MACD_signal"], res["MACD_hist"] = macd(close, ip.macd_fast, ip.macd_slow, ip.macd_signal)
-    res["ADX"] = adx(high, low, close, ip.adx_period)
-    res["PLUS_DI"], res["MINUS_DI"] = directional(high, low, close, ip.di_period)
-    res["ATR"] = atr(high, low, close, ip.atr_period)
+    pre = ranges(high, low, close)
+    res["ADX"] = adx(high, low, close, ip.adx_period, pre)
+    res["PLUS_DI"], res["MINUS_DI"] = directional(high, low, close, ip.di_period, pre)
+    res["ATR"] = atr(high, low, close, ip.atr_period, pre)
     fi = [0.0] * n
     for i in range(1, n):
         fi[i] = (close[i] - close[i - 1]) * volume[i]
