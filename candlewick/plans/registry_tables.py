@@ -65,10 +65,11 @@ QUALIFY row_number() OVER (PARTITION BY ticker, period ORDER BY "Date" DESC) > 2
 
 register("wn_dedupe_priority", f"""
 SELECT {KEYC} FROM (SELECT {KEYC}, 1 AS _p FROM ({GOLD_OLD}) o UNION ALL SELECT {KEYC}, 2 AS _p FROM ({GOLD_NEW}) n) u
-QUALIFY row_number() OVER (PARTITION BY "Date", ticker, period ORDER BY _p) = 1""")(
-    lambda spark, sf: (lambda o, n: dedupe_priority(
-        o.withColumn("_p", F.lit(1)).unionByName(n.withColumn("_p", F.lit(2))), ["Date", "ticker", "period"], "_p")
-        .select("Date", "ticker", "period", "Close"))(*_gold_pair(spark, sf)))
+QUALIFY row_number() OVER (PARTITION BY "Date", ticker, period ORDER BY _p) = 1""")
+def q_dedupe(spark, sf):
+    old, new = _gold_pair(spark, sf)
+    both = old.withColumn("_p", F.lit(1)).unionByName(new.withColumn("_p", F.lit(2)))
+    return dedupe_priority(both, ["Date", "ticker", "period"], "_p").select("Date", "ticker", "period", "Close")
 
 register("flt_period", f"SELECT ticker, \"Date\", \"Close\" FROM ({ALLP}) a WHERE period = 'W'")(
     lambda spark, sf: _all_bars(spark, sf).filter(F.col("period") == "W").select("ticker", "Date", "Close"))
@@ -117,9 +118,11 @@ doomed AS (SELECT "Date", ticker, period FROM scoped WHERE "Date" IN (SELECT "Da
 remaining AS (SELECT * FROM t WHERE NOT EXISTS (SELECT 1 FROM doomed d WHERE d."Date" = t."Date" AND d.ticker = t.ticker AND d.period = t.period))
 SELECT {KEYC} FROM remaining r
 WHERE NOT EXISTS (SELECT 1 FROM s WHERE s."Date" = r."Date" AND s.ticker = r.ticker AND s.period = r.period)
-UNION ALL SELECT {KEYC} FROM s""")(
-    lambda spark, sf: (lambda o, n: warehouse_merge(o, n.filter(F.col("period") == "W"), "W")
-                       .select("Date", "ticker", "period", "Close"))(*_gold_pair(spark, sf)))
+UNION ALL SELECT {KEYC} FROM s""")
+def q_warehouse_merge(spark, sf):
+    target, new = _gold_pair(spark, sf)
+    staged = new.filter(F.col("period") == "W")
+    return warehouse_merge(target, staged, "W").select("Date", "ticker", "period", "Close")
 
 
 # ----------------------------------------------------------------------------
