@@ -63,7 +63,7 @@ QUALIFY row_number() OVER (PARTITION BY ticker, period ORDER BY "Date" DESC) > 2
     lambda spark, sf: drop_latest_n(_all_bars(spark, sf), 2, ("ticker", "period"))
     .select("Date", "ticker", "period", "Close"))
 
-register("wn_dedupe_priority", f"""
+@register("wn_dedupe_priority", f"""
 SELECT {KEYC} FROM (SELECT {KEYC}, 1 AS _p FROM ({GOLD_OLD}) o UNION ALL SELECT {KEYC}, 2 AS _p FROM ({GOLD_NEW}) n) u
 QUALIFY row_number() OVER (PARTITION BY "Date", ticker, period ORDER BY _p) = 1""")
 def q_dedupe(spark, sf):
@@ -109,7 +109,7 @@ def _gold_history_query(scope):
 register("up_gold_history", _gold_history_sql("ticker, period"))(_gold_history_query("ticker_period"))
 register("up_gold_history_ticker", _gold_history_sql("ticker"))(_gold_history_query("ticker"))
 
-register("up_warehouse_merge", f"""
+@register("up_warehouse_merge", f"""
 WITH t AS ({GOLD_OLD}), s AS (SELECT * FROM ({GOLD_NEW}) n WHERE period = 'W'),
 scoped AS (SELECT * FROM t WHERE period = 'W' AND ticker IN (SELECT ticker FROM s)),
 hot AS (SELECT DISTINCT "Date" FROM (SELECT "Date", row_number() OVER (PARTITION BY ticker, period ORDER BY "Date" DESC) AS rn
