@@ -38,3 +38,24 @@ def job_gold(silver: DataFrame, periods=PERIODS, gap_policy: str = "emit",
 def job_conclusion(gold: DataFrame, as_of: str | None = None, allow_future: bool = True) -> DataFrame:
     """job_conclusion: gold -> multi-period entry-conclusion mart."""
     return conclusion(gold, as_of=as_of, allow_future=allow_future)
+
+
+def job_gold_per_period(silver: DataFrame, params: dict, gap_policy: str = "emit",
+                        truncate: bool = True) -> DataFrame:
+    """job_gold with indicator / pattern parameters per period.
+
+    ``params`` maps a period to ``(IndicatorParams, PatternParams)``; periods
+    sharing the same parameters are computed together, groups are unioned.
+    Periods are independent series, so the result equals one job_gold run
+    per period.  The gold schema names EMA13/EMA26/SMA50/SMA200 columns, so
+    overrides are for the other settings (windows, deviations, thresholds,
+    extrema distance and prominence, ...)."""
+    groups: dict = {}
+    for period in PERIODS:
+        if period in params:
+            groups.setdefault(params[period], []).append(period)
+    parts = [job_gold(silver, tuple(ps), gap_policy, ip, pp, truncate) for (ip, pp), ps in groups.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

@@ -106,3 +106,20 @@ def test_conclusion_lookback_and_drop_latest(spark):
     # the as-of never looks further ahead than the tolerance
     assert full.filter(F.datediff("Date_W", "Date_D") > 8).count() == 0
     assert full.filter(F.datediff("Date_3M", "Date_D") > 93).count() == 0
+
+
+def test_per_period_parameters(spark):
+    from conftest import SF_SMALL
+    from candlewick.params import IndicatorParams, PatternParams
+    from candlewick.plans.jobs import job_gold, job_gold_per_period
+    from candlewick.sources import fixtures as fx
+
+    silver = fx.with_silver_columns(fx.bars_long(spark, SF_SMALL))
+    base = (IndicatorParams(), PatternParams())
+    fast = (IndicatorParams(stoch_fastk=9, bb_dev=2.0), PatternParams(price_distance=3, price_prominence=5.0))
+    out = job_gold_per_period(silver, {"D": base, "W": fast}, gap_policy="drop")
+    assert {r.period for r in out.select("period").distinct().collect()} == {"D", "W"}
+    d_ref = job_gold(silver, ("D",), "drop").filter("period = 'D'")
+    assert out.filter("period = 'D'").exceptAll(d_ref).count() == 0
+    w_default = job_gold(silver, ("W",), "drop")
+    assert out.filter("period = 'W'").exceptAll(w_default).count() > 0     # the override took effect
