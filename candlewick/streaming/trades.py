@@ -38,7 +38,12 @@ def kafka_stream(spark: SparkSession, servers: str, topic: str = "trades",
     if max_offsets_per_trigger:
         r = r.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
     raw = r.load()
-    return raw.select(F.from_json(F.col("value").cast("string"), TRADE).alias("d")).select("d.*")
+    # messages are keyed by symbol, so a symbol's trades share one topic
+    # partition and the offset is their arrival order: the tie-break for
+    # equal event times, as in the reference's arrival-order processing
+    return (raw.select(F.from_json(F.col("value").cast("string"), TRADE).alias("d"),
+                       F.col("offset").alias("event_id"))
+            .select("d.*", "event_id"))
 
 
 def trades_to_kafka(trades: DataFrame) -> DataFrame:
