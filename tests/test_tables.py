@@ -83,3 +83,13 @@ def test_fundamentals_names_round_trip(spark, tmp_path):
     back = fundamentals_to_ascii(spark.read.parquet(str(tmp_path / "fund")))
     assert sorted(back.columns) == sorted(f.columns)
     assert screen(back).count() == screen(f).count()
+
+
+def test_join_checked_both_paths(spark):
+    from candlewick.functions.joins import join_checked
+    left = fx.bars_wide(spark, SF_SMALL).select("ticker", "Date")
+    right = left.select("ticker").distinct().withColumn("flag", F.lit(1))
+    small = join_checked(left, right, "ticker", "left", max_rows=10_000)
+    big = join_checked(left, right, "ticker", "left", max_rows=1)
+    assert "Broadcast" in small._jdf.queryExecution().executedPlan().toString()
+    assert sorted(small.collect()) == sorted(big.collect())
