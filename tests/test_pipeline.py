@@ -64,3 +64,13 @@ def test_staged_merge_and_layer_path(spark):
     assert v1 != v2
     got = {str(r.Date): r.Close for r in spark.read.parquet(v2).collect()}
     assert got == {"2024-01-01": 1.0, "2024-01-02": 20.0}
+
+
+def test_read_table_with_fixed_schema(spark):
+    from candlewick.schemas import SILVER_PRICES
+    root = tempfile.mkdtemp(prefix="cw-schema-")
+    fx.with_silver_columns(fx.bars_wide(spark, SF_SMALL)).write.parquet(f"{root}/silver")
+    df = read_table(spark, f"{root}/silver", SILVER_PRICES)
+    assert [f.name for f in df.schema.fields] == [f.name for f in SILVER_PRICES.fields]
+    assert df.count() > 0
+    assert read_table(spark, f"{root}/nothing", SILVER_PRICES) is None
