@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from candlewick.session import ensure_checkpoint_dir, ship_package
 
 _BLANK = re.compile(rb"[\x20\x09-\x0D]")
+_SPACE = re.compile(r"\s")
 
 
 def prepared(spark: SparkSession) -> SparkSession:
@@ -43,3 +44,15 @@ def word_blocks(data: bytes, size: int = 1 << 20) -> Iterator[list[bytes]]:
         if words:
             yield words
         start = end
+
+
+def text_blocks(text: str, size: int = 1 << 20) -> Iterator[str]:
+    """A text in parts of about ``size`` characters, cut at white space."""
+    start = 0
+    while start < len(text):
+        end = min(start + size, len(text))
+        if end < len(text):
+            blank = _SPACE.search(text, end)
+            end = blank.start() if blank else len(text)
+        yield text[start:end]
+        start = end

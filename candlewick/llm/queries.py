@@ -7,8 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from candlewick.llm.chat_format import conversations_in_order, format_chat, read_loss, read_turns
+from candlewick.llm.kmeans_tree import nearest
+from candlewick.llm.license_scan import LICENCE_TEMPLATES, scan_licences
+from candlewick.llm.line_dedup import dedup_lines
+from candlewick.llm.mixing import mix_sources
 from candlewick.llm.packing import pack
+from candlewick.llm.rp_forest import embedding_groups
 from candlewick.llm.simhash import simhash_groups
+from candlewick.llm.toxicity import score_toxicity
+from candlewick.llm.url_reputation import judge_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -27,6 +35,182 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_TEMPLATE_ROWS = ", ".join(f"({i}, '{name}', '{text.replace(chr(39), chr(39) * 2)}')"
+                           for i, (name, text) in enumerate(LICENCE_TEMPLATES))
+OP1_SQL = f"""
+WITH tw AS (SELECT template, licence, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+') AS w
+            FROM (VALUES {_TEMPLATE_ROWS}) t(template, licence, text)),
+tb AS (SELECT template, licence, len(w) - 1 AS m, b, count(*) AS c
+       FROM (SELECT template, licence, w, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS b FROM tw)
+       GROUP BY ALL),
+ts AS (SELECT DISTINCT template, licence, m FROM tb),
+d AS (SELECT doc_id, coalesce(text, '') AS text, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+u AS (SELECT doc_id, -1 AS line, text FROM d
+      UNION ALL SELECT doc_id, unnest(range(len(lines))), unnest(lines) FROM d WHERE len(lines) > 1),
+uw AS (SELECT doc_id, line, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+') AS w FROM u),
+uc AS (SELECT doc_id, line, w, len(w) - 1 AS n FROM uw
+       WHERE len(w) > 1 AND (len(w) - 1) * 1.5 + 1e-9 >= (SELECT min(m) FROM ts)
+         AND (len(w) - 1) * 0.8 / 1.2 - 1e-9 <= (SELECT max(m) FROM ts)),
+ub AS (SELECT doc_id, line, n, b, count(*) AS c
+       FROM (SELECT doc_id, line, n, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS b FROM uc)
+       GROUP BY ALL),
+s AS (SELECT doc_id, line, template, licence, 2.0::DOUBLE * sum(least(ub.c, tb.c)) / (m + n) AS dice
+      FROM ub JOIN tb USING (b) GROUP BY doc_id, line, template, licence, m, n),
+r AS (SELECT *, row_number() OVER (PARTITION BY doc_id, line, licence ORDER BY dice DESC, template) AS k FROM s WHERE dice >= 0.8)
+SELECT doc_id, licence, line::INTEGER AS line, dice, template::INTEGER AS template FROM r WHERE k = 1
+"""
+
+
+@register("op1_license_scan", OP1_SQL)
+def op1(spark, sf_dir):
+    return scan_licences(table(spark, sf_dir, "documents"), threshold=0.8)
+
+
+OP2_SQL = """
+WITH d AS (SELECT doc_id, coalesce('=' || source, '') AS site, string_split(text, chr(10)) AS raw FROM documents),
+l AS (SELECT doc_id, site, unnest(raw) AS raw, unnest(range(len(raw))) AS pos FROM d),
+n AS (SELECT doc_id, site, pos, raw, trim(regexp_replace(lower(raw), '[ \\t\\x0B\\f\\r]+', ' ', 'g'), ' ') AS line FROM l),
+g AS (SELECT line, min((doc_id, pos)) AS first, count(DISTINCT site) AS sites, len(string_split(line, ' ')) AS words
+      FROM n WHERE line <> '' GROUP BY line),
+b AS (SELECT line, first FROM g
+      WHERE sites >= CASE WHEN words >= 30 THEN 2 WHEN words >= 8 THEN 3 ELSE 10 END),
+k AS (SELECT n.*, b.line IS NOT NULL AND (doc_id, pos) <> b.first AS gone FROM n LEFT JOIN b USING (line))
+SELECT doc_id, coalesce(string_agg(raw, chr(10) ORDER BY pos) FILTER (NOT gone), '') AS text,
+       count(*) FILTER (gone)::INTEGER AS lines_removed
+FROM k GROUP BY doc_id
+"""
+
+
+@register("op2_line_dedup", OP2_SQL)
+def op2(spark, sf_dir):
+    return dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "text", "lines_removed")
+
+
+@register("op3_embedding_near_dedup")
+def op3(spark, sf_dir):
+    return embedding_groups(table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
+@register("op4_nearest_neighbours")
+def op4(spark, sf_dir):
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+@register("op5_toxicity")
+def op5(spark, sf_dir):
+    scored = score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted",
+                         F.transform("evidence", lambda e: e["doc_id"]).alias("nearest"))
+
+
+OP6_SQL = """
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^ \\t\\n\\x0B\\f\\r]+')) AS tokens FROM documents),
+s AS (SELECT source, sum(tokens)::BIGINT AS n FROM d GROUP BY source),
+e AS (SELECT source, n, greatest(0.0::DOUBLE, 1 - ln(2.0::DOUBLE) / nullif(ln(max(n) OVER () / (min(n) OVER ())::DOUBLE), 0)) AS a,
+             max(n) OVER () AS most FROM s WHERE n > 0),
+w AS (SELECT source, n, pow(most / n::DOUBLE, 1 - coalesce(a, 0)) AS epochs FROM e),
+p AS (SELECT s.source, coalesce(floor(epochs + 1e-9), 1)::BIGINT AS whole,
+             greatest(0, coalesce(floor((epochs - floor(epochs + 1e-9)) * w.n + 0.5), 0)) AS rest
+      FROM s LEFT JOIN w ON s.source IS NOT DISTINCT FROM w.source),
+x AS (SELECT d.*, whole, rest, coalesce(sum(tokens) OVER (
+        PARTITION BY d.source ORDER BY md5('1|' || whole || '|' || coalesce(doc_id::VARCHAR, ''))
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS upto
+      FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source),
+r AS (SELECT doc_id, source, tokens, unnest(range(whole + CASE WHEN upto < rest THEN 1 ELSE 0 END)) AS block FROM x)
+SELECT doc_id, source, tokens::BIGINT AS mix_tokens, block::BIGINT AS mix_block,
+       md5('1|' || block || '|' || coalesce(doc_id::VARCHAR, '')) AS mix_order
+FROM r
+"""
+
+
+@register("op6_source_mixing", OP6_SQL)
+def op6(spark, sf_dir):
+    mixed = mix_sources(table(spark, sf_dir, "documents"), max_epochs=2.0)
+    return mixed.select("doc_id", "source", "mix_tokens", "mix_block", "mix_order")
+
+
+#: the rules of the contract
+URL_RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
+
+OP7_SQL = """
+WITH p AS (
+  SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+u AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*', 0), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz') AS host,
+             regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM p),
+h AS (SELECT host, count(quality) AS n, coalesce(sum(quality), 0)::BIGINT AS k,
+             array_to_string(list_slice(string_split(host, '.'), -2, -1), '.') AS domain,
+             string_split(host, '.')[-1] AS suffix
+      FROM u LEFT JOIN labels ON page_id = doc_id GROUP BY host),
+d AS (SELECT suffix, domain, sum(n)::BIGINT AS n, sum(k)::BIGINT AS k FROM h GROUP BY ALL),
+t AS (SELECT suffix, sum(n)::BIGINT AS n, sum(k)::BIGINT AS k FROM d GROUP BY ALL),
+g AS (SELECT 'h' AS lev, n, k FROM h UNION ALL SELECT 'd', n, k FROM d UNION ALL SELECT 't', n, k FROM t),
+m AS (SELECT lev, sum(n)::DOUBLE AS s, sum(k)::DOUBLE / nullif(sum(n), 0) AS p, sum(n * n)::DOUBLE AS q,
+             sum(CASE WHEN n > 0 THEN (k * k)::DOUBLE / n END) AS r, count(*) FILTER (n > 0) - 1 AS f FROM g GROUP BY lev),
+e AS (SELECT lev, f, (r - s * p * p) / nullif(p * (1 - p), 0) AS spread, s - q / nullif(s, 0) - f AS extra FROM m),
+c AS (SELECT lev, 1 / least(0.5::DOUBLE, greatest(1.0::DOUBLE / 1001, coalesce(
+             CASE WHEN extra > 0 THEN (spread - f) / extra END, 0.5::DOUBLE))) - 1 AS st FROM e),
+tp AS (SELECT suffix, (st * prior + k) / (st + n) AS share
+       FROM t, (SELECT (sum(k) + 0.5::DOUBLE) / (sum(n) + 1) AS prior FROM t), (SELECT st FROM c WHERE lev = 't')),
+dp AS (SELECT d.suffix, d.domain, (st * tp.share + k) / (st + n) AS share
+       FROM d JOIN tp USING (suffix), (SELECT st FROM c WHERE lev = 'd')),
+hp AS (SELECT host, n, (st * dp.share + k) / (st + n) AS share, st + n AS whole
+       FROM h JOIN dp USING (suffix, domain), (SELECT st FROM c WHERE lev = 'h')),
+hb AS (SELECT host, n, share - 1.645::DOUBLE * sqrt(share * (1 - share) / (whole + 1)) AS bound FROM hp),
+rules(v, rule, own, start) AS (VALUES ('block', 'net/', 'net', '/'), ('allow', 'example.net/en/', 'example.net', '/en/'),
+   ('block', 'example.com/de/', 'example.com', '/de/'), ('allow', 'org/fr/', 'org', '/fr/')),
+x AS (SELECT host, path, arg_max(rule, len(rule)) AS rule, arg_max(v, len(rule)) AS v
+      FROM (SELECT DISTINCT host, path FROM u), rules
+      WHERE (host = own OR ends_with(host, '.' || own)) AND starts_with(path, start) GROUP BY ALL)
+SELECT page_id, u.host, u.path, x.rule, coalesce(x.v, CASE WHEN bound >= 0.6 THEN 'allow' ELSE 'block' END) AS verdict,
+       n AS labelled
+FROM u JOIN hb ON u.host = hb.host LEFT JOIN x ON u.host = x.host AND u.path = x.path
+"""
+
+
+@register("op7_url_filters", OP7_SQL)
+def op7(spark, sf_dir):
+    judged = judge_urls(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"), rules=URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict", "labelled")
+
+
+OP8_SQL = """
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
+m AS (
+  SELECT *, CASE role WHEN 'system' THEN 12 WHEN 'user' THEN 14 WHEN 'assistant' THEN 8
+            ELSE 18 + length(replace(replace(replace(role, '&', '&amp;'), '<', '&#60;'), '[', '&#91;')) END
+         + length(replace(replace(replace(text, '&', '&amp;'), '<', '&#60;'), '[', '&#91;')) AS chars,
+         coalesce(lag(role) OVER w, 'start') || '>' || role IN
+           ('start>system', 'start>user', 'system>user', 'user>assistant', 'assistant>user') AS fits,
+         lead(role) OVER w IS NULL AND role <> 'assistant' AS cut
+  FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text))
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(chars)::BIGINT AS formatted_chars, bool_and(fits) AND NOT bool_or(cut) AS valid
+FROM m GROUP BY conv_id
+"""
+
+
+@register("op8_chat_formatting", OP8_SQL)
+def op8(spark, sf_dir):
+    control = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-1, 0, "user", control), (-1, 1, "assistant", control)],
+                                  "conv_id long, turn long, role string, text string")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    chats = format_chat(rows)
+    back = chats.select("*", read_turns(F.col("formatted")).alias("turns"),
+                        read_loss(F.col("formatted"), F.col("loss_spans")).alias("loss"))
+    listed = F.concat_ws("", F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))))
+    return back.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(listed, 256).alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"), "valid")
+
+
 @register("op9_simhash_near_dedup")
 def op9(spark, sf_dir):
     return simhash_groups(table(spark, sf_dir, "documents"), shingle_words=4, radius=4)
