@@ -1,7 +1,8 @@
 """Toxicity: nearest labelled examples by exact TF-IDF cosine.
 
 1. Terms are words and word beginnings.  Those that mark the label are chosen
-   on a bounded sample of labelled rows; they span the vector space.
+   on a bounded sample of labelled rows; they and one term for all other words
+   (so that density counts, not presence alone) span the vector space.
 2. One pass over all texts writes each text's term counts; document
    frequencies are counted over all documents.
 3. The labelled examples' unit vectors form an inverted index whose postings
@@ -53,9 +54,10 @@ class Vocabulary:
     def __init__(self, terms: list[str], keep: int = 300_000):
         self.numbers, self.keep, self.known = {t: i for i, t in enumerate(terms)}, keep, {}
 
-    def vector(self, text: str | None) -> dict[int, int]:
-        """Count per known term of a text."""
+    def vector(self, text: str | None) -> tuple[dict[int, int], int]:
+        """Count per known term of a text, and its words without any."""
         out: dict[int, int] = {}
+        others = 0
         for word, n in word_counts(text).items():
             hits = self.known.get(word)
             if hits is None:
@@ -64,7 +66,9 @@ class Vocabulary:
                 hits = self.known[word] = tuple(self.numbers[t] for t in word_terms(word) if t in self.numbers)
             for i in hits:
                 out[i] = out.get(i, 0) + n
-        return out
+            if not hits:
+                others += n
+        return out, others
 
 
 class BlockMaxIndex:
@@ -151,11 +155,13 @@ def isotonic(votes: np.ndarray, labels: np.ndarray, prior: float) -> tuple[np.nd
     return knots, np.maximum.accumulate(np.array([(y + prior) / (n + 1) for _, y, n in levels]))
 
 
-def unit(vector: dict[int, int], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Term numbers and TF-IDF weights ``(1 + ln tf) * idf`` of length one."""
+def unit(vector: dict[int, int], others: int, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Term numbers and weights, of length one: ``(1 + ln tf) * idf`` for chosen terms,
+    the square root of the count for the term of all other words (the last)."""
     terms = np.array(sorted(vector), dtype=np.int64)
-    weights = np.array([1 + math.log(vector[t]) for t in terms.tolist()]) * idf[terms] if len(terms) else np.zeros(0)
-    return terms, weights / (np.sqrt(weights @ weights) if len(terms) else 1.0)
+    weights = np.array([1 + math.log(vector[t]) for t in terms.tolist()]) * idf[terms]
+    terms, weights = np.append(terms, len(idf)), np.append(weights, math.sqrt(others))
+    return terms, weights / np.sqrt(weights @ weights)
 
 
 def in_training(doc_id: Column) -> Column:
@@ -220,14 +226,14 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, *, k: int = 25, max_examp
         for batch in stream:
             found = [known.vector(t.as_py()) for t in batch.column(2)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([list(v) for v in found], pa.list_(pa.int32())),
-                 pa.array([list(v.values()) for v in found], pa.list_(pa.int64()))],
-                ["doc_id", "text_hash", "terms", "counts"])
+                [batch.column(0), batch.column(1), pa.array([list(v) for v, _ in found], pa.list_(pa.int32())),
+                 pa.array([list(v.values()) for v, _ in found], pa.list_(pa.int64())),
+                 pa.array([n for _, n in found], pa.int64())], ["doc_id", "text_hash", "terms", "counts", "others"])
 
     counted = written(rows.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(
-        vectors, "doc_id long, text_hash long, terms array<int>, counts array<long>"), "vectors")
+        vectors, "doc_id long, text_hash long, terms array<int>, counts array<long>, others long"), "vectors")
     every = counted.count()
-    frequency = np.zeros(max(1, len(terms)))
+    frequency = np.zeros(len(terms))
     for r in counted.select(F.explode("terms").alias("t")).groupBy("t").count().collect():  # a row per chosen term
         frequency[r["t"]] = r["count"]
     idf = np.log((1 + every) / (1 + frequency)) + 1
@@ -236,9 +242,9 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, *, k: int = 25, max_examp
     blank = examples.filter(F.size("terms") == 0).agg(F.count("*").alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("k")).first()
     # at most max_examples rows (once per id): the index
     told = (examples.filter(F.size("terms") > 0).groupBy("doc_id")
-            .agg(F.min(F.struct("text_hash", "terms", "counts", "toxic")).alias("x")).select("doc_id", "x.*").collect())
-    shapes = [unit(dict(zip(r["terms"], r["counts"])), idf) for r in told]
-    index = BlockMaxIndex(shapes, [r["toxic"] for r in told], [r["doc_id"] for r in told], max(1, len(terms)))
+            .agg(F.min(F.struct("text_hash", "terms", "counts", "others", "toxic")).alias("x")).select("doc_id", "x.*").collect())
+    shapes = [unit(dict(zip(r["terms"], r["counts"])), r["others"], idf) for r in told]
+    index = BlockMaxIndex(shapes, [r["toxic"] for r in told], [r["doc_id"] for r in told], len(terms) + 1)
     seen, bad = blank["n"] + len(told), blank["k"] + sum(r["toxic"] for r in told)
     prior, nothing = (bad + 1) / (seen + 2), (blank["k"] + 0.5) / (blank["n"] + 1)
     shipped = spark.sparkContext.broadcast((index, idf, prior))
@@ -246,12 +252,12 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, *, k: int = 25, max_examp
     def votes(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, weights, base = shipped.value
         for batch in stream:
-            out = [own.vote(*unit(dict(zip(t, c)), weights), k, base, doc)[0]
-                   for doc, t, c in zip(*(batch.column(i).to_pylist() for i in range(3)))]
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.float64()), batch.column(3)], ["vote", "toxic"])
+            out = [own.vote(*unit(dict(zip(t, c)), n, weights), k, base, doc)[0]
+                   for doc, t, c, n in zip(*(batch.column(i).to_pylist() for i in range(4)))]
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.float64()), batch.column(4)], ["vote", "toxic"])
 
-    apart = spark.createDataFrame([(r["doc_id"], r["terms"], r["counts"], r["toxic"]) for r in told],
-                                  "doc_id long, terms array<int>, counts array<long>, toxic int")
+    apart = spark.createDataFrame([(r["doc_id"], r["terms"], r["counts"], r["others"], r["toxic"]) for r in told],
+                                  "doc_id long, terms array<int>, counts array<long>, others long, toxic int")
     own = apart.repartition(max(1, len(told) // 500)).mapInArrow(votes, "vote double, toxic int").collect()
     if own:
         knots, levels = isotonic(np.array([r["vote"] for r in own]), np.array([r["toxic"] for r in own]), prior)
@@ -263,15 +269,15 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, *, k: int = 25, max_examp
         kept: dict[tuple, tuple] = {}  # equal vectors vote once
         for batch in stream:
             out = []
-            for t, c in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+            for t, c, n in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4))):
                 if not t:
                     out.append((nothing, []))
                     continue
-                key = tuple(sorted(zip(t, c)))
+                key = tuple(sorted(zip(t, c))), n
                 if key not in kept:
                     if len(kept) > 20_000:
                         kept.clear()
-                    vote, evidence = own.vote(*unit(dict(key), weights), k, base)
+                    vote, evidence = own.vote(*unit(dict(key[0]), n, weights), k, base)
                     kept[key] = float(np.interp(vote, knots, levels)), evidence
                 out.append(kept[key])
             proof = pa.array([[{"doc_id": d, "cosine": s, "label": y} for d, s, y in e] for _, e in out],
