@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from candlewick.llm.chat_format import conversations_in_order, format_chat, read_loss, read_turns
 from candlewick.llm.kmeans_tree import nearest
 from candlewick.llm.license_scan import LICENCE_TEMPLATES, scan_licences
@@ -220,3 +221,8 @@ def op9(spark, sf_dir):
 def op10(spark, sf_dir):
     pieces = pack(table(spark, sf_dir, "documents"), sequence_tokens=4096)
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
