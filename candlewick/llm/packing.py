@@ -35,18 +35,34 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+#: Byte-level tokenizers write a byte as a character: printable ones as themselves,
+#: the others, in order, from U+0100 on.
+_PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_BYTE_CHARACTERS = {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
+_PROBES = ("word", "Word", "étude", "ÉTUDE", "ñandú", "straße", "l'été ab., cd", "x. it's. y,")
+
+
 class WordEncoder:
     """Ids of texts by a tokenizer that never joins across a blank.
 
     Such a tokenizer gives a text the ids of its blank-separated words in
     order, so each distinct word is encoded once and kept (at most
-    ``keep_words`` of them; then the store starts anew).  Rows of ids are put
-    together by array arithmetic."""
-
-    def __init__(self, path: str, end_id: int, keep_words: int = 500_000):
+    ``keep_words`` of them; then the store starts anew) and rows of ids are
+    put together by array arithmetic.  If the probes show that the tokenizer
+    ignores case and parts a word from the stops and commas after it, texts
+    are brought to that form first, which leaves fewer distinct words, and
+    words of Latin letters go to the tokenizer's model without the steps that
+    cannot change them."""
+
+    def __init__(self, path: str, end_id: int, keep_words: int = 400_000):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.end_id, self.keep_words = Tokenizer.from_file(path), end_id, keep_words
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self._clear()
+        plain = [self.tokenizer.encode(p, add_special_tokens=False).ids for p in _PROBES]
+        self.simple = True
+        self.simple = all(self.encode(pa.array([p]))[0].tolist() == [*ids, end_id] for p, ids in zip(_PROBES, plain))
         self._clear()
 
     def _clear(self):
@@ -55,16 +71,36 @@ class WordEncoder:
         self.first = np.array([0], dtype=np.int64)
         self.size = np.array([1], dtype=np.int64)
 
+    def _form(self, texts: pa.Array) -> pa.Array:
+        """Blanks between words; and, where it cannot matter, lower case and parted stops."""
+        texts = pc.replace_substring(texts, "\n", " ")
+        if not self.simple or any(pc.any(pc.match_substring(texts, t, ignore_case=True)).as_py() for t in self.special):
+            return texts
+        return pc.replace_substring_regex(pc.ascii_lower(texts), r"(\pL)([.,]+) ", r"\1 \2 ")
+
+    def _word(self, word: str) -> list[int] | None:
+        """Ids of a word of Latin letters straight from the model, None for others."""
+        low = word.lower()
+        if not self.simple or not word.isalpha() or max(word) > "\u024f" or len(low) != len(word):
+            return None
+        coded = low.encode().decode("latin-1").translate(_BYTE_CHARACTERS)
+        return [t.id for t in self.tokenizer.model.tokenize(coded)]
+
     def _numbers(self, words: list[str]) -> np.ndarray:
         """The store's entry of each distinct word, adding those it lacks."""
         if len(self.index) + len(words) > self.keep_words:
             self._clear()
-        new = [w for w in words if w not in self.index]
-        if new:
-            ids = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
+        missing = [w for w in words if w not in self.index]
+        ids = [self._word(w) for w in missing]
+        rest = [i for i, row in enumerate(ids) if row is None]
+        for k in range(0, len(rest), 2_000):  # a few at a time: the results are far larger than their ids
+            some = rest[k:k + 2_000]
+            for i, e in zip(some, self.tokenizer.encode_batch_fast([missing[i] for i in some], add_special_tokens=False)):
+                ids[i] = e.ids
+        if missing:
             size = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
             flat = np.fromiter((i for row in ids for i in row), dtype=np.uint32, count=int(size.sum()))
-            self.index.update(zip(new, range(len(self.size), len(self.size) + len(new))))
+            self.index.update(zip(missing, range(len(self.size), len(self.size) + len(missing))))
             self.first = np.concatenate([self.first, len(self.flat) + np.cumsum(size) - size])
             self.size = np.concatenate([self.size, size])
             self.flat = np.concatenate([self.flat, flat])
@@ -72,8 +108,7 @@ class WordEncoder:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, each closed by the end id, and the count per text."""
-        texts = pc.fill_null(texts.cast(pa.large_string()), "")
-        rows = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        rows = pc.split_pattern(self._form(pc.fill_null(texts.cast(pa.large_string()), "")), " ")
         words = rows.flatten().dictionary_encode()
         entry = self._numbers(words.dictionary.to_pylist())[words.indices.to_numpy()]
         ends = np.cumsum(pc.list_value_length(rows).to_numpy().astype(np.int64))
@@ -95,7 +130,7 @@ def _encoder(path: str, end_id: int) -> WordEncoder:
     return _ENCODERS[path, end_id]
 
 
-def _slices(batch: pa.RecordBatch, limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def _slices(batch: pa.RecordBatch, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Parts of a batch with about ``limit`` bytes of text (one row at least)."""
     sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy().astype(np.int64))
     start = 0

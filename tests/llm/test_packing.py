@@ -14,7 +14,8 @@ tokenizers = pytest.importorskip("tokenizers")
 
 TEXTS = ["Hello  World", None, "", "  ", "café café ́x", "a<|endoftext|>b <|startoftext|>", "it's we'll 42 3.14",
          "line\nbreak\r\ntab\tnbsp x y\x1cz", "ΣΑΣ İstanbul ß", "日本語 텍스트", "🙂🙂 !!! ...", "x" * 5000,
-         "word " * 3000]
+         "word " * 3000, "End. END, end., x.y ,z ... é. É, ñ., a's. ABC<|ENDOFTEXT|>", "ªº ŉ İx ẞ Ǆ e\u0301. ﬁ. Ω.",
+         "tail.", "tail,\nnext. \n", "straße. STRASSE, Ünï."]
 
 
 def plain(text):
@@ -23,12 +24,16 @@ def plain(text):
 
 
 def test_word_encoder_equals_the_tokenizer():
-    for keep in (500_000, 3):  # 3: the store starts anew all the time
+    for keep, simple in ((400_000, True), (3, True), (400_000, False)):  # 3: the store starts anew all the time
         enc = WordEncoder(tokenizer_path(), 2, keep)
+        assert enc.simple
+        enc.simple = simple
         for _ in range(2):
             ids, counts = enc.encode(pa.array(TEXTS))
             parts = np.split(ids, np.cumsum(counts)[:-1])
             assert [p.tolist() for p in parts] == [plain(t) for t in TEXTS]
+        for t in TEXTS:  # without the text that holds a special token in capitals
+            assert enc.encode(pa.array([t]))[0].tolist() == plain(t)
 
 
 @pytest.mark.parametrize("window,partitions", [(4096, 3), (16, 5), (7, 1)])
