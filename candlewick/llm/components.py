@@ -41,7 +41,7 @@ def components(edges: DataFrame) -> DataFrame:
     ``component_id`` is the smallest node of the component.  Self-loops and
     repeated edges are allowed, rows with a NULL end are ignored, and an empty
     table gives an empty result.  The loop ends when a round changes nothing."""
-    known = edges.select(F.col("a").cast("long"), F.col("b").cast("long")).dropna()
+    known = written(edges.select(F.col("a").cast("long"), F.col("b").cast("long")).dropna(), "links")
     loops = known.filter("a = b").select(F.col("a").alias("node")).distinct()
     star = written(known.filter("a <> b")
                    .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")

@@ -160,11 +160,11 @@ def nearest(vectors: DataFrame, queries: Column, *, k: int = 20, recall: float =
     shape = "h1 long, h2 long, ids array<long>, vector array<double>"
     placed = written(classes.select("h1", "h2", "ids", "vector").mapInArrow(place, shape + ", leaf long"), "leaves")
     # a row per leaf, bounded by the sample
-    sizes = {r["leaf"]: r["n"] for r in placed.groupBy("leaf").agg(F.count("*").alias("n")).collect()}
-    bins, held = {}, 0
-    for leaf in sorted(sizes):  # neighbouring leaves share a bin
-        bins[leaf], held = (max(bins.values(), default=-1) + 1, sizes[leaf]) if not bins or held + sizes[leaf] > bin_rows \
-            else (bins[max(bins)], held + sizes[leaf])
+    leaves = placed.groupBy("leaf").agg(F.count("*").alias("n"), F.max(F.size("vector")).alias("d")).orderBy("leaf").collect()
+    sizes, bins, held, dimension = {r["leaf"]: r["n"] for r in leaves}, {}, 0, None
+    for leaf, n, d in leaves:  # neighbouring leaves share a bin
+        fresh = d != dimension or held + n > bin_rows
+        bins[leaf], held, dimension = len(set(bins.values())) - (not fresh), n if fresh else held + n, d
     questions = classes.join(asked.select("h1", "h2").distinct(), ["h1", "h2"], "left_semi").select("h1", "h2", "vector")
 
     # calibration: a bounded set of queries against all rows

@@ -42,8 +42,10 @@ class Tree:
     def _split(self, rows, rng, leaf_rows, spill, threshold) -> int:
         me = len(self.nodes)
         self.nodes.append(())
-        one, two = rng.integers(0, max(1, len(rows)), (2, 500))
-        dense = len(rows) and np.mean(np.einsum("ij,ij->i", rows[one], rows[two])[one != two] >= threshold) > 0.1
+        dense = False
+        if len(rows) > leaf_rows:
+            one, two = rng.integers(0, len(rows), (2, 500))
+            dense = np.sum((np.einsum("ij,ij->i", rows[one], rows[two]) >= threshold) & (one != two)) > 50
         if len(rows) > leaf_rows and not dense:
             direction = rng.standard_normal(rows.shape[1])
             at = rows @ direction
