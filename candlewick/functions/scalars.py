@@ -10,9 +10,16 @@ NUMERIC_TYPES = (T.DoubleType, T.FloatType, T.DecimalType, T.LongType, T.Integer
 
 
 def truncate(col: Column, digits: int = 2) -> Column:
-    """Truncate toward zero to ``digits`` decimals (sc_trunc2 / sc_trunc3)."""
-    scale = 10 ** digits
-    return (col * scale).cast("bigint") / float(scale)
+    """Truncate toward zero to ``digits`` decimals (sc_trunc2 / sc_trunc3).
+
+    Stays in double: NaN gives NULL, and a value whose scaled form is beyond
+    2**53 has no such decimals and is returned as it is (so is infinity)."""
+    scale = float(10 ** digits)
+    value = col.cast("double")
+    scaled = value * scale
+    return (F.when(F.isnan(value), F.lit(None).cast("double"))
+            .when(F.abs(scaled) >= float(1 << 53), value)
+            .otherwise((scaled - scaled % 1.0) / scale))
 
 
 def truncate_numeric(df: DataFrame, digits: int = 2, exclude=()) -> DataFrame:
@@ -67,8 +74,3 @@ def time_key(col: Column, kind: str) -> Column:
 def safe_ratio(num: Column, den: Column, digits: int = 2) -> Column:
     """num / den truncated; NULL when den is 0 or NULL (sc_ratio)."""
     return truncate(F.try_divide(num, F.when(den != 0, den)), digits)
-
-
-def quoted_list(col: Column) -> Column:
-    """Sorted, quoted, comma-joined distinct values (ag_string_agg)."""
-    return F.array_join(F.array_sort(F.collect_set(F.concat(F.lit("'"), col, F.lit("'")))), ", ")

@@ -48,9 +48,7 @@ def clean_audit(bronze: DataFrame) -> DataFrame:
 
 
 def status_summary(items: DataFrame, stage: str = "stage") -> DataFrame:
-    """ag_status_summary: items (item, status) bucketed per status with the
-    count and the sorted item list."""
-    return (
-        items.groupBy(stage, "status")
-        .agg(F.count(F.lit(1)).alias("n_items"), F.array_sort(F.collect_list("item")).alias("items"))
-    )
+    """ag_status_summary: the number of items (item, status) per stage and
+    status.  The items themselves stay rows of ``items``: a list of all of
+    them would be one unbounded value."""
+    return items.groupBy(stage, "status").agg(F.count(F.lit(1)).alias("n_items"))

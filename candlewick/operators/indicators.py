@@ -65,21 +65,17 @@ def series_pass(bars: DataFrame, ip: IndicatorParams = DEFAULT_INDICATORS,
     return ordered.mapInPandas(fn, schema=schema)
 
 
-def series_parallelism(spark) -> int:
-    """Partitions for the per-ticker stage.  The stage is CPU-bound, so it
-    must not be coalesced into a few tasks just because its bytes are few:
-    at least the cluster's default parallelism, the session's shuffle
-    partitions when larger, but not beyond four tasks per core."""
-    cores = spark.sparkContext.defaultParallelism
-    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(cores, min(shuffle, 4 * cores))
-
-
-def by_ticker(df: DataFrame) -> DataFrame:
-    """Hash-partition by ticker with an explicit partition count.  Every later
+def by_ticker(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Hash-partition by ticker into ``partitions`` tasks, by default
+    ``spark.sql.shuffle.partitions``, which is sized to the data.
+
+    The count is explicit because the stage is CPU-bound: it must not be
+    coalesced into a few tasks just because its bytes are few.  Every later
     per-ticker step (period anchor window, resample aggregation, series
     kernel, indicator windows, as-of window) reuses this partitioning."""
-    return df.repartition(series_parallelism(df.sparkSession), "ticker")
+    if partitions is None:
+        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(partitions, "ticker")
 
 
 def _full(col: Column, n: int, w: Window) -> Column:

@@ -59,8 +59,8 @@ def resample(daily: DataFrame, periods=PERIODS, gap_policy: str = "emit") -> Dat
     """Bars of every requested period from a silver daily table.
 
     ``daily`` has ticker, Date, Open, High, Low, Close, Adj Close, Volume and
-    optionally Dividends, Stock Splits, created_at.  "D" passes through with
-    all columns; other periods get Open first, High max, Low min, Close and
+    optionally Dividends, Stock Splits, created_at.  "D" passes through row by
+    row with all columns (two rows of one date stay two rows); other periods get Open first, High max, Low min, Close and
     Adj Close last, Volume sum, the series' first created_at and NULL
     dividends/splits.  ``gap_policy='emit'`` adds empty bins between a
     series' first and last label (prices NULL, Volume 0); ``'drop'`` omits them.
@@ -80,10 +80,12 @@ def resample(daily: DataFrame, periods=PERIODS, gap_policy: str = "emit") -> Dat
             F.struct(F.lit(p).alias("period"), period_label(p, F.col("Date"), F.col("_d0")).alias("label"))
             for p in periods])))
         .select("*", "_tag.period", "_tag.label")
+        # daily rows are groups of their own; the number never leaves its partition
+        .withColumn("_row", F.when(F.col("_tag.period") == "D", F.monotonically_increasing_id()))
     )
     is_d = F.col("period") == "D"
     bars = (
-        tagged.groupBy("ticker", "period", "label")
+        tagged.groupBy("ticker", "period", "label", "_row")
         .agg(
             F.min_by("Open", "Date").alias("Open"),
             F.max("High").alias("High"),

@@ -2,56 +2,51 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# --- fixed values: ticker tiers of the screen --------------------------------
+# --- fixed values: tiers of the screen, the first that holds wins ------------
+# column, comparison, bound
+TIERS = (
+    ("HighGrowth", (
+        ("market_cap", ">=", 1e9), ("price_to_sales", ">=", 2), ("price_to_sales", "<=", 10), ("roe", ">", 0.05),
+        ("roe", "<=", 0.25), ("current_ratio", ">=", 2.5), ("debt_to_equity", "<=", 10), ("roa_ttm", ">", 0),
+        ("eps_ttm", ">", 0), ("operating_cash_flow", ">", 0), ("institutional_share", ">=", 0.4),
+        ("institutional_share", "<", 0.95), ("analyst_mean", "<=", 3))),
+    ("SteadyGrowth", (
+        ("market_cap", ">=", 4e8), ("price_to_sales", ">=", 2), ("price_to_sales", "<=", 7), ("roe", ">", 0.15),
+        ("roe", "<=", 0.25), ("current_ratio", ">=", 2), ("debt_to_equity", "<=", 10), ("roa_ttm", ">", 0),
+        ("eps_ttm", ">", 0), ("operating_cash_flow", ">", 0), ("current_price", ">=", 15), ("revenue", ">=", 5e7),
+        ("institutional_share", ">=", 0.4), ("institutional_share", "<", 0.95), ("analyst_mean", "<=", 2))),
+    ("Distressed", (
+        ("price_to_sales", "<=", 1.5), ("roe", ">", 0.15), ("roe", "<=", 0.25), ("current_ratio", ">=", 1.1),
+        ("debt_to_equity", "<=", 50), ("roa_ttm", ">", 0), ("eps_ttm", ">", 0), ("current_price", ">", 0),
+        ("revenue", ">=", 5e7), ("avg_daily_volume", ">=", 50000), ("institutional_share", ">=", 0.4),
+        ("institutional_share", "<", 0.95), ("analyst_mean", ">=", 3))),
+    ("Super", (
+        ("change_52w", ">=", 3), ("high_52w_ratio", ">=", 0.9), ("current_price", ">=", 15),
+        ("avg_daily_volume", ">=", 50000), ("institutional_share", ">=", 0.4), ("institutional_share", "<", 0.95),
+        ("analyst_mean", "<=", 2), ("analyst_key", "known", None))),
+)
 MAGNIFICENT_8 = ("AAPL", "MSFT", "GOOGL", "AMZN", "NVDA", "META", "TSLA", "NFLX")
 ETF_1 = ("QQQ", "SPY", "DIA")
 # -----------------------------------------------------------------------------
 
-
-def _between(c: str, lo, hi, lo_strict=False, hi_strict=False) -> Column:
-    col = F.col(c)
-    a = col > lo if lo_strict else col >= lo
-    b = col < hi if hi_strict else col <= hi
-    return a & b
-
-
-def _all(*conds: Column) -> Column:
-    out = conds[0]
-    for c in conds[1:]:
-        out = out & c
-    return out
+_COMPARE = {">=": Column.__ge__, "<=": Column.__le__, ">": Column.__gt__, "<": Column.__lt__,
+            "known": lambda column, _: column.isNotNull()}
 
 
 def screen_tier() -> Column:
     """Ordered rule classifier; the first satisfied tier wins, a NULL operand
     fails its tier (SQL three-valued logic), no match gives NULL."""
-    inst = _between("institutional_share", 0.4, 0.95, hi_strict=True)
-    high_growth = _all(
-        F.col("market_cap") >= 1e9, _between("price_to_sales", 2, 10),
-        _between("roe", 0.05, 0.25, lo_strict=True), F.col("current_ratio") >= 2.5,
-        F.col("debt_to_equity") <= 10, F.col("roa_ttm") > 0, F.col("eps_ttm") > 0,
-        F.col("operating_cash_flow") > 0, inst, F.col("analyst_mean") <= 3)
-    steady = _all(
-        F.col("market_cap") >= 4e8, _between("price_to_sales", 2, 7),
-        _between("roe", 0.15, 0.25, lo_strict=True), F.col("current_ratio") >= 2,
-        F.col("debt_to_equity") <= 10, F.col("roa_ttm") > 0, F.col("eps_ttm") > 0,
-        F.col("operating_cash_flow") > 0, F.col("current_price") >= 15, F.col("revenue") >= 5e7,
-        inst, F.col("analyst_mean") <= 2)
-    distressed = _all(
-        F.col("price_to_sales") <= 1.5, _between("roe", 0.15, 0.25, lo_strict=True),
-        F.col("current_ratio") >= 1.1, F.col("debt_to_equity") <= 50, F.col("roa_ttm") > 0,
-        F.col("eps_ttm") > 0, F.col("current_price") > 0, F.col("revenue") >= 5e7,
-        F.col("avg_daily_volume") >= 50000, inst, F.col("analyst_mean") >= 3)
-    super_ = _all(
-        F.col("change_52w") >= 3, F.col("high_52w_ratio") >= 0.9, F.col("current_price") >= 15,
-        F.col("avg_daily_volume") >= 50000, inst, F.col("analyst_mean") <= 2,
-        F.col("analyst_key").isNotNull())
-    return (F.when(high_growth, "HighGrowth").when(steady, "SteadyGrowth").when(distressed, "Distressed")
-            .when(super_, "Super").when(F.col("ticker").isin(*MAGNIFICENT_8), "Magnificent_8")
-            .when(F.col("ticker").isin(*ETF_1), "ETF_1"))
+    listed = F.when(F.col("ticker").isin(*MAGNIFICENT_8), "Magnificent_8").when(F.col("ticker").isin(*ETF_1), "ETF_1")
+    for tier, rules in reversed(TIERS):
+        holds = reduce(and_, (_COMPARE[op](F.col(column), bound) for column, op, bound in rules))
+        listed = F.when(holds, tier).otherwise(listed)
+    return listed
 
 
 def screen(fundamentals: DataFrame) -> DataFrame:

@@ -8,9 +8,10 @@ symbol into one window buffer:
 * previous price: ``lag`` inside (symbol, time bucket) partitions, and the
   last price of the previous non-empty bucket (one row per bucket) for each
   bucket's first tick;
-* cooldown: only the (few) threshold crossings go through a sequential scan,
-  streamed in sorted order through ``mapInPandas`` with per-key state, so a
-  key is never materialised as one group.
+* cooldown: only the threshold crossings go through a sequential scan, cut
+  into segments at gaps longer than the cooldown, where the scan starts
+  afresh; sorted, they stream through ``mapInPandas`` with per-key state, so
+  a key is never materialised as one group.
 """
 
 from __future__ import annotations
@@ -104,9 +105,17 @@ def monitor_lines(ticks: DataFrame, tz: str = MARKET_TZ) -> DataFrame:
     return ticks.select("s", "t", line.alias("line"))
 
 
-def alert_config(latest_daily: DataFrame) -> DataFrame:
+def missing_tickers(screened: DataFrame, daily: DataFrame) -> DataFrame:
+    """jn_missing: screened tickers without any daily row, each once."""
+    return screened.select("ticker").distinct().join(daily.select("ticker").distinct(), "ticker", "left_anti")
+
+
+def alert_config(latest_daily: DataFrame, screened: DataFrame | None = None) -> DataFrame:
     """st_alert_config: four threshold rows per ticker from its latest daily
-    row (upperband, lowerband critical 60 s; upper_1_7, lower_1_7 warning 30 s)."""
+    row (upperband, lowerband critical 60 s; upper_1_7, lower_1_7 warning 30 s),
+    for the ``screened`` tickers if given."""
+    if screened is not None:
+        latest_daily = latest_daily.join(screened.select("ticker").distinct(), "ticker", "left_semi")
     rows = F.explode(F.array(*[
         F.struct(F.lit(label).alias("label"), F.col(label).alias("threshold"),
                  F.lit(cd).alias("cooldown"), F.lit(level).alias("level"))
@@ -115,6 +124,18 @@ def alert_config(latest_daily: DataFrame) -> DataFrame:
         "ticker", "_r.label", "_r.threshold", "_r.cooldown", "_r.level")
 
 
+# ids are signed 64-bit: shifted to 0 .. 2**64 they fit below one step of the time
+_ID_STEP = "100000000000000000000"
+_ID_SHIFT = "9223372036854775808"
+
+
+def _order_key() -> Column:
+    """(t, event_id) as one decimal in the same order, negative ids included; a
+    struct key would force the partial aggregation into a sort."""
+    return (F.col("t").cast("decimal(38,0)") * F.lit(_ID_STEP).cast("decimal(38,0)")
+            + F.col("event_id").cast("decimal(38,0)") + F.lit(_ID_SHIFT).cast("decimal(38,0)"))
+
+
 def with_previous_price(ticks: DataFrame, bucket_ms: int = BUCKET_MS) -> DataFrame:
     """Add ``prev_p``: the price of the symbol's previous tick by (t, event_id).
 
@@ -123,11 +144,8 @@ def with_previous_price(ticks: DataFrame, bucket_ms: int = BUCKET_MS) -> DataFra
     b = ticks.withColumn("_bucket", F.floor(F.col("t") / bucket_ms))
     inner = Window.partitionBy("s", "_bucket").orderBy("t", "event_id")
     b = b.withColumn("_prev", F.lag("p").over(inner))
-    # (t, event_id) packed into one fixed-width decimal so the partial
-    # aggregation stays a hash aggregation (a struct key would force a sort)
-    order_key = F.col("t").cast("decimal(38,0)") * F.lit("10000000000000000000").cast("decimal(38,0)") + F.col("event_id")
     last = (b.groupBy("s", "_bucket")
-            .agg(F.max_by("p", order_key).alias("_last"))
+            .agg(F.max_by("p", _order_key()).alias("_last"))
             .withColumn("_carry", F.lag("_last").over(Window.partitionBy("s").orderBy("_bucket")))
             .select("s", "_bucket", "_carry"))
     return (b.join(last, ["s", "_bucket"], "left")
@@ -138,19 +156,47 @@ def with_previous_price(ticks: DataFrame, bucket_ms: int = BUCKET_MS) -> DataFra
 def crossings(ticks: DataFrame, thresholds: DataFrame) -> DataFrame:
     """Threshold crossings: upper lines fire when prev <= thr < price, lower
     lines when prev >= thr > price; the first tick of a symbol never fires.
-    ``ticks`` must already exclude filtered trades (they do not update prev)."""
-    from candlewick.functions.joins import join_checked
-
-    withprev = with_previous_price(ticks)
-    th = thresholds.select(F.col("ticker").alias("s"), "label", "threshold", "cooldown", "level")
-    # four lines per screened ticker: broadcast after a row-count check, so the
-    # (possibly skewed) tick stream is not shuffled again by symbol
-    j = join_checked(withprev.filter(F.col("prev_p").isNotNull()), th, "s")
-    upper = F.col("label").contains("upper")
-    lower = F.col("label").contains("lower")
-    hit = ((upper & (F.col("prev_p") <= F.col("threshold")) & (F.col("p") > F.col("threshold")))
-           | (lower & (F.col("prev_p") >= F.col("threshold")) & (F.col("p") < F.col("threshold"))))
-    return j.filter(hit)
+    ``ticks`` must already exclude filtered trades (they do not update prev).
+
+    A symbol's few lines are one row, so a tick meets them once and only the
+    lines it crosses become rows."""
+    lines = (thresholds.groupBy(F.col("ticker").alias("s"))
+             .agg(F.collect_list(F.struct("label", "threshold", "cooldown", "level")).alias("_lines")))
+    j = with_previous_price(ticks).filter(F.col("prev_p").isNotNull()).join(lines, "s")
+
+    def hit(line):
+        up = line["label"].contains("upper") & (F.col("prev_p") <= line["threshold"]) & (F.col("p") > line["threshold"])
+        down = line["label"].contains("lower") & (F.col("prev_p") >= line["threshold"]) & (F.col("p") < line["threshold"])
+        return up | down
+
+    crossed = j.withColumn("_hits", F.filter("_lines", hit)).filter(F.size("_hits") > 0).drop("_lines")
+    return crossed.withColumn("_hit", F.explode("_hits")).select("*", "_hit.*").drop("_hits", "_hit")
+
+
+def with_segment(crossed: DataFrame, bucket_ms: int = BUCKET_MS) -> DataFrame:
+    """Add ``segment``: the time of the (symbol, line)'s last crossing that
+    followed its predecessor by more than the cooldown.
+
+    Such a crossing always fires, as the last sent alert is no later than the
+    predecessor, so what comes before it does not matter and each segment can
+    be scanned by itself.  Two-level like the previous price: no symbol is
+    one window."""
+    key = ["s", "label"]
+    b = crossed.withColumn("_bucket", F.floor(F.col("t") / bucket_ms))
+    inner, outer = Window.partitionBy(*key, "_bucket").orderBy("t", "event_id"), Window.partitionBy(*key).orderBy("_bucket")
+    before = (b.groupBy(*key, "_bucket").agg(F.max("t").alias("_last"))
+              .withColumn("_carry", F.lag("_last").over(outer)).select(*key, "_bucket", "_carry"))
+    b = b.withColumn("_prev", F.lag("t").over(inner)).join(before, [*key, "_bucket"], "left")
+    prev = F.coalesce("_prev", "_carry")
+    starts = prev.isNull() | (F.col("t") - prev > F.col("cooldown") * 1000)
+    b = b.withColumn("_start", F.when(starts, F.col("t"))).drop("_prev", "_carry")
+    so_far = inner.rowsBetween(Window.unboundedPreceding, 0)
+    b = b.withColumn("_own", F.max("_start").over(so_far))
+    until = outer.rowsBetween(Window.unboundedPreceding, -1)
+    opened = (b.groupBy(*key, "_bucket").agg(F.max("_start").alias("_s"))
+              .withColumn("_open", F.max("_s").over(until)).select(*key, "_bucket", "_open"))
+    return (b.join(opened, [*key, "_bucket"], "left").withColumn("segment", F.coalesce("_own", "_open"))
+            .drop("_bucket", "_start", "_own", "_open"))
 
 
 ALERT_SCHEMA = T.StructType([
@@ -163,17 +209,19 @@ ALERT_SCHEMA = T.StructType([
 
 
 def _cooldown_scan(batches):
-    """Sorted (s, label, t, event_id) stream -> crossings that pass the
-    cooldown: strictly more than ``cooldown`` seconds since the last sent
-    alert of the same (symbol, label); state carries across batches."""
+    """Sorted (s, label, segment, t, event_id) stream -> crossings that pass
+    the cooldown: strictly more than ``cooldown`` seconds since the last sent
+    alert of the same (symbol, label).  A segment's first crossing fires (or
+    is the symbol's first); state carries across batches."""
     import pandas as pd
 
     last_key, last_sent = None, None
     for pdf in batches:
         keep = []
-        s, lab, t, cd = (pdf["s"].tolist(), pdf["label"].tolist(), pdf["t"].tolist(), pdf["cooldown"].tolist())
+        s, lab, seg = pdf["s"].tolist(), pdf["label"].tolist(), pdf["segment"].tolist()
+        t, cd = pdf["t"].tolist(), pdf["cooldown"].tolist()
         for i in range(len(pdf)):
-            key = (s[i], lab[i])
+            key = (s[i], lab[i], seg[i])
             if key != last_key:
                 last_key, last_sent = key, 0
             ok = t[i] - last_sent > cd[i] * 1000
@@ -185,9 +233,11 @@ def _cooldown_scan(batches):
 
 def alerts(ticks: DataFrame, thresholds: DataFrame) -> DataFrame:
     """st_alert_batch: alerts over stored ticks (batch twin of st_cross_alert)."""
-    x = crossings(exclude_codes(ticks), thresholds).select(*[f.name for f in ALERT_SCHEMA.fields])
-    ordered = x.repartition("s", "label").sortWithinPartitions("s", "label", "t", "event_id")
-    return ordered.mapInPandas(_cooldown_scan, ALERT_SCHEMA)
+    x = with_segment(crossings(exclude_codes(ticks), thresholds).select(*[f.name for f in ALERT_SCHEMA.fields]))
+    ordered = (x.repartition("s", "label", "segment")
+               .sortWithinPartitions("s", "label", "segment", "t", "event_id"))
+    scanned = T.StructType([*ALERT_SCHEMA.fields, T.StructField("segment", T.LongType())])
+    return ordered.mapInPandas(_cooldown_scan, scanned).drop("segment")
 
 
 # --- fixed values: alert message parts ----------------------------------------

@@ -1,7 +1,8 @@
 """Table maintenance (up_*): upserts and merges as anti-joins, unions and
 windows.  Every merge is a shuffle join on its key columns (sort-merge for
 two large sides; AQE turns it into a broadcast join only when the measured
-side is small).  Keys must be non-NULL: a NULL key would never match."""
+side is small).  Keys must be non-NULL, as a NULL key would never match:
+``with_known_key`` makes the job fail on one."""
 
 from __future__ import annotations
 
@@ -16,6 +17,14 @@ def _ts(value) -> Column:
     return value if isinstance(value, Column) else F.to_timestamp(F.lit(value))
 
 
+def with_known_key(df: DataFrame, key) -> DataFrame:
+    """``df``, whose evaluation fails at the first row with a NULL in ``key``."""
+    for c in key:
+        known = F.when(F.col(c).isNull(), F.raise_error(F.lit(f"NULL in key column {c}")).cast(df.schema[c].dataType))
+        df = df.withColumn(c, known.otherwise(F.col(c)))
+    return df
+
+
 def stamp_company_batch(batch: DataFrame, batch_time) -> DataFrame:
     """New list rows stamped with the batch time and marked active."""
     return batch.select(F.col("cik").cast("bigint").alias("cik"), "ticker", "title",
@@ -28,6 +37,7 @@ def upsert_company_list(old: DataFrame | None, batch: DataFrame, batch_time) ->
     new = stamp_company_batch(batch, batch_time)
     if old is None:
         return new
+    new = with_known_key(new, ("cik", "ticker"))
     gone = (old.join(new.select("cik", "ticker"), ["cik", "ticker"], "left_anti")
             .select("cik", "ticker", "title", "last_updated", F.lit(False).alias("is_active")))
     return gone.unionByName(new)
@@ -54,7 +64,7 @@ def upsert_snapshot(old: DataFrame | None, new: DataFrame, key=("created_at", "t
     new = new.withColumn("created_at", F.to_date("created_at"))
     if old is None:
         return new
-    old = old.withColumn("created_at", F.to_date("created_at"))
+    old, new = old.withColumn("created_at", F.to_date("created_at")), with_known_key(new, key)
     return old.join(new.select(*key), list(key), "left_anti").unionByName(new, allowMissingColumns=True)
 
 
@@ -81,32 +91,33 @@ def upsert_gold_history(old: DataFrame | None, new: DataFrame, scope: str = "tic
         F.max(F.col("_p") == 2).over(by_ticker).alias("_upd"),
         F.row_number().over(newest).alias("_rn"))
     kept = flagged.filter((F.col("_p") == 2) | ~F.col("_upd") | (F.col("_rn") > 2)).drop("_upd", "_rn")
-    return dedupe_priority(kept, GOLD_KEY, "_p").drop("_p")
+    # rows of one batch that share a key are told apart by all their values
+    values = [c for c in kept.columns if c not in (*GOLD_KEY, "_p")]
+    tie = F.xxhash64(*[F.col(f"`{c}`") for c in values])
+    return dedupe_priority(kept.withColumn("_t", tie), GOLD_KEY, "_p", tiebreak=("_t",)).drop("_p", "_t")
 
 
-def warehouse_merge(target: DataFrame, staged: DataFrame, period: str) -> DataFrame:
-    """up_warehouse_merge for one period: delete the target rows of the
-    staged tickers dated on any of their newest-2 dates, then MERGE the
+def warehouse_merge(target: DataFrame, staged: DataFrame) -> DataFrame:
+    """up_warehouse_merge of one period's partition: delete the target rows of
+    the staged tickers dated on any of their newest-2 dates, then MERGE the
     staged rows on (Date, ticker, period): update matched, insert new.
 
-    Target and staged rows are stacked and decided by windows over
-    (ticker, period): one shuffle.  The deleted dates form a set of calendar
-    days (at most one per day of the covered span), so that set is broadcast."""
+    Both sides hold one period.  They are stacked and marked by windows over
+    the ticker (one shuffle); the newest dates are found on key columns alone
+    and meet the rows in a join on the date.  Other periods are not touched."""
     from pyspark.sql.window import Window
 
-    both = (target.withColumn("_src", F.lit(0))
+    rows = (target.withColumn("_src", F.lit(0))
             .unionByName(staged.withColumn("_src", F.lit(1)), allowMissingColumns=True)
-            .repartition("ticker", "period"))
-    series = Window.partitionBy("ticker", "period")
-    newest_target = Window.partitionBy("ticker", "period", "_src").orderBy(F.col("Date").desc())
-    key = Window.partitionBy(*GOLD_KEY)
-    flagged = both.select(
-        "*",
-        F.max("_src").over(series).alias("_staged_ticker"),
-        F.row_number().over(newest_target).alias("_rn"),
-        F.max("_src").over(key).alias("_key_staged"))
-    scoped = (F.col("period") == period) & (F.col("_staged_ticker") == 1) & (F.col("_src") == 0)
-    hot_dates = flagged.filter(scoped & (F.col("_rn") <= 2)).select(F.col("Date").alias("_hot")).distinct()
-    j = flagged.join(F.broadcast(hot_dates), F.col("Date") == F.col("_hot"), "left")
-    keep = (F.col("_src") == 1) | ((F.col("_key_staged") == 0) & ~(scoped & F.col("_hot").isNotNull()))
-    return j.filter(keep).drop("_src", "_staged_ticker", "_rn", "_key_staged", "_hot")
+            .repartition("ticker"))
+    marked = rows.select("*", F.max("_src").over(Window.partitionBy("ticker")).alias("_staged"),
+                         F.max("_src").over(Window.partitionBy("ticker", "Date")).alias("_replaced"))
+    newest = Window.partitionBy("ticker").orderBy(F.col("Date").desc())
+    dates = (rows.select("ticker", "Date", "_src", F.max("_src").over(Window.partitionBy("ticker")).alias("_staged"))
+             .filter("_src = 0 AND _staged = 1").withColumn("_rn", F.row_number().over(newest))
+             .filter("_rn <= 2").select("Date").distinct())
+    new = marked.filter("_src = 1")
+    old = marked.filter("_src = 0 AND _replaced = 0")
+    kept = old.join(dates.withColumn("_hot", F.lit(1)), "Date", "left").filter("_staged = 0 OR _hot IS NULL")
+    return kept.select(*target.columns).unionByName(
+        new.select(*[c for c in rows.columns if c != "_src"]), allowMissingColumns=True)

@@ -3,15 +3,21 @@ only at the end, through ``candlewick.sinks``."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from candlewick.functions.scalars import truncate_numeric
 from candlewick.operators.asof import conclusion
-from candlewick.operators.clean import clean_ohlcv
+from candlewick.operators.clean import clean_audit, clean_ohlcv
 from candlewick.operators.indicators import indicators_and_patterns
 from candlewick.operators.resample import resample
+from candlewick.operators.screen import screen
+from candlewick.operators.upsert import upsert_company_list, upsert_snapshot
 from candlewick.params import DEFAULT_INDICATORS, DEFAULT_PATTERNS, PERIODS, IndicatorParams, PatternParams
 from candlewick.schemas import GOLD_BASE, GOLD_INDICATORS, GOLD_PATTERNS
+from candlewick.sources.records import clean_fundamentals, fundamentals_rows, parse_company_json
+from candlewick.sources.tables import read_modified_between, with_ticker_from_path
 
 
 def analyse(bars: DataFrame, ip: IndicatorParams = DEFAULT_INDICATORS,
@@ -25,6 +31,42 @@ def job_silver(bronze: DataFrame) -> DataFrame:
     return clean_ohlcv(bronze)
 
 
+def job_silver_of_day(spark: SparkSession, root: str, start: str, end: str | None = None, *,
+                      schema: StructType) -> tuple[DataFrame, DataFrame]:
+    """job_silver over the bronze files modified in [start, end): the silver
+    rows and the audit per input ticker.  A day without files gives empty frames."""
+    bronze = with_ticker_from_path(read_modified_between(spark, root, start, end, schema=schema))
+    return clean_ohlcv(bronze), clean_audit(bronze)
+
+
+def job_company_list(docs: DataFrame, old: DataFrame | None, batch_time) -> DataFrame:
+    """job_company_list: company JSON documents -> the merged company list."""
+    batch = parse_company_json(docs, batch_time).select("cik", "ticker", "title")
+    return upsert_company_list(old, batch, batch_time)
+
+
+def job_fundamentals(info: DataFrame, daily: DataFrame | None, old: DataFrame | None) -> DataFrame:
+    """job_fundamentals: attribute JSON and daily prices -> clean rows of all 27
+    columns, merged into the snapshot table."""
+    return upsert_snapshot(old, clean_fundamentals(fundamentals_rows(info, daily=daily)))
+
+
+def job_screen(fundamentals: DataFrame, old: DataFrame | None) -> DataFrame:
+    """job_screen: the latest batch of the fundamentals table through the screen,
+    merged into the screen table."""
+    latest = fundamentals.agg(F.max("created_at").alias("d")).scalar()
+    return upsert_snapshot(old, screen(fundamentals.filter(F.col("created_at") == latest)))
+
+
+def staging_view(gold: DataFrame, period: str, as_of: str | None = None, lookback_years: int = 2) -> DataFrame:
+    """flt_period / flt_daily_lookback: ticker, Date and the three signals of one
+    period; on a table partitioned by period only that partition is read."""
+    rows = gold.filter(F.col("period") == period)
+    if as_of is not None:
+        rows = rows.filter(F.col("Date") >= F.add_months(F.to_date(F.lit(as_of)), -12 * lookback_years))
+    return rows.select("ticker", "Date", "Side_1", "Side_2", "Side_3")
+
+
 def job_gold(silver: DataFrame, periods=PERIODS, gap_policy: str = "emit",
              ip: IndicatorParams = DEFAULT_INDICATORS, pp: PatternParams = DEFAULT_PATTERNS,
              truncate: bool = True) -> DataFrame:

@@ -7,7 +7,12 @@ tables; it shares no code path with the Spark implementation.
 
 from __future__ import annotations
 
-from candlewick.params import ASOF_OFFSET_DAYS, period_step
+from candlewick.params import period_step
+
+# --- fixed values, stated again so that a wrong constant shows ----------------
+ASOF_DAYS = {"W": 8, "2W": 15, "3W": 22, "ME": 32, "2ME": 63, "3ME": 93}
+MART_NAMES = {"W": "W", "2W": "2W", "3W": "3W", "ME": "ME", "2ME": "2M", "3ME": "3M"}
+# ------------------------------------------------------------------------------
 
 # ----------------------------------------------------------------------------
 # Fixture views
@@ -72,8 +77,10 @@ def resample_sql(period: str, bars: str = BARS_WIDE) -> str:
 
 
 def all_periods_sql(bars: str = BARS_WIDE) -> str:
+    """Bars of all periods; the daily bars are computed once."""
     from candlewick.params import PERIODS
-    return " UNION ALL ".join(f"({resample_sql(p, bars)})" for p in PERIODS)
+    parts = " UNION ALL ".join(f"({resample_sql(p, 'SELECT * FROM daily_bars')})" for p in PERIODS)
+    return f"WITH daily_bars AS MATERIALIZED ({bars}) {parts}"
 
 
 # ----------------------------------------------------------------------------
@@ -203,21 +210,25 @@ def r(col: str, digits: int = 6) -> str:
     return f'{rnd(chr(34) + col + chr(34), digits)} AS "{col}"'
 
 
+def _nearest_periods(rows: str, values, names: dict[str, str]) -> tuple[list[str], str]:
+    """Per longer period the columns and the chain of ASOF joins that give each
+    daily row ``d`` the period's last row up to its date plus the tolerance."""
+    columns, joins = [], ""
+    for period, days in ASOF_DAYS.items():
+        rel = f"near_{names[period]}"
+        joins += f"""
+      ASOF LEFT JOIN (SELECT * FROM {rows} WHERE period = '{period}') {rel}
+        ON d.ticker = {rel}.ticker AND d."Date" + {days} >= {rel}."Date" """
+        columns += [f'{rel}."{c}" AS "{c}_{names[period]}"' for c in ("Date", *values)]
+    return columns, joins
+
+
 def asof_sql(values=("Close",)) -> str:
-    """LATERAL as-of lookup of every longer period onto the daily rows."""
-    allp = all_periods_sql()
-    parts, cols = [], ['b.ticker', 'b."Date" AS "Date_D"']
-    for p, n in ASOF_OFFSET_DAYS.items():
-        a = f"a_{p}"
-        parts.append(f"""LEFT JOIN LATERAL (SELECT "Date", {', '.join(f'"{v}"' for v in values)} FROM allp
-             WHERE period = '{p}' AND ticker = b.ticker AND "Date" <= b."Date" + INTERVAL '{n} days'
-             ORDER BY "Date" DESC LIMIT 1) {a} ON TRUE""")
-        cols.append(f'{a}."Date" AS "Date_{p}"')
-        cols.extend(f'{a}."{v}" AS "{v}_{p}"' for v in values)
-    return f"""WITH allp AS ({allp})
-    SELECT {', '.join(cols)}
-    FROM (SELECT * FROM allp WHERE period = 'D') b
-    {' '.join(parts)}"""
+    """As-of lookup of every longer period onto the daily rows."""
+    columns, joins = _nearest_periods("every_bar", values, {p: p for p in ASOF_DAYS})
+    return f"""WITH every_bar AS MATERIALIZED ({all_periods_sql()})
+    SELECT d.ticker, d."Date" AS "Date_D", {', '.join(columns)}
+    FROM (SELECT * FROM every_bar WHERE period = 'D') d {joins}"""
 
 
 def patterns_sql(series: str = DAILY_WIDE) -> str:
@@ -227,8 +238,8 @@ def patterns_sql(series: str = DAILY_WIDE) -> str:
     for prominence, and range joins over [search, i) for the swing searches."""
     ind = indicators_sql(series)
     return f"""
-    WITH RECURSIVE base AS (SELECT * FROM ({ind}) i),
-    sigs AS (SELECT ticker, rn, 'pp' AS sig, x AS v FROM base
+    WITH RECURSIVE base AS MATERIALIZED (SELECT * FROM ({ind}) i),
+    sigs AS MATERIALIZED (SELECT ticker, rn, 'pp' AS sig, x AS v FROM base
              UNION ALL SELECT ticker, rn, 'pt', -x FROM base
              UNION ALL SELECT ticker, rn, 'fp', "FI_2" FROM base
              UNION ALL SELECT ticker, rn, 'ft', -"FI_2" FROM base),
@@ -273,13 +284,12 @@ def patterns_sql(series: str = DAILY_WIDE) -> str:
              FROM kept f JOIN sigs s ON s.ticker = f.ticker AND s.sig = f.sig AND s.rn = f.pos
              JOIN lst l ON l.ticker = f.ticker AND l.sig = f.sig AND l.rn = f.pos
              JOIN rst r ON r.ticker = f.ticker AND r.sig = f.sig AND r.rn = f.pos),
-    pm AS (SELECT p.*,
-                  (SELECT min(s3.v) FROM sigs s3 WHERE s3.ticker = p.ticker AND s3.sig = p.sig
-                     AND s3.rn > coalesce(p.lj, -1) AND s3.rn <= p.pos) AS lmin,
-                  (SELECT min(s3.v) FROM sigs s3 WHERE s3.ticker = p.ticker AND s3.sig = p.sig
-                     AND s3.rn >= p.pos AND s3.rn < coalesce(p.rj, 2147483647)) AS rmin
-           FROM prom p),
-    ext AS (SELECT ticker, sig, pos FROM pm
+    pm AS (SELECT p.ticker, p.sig, p.pos, any_value(p.h) AS h, min(s3.v) FILTER (s3.rn <= p.pos) AS lmin,
+                  min(s3.v) FILTER (s3.rn >= p.pos) AS rmin
+           FROM prom p JOIN sigs s3 ON s3.ticker = p.ticker AND s3.sig = p.sig
+                AND s3.rn > coalesce(p.lj, -1) AND s3.rn < coalesce(p.rj, 2147483647)
+           GROUP BY p.ticker, p.sig, p.pos),
+    ext AS MATERIALIZED (SELECT ticker, sig, pos FROM pm
             WHERE h - greatest(lmin, rmin) >= CASE WHEN sig IN ('pp', 'pt') THEN 1 ELSE 5 END
               AND (sig IN ('pp', 'pt') OR h > 0)),
     sp AS (SELECT b.ticker, b.rn, b.x, b."ATR" AS atr, e.sig,
@@ -292,7 +302,7 @@ def patterns_sql(series: str = DAILY_WIDE) -> str:
                      AND CASE WHEN sig = 'pp' THEN x > lag(x, 1) OVER w ELSE x < lag(x, 1) OVER w END THEN lag(rn, 1) OVER w
                 END AS s
               FROM sp WINDOW w AS (PARTITION BY ticker, sig ORDER BY rn)),
-    sw AS (SELECT ticker, rn AS i, s, CASE WHEN sig = 'pp' THEN 'Down' ELSE 'Up' END AS dir FROM swing WHERE s IS NOT NULL),
+    sw AS MATERIALIZED (SELECT ticker, rn AS i, s, CASE WHEN sig = 'pp' THEN 'Down' ELSE 'Up' END AS dir FROM swing WHERE s IS NOT NULL),
     iv AS (SELECT ticker, rn, 'MACD_hist' AS name, 30.0::DOUBLE AS thr, "MACD_hist" AS val FROM base
            UNION ALL SELECT ticker, rn, 'FI_13', 70.0::DOUBLE, "FI_13" FROM base),
     dv AS (SELECT sw.ticker, sw.i, sw.dir, a.name, b.rn AS j,
@@ -351,39 +361,24 @@ def gold_sides_sql(bars: str = BARS_WIDE) -> str:
 
 
 def conclusion_sql(bars: str = BARS_WIDE) -> str:
-    """Entry-conclusion mart: LATERAL as-of of every longer period, minus each
-    ticker's latest daily row."""
-    from candlewick.params import MART_SUFFIX
-    parts, dates, sides = [], [], {s: [] for s in ("Side_1", "Side_2", "Side_3")}
-    for p, n in ASOF_OFFSET_DAYS.items():
-        a = f"a_{p}"
-        parts.append(f"""LEFT JOIN LATERAL (SELECT "Date", "Side_1", "Side_2", "Side_3" FROM gold
-             WHERE period = '{p}' AND ticker = b.ticker AND "Date" <= b."Date" + INTERVAL '{n} days'
-             ORDER BY "Date" DESC LIMIT 1) {a} ON TRUE""")
-        dates.append(f'{a}."Date" AS "Date_{MART_SUFFIX[p]}"')
-        for s in sides:
-            sides[s].append(f'{a}."{s}" AS "{s}_{MART_SUFFIX[p]}"')
-    cols = ['b.ticker', 'b."Date" AS "Date_D"', *dates]
-    for s, lst in sides.items():
-        cols += [f'b."{s}" AS "{s}_D"', *lst]
-    return f"""WITH gold AS ({gold_sides_sql(bars)})
-    SELECT * EXCLUDE (max_date) FROM (
-      SELECT {', '.join(cols)}, max(b."Date") OVER (PARTITION BY b.ticker) AS max_date
-      FROM (SELECT * FROM gold WHERE period = 'D') b
-      {' '.join(parts)}) x
-    WHERE "Date_D" < max_date"""
+    """Entry-conclusion mart: the last row of every longer period near each
+    daily row; a ticker's last daily row is left out."""
+    columns, joins = _nearest_periods("signals", ("Side_1", "Side_2", "Side_3"), MART_NAMES)
+    return f"""WITH signals AS MATERIALIZED ({gold_sides_sql(bars)}),
+    ends AS (SELECT ticker, max("Date") AS final FROM signals WHERE period = 'D' GROUP BY ticker)
+    SELECT d.ticker, d."Date" AS "Date_D", d."Side_1" AS "Side_1_D", d."Side_2" AS "Side_2_D", d."Side_3" AS "Side_3_D",
+           {', '.join(columns)}
+    FROM (SELECT s.* FROM signals s JOIN ends e ON s.ticker = e.ticker WHERE period = 'D' AND s."Date" <> e.final) d {joins}"""
 
 
 def report_sql(bars: str = BARS_WIDE) -> str:
     """Report rows: every mart value as text, NULL as 'None', dates ISO."""
-    from candlewick.params import MART_SUFFIX
-    names = ["ticker"] + [f"Date_{MART_SUFFIX[p]}" for p in ("D", *ASOF_OFFSET_DAYS)]
-    names += [f"{s}_{MART_SUFFIX[p]}" for s in ("Side_1", "Side_2", "Side_3") for p in ("D", *ASOF_OFFSET_DAYS)]
-    cols = []
-    for c in names:
-        expr = f'strftime("{c}", \'%Y-%m-%d\')' if c.startswith("Date_") else f'CAST("{c}" AS VARCHAR)'
-        cols.append(f"COALESCE({expr}, 'None') AS \"{c}\"")
-    return f"SELECT {', '.join(cols)} FROM ({conclusion_sql(bars)}) c"
+    periods = ["D", *MART_NAMES.values()]
+    dates = [f"Date_{p}" for p in periods]
+    texts = ["ticker", *(f"Side_{k}_{p}" for k in (1, 2, 3) for p in periods)]
+    shown = [f"coalesce(strftime(\"{c}\", '%Y-%m-%d'), 'None') AS \"{c}\"" for c in dates]
+    shown += [f"coalesce(\"{c}\", 'None') AS \"{c}\"" for c in texts]
+    return f"SELECT {', '.join(shown)} FROM ({conclusion_sql(bars)}) c"
 
 
 def _trunc2(expr: str) -> str:

@@ -6,18 +6,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from candlewick.functions.scalars import safe_ratio
 from candlewick.operators import ticks as tk
 from candlewick.operators.screen import screen, screen_summary
 from candlewick.operators.upsert import (update_company_list, upsert_company_list, upsert_gold_history,
                                          upsert_snapshot, warehouse_merge)
 from candlewick.operators.windows import (dedupe_priority, drop_latest_n, drop_latest_per_key, latest_row)
 from candlewick.operators.resample import resample
+from candlewick.params import PERIODS
 from candlewick.plans import oracles as O
 from candlewick.plans.registry import _analysed_daily, register
 from candlewick.sources import fixtures as fx
-from candlewick.sources.records import (clean_fundamentals, fundamentals_rows, parse_company_json,
-                                        parse_trade_envelopes)
+from candlewick.sources.records import (clean_fundamentals, fundamentals_rows, high_ratios, parse_company_json,
+                                        parse_trade_envelopes, with_high_ratios)
 
 ALLP = O.all_periods_sql()
 DAILY = O.resample_sql("D")
@@ -26,6 +26,11 @@ GOLD_OLD = f"SELECT * FROM ({ALLP}) a WHERE \"Date\" <= DATE '{fx.GOLD_CUT}'"
 GOLD_NEW = f"""SELECT ticker, period, "Date",
        CASE WHEN "Date" >= DATE '{fx.GOLD_CHANGE_FROM}' THEN "Close" + 1.0::DOUBLE ELSE "Close" END AS "Close"
 FROM ({ALLP}) a WHERE ticker IN ({SUPP_LOW})"""
+# both tables from one pass over the bars
+_GOLD_PAIR = f"""every_bar AS MATERIALIZED ({ALLP}),
+held AS MATERIALIZED (SELECT "Date", ticker, period, "Close" FROM every_bar WHERE "Date" <= DATE '{fx.GOLD_CUT}'),
+fresh AS MATERIALIZED (SELECT "Date", ticker, period, "Close" + ("Date" >= DATE '{fx.GOLD_CHANGE_FROM}')::INTEGER AS "Close"
+                       FROM every_bar SEMI JOIN ({SUPP_LOW}) low USING (ticker))"""
 KEYC = '"Date", ticker, period, "Close"'
 
 
@@ -71,13 +76,22 @@ def q_dedupe(spark, sf):
     both = old.withColumn("_p", F.lit(1)).unionByName(new.withColumn("_p", F.lit(2)))
     return dedupe_priority(both, ["Date", "ticker", "period"], "_p").select("Date", "ticker", "period", "Close")
 
-register("flt_period", f"SELECT ticker, \"Date\", \"Close\" FROM ({ALLP}) a WHERE period = 'W'")(
-    lambda spark, sf: _all_bars(spark, sf).filter(F.col("period") == "W").select("ticker", "Date", "Close"))
+def _sides_sql(period: str, where: str = "true") -> str:
+    bars = f"SELECT ticker, \"Date\", \"High\", \"Low\", \"Close\", \"Volume\" FROM ({O.resample_sql(period)}) b"
+    return f'SELECT ticker, "Date", "Side_1", "Side_2", "Side_3" FROM ({O.patterns_sql(bars)}) p WHERE {where}'
 
-register("flt_daily_lookback", f"""
-SELECT ticker, "Date", "Close" FROM ({DAILY}) d WHERE "Date" >= DATE '{fx.AS_OF}' - INTERVAL 2 YEAR""")(
-    lambda spark, sf: _daily(spark, sf).filter(F.col("Date") >= F.add_months(F.to_date(F.lit(fx.AS_OF)), -24))
-    .select("ticker", "Date", "Close"))
+
+def _staging_query(period, **options):
+    def q(spark, sf):
+        from candlewick.plans.jobs import job_gold, staging_view
+        gold = job_gold(fx.with_silver_columns(_daily(spark, sf)), periods=(period,), gap_policy="drop")
+        return staging_view(gold, period, **options)
+    return q
+
+
+register("flt_period", _sides_sql("W"))(_staging_query("W"))
+register("flt_daily_lookback", _sides_sql("D", f"\"Date\" >= DATE '{fx.AS_OF}' - INTERVAL 2 YEAR"))(
+    _staging_query("D", as_of=fx.AS_OF))
 
 register("flt_drop_latest", f"""
 SELECT ticker, "Date", "Close" FROM ({DAILY}) d
@@ -89,14 +103,18 @@ QUALIFY "Date" < max("Date") OVER (PARTITION BY ticker)""")(
 # Gold history maintenance
 # ----------------------------------------------------------------------------
 
-def _gold_history_sql(keys: str) -> str:
+def _gold_history_sql(scope: str) -> str:
+    """The two newest held rows per scope of a renewed ticker are given up; of
+    what is left, the held row of a key comes before the fresh one."""
     return f"""
-WITH o AS ({GOLD_OLD}), n AS ({GOLD_NEW}),
-kept AS (SELECT "Date", ticker, period, "Close", 1 AS _p
-         FROM (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY "Date" DESC, period) AS _rn FROM o) x
-         WHERE ticker NOT IN (SELECT ticker FROM n) OR _rn > 2),
-u AS (SELECT * FROM kept UNION ALL SELECT "Date", ticker, period, "Close", 2 FROM n)
-SELECT {KEYC} FROM u QUALIFY row_number() OVER (PARTITION BY "Date", ticker, period ORDER BY _p) = 1"""
+WITH {_GOLD_PAIR},
+given_up AS (SELECT unnest(arg_min(key, (-epoch("Date"), period), 2)) AS key
+             FROM (SELECT {scope}, "Date", period, {{'d': "Date", 't': ticker, 'p': period}} AS key
+                   FROM held SEMI JOIN fresh USING (ticker)) z GROUP BY {scope}),
+stacked AS (SELECT h.*, 1 AS age FROM held h ANTI JOIN given_up g
+              ON h."Date" = g.key.d AND h.ticker = g.key.t AND h.period = g.key.p
+            UNION ALL SELECT *, 2 FROM fresh)
+SELECT "Date", ticker, period, arg_min("Close", age) AS "Close" FROM stacked GROUP BY "Date", ticker, period"""
 
 
 def _gold_history_query(scope):
@@ -110,19 +128,22 @@ register("up_gold_history", _gold_history_sql("ticker, period"))(_gold_history_q
 register("up_gold_history_ticker", _gold_history_sql("ticker"))(_gold_history_query("ticker"))
 
 @register("up_warehouse_merge", f"""
-WITH t AS ({GOLD_OLD}), s AS (SELECT * FROM ({GOLD_NEW}) n WHERE period = 'W'),
-scoped AS (SELECT * FROM t WHERE period = 'W' AND ticker IN (SELECT ticker FROM s)),
-hot AS (SELECT DISTINCT "Date" FROM (SELECT "Date", row_number() OVER (PARTITION BY ticker, period ORDER BY "Date" DESC) AS rn
-                                     FROM scoped) z WHERE rn <= 2),
-doomed AS (SELECT "Date", ticker, period FROM scoped WHERE "Date" IN (SELECT "Date" FROM hot)),
-remaining AS (SELECT * FROM t WHERE NOT EXISTS (SELECT 1 FROM doomed d WHERE d."Date" = t."Date" AND d.ticker = t.ticker AND d.period = t.period))
-SELECT {KEYC} FROM remaining r
-WHERE NOT EXISTS (SELECT 1 FROM s WHERE s."Date" = r."Date" AND s.ticker = r.ticker AND s.period = r.period)
-UNION ALL SELECT {KEYC} FROM s""")
+WITH {_GOLD_PAIR},
+staged AS MATERIALIZED (SELECT * FROM fresh WHERE period = 'W'),
+late AS (SELECT DISTINCT unnest(max("Date", 2)) AS "Date" FROM held SEMI JOIN staged USING (ticker)
+         WHERE period = 'W' GROUP BY ticker),
+untouched AS (SELECT * FROM held ANTI JOIN staged USING ("Date", ticker, period))
+SELECT {KEYC} FROM untouched u
+WHERE period <> 'W' OR ticker NOT IN (SELECT ticker FROM staged) OR "Date" NOT IN (SELECT "Date" FROM late)
+UNION ALL SELECT {KEYC} FROM staged""")
 def q_warehouse_merge(spark, sf):
-    target, new = _gold_pair(spark, sf)
-    staged = new.filter(F.col("period") == "W")
-    return warehouse_merge(target, staged, "W").select("Date", "ticker", "period", "Close")
+    """The merge reads and rebuilds one period; the others are passed on."""
+    def bars(periods):
+        both = resample(fx.bars_wide(spark, sf), periods=periods, gap_policy="drop").select("Date", "ticker", "period", "Close")
+        return both
+    week = bars(("W",))
+    merged = warehouse_merge(fx.gold_old(week), fx.gold_new(spark, sf, week).select(*week.columns))
+    return fx.gold_old(bars(tuple(p for p in PERIODS if p != "W"))).unionByName(merged)
 
 
 # ----------------------------------------------------------------------------
@@ -196,28 +217,51 @@ _TICKER = "CASE WHEN p_partkey = 1 THEN 'AAPL' WHEN p_partkey = 2 THEN 'NVDA' WH
 FUND = (f"SELECT DATE '2024-01-31' AS created_at, {_TICKER} AS ticker, "
         + ", ".join(f"{v} AS {a}" for a, v in _fund_cols().items()) + " FROM part")
 
-_INST = "institutional_share >= 0.4 AND institutional_share < 0.95"
-SCREEN_SQL = f"""
-SELECT created_at, ticker, is_selected FROM (
-  SELECT created_at, ticker, CASE
-    WHEN market_cap >= 1e9 AND price_to_sales >= 2 AND price_to_sales <= 10 AND roe > 0.05 AND roe <= 0.25
-         AND current_ratio >= 2.5 AND debt_to_equity <= 10 AND roa_ttm > 0 AND eps_ttm > 0 AND operating_cash_flow > 0
-         AND {_INST} AND analyst_mean <= 3 THEN 'HighGrowth'
-    WHEN market_cap >= 4e8 AND price_to_sales >= 2 AND price_to_sales <= 7 AND roe > 0.15 AND roe <= 0.25
-         AND current_ratio >= 2 AND debt_to_equity <= 10 AND roa_ttm > 0 AND eps_ttm > 0 AND operating_cash_flow > 0
-         AND current_price >= 15 AND revenue >= 5e7 AND {_INST} AND analyst_mean <= 2 THEN 'SteadyGrowth'
-    WHEN price_to_sales <= 1.5 AND roe > 0.15 AND roe <= 0.25 AND current_ratio >= 1.1 AND debt_to_equity <= 50
-         AND roa_ttm > 0 AND eps_ttm > 0 AND current_price > 0 AND revenue >= 5e7 AND avg_daily_volume >= 50000
-         AND {_INST} AND analyst_mean >= 3 THEN 'Distressed'
-    WHEN change_52w >= 3 AND high_52w_ratio >= 0.9 AND current_price >= 15 AND avg_daily_volume >= 50000
-         AND {_INST} AND analyst_mean <= 2 AND analyst_key IS NOT NULL THEN 'Super'
-    WHEN ticker IN ('AAPL', 'MSFT', 'GOOGL', 'AMZN', 'NVDA', 'META', 'TSLA', 'NFLX') THEN 'Magnificent_8'
-    WHEN ticker IN ('QQQ', 'SPY', 'DIA') THEN 'ETF_1'
-  END AS is_selected FROM (%s) f) s
-WHERE is_selected IS NOT NULL"""
-
-register("flt_screen", SCREEN_SQL % FUND)(lambda spark, sf: screen(fx.fundamentals(spark, sf)))
-register("ag_screen_summary", f"""SELECT created_at, is_selected, count(*) AS n_rows FROM ({SCREEN_SQL % FUND}) s
+# --- fixed values, stated again so that a wrong bound shows: tier, column, comparison, bound
+SCREEN_RULES = """
+1 HighGrowth market_cap >= 1e9; 1 HighGrowth price_to_sales >= 2; 1 HighGrowth price_to_sales <= 10;
+1 HighGrowth roe > 0.05; 1 HighGrowth roe <= 0.25; 1 HighGrowth current_ratio >= 2.5; 1 HighGrowth debt_to_equity <= 10;
+1 HighGrowth roa_ttm > 0; 1 HighGrowth eps_ttm > 0; 1 HighGrowth operating_cash_flow > 0;
+1 HighGrowth institutional_share >= 0.4; 1 HighGrowth institutional_share < 0.95; 1 HighGrowth analyst_mean <= 3;
+2 SteadyGrowth market_cap >= 4e8; 2 SteadyGrowth price_to_sales >= 2; 2 SteadyGrowth price_to_sales <= 7;
+2 SteadyGrowth roe > 0.15; 2 SteadyGrowth roe <= 0.25; 2 SteadyGrowth current_ratio >= 2; 2 SteadyGrowth debt_to_equity <= 10;
+2 SteadyGrowth roa_ttm > 0; 2 SteadyGrowth eps_ttm > 0; 2 SteadyGrowth operating_cash_flow > 0;
+2 SteadyGrowth current_price >= 15; 2 SteadyGrowth revenue >= 5e7; 2 SteadyGrowth institutional_share >= 0.4;
+2 SteadyGrowth institutional_share < 0.95; 2 SteadyGrowth analyst_mean <= 2;
+3 Distressed price_to_sales <= 1.5; 3 Distressed roe > 0.15; 3 Distressed roe <= 0.25; 3 Distressed current_ratio >= 1.1;
+3 Distressed debt_to_equity <= 50; 3 Distressed roa_ttm > 0; 3 Distressed eps_ttm > 0; 3 Distressed current_price > 0;
+3 Distressed revenue >= 5e7; 3 Distressed avg_daily_volume >= 50000; 3 Distressed institutional_share >= 0.4;
+3 Distressed institutional_share < 0.95; 3 Distressed analyst_mean >= 3;
+4 Super change_52w >= 3; 4 Super high_52w_ratio >= 0.9; 4 Super current_price >= 15; 4 Super avg_daily_volume >= 50000;
+4 Super institutional_share >= 0.4; 4 Super institutional_share < 0.95; 4 Super analyst_mean <= 2; 4 Super has_key >= 1"""
+TICKER_TIERS = (("Magnificent_8", "AAPL MSFT GOOGL AMZN NVDA META TSLA NFLX"), ("ETF_1", "QQQ SPY DIA"))
+# ------------------------------------------------------------------------------
+
+
+def _screen_sql(fundamentals: str) -> str:
+    """Counts, per row and tier, the rules that a value satisfies; a tier holds
+    if all of its rules do (a missing value satisfies none)."""
+    rules = [r.split() for r in SCREEN_RULES.split(";")]
+    table = ", ".join(f"({rank}, '{tier}', '{col}', '{op}', {bound}::DOUBLE)" for rank, tier, col, op, bound in rules)
+    columns = ", ".join(sorted({r[2] for r in rules}))
+    listed = ", ".join(f"({5 + i}, '{tier}', '{t}')" for i, (tier, names) in enumerate(TICKER_TIERS) for t in names.split())
+    return f"""
+  WITH wide AS (SELECT *, CASE WHEN analyst_key IS NOT NULL THEN 1.0::DOUBLE END AS has_key FROM ({fundamentals}) f),
+  long AS (SELECT created_at, ticker, col, val FROM (SELECT created_at, ticker, {', '.join(
+      f'{c}::DOUBLE AS {c}' for c in sorted({r[2] for r in rules}))} FROM wide) w UNPIVOT (val FOR col IN ({columns}))),
+  rules(rank, tier, col, op, bound) AS (VALUES {table}),
+  asked AS (SELECT rank, tier, count(*) AS n FROM rules GROUP BY ALL),
+  met AS (SELECT created_at, ticker, rank, count(*) AS n FROM long JOIN rules USING (col)
+          WHERE CASE op WHEN '>=' THEN val >= bound WHEN '<=' THEN val <= bound WHEN '>' THEN val > bound ELSE val < bound END
+          GROUP BY ALL),
+  held AS (SELECT created_at, ticker, rank, tier FROM met JOIN asked USING (rank, n)
+           UNION ALL SELECT created_at, ticker, rank, tier FROM wide
+           JOIN (VALUES {listed}) v(rank, tier, ticker) USING (ticker))
+  SELECT created_at, ticker, arg_min(tier, rank) AS is_selected FROM held GROUP BY created_at, ticker"""
+
+
+register("flt_screen", _screen_sql(FUND))(lambda spark, sf: screen(fx.fundamentals(spark, sf)))
+register("ag_screen_summary", f"""SELECT created_at, is_selected, count(*) AS n_rows FROM ({_screen_sql(FUND)}) s
 GROUP BY created_at, is_selected""")(lambda spark, sf: screen_summary(screen(fx.fundamentals(spark, sf))))
 register("flt_ticker_list", """SELECT ticker FROM (SELECT CASE WHEN p_partkey = 1 THEN 'AAPL' WHEN p_partkey = 2 THEN 'NVDA'
   WHEN p_partkey = 3 THEN 'SPY' ELSE 'P' || CAST(p_partkey AS VARCHAR) END AS ticker FROM part) p
@@ -258,40 +302,62 @@ _FUND_ROWS_COLS = {
     "trailing_pe": f"CASE WHEN p_partkey % 11 = 0 OR p_partkey % 13 = 0 THEN NULL ELSE {_t3('(p_partkey % 50) * 1.25::DOUBLE')} END",
     "forward_pe": "CAST(NULL AS DOUBLE)",
     **{a: _t3(_fund_cols()[a]) for a in ("price_to_sales", "current_ratio", "debt_to_equity", "roe", "roa_ttm", "eps_ttm")},
-    "eps_growth": "CAST(NULL AS DOUBLE)", "eps_forward": "CAST(NULL AS DOUBLE)", "net_income": "CAST(NULL AS DOUBLE)",
+    "eps_growth": "CAST(NULL AS DOUBLE)", "eps_forward": "CAST(NULL AS DOUBLE)",
+    "net_income": "CASE WHEN p_partkey % 19 = 0 THEN 1e17::DOUBLE END",
     "operating_cash_flow": _t3(_fund_cols()["operating_cash_flow"]),
     "revenue_growth": "CAST(NULL AS DOUBLE)",
     "revenue": _t3(_fund_cols()["revenue"]),
-    "current_price": _t3("p_retailprice"),
+    "current_price": _t3("price"),
     "low_52w": "CAST(NULL AS DOUBLE)", "high_52w": "CAST(NULL AS DOUBLE)",
     "change_52w": _t3(_fund_cols()["change_52w"]),
     "avg_daily_volume": _t3(_fund_cols()["avg_daily_volume"]),
     "institutional_share": _t3(_fund_cols()["institutional_share"]),
     "analyst_mean": _t3(_fund_cols()["analyst_mean"]),
     "analyst_key": "CASE WHEN p_partkey % 9 = 0 OR p_partkey % 7 = 0 THEN NULL ELSE 'buy' END",
+    "all_time_high_ratio": _t3("trunc(price / nullif(hi, 0) * 100.0::DOUBLE) / 100.0::DOUBLE"),
+    "high_52w_ratio": _t3("trunc(price / nullif(hi52, 0) * 100.0::DOUBLE) / 100.0::DOUBLE"),
 }
-register("src_fundamentals_rows", f"SELECT DATE '2024-01-31' AS created_at, {_TICKER} AS ticker, "
-         + ", ".join(f"{v} AS {a}" for a, v in _FUND_ROWS_COLS.items()) + " FROM part")(
-    lambda spark, sf: clean_fundamentals(fundamentals_rows(fx.fundamentals_info(spark, sf))))
-
-register("ag_high_ratio", f"""
-WITH d AS ({DAILY}),
-a AS (SELECT ticker, max("Date") AS last, max("Close") AS hi, arg_max("Close", "Date") AS cur FROM d GROUP BY ticker),
-h AS (SELECT d.ticker, max(d."Close") AS hi52 FROM d JOIN a USING (ticker) WHERE d."Date" > a.last - INTERVAL 365 DAY GROUP BY d.ticker)
-SELECT a.ticker, a.cur AS current_price,
-       CASE WHEN a.hi <> 0 THEN CAST(trunc((a.cur / a.hi) * 100.0::DOUBLE) AS BIGINT) / 100.0::DOUBLE END AS all_time_high_ratio,
-       CASE WHEN h.hi52 <> 0 THEN CAST(trunc((a.cur / h.hi52) * 100.0::DOUBLE) AS BIGINT) / 100.0::DOUBLE END AS high_52w_ratio
-FROM a JOIN h USING (ticker)""")
+_HIGHS = f"""
+  SELECT ticker, any_value(cur) AS cur, max("Close") AS hi, max("Close") FILTER ("Date" > final - 365) AS hi52
+  FROM (SELECT *, max("Date") OVER t AS final, last("Close") OVER (t ORDER BY "Date" ROWS BETWEEN UNBOUNDED PRECEDING
+                 AND UNBOUNDED FOLLOWING) AS cur FROM ({DAILY}) d WINDOW t AS (PARTITION BY ticker)) z GROUP BY ticker"""
+
+
+def _fund_rows_sql(day: str, where: str = "true") -> str:
+    return f"""SELECT DATE '{day}' AS created_at, ticker, {', '.join(f'{v} AS {a}' for a, v in _FUND_ROWS_COLS.items())}
+    FROM (SELECT p.*, {_TICKER} AS ticker, h.hi, h.hi52, coalesce(CASE WHEN p_partkey % 23 <> 0 THEN p_retailprice END, h.cur) AS price
+          FROM part p LEFT JOIN ({_HIGHS}) h ON {_TICKER} = 'P' || substr(h.ticker, 2) WHERE {where}) q"""
+
+
+@register("src_fundamentals_rows", _fund_rows_sql("2024-01-31"))
+def q_fundamentals_rows(spark, sf):
+    return clean_fundamentals(fundamentals_rows(fx.fundamentals_info(spark, sf), daily=fx.part_daily(spark, sf)))
+
+
+@register("ag_high_ratio", f"""
+SELECT ticker, cur AS current_price, trunc(cur / nullif(hi, 0) * 100.0::DOUBLE) / 100.0::DOUBLE AS all_time_high_ratio,
+       trunc(cur / nullif(hi52, 0) * 100.0::DOUBLE) / 100.0::DOUBLE AS high_52w_ratio FROM ({_HIGHS}) h""")
 def q_high_ratio(spark, sf):
     d = _daily(spark, sf)
-    a = d.groupBy("ticker").agg(F.max("Date").alias("last"), F.max("Close").alias("hi"),
-                                F.max_by("Close", "Date").alias("cur"))
-    h = (d.join(a.select("ticker", "last"), "ticker")
-         .filter(F.col("Date") > F.date_sub("last", 365)).groupBy("ticker").agg(F.max("Close").alias("hi52")))
-    return a.join(h, "ticker").select(
-        "ticker", F.col("cur").alias("current_price"),
-        safe_ratio(F.col("cur"), F.col("hi")).alias("all_time_high_ratio"),
-        safe_ratio(F.col("cur"), F.col("hi52")).alias("high_52w_ratio"))
+    blank = d.select("ticker").distinct().select(
+        "ticker", *[F.lit(None).cast("double").alias(c) for c in ("current_price", "all_time_high_ratio", "high_52w_ratio")])
+    return with_high_ratios(blank, high_ratios(d))
+
+
+_FUND_SHOWN = ["created_at", "ticker", "market_cap", "current_price", "eps_forward", "net_income", "all_time_high_ratio",
+               "high_52w_ratio"]
+
+
+@register("job_fundamentals", f"""
+SELECT {', '.join(_FUND_SHOWN)} FROM ({_fund_rows_sql('2024-01-31')}) a
+UNION ALL SELECT {', '.join(_FUND_SHOWN)} FROM ({_fund_rows_sql('2024-02-29', 'p_size >= 25')}) b""")
+def q_job_fundamentals(spark, sf):
+    from candlewick.plans.jobs import job_fundamentals
+    daily, part = fx.part_daily(spark, sf), fx.table(spark, sf, "part")
+    old = job_fundamentals(fx.fundamentals_info(spark, sf), daily, None)
+    again = fx.fundamentals_info(spark, sf, part.filter("p_size >= 25"))
+    batch = again.unionByName(again.withColumn("created_at", F.to_date(F.lit("2024-02-29"))))
+    return job_fundamentals(batch, daily, old).select(*_FUND_SHOWN)
 
 
 # ----------------------------------------------------------------------------
@@ -308,10 +374,20 @@ def _supp(spark, sf, low=False):
     return s.select(F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("ticker"))
 
 
-register("jn_missing", f"SELECT ticker FROM ({_SUPP_T}) s WHERE ticker NOT IN (SELECT ticker FROM ({DAILY}) d)")(
-    lambda spark, sf: _supp(spark, sf).join(_daily(spark, sf).select("ticker"), "ticker", "left_anti"))
-register("set_difference", f"SELECT ticker FROM ({_SUPP_T}) s EXCEPT SELECT ticker FROM ({DAILY}) d")(
-    lambda spark, sf: _supp(spark, sf).select("ticker").exceptAll(_daily(spark, sf).select("ticker")).distinct())
+# requested tickers: every supplier, some of them twice, and some that have no bars
+_ASKED = f"""{_SUPP_T} UNION ALL {SUPP_LOW}
+  UNION ALL SELECT 'X' || CAST(s_suppkey % 7 AS VARCHAR) FROM supplier"""
+
+
+def _asked(spark, sf):
+    absent = fx.table(spark, sf, "supplier").select(F.concat(F.lit("X"), (F.col("s_suppkey") % 7).cast("string")).alias("ticker"))
+    return _supp(spark, sf).unionByName(_supp(spark, sf, True)).unionByName(absent)
+
+
+register("jn_missing", f"SELECT DISTINCT ticker FROM ({_ASKED}) s WHERE ticker NOT IN (SELECT ticker FROM ({DAILY}) d)")(
+    lambda spark, sf: tk.missing_tickers(_asked(spark, sf), _daily(spark, sf)))
+register("set_difference", f"SELECT ticker FROM ({_ASKED}) s EXCEPT SELECT ticker FROM ({SUPP_LOW}) d")(
+    lambda spark, sf: _asked(spark, sf).subtract(_supp(spark, sf, True)))
 register("jn_semi", f"SELECT ticker, \"Date\", \"Close\" FROM ({DAILY}) d WHERE ticker IN ({SUPP_LOW})")(
     lambda spark, sf: _daily(spark, sf).join(_supp(spark, sf, True), "ticker", "left_semi").select("ticker", "Date", "Close"))
 register("jn_anti_list", f"SELECT ticker, \"Date\", \"Close\" FROM ({DAILY}) d WHERE ticker NOT IN ({SUPP_LOW})")(
@@ -354,10 +430,11 @@ register("ag_group_collect", f"""SELECT s, CAST({_LOCAL} AS DATE) AS date, min(t
 FROM ({TICKS}) k GROUP BY ALL""")(lambda spark, sf: tk.group_collect(fx.ticks(spark, sf)))
 
 register("st_monitor", f"""SELECT s, t, printf('[%s]  %-6s  %10.3f  vol:%6s', strftime({_LOCAL}, '%H:%M:%S'), s, p,
-       CAST(v AS VARCHAR)) AS line FROM ({TICKS}) k""")(lambda spark, sf: tk.monitor_lines(fx.ticks(spark, sf)))
+       CAST(v AS VARCHAR)) AS line FROM ({TICKS}) k WHERE {_KEEP}""")(
+    lambda spark, sf: tk.monitor_lines(tk.exclude_codes(fx.ticks(spark, sf))))
 
 register("src_trades_envelope", f"SELECT s, p, t, v, array_to_string(c, ',') AS c FROM ({TICKS}) k WHERE s <> 'error'")(
-    lambda spark, sf: parse_trade_envelopes(fx.trade_messages(spark, sf)).withColumn("c", F.array_join("c", ",")))
+    lambda spark, sf: parse_trade_envelopes(fx.trade_messages(spark, sf)).withColumn("c", F.array_join("c", ",")).drop("pos"))
 
 def _lines_sql(lines: dict) -> str:
     return "SELECT * FROM (VALUES " + ", ".join(
@@ -402,8 +479,9 @@ SELECT ticker, label, {O.rnd('threshold', 4)} AS threshold, cooldown, level FROM
   FROM ({O.indicators_sql()}) i QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY "Date" DESC) = 1) z
 UNPIVOT (threshold FOR label IN (upperband, lowerband, upper_1_7, lower_1_7)) u
 JOIN (VALUES ('upperband', 60, 'critical'), ('lowerband', 60, 'critical'), ('upper_1_7', 30, 'warning'),
-             ('lower_1_7', 30, 'warning')) v(label2, cooldown, level) ON u.label = v.label2""")(
-    lambda spark, sf: tk.alert_config(latest_row(_analysed_daily(spark, sf))).select(
+             ('lower_1_7', 30, 'warning')) v(label2, cooldown, level) ON u.label = v.label2
+WHERE ticker IN ({SUPP_LOW})""")(
+    lambda spark, sf: tk.alert_config(latest_row(_analysed_daily(spark, sf)), _supp(spark, sf, True)).select(
         "ticker", "label", (F.floor(F.col("threshold") * 10000.0 + 0.5) / 10000.0).alias("threshold"), "cooldown", "level"))
 
 
@@ -494,16 +572,29 @@ _FUND2 = (f"SELECT DATE '2024-02-29' AS created_at, {_TICKER} AS ticker, "
 
 
 @register("job_screen", f"""
-WITH o AS ({SCREEN_SQL % FUND}), n AS ({SCREEN_SQL % _FUND2})
+WITH o AS ({_screen_sql(FUND)}), n AS ({_screen_sql(_FUND2)})
 SELECT * FROM o WHERE NOT EXISTS (SELECT 1 FROM n WHERE n.created_at = o.created_at AND n.ticker = o.ticker)
 UNION ALL SELECT * FROM n""")
 def q_job_screen(spark, sf):
-    old = screen(fx.fundamentals(spark, sf))
+    from candlewick.plans.jobs import job_screen
+    first = fx.fundamentals(spark, sf)
     batch = (fx.fundamentals_from_part(fx.table(spark, sf, "part").filter(F.col("p_size") >= 25))
              .drop("p_partkey")
              .withColumn("created_at", F.to_date(F.lit("2024-02-29")))
              .withColumn("market_cap", F.col("market_cap") * 2))
-    return upsert_snapshot(old, screen(batch))
+    return job_screen(first.unionByName(batch), screen(first))
+
+
+@register("job_company_list", f"""
+SELECT cik, ticker, title, CAST(last_updated AS DATE) AS last_updated, is_active FROM (
+  SELECT o.cik, o.ticker, o.title, o.last_updated, false AS is_active FROM ({_CO_OLD}) o
+  ANTI JOIN (SELECT c_custkey AS cik FROM customer WHERE c_mktsegment <> 'BUILDING') n USING (cik)
+  UNION ALL SELECT c_custkey, 'T' || c_custkey, c_name, TIMESTAMP '{BATCH_TIME}', true
+  FROM customer WHERE c_mktsegment <> 'BUILDING') u""")
+def q_job_company_list(spark, sf):
+    from candlewick.plans.jobs import job_company_list
+    docs = fx.company_json(spark, sf, fx.table(spark, sf, "customer").filter("c_mktsegment <> 'BUILDING'"))
+    return job_company_list(docs, fx.company_old(spark, sf), BATCH_TIME).withColumn("last_updated", F.to_date("last_updated"))
 
 
 # ----------------------------------------------------------------------------

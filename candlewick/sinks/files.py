@@ -4,6 +4,7 @@ collected to the driver."""
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import DataFrame
@@ -33,23 +34,27 @@ def write_dated_parquet(df: DataFrame, path: str, partition_by=None) -> None:
 
 def write_version(df: DataFrame, table_root: str, partition_by=None) -> str:
     """snk_read_modify_write: a table that is read, merged and rewritten is
-    written to a fresh version directory; readers switch by reading the
-    ``_CURRENT`` pointer.  Spark cannot overwrite a path it is reading."""
-    version = f"{table_root}/v={uuid.uuid4().hex}"
-    write_parquet(df, version, partition_by)
-    spark = df.sparkSession
-    spark.createDataFrame([(version,)], "path string").coalesce(1).write.mode("overwrite").text(f"{table_root}/_CURRENT")
+    written to a fresh version directory, as Spark cannot overwrite a path it
+    is reading.  Names sort by time and the commit marker of the write makes a
+    version visible, so there is no pointer that could be lost."""
+    version = f"{table_root}/v={time.time_ns():020d}-{uuid.uuid4().hex}"
+    write_parquet(df, version, partition_by, mode="errorifexists")
     return version
 
 
 def current_version(spark, table_root: str) -> str | None:
-    """Path of the current version of a versioned table, or None (first run)."""
-    from pyspark.errors import AnalysisException
-    try:
-        rows = spark.read.text(f"{table_root}/_CURRENT").take(1)
-    except AnalysisException:
+    """Path of the newest committed version; None only if ``table_root`` does
+    not exist (first run).  A root without a committed version is an error:
+    taking it for a first run would replace the history by the new rows."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    root = hadoop.Path(table_root)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(root):
         return None
-    return rows[0][0] if rows else None
+    found = files.globStatus(hadoop.Path(root, "v=*/_SUCCESS"))
+    if not found:
+        raise RuntimeError(f"{table_root} exists but holds no committed version")
+    return f"{table_root}/{max(s.getPath().getParent().getName() for s in found)}"
 
 
 def write_tick_landing(ticks: DataFrame, path: str, tz: str = "America/New_York") -> None:

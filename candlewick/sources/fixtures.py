@@ -171,18 +171,28 @@ def gold_new(spark: SparkSession, sf_dir: str, bars: DataFrame) -> DataFrame:
     return bars.join(sup, "ticker", "left_semi").withColumn("Close", changed)
 
 
-def fundamentals_info(spark: SparkSession, sf_dir: str) -> DataFrame:
+def part_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily bars under part tickers: supplier k's series stands for part k."""
+    return bars_wide(spark, sf_dir).withColumn("ticker", F.regexp_replace("ticker", "^S", "P"))
+
+
+def fundamentals_info(spark: SparkSession, sf_dir: str, part: DataFrame | None = None) -> DataFrame:
     """Vendor-style attribute JSON per part ticker, with dirty values:
     trailingPE is 'Infinity' for k % 11 = 0 and 'n/a' for k % 13 = 0,
-    recommendationKey is the text 'None' for k % 9 = 0."""
+    forwardEps is 'NaN' for k % 17 = 0 and netIncomeToCommon 1e17 for
+    k % 19 = 0 (else both are missing), currentPrice is missing for
+    k % 23 = 0, recommendationKey is the text 'None' for k % 9 = 0."""
     from candlewick.sources.records import VENDOR_KEYS
 
-    part = table(spark, sf_dir, "part")
+    part = table(spark, sf_dir, "part") if part is None else part
     kcol = F.col("p_partkey")
     trailing = (F.when(kcol % 11 == 0, F.lit("Infinity")).when(kcol % 13 == 0, F.lit("n/a"))
                 .otherwise(((kcol % 50) * 1.25).cast("string")))
     rec_key = F.when(kcol % 9 == 0, F.lit("None")).when(kcol % 7 == 0, F.lit(None)).otherwise(F.lit("buy"))
-    joined = fundamentals_from_part(part).select("*", trailing.alias("trailing_pe"), rec_key.alias("analyst_key2"))
+    joined = fundamentals_from_part(part).select(
+        "*", trailing.alias("trailing_pe"), rec_key.alias("analyst_key2"),
+        F.when(kcol % 17 == 0, F.lit("NaN")).alias("eps_forward"), F.when(kcol % 19 == 0, F.lit("1e17")).alias("net_income"))
+    joined = joined.withColumn("current_price", F.when(kcol % 23 != 0, F.col("current_price")))
     entries = []
     for alias, key in VENDOR_KEYS.items():
         if alias == "trailing_pe":
@@ -224,9 +234,9 @@ def fundamentals_from_part(p: DataFrame) -> DataFrame:
     )
 
 
-def company_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+def company_json(spark: SparkSession, sf_dir: str, customers: DataFrame | None = None) -> DataFrame:
     """Company-list JSON documents, one per customer: {"<custkey>": {cik_str, ticker, title}}."""
-    c = table(spark, sf_dir, "customer")
+    c = table(spark, sf_dir, "customer") if customers is None else customers
     obj = F.struct(F.col("c_custkey").alias("cik_str"),
                    F.concat(F.lit("T"), F.col("c_custkey").cast("string")).alias("ticker"),
                    F.col("c_name").alias("title"))

@@ -7,7 +7,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from candlewick.functions.scalars import inf_to_null, none_text_to_null, to_numeric, truncate
+from pyspark.sql.window import Window
+
+from candlewick.functions.scalars import (inf_to_null, nan_to_null, none_text_to_null, safe_ratio, to_numeric,
+                                          truncate)
 from candlewick.schemas import COMPANY_JSON, FUNDAMENTAL_NUMERIC, TRADE_ENVELOPE
 
 # --- fixed values: vendor attribute key of each fundamentals column -----------
@@ -48,23 +51,51 @@ def parse_company_json(docs: DataFrame, batch_time, value: str = "value") -> Dat
                          F.col("r.title").alias("title"), ts.alias("last_updated"), F.lit(True).alias("is_active"))
 
 
-def fundamentals_rows(info: DataFrame, value: str = "info") -> DataFrame:
+def high_ratios(daily: DataFrame) -> DataFrame:
+    """ag_high_ratio: per ticker the last close and its highs: all-time and over
+    the 365 days up to the last date.
+
+    One pass: the last date is a window maximum over the ticker, then one
+    aggregation on the same partitioning."""
+    dated = daily.filter(F.col("Close").isNotNull()).select(
+        "ticker", "Date", "Close", F.max("Date").over(Window.partitionBy("ticker")).alias("_last"))
+    recent = F.when(F.col("Date") > F.date_sub("_last", 365), F.col("Close"))
+    return dated.groupBy("ticker").agg(F.max_by("Close", "Date").alias("last_close"), F.max("Close").alias("all_time_high"),
+                                       F.max(recent).alias("high_52w_close"))
+
+
+def with_high_ratios(rows: DataFrame, highs: DataFrame) -> DataFrame:
+    """Set ``current_price`` (falling back to the last close),
+    ``all_time_high_ratio`` and ``high_52w_ratio`` from ``high_ratios``; a ratio
+    is NULL without a price or with a zero or missing high."""
+    j = rows.join(highs, "ticker", "left")
+    price = F.coalesce(to_numeric(F.col("current_price")), F.col("last_close"))
+    return (j.withColumn("all_time_high_ratio", safe_ratio(price, F.col("all_time_high")))
+            .withColumn("high_52w_ratio", safe_ratio(price, F.col("high_52w_close")))
+            .withColumn("current_price", price).select(*rows.columns))
+
+
+def fundamentals_rows(info: DataFrame, value: str = "info", daily: DataFrame | None = None) -> DataFrame:
     """src_fundamentals_rows: (created_at, ticker, attribute JSON) -> one wide
-    row of ASCII-aliased columns; a missing key gives NULL."""
+    row of the 27 ASCII-aliased columns; a missing key gives NULL.  The two
+    high ratios and the fallback of the current price come from ``daily``
+    (ticker, Date, Close); without it the ratios are NULL."""
     m = F.from_json(F.col(value), T.MapType(T.StringType(), T.StringType()))
-    return info.select("created_at", "ticker", m.alias("_m")).select(
-        "created_at", "ticker", *[F.col("_m").getItem(k).alias(a) for a, k in VENDOR_KEYS.items()])
+    rows = info.select("created_at", "ticker", m.alias("_m")).select(
+        "created_at", "ticker", *[F.col("_m").getItem(k).alias(a) for a, k in VENDOR_KEYS.items()],
+        *[F.lit(None).cast("double").alias(c) for c in ("all_time_high_ratio", "high_52w_ratio")])
+    return rows if daily is None else with_high_ratios(rows, high_ratios(daily))
 
 
 def clean_fundamentals(rows: DataFrame, digits: int = 3) -> DataFrame:
-    """job_fundamentals coercions: text -> number (unparsable NULL), +-inf ->
-    NULL, truncation to 3 decimals; 'None'/'none' texts -> NULL."""
+    """job_fundamentals coercions: text -> number (unparsable NULL), +-inf and
+    NaN -> NULL, truncation to 3 decimals; 'None'/'none' texts -> NULL."""
     out = [F.to_date("created_at").alias("created_at"), F.col("ticker")]
     for c in rows.columns:
         if c in ("created_at", "ticker"):
             continue
         if c in FUNDAMENTAL_NUMERIC:
-            out.append(truncate(inf_to_null(to_numeric(F.col(c))), digits).alias(c))
+            out.append(truncate(nan_to_null(inf_to_null(to_numeric(F.col(c)))), digits).alias(c))
         else:
             out.append(none_text_to_null(F.col(c)).alias(c))
     return rows.select(*out)
@@ -72,10 +103,11 @@ def clean_fundamentals(rows: DataFrame, digits: int = 3) -> DataFrame:
 
 def parse_trade_envelopes(messages: DataFrame, value: str = "value") -> DataFrame:
     """src_trades_envelope: '{"type": "trade", "data": [...]}' messages -> one
-    row per trade; other types and malformed JSON are dropped."""
+    row per trade with its position ``pos`` in the message (the order of
+    arrival of equal times); other types and malformed JSON are dropped."""
     env = F.from_json(F.col(value), TRADE_ENVELOPE)
     return (messages.select(env.alias("e")).filter(F.col("e.type") == "trade")
-            .select(F.explode("e.data").alias("d")).select("d.*"))
+            .select(F.posexplode("e.data").alias("pos", "d")).select("d.*", "pos"))
 
 
 def normalise_prices(raw: DataFrame, batch_time) -> DataFrame:

@@ -3,6 +3,9 @@ src_period_from_path, src_exclude_path)."""
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+from zoneinfo import ZoneInfo
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,18 +27,22 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None)
         raise
 
 
-def read_modified_between(spark: SparkSession, root: str, start: str, end: str | None = None,
-                          schema: StructType | None = None, time_zone: str = "Asia/Taipei",
+def read_modified_between(spark: SparkSession, root: str, start: str, end: str | None = None, *,
+                          schema: StructType, time_zone: str = "Asia/Taipei",
                           glob: str = "*.parquet") -> DataFrame:
-    """src_incremental: only the files under ``root`` modified in
-    [start, end) local time (pass the day as a parameter, e.g. today)."""
-    r = (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
-         .option("modifiedAfter", start).option("timeZone", time_zone))
+    """src_incremental: only the files under ``root`` modified in [start, end)
+    local time, ``YYYY-MM-DDTHH:MM:SS`` (pass the day as a parameter, e.g. today).
+
+    The schema is given, so a day without new files is an empty frame.  Spark's
+    ``modifiedAfter`` excludes its bound: it is set one second earlier and the
+    files of that second are dropped by their modification time."""
+    before = (datetime.fromisoformat(start) - timedelta(seconds=1)).strftime("%Y-%m-%dT%H:%M:%S")
+    r = (spark.read.schema(schema).option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
+         .option("modifiedAfter", before).option("timeZone", time_zone))
     if end:
         r = r.option("modifiedBefore", end)
-    if schema is not None:
-        r = r.schema(schema)
-    return r.parquet(root)
+    local = datetime.fromisoformat(start).replace(tzinfo=ZoneInfo(time_zone))
+    return r.parquet(root).filter(F.unix_micros("_metadata.file_modification_time") >= int(local.timestamp()) * 1_000_000)
 
 
 def with_ticker_from_path(df: DataFrame, column: str = "ticker") -> DataFrame:

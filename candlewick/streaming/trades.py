@@ -13,37 +13,42 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from candlewick.functions.joins import join_checked
 from candlewick.operators.ticks import ALERT_LINES, exclude_codes, monitor_lines
 from candlewick.sources.records import parse_trade_envelopes
 
 
-def envelope_file_stream(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
+#: Intake per micro-batch: what bounds the work of one hot symbol in one batch.
+FILES_PER_TRIGGER = 1_000
+OFFSETS_PER_TRIGGER = 1_000_000
+
+
+def envelope_file_stream(spark: SparkSession, path: str, files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
     """src_trades_stream over a directory of envelope messages (one JSON text
-    per line)."""
-    r = spark.readStream.format("text")
-    if files_per_trigger:
-        r = r.option("maxFilesPerTrigger", files_per_trigger)
-    return parse_trade_envelopes(r.load(path))
+    per line), at most ``files_per_trigger`` files a micro-batch."""
+    return parse_trade_envelopes(spark.readStream.format("text").option("maxFilesPerTrigger", files_per_trigger).load(path))
 
 
 def kafka_stream(spark: SparkSession, servers: str, topic: str = "trades",
-                 max_offsets_per_trigger: int | None = None) -> DataFrame:
-    """src_trades_stream over Kafka (key = symbol, value = trade JSON).
+                 offsets_per_trigger: int = OFFSETS_PER_TRIGGER) -> DataFrame:
+    """src_trades_stream over Kafka (key = symbol, value = trade JSON), at most
+    ``offsets_per_trigger`` messages a micro-batch; malformed JSON is dropped.
     Needs the spark-sql-kafka connector on the classpath."""
+    raw = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
+           .option("subscribe", topic).option("startingOffsets", "earliest")
+           .option("maxOffsetsPerTrigger", offsets_per_trigger).load())
+    return parse_topic(raw)
+
+
+def parse_topic(raw: DataFrame) -> DataFrame:
+    """Topic messages (value, offset) -> trades; what is no trade is dropped."""
     from candlewick.schemas import TRADE
 
-    r = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
-         .option("subscribe", topic).option("startingOffsets", "earliest"))
-    if max_offsets_per_trigger:
-        r = r.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
-    raw = r.load()
     # messages are keyed by symbol, so a symbol's trades share one topic
     # partition and the offset is their arrival order: the tie-break for
     # equal event times, as in the reference's arrival-order processing
     return (raw.select(F.from_json(F.col("value").cast("string"), TRADE).alias("d"),
                        F.col("offset").alias("event_id"))
-            .select("d.*", "event_id"))
+            .select("d.*", "event_id").filter("s IS NOT NULL AND t IS NOT NULL"))
 
 
 def trades_to_kafka(trades: DataFrame) -> DataFrame:
@@ -52,10 +57,14 @@ def trades_to_kafka(trades: DataFrame) -> DataFrame:
 
 
 def with_event_id(trades: DataFrame) -> DataFrame:
-    """A deterministic tie-break for equal event times."""
+    """A tie-break for equal event times: the position inside the envelope where
+    it is known (``pos``), then a hash of the trade."""
     if "event_id" in trades.columns:
         return trades
-    return trades.withColumn("event_id", F.xxhash64("s", "t", "p", "v"))
+    own = F.xxhash64("s", "t", "p", "v")
+    if "pos" in trades.columns:
+        own = F.shiftleft(F.col("pos").cast("bigint"), 40) + F.pmod(own, F.lit(1 << 40))
+    return trades.withColumn("event_id", own)
 
 
 def start_landing(trades: DataFrame, out_path: str, checkpoint: str, trigger_seconds: int = 600,
@@ -64,7 +73,7 @@ def start_landing(trades: DataFrame, out_path: str, checkpoint: str, trigger_sec
     the checkpoint makes the file output exactly-once."""
     from candlewick.operators.ticks import local_time
     date = F.to_date(local_time(F.col("t"), tz))
-    return (exclude_codes(trades).withColumn("date", date).writeStream.format("json")
+    return (exclude_codes(trades).drop("pos").withColumn("date", date).writeStream.format("json")
             .option("path", out_path).option("checkpointLocation", checkpoint)
             .partitionBy("s", "date").trigger(processingTime=f"{trigger_seconds} seconds").start())
 
@@ -98,7 +107,7 @@ def thresholds_wide(thresholds: DataFrame) -> DataFrame:
 def _cross_alert_fn(key, batches, state):
     """Per symbol: previous price and last sent time per line live in the
     state store, so they survive restarts; rows are handled in (t, event_id)
-    order within each micro-batch."""
+    order within each micro-batch, whose size the intake bounds."""
     import pandas as pd
 
     if state.exists:
@@ -126,10 +135,14 @@ def _cross_alert_fn(key, batches, state):
     yield pd.DataFrame(out, columns=[f.name for f in ALERT_OUT.fields])
 
 
-def cross_alerts(trades: DataFrame, thresholds: DataFrame) -> DataFrame:
-    """st_cross_alert over a (streaming or batch) trade DataFrame."""
+def cross_alerts(trades: DataFrame, thresholds: DataFrame, broadcast_thresholds: bool = False) -> DataFrame:
+    """st_cross_alert over a (streaming or batch) trade DataFrame.
+
+    ``thresholds`` is a static table, one row per symbol after pivoting; a
+    caller that knows it to be small may have it broadcast."""
     t = with_event_id(exclude_codes(trades)).select("s", "p", "t", "event_id")
-    j = join_checked(t, thresholds_wide(thresholds), "s", "left")
+    lines = thresholds_wide(thresholds)
+    j = t.join(F.broadcast(lines) if broadcast_thresholds else lines, "s", "left")
     return j.groupBy("s").applyInPandasWithState(
         _cross_alert_fn, ALERT_OUT, STATE_SCHEMA, "append", "NoTimeout")
 

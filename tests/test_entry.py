@@ -2,6 +2,7 @@
 few queries at the smallest scale."""
 
 import math
+import os
 
 import __spark_entry__ as entry
 from conftest import SF_SMALL
@@ -19,6 +20,16 @@ def test_registry_keys():
     assert len(qs) >= 60
 
 
+def test_every_registration_is_a_query():
+    import re
+
+    import candlewick.plans as plans
+    folder = os.path.dirname(plans.__file__) if plans.__file__ else list(plans.__path__)[0]
+    text = "".join(open(os.path.join(folder, f)).read() for f in ("registry.py", "registry_tables.py"))
+    keys = set(re.findall(r'register\(\s*"(\w+)"', text))
+    assert keys and keys <= set(entry.queries()), keys - set(entry.queries())
+
+
 def _norm(v):
     if isinstance(v, float):
         return None if math.isnan(v) else round(v + 0.0, 9)

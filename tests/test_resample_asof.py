@@ -123,3 +123,12 @@ def test_per_period_parameters(spark):
     assert out.filter("period = 'D'").exceptAll(d_ref).count() == 0
     w_default = job_gold(silver, ("W",), "drop")
     assert out.filter("period = 'W'").exceptAll(w_default).count() > 0     # the override took effect
+
+
+def test_daily_rows_pass_through_even_twice(spark):
+    rows = [("A", "2024-01-02", 1.0, 5.0), ("A", "2024-01-02", 2.0, 9.0), ("A", "2024-01-03", 3.0, 4.0)]
+    df = spark.createDataFrame(rows, "ticker string, Date string, Open double, High double").selectExpr(
+        "ticker", "to_date(Date) AS Date", "Open", "High", "Open AS Low", "Open AS Close", "Open AS `Adj Close`", "CAST(1 AS BIGINT) AS Volume")
+    got = resample(df, periods=("D", "W"), gap_policy="drop").collect()
+    assert sorted((r.Open, r.High) for r in got if r.period == "D") == [(1.0, 5.0), (2.0, 9.0), (3.0, 4.0)]
+    assert [(r.High, r.Volume) for r in got if r.period == "W"] == [(9.0, 3)]

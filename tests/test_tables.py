@@ -51,7 +51,7 @@ def test_warehouse_merge_replaces_staged_keys(spark):
                               "Date string, ticker string, period string, Close double").withColumn("Date", F.to_date("Date"))
     s = spark.createDataFrame([("2024-01-02", "A", "W", 20.0)],
                               "Date string, ticker string, period string, Close double").withColumn("Date", F.to_date("Date"))
-    out = {str(r.Date): r.Close for r in warehouse_merge(t, s, "W").collect()}
+    out = {str(r.Date): r.Close for r in warehouse_merge(t, s).collect()}
     # newest two dates of A (03, 04) deleted; 02 replaced by the staged row
     assert out == {"2024-01-01": 1.0, "2024-01-02": 20.0}
 
@@ -85,11 +85,53 @@ def test_fundamentals_names_round_trip(spark, tmp_path):
     assert screen(back).count() == screen(f).count()
 
 
-def test_join_checked_both_paths(spark):
-    from candlewick.functions.joins import join_checked
-    left = fx.bars_wide(spark, SF_SMALL).select("ticker", "Date")
-    right = left.select("ticker").distinct().withColumn("flag", F.lit(1))
-    small = join_checked(left, right, "ticker", "left", max_rows=10_000)
-    big = join_checked(left, right, "ticker", "left", max_rows=1)
-    assert "Broadcast" in small._jdf.queryExecution().executedPlan().toString()
-    assert sorted(small.collect()) == sorted(big.collect())
+def test_truncate_survives_nan_infinity_and_large_values(spark):
+    from candlewick.functions.scalars import truncate
+    values = [1.239, -1.239, 0.0, -0.001, float("nan"), float("inf"), 1e17, -1e300, 123456.785, None]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double")
+    got = [r[0] for r in df.orderBy("i").select(truncate(F.col("v"), 2)).collect()]
+    assert got == [1.23, -1.23, 0.0, 0.0, None, float("inf"), 1e17, -1e300, 123456.78, None]
+
+
+def test_fundamentals_reach_the_screen(spark):
+    from candlewick.plans.jobs import job_fundamentals, job_screen
+    from candlewick.schemas import FUNDAMENTAL_COLUMNS
+    info = fx.fundamentals_info(spark, SF_SMALL)
+    table = job_fundamentals(info, fx.part_daily(spark, SF_SMALL), None)
+    assert len(table.columns) == 27 and {a for _, a in FUNDAMENTAL_COLUMNS} <= set(table.columns)
+    rows = {r["ticker"]: r for r in table.collect()}
+    assert rows["P17"]["eps_forward"] is None and rows["P19"]["net_income"] == 1e17
+    assert rows["P5"]["all_time_high_ratio"] is not None and rows["P150"]["all_time_high_ratio"] is None
+    assert job_screen(table, None).count() > 0
+    bad = info.withColumn("ticker", F.when(F.col("ticker") != "P9", F.col("ticker")))
+    try:
+        job_fundamentals(bad, None, table).collect()
+    except Exception as e:  # noqa: BLE001
+        assert "NULL in key column ticker" in str(e)
+    else:
+        raise AssertionError("a NULL key must fail the job")
+
+
+def test_high_ratios_by_hand(spark):
+    from candlewick.sources.records import high_ratios, with_high_ratios
+    daily = spark.createDataFrame([("A", "2020-01-01", 50.0), ("A", "2021-06-01", 30.0), ("A", "2022-01-01", 20.0),
+                                   ("B", "2022-01-01", 0.0), ("C", "2021-01-01", None), ("C", "2020-12-01", 4.0)],
+                                  "ticker string, Date string, Close double").withColumn("Date", F.to_date("Date"))
+    rows = spark.createDataFrame([("A", None), ("B", "1"), ("C", "1.0"), ("D", "3")], "ticker string, current_price string")
+    rows = rows.select("*", F.lit(None).cast("double").alias("all_time_high_ratio"), F.lit(None).cast("double").alias("high_52w_ratio"))
+    got = {r[0]: tuple(r[1:]) for r in with_high_ratios(rows, high_ratios(daily)).collect()}
+    assert got == {"A": (20.0, 0.4, 0.66), "B": (1.0, None, None), "C": (1.0, 0.25, 0.25), "D": (3.0, None, None)}
+
+
+def test_equal_keys_of_one_batch_do_not_depend_on_order(spark):
+    rows = [("A", "W", "2024-01-07", float(i)) for i in range(20)]
+    schema = "ticker string, period string, Date string, Close double"
+    old = spark.createDataFrame([("A", "W", "2023-01-01", 1.0)], schema)
+    picked = {tuple(upsert_gold_history(old, spark.createDataFrame(r, schema).repartition(k)).filter("Close <> 1").collect())
+              for k, r in ((1, rows), (3, rows[::-1]), (7, rows[5:] + rows[:5]))}
+    assert len({p for p in picked}) == 1
+
+
+def test_set_difference_ignores_repeats(spark):
+    a = spark.createDataFrame([("x",), ("x",), ("y",)], "ticker string")
+    assert [r[0] for r in a.subtract(a.filter("ticker = 'x'").distinct()).collect()] == ["y"]

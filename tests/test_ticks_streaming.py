@@ -40,6 +40,25 @@ def test_batch_alerts_match_brute_force(spark):
     assert len(got) > 0
 
 
+def test_previous_price_with_negative_ids(spark):
+    rows = [("A", 1.0, 999, 2 ** 62), ("A", 2.0, 1000, -5), ("A", 3.0, 1000, 7), ("A", 4.0, 2000, -(2 ** 63)), ("B", 9.0, 0, -1)]
+    df = spark.createDataFrame(rows, "s string, p double, t long, event_id long")
+    for bucket in (500, 1000, 10 ** 9):
+        got = {r.p: r.prev_p for r in tk.with_previous_price(df, bucket_ms=bucket).collect()}
+        assert got == {1.0: None, 2.0: 1.0, 3.0: 2.0, 4.0: 3.0, 9.0: None}
+
+
+def test_one_symbol_is_cut_into_segments(spark):
+    t = fx.ticks(spark, SF_SMALL).withColumn("s", F.lit("HOT"))
+    rows = [(r.event_id, r.s, r.p, r.t, r.c) for r in t.collect()]
+    th = tk.tick_thresholds(t, LINES)
+    assert {(r.s, r.label, r.t) for r in tk.alerts(t, th).collect()} == brute_alerts(rows)
+    x = tk.crossings(tk.exclude_codes(t), th)
+    for bucket in (60_000, 3_600_000):
+        segments = tk.with_segment(x, bucket).select("label", "segment", "t").collect()
+        assert len({(r.label, r.segment) for r in segments}) > 20 and all(r.segment <= r.t for r in segments)
+
+
 def test_previous_price_across_buckets(spark):
     t = fx.ticks(spark, SF_SMALL)
     small = tk.with_previous_price(t, bucket_ms=60_000).select("event_id", "prev_p").collect()
