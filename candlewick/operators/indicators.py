@@ -3,12 +3,14 @@
 Plan of the series stage (one shuffle by ticker for everything):
 
 1. ``with_window_indicators``: every indicator a window can express (SMA,
-   STOCH, WILLR, the rolling standard deviation of the bands) with Spark
+   STOCH, WILLR, FI, the rolling standard deviation of the bands) with Spark
    window functions partitioned by (ticker, period), ordered by Date;
 2. ``series_pass``: the grouped-map kernel once per series for the recursive
    indicators, previous-row patterns and swing searches, on the same
    partitioning and sort order;
-3. ``finish_indicators``: projections that combine both (bands, power).
+3. ``derived_columns``: projections that combine both (bands, power, signals).
+
+Each step makes only the columns that are asked for and what they rest on.
 
 The window step runs before the kernel on purpose: Spark cannot see that
 the kernel's output keeps the ticker partitioning, so a window after it
@@ -23,6 +25,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from candlewick.operators import kernel
+from candlewick.operators.patterns import signal_columns, trend_of
 from candlewick.params import DEFAULT_INDICATORS, DEFAULT_PATTERNS, IndicatorParams, PatternParams
 
 SERIES_KEY = ["ticker", "period"]
@@ -33,7 +36,7 @@ def series_window() -> Window:
 
 
 def series_pass(bars: DataFrame, ip: IndicatorParams = DEFAULT_INDICATORS,
-                pp: PatternParams = DEFAULT_PATTERNS) -> DataFrame:
+                pp: PatternParams = DEFAULT_PATTERNS, wanted=None) -> DataFrame:
     """Run the recursive kernel over each (ticker, period) series of ``bars``.
 
     ``bars`` must be hash-partitioned so that a ticker's rows share one
@@ -43,21 +46,21 @@ def series_pass(bars: DataFrame, ip: IndicatorParams = DEFAULT_INDICATORS,
     pandas conversion many times over.
 
     ``bars`` needs ticker, period, Date, High, Low, Close, Volume; every
-    other column passes through.  Adds ``rn`` (0-based ordinal by Date) and
-    the columns of ``kernel.KERNEL_COLUMNS``.
+    other column passes through.  Adds the columns of
+    ``kernel.kernel_columns`` that ``wanted`` names (default: all) and
+    ``bars`` lacks; nothing else is computed.
     """
     if "period" not in bars.columns:
         bars = bars.withColumn("period", F.lit("D"))
-    fields = list(bars.schema.fields)
-    names = {f.name for f in fields}
-    for name, typ in kernel.KERNEL_COLUMNS:
-        if name in names:
-            raise ValueError(f"column {name} already present")
-        fields.append(T.StructField(name, T._parse_datatype_string(typ), True))
-    schema = T.StructType(fields)
+    added = [(c, t) for c, t in kernel.kernel_columns(ip, pp)
+             if c not in bars.columns and (wanted is None or c in wanted)]
+    if not added:
+        return bars
+    schema = T.StructType([*bars.schema.fields, *(T.StructField(c, T._parse_datatype_string(t), True) for c, t in added)])
+    names = [c for c, _ in added]
 
     def fn(batches):
-        return kernel.analyse_partition(batches, ip, pp)
+        return kernel.analyse_partition(batches, ip, pp, names)
 
     # Rows of a series are co-located (hash partitioning by ticker) and sorted;
     # the window step before already sorted them, so this sort is elided.
@@ -94,8 +97,9 @@ def rolling_std(col: str, n: int) -> Column:
     return F.when(_full(F.col(col), n, w), F.stddev_pop(col).over(w.rowsBetween(-(n - 1), 0)))
 
 
-def with_window_indicators(df: DataFrame, ip: IndicatorParams = DEFAULT_INDICATORS) -> DataFrame:
-    """SMA, STOCH, WILLR and the band standard deviations, per series.
+def with_window_indicators(df: DataFrame, ip: IndicatorParams = DEFAULT_INDICATORS, wanted=None) -> DataFrame:
+    """The ``wanted`` (default: all) of SMA, STOCH, WILLR, FI and the internal
+    band standard deviations ``_std_bb`` and ``_std_17``, per series.
 
     Each distinct window aggregate is computed once and the indicators are
     projections of those columns.  Completeness guards ("the n-row frame is
@@ -103,77 +107,108 @@ def with_window_indicators(df: DataFrame, ip: IndicatorParams = DEFAULT_INDICATO
     row, instead of another sliding frame."""
     if "period" not in df.columns:
         df = df.withColumn("period", F.lit("D"))
+
+    def asked(*names):
+        return wanted is None or any(n in wanted for n in names)
+
+    stoch, willr, force = asked("STOCH_slowk", "STOCH_slowd"), asked("WILLR"), asked("FI")
+    smas = [n for n in ip.sma_periods if asked(f"SMA{n}")]
+    stds = [(c, n) for c, n in (("_std_bb", ip.bb_period), ("_std_17", ip.sd17_period)) if asked(c)]
     w = series_window()
     running = w.rowsBetween(Window.unboundedPreceding, 0)
     hlc = F.when(F.col("High").isNotNull() & F.col("Low").isNotNull() & F.col("Close").isNotNull(), 1)
-    raw, tmp = [F.count("Close").over(running).alias("_pc"), F.count(hlc).over(running).alias("_ph")], ["_pc", "_ph"]
 
     def frame(n):
         return w.rowsBetween(-(n - 1), 0)
 
-    hl_periods = sorted({ip.stoch_fastk, ip.willr_period})
-    close_periods = sorted(set(ip.sma_periods) | {ip.bb_period, ip.sd17_period})
+    hl_periods = sorted({n for n, on in ((ip.stoch_fastk, stoch), (ip.willr_period, willr)) if on})
+    close_periods = sorted({*smas, *(n for _, n in stds)})
+    raw = {}
+    if close_periods:
+        raw["_pc"] = F.count("Close").over(running)
+    if hl_periods:
+        raw["_ph"] = F.count(hlc).over(running)
     for n in hl_periods:
-        raw += [F.max("High").over(frame(n)).alias(f"_hh{n}"), F.min("Low").over(frame(n)).alias(f"_ll{n}")]
-        tmp += [f"_hh{n}", f"_ll{n}"]
-    for n in sorted(set(ip.sma_periods)):
-        raw.append(F.avg("Close").over(frame(n)).alias(f"_avg{n}"))
-        tmp.append(f"_avg{n}")
-    for n in sorted({ip.bb_period, ip.sd17_period}):
-        raw.append(F.stddev_pop("Close").over(frame(n)).alias(f"_sd{n}"))
-        tmp.append(f"_sd{n}")
-    out = df.select("*", *raw)
+        raw[f"_hh{n}"], raw[f"_ll{n}"] = F.max("High").over(frame(n)), F.min("Low").over(frame(n))
+    for n in sorted(set(smas)):
+        raw[f"_avg{n}"] = F.avg("Close").over(frame(n))
+    for n in sorted({n for _, n in stds}):
+        raw[f"_sd{n}"] = F.stddev_pop("Close").over(frame(n))
+    if force:
+        step = (F.col("Close") - F.lag("Close").over(w)) * F.col("Volume")
+        raw["FI"] = F.when(F.lag(F.lit(1)).over(w).isNotNull(), step).when(F.col("Volume").isNotNull(), F.lit(0.0))
+    out = df.select("*", *[e.alias(c) for c, e in raw.items()])
     # counts inside the last n rows = running count now - running count n rows back
-    full = []
-    for n in hl_periods:
-        full.append((F.col("_ph") - F.coalesce(F.lag("_ph", n).over(w), F.lit(0)) == n).alias(f"_hf{n}"))
-        tmp.append(f"_hf{n}")
-    for n in close_periods:
-        full.append((F.col("_pc") - F.coalesce(F.lag("_pc", n).over(w), F.lit(0)) == n).alias(f"_cf{n}"))
-        tmp.append(f"_cf{n}")
-    out = out.select("*", *full)
+    full = {f"_hf{n}": F.col("_ph") - F.coalesce(F.lag("_ph", n).over(w), F.lit(0)) == n for n in hl_periods}
+    full |= {f"_cf{n}": F.col("_pc") - F.coalesce(F.lag("_pc", n).over(w), F.lit(0)) == n for n in close_periods}
+    out = out.select("*", *[e.alias(c) for c, e in full.items()])
 
     def hl(n):
         return F.when(F.col(f"_hf{n}"), F.col(f"_hh{n}")), F.when(F.col(f"_hf{n}"), F.col(f"_ll{n}"))
 
-    hh_k, ll_k = hl(ip.stoch_fastk)
-    hh_w, ll_w = hl(ip.willr_period)
-    out = out.select(
-        "*",
-        F.when((hh_k - ll_k) != 0, (F.col("Close") - ll_k) / ((hh_k - ll_k) / 100.0))
-        .when(hh_k.isNotNull(), F.lit(0.0)).alias("_fastk"),
-        F.when((hh_w - ll_w) != 0, (hh_w - F.col("Close")) / ((hh_w - ll_w) / -100.0))
-        .when(hh_w.isNotNull(), F.lit(0.0)).alias("WILLR"),
-        *[F.when(F.col(f"_cf{n}"), F.col(f"_avg{n}")).alias(f"SMA{n}") for n in ip.sma_periods],
-        F.when(F.col(f"_cf{ip.bb_period}"), F.col(f"_sd{ip.bb_period}")).alias("_std_bb"),
-        F.when(F.col(f"_cf{ip.sd17_period}"), F.col(f"_sd{ip.sd17_period}")).alias("_std_17"),
-    ).drop(*tmp)
+    made = {}
+    if stoch:
+        hh, ll = hl(ip.stoch_fastk)
+        made["_fastk"] = (F.when((hh - ll) != 0, (F.col("Close") - ll) / ((hh - ll) / 100.0)).when(hh.isNotNull(), F.lit(0.0)))
+    if willr:
+        hh, ll = hl(ip.willr_period)
+        made["WILLR"] = (F.when((hh - ll) != 0, (hh - F.col("Close")) / ((hh - ll) / -100.0)).when(hh.isNotNull(), F.lit(0.0)))
+    made |= {f"SMA{n}": F.when(F.col(f"_cf{n}"), F.col(f"_avg{n}")) for n in smas}
+    made |= {c: F.when(F.col(f"_cf{n}"), F.col(f"_sd{n}")) for c, n in stds}
+    out = out.select("*", *[e.alias(c) for c, e in made.items()]).drop(*(c for c in (*raw, *full) if c != "FI"))
+    if not stoch:
+        return out
     out = out.withColumn("_slowk", sma("_fastk", ip.stoch_slowk))
     out = out.withColumn("STOCH_slowd", sma("_slowk", ip.stoch_slowd))
     return (out.withColumn("STOCH_slowk", F.when(F.col("STOCH_slowd").isNotNull(), F.col("_slowk")))
             .drop("_fastk", "_slowk"))
 
 
-def finish_indicators(df: DataFrame, ip: IndicatorParams = DEFAULT_INDICATORS) -> DataFrame:
-    """Bands (EMA middle, +-k standard deviations) and bull/bear power."""
-    ema_bb = F.col(f"EMA{ip.bb_period}")
-    ema_17 = F.col(f"EMA{ip.sd17_period}")
-    ema_pw = F.col(f"EMA{ip.power_period}")
-    return df.select(
-        "*",
-        (ema_bb + F.col("_std_bb") * ip.bb_dev).alias("upperband"),
-        ema_bb.alias("middleband"),
-        (ema_bb - F.col("_std_bb") * ip.bb_dev).alias("lowerband"),
-        (ema_17 + F.col("_std_17") * ip.sd17_dev).alias("upper_1_7"),
-        (ema_17 - F.col("_std_17") * ip.sd17_dev).alias("lower_1_7"),
-        (F.col("High") - ema_pw).alias("Bull_Power"),
-        (F.col("Low") - ema_pw).alias("Bear_Power"),
-    ).drop("_std_bb", "_std_17")
+def derived_columns(ip: IndicatorParams, pp: PatternParams) -> list[dict[str, tuple[tuple[str, ...], Column]]]:
+    """Columns that are projections of others, in two layers: what each reads
+    and its expression."""
+    bb, sd, power = (kernel.ema_column(p, ip) for p in (ip.bb_period, ip.sd17_period, ip.power_period))
+    slope = f"EMA{pp.ema_short}_slope"
+    first = {
+        "upperband": ((bb, "_std_bb"), F.col(bb) + F.col("_std_bb") * ip.bb_dev),
+        "middleband": ((bb,), F.col(bb)),
+        "lowerband": ((bb, "_std_bb"), F.col(bb) - F.col("_std_bb") * ip.bb_dev),
+        "upper_1_7": ((sd, "_std_17"), F.col(sd) + F.col("_std_17") * ip.sd17_dev),
+        "lower_1_7": ((sd, "_std_17"), F.col(sd) - F.col("_std_17") * ip.sd17_dev),
+        "Bull_Power": ((power, "High"), F.col("High") - F.col(power)),
+        "Bear_Power": ((power, "Low"), F.col("Low") - F.col(power)),
+        f"EMA{pp.ema_short}_trend": ((slope,), trend_of(F.col(slope)))}
+    return [first, signal_columns(pp)]
 
 
 def indicators_and_patterns(bars: DataFrame, ip: IndicatorParams = DEFAULT_INDICATORS,
-                            pp: PatternParams = DEFAULT_PATTERNS) -> DataFrame:
-    """in_all + pt_mark_all: windows, kernel, projections (one shuffle)."""
-    from candlewick.operators.patterns import with_patterns
-
-    return with_patterns(finish_indicators(series_pass(with_window_indicators(bars, ip), ip, pp), ip), pp)
+                            pp: PatternParams = DEFAULT_PATTERNS, columns=None) -> DataFrame:
+    """in_all + pt_mark_all: windows, kernel, projections (one shuffle).
+
+    ``columns`` chooses outputs (default: all): the result is ticker, period,
+    Date and those, and only what they rest on is computed.  If a window can
+    express them all, there is no Python step.  Every period of ``ip`` is
+    free; EMA, SMA and FI columns are named by theirs."""
+    layers = derived_columns(ip, pp)
+    needed = None
+    if columns is not None:
+        needed = set(columns)
+        for layer in reversed(layers):
+            needed |= {c for name, (reads, _) in layer.items() if name in needed for c in reads}
+        in_kernel = {c for c, _ in kernel.kernel_columns(ip, pp)} & needed
+        if in_kernel - {"FI"}:
+            needed.add("FI")
+        elif in_kernel:
+            in_kernel = set()
+    if "period" not in bars.columns:
+        bars = bars.withColumn("period", F.lit("D"))
+    if needed is not None:
+        kept = {"ticker", "period", "Date", "High", "Low", "Close", "Volume", pp.price_column, *needed}
+        bars = bars.select(*[F.col(f"`{c}`") for c in bars.columns if c in kept])
+    out = with_window_indicators(bars, ip, needed)
+    out = series_pass(out, ip, pp, None if needed is None else in_kernel)
+    for layer in layers:
+        out = out.select("*", *[e.alias(c) for c, (_, e) in layer.items() if needed is None or c in needed])
+    if columns is not None:
+        return out.select("ticker", "period", "Date", *[F.col(f"`{c}`") for c in columns])
+    return out.drop("_std_bb", "_std_17", *(c for c, _ in kernel.kernel_columns(ip, pp) if c.startswith("_ema")))

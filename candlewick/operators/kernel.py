@@ -266,27 +266,33 @@ def select_by_distance(peaks: np.ndarray, priority: np.ndarray, distance: int) -
     return peaks[keep]
 
 
+def _lowest_until_higher(x: list[float], peaks: set[int], order) -> dict[int, float]:
+    """Per peak the lowest sample met walking back along ``order`` until a higher
+    one (or a missing one), by a stack of falling samples: each sample enters
+    and leaves it once, however far a peak would have to look."""
+    stack: list[tuple[float, float]] = []  # (sample, lowest since the sample below it)
+    out = {}
+    for i in order:
+        v = x[i]
+        if v != v:  # a missing value stops every walk
+            stack.clear()
+            continue
+        low = v
+        while stack and stack[-1][0] <= v:
+            low = min(low, stack.pop()[1])
+        stack.append((v, low))
+        if i in peaks:
+            out[i] = low
+    return out
+
+
 def prominences(x: list[float], peaks: list[int]) -> list[float]:
     """Height of each peak over the higher of its two bases; a base is the
     lowest sample met walking away from the peak until a higher one."""
-    n = len(x)
-    out = []
-    for p in peaks:
-        h = x[p]
-        left_min = h
-        i = p
-        while i >= 0 and x[i] <= h:
-            if x[i] < left_min:
-                left_min = x[i]
-            i -= 1
-        right_min = h
-        i = p
-        while i < n and x[i] <= h:
-            if x[i] < right_min:
-                right_min = x[i]
-            i += 1
-        out.append(h - max(left_min, right_min))
-    return out
+    at = set(peaks)
+    left = _lowest_until_higher(x, at, range(len(x)))
+    right = _lowest_until_higher(x, at, range(len(x) - 1, -1, -1))
+    return [x[p] - max(left[p], right[p]) for p in peaks]
 
 
 def find_extrema(x: np.ndarray, distance: int, prominence: float) -> np.ndarray:
@@ -364,22 +370,23 @@ def power_pair(values: list[float], i: int, start: int, positive: bool):
 # Grouped-map entry point
 # --------------------------------------------------------------------------
 
-KERNEL_COLUMNS = [
-    ("rn", "int"),
-    ("EMA13", "double"), ("EMA26", "double"),
-    ("MACD", "double"), ("MACD_signal", "double"), ("MACD_hist", "double"),
-    ("ADX", "double"), ("PLUS_DI", "double"), ("MINUS_DI", "double"),
-    ("ATR", "double"), ("FI", "double"), ("FI_2", "double"), ("FI_13", "double"),
-    ("price_Peak", "boolean"), ("price_Trough", "boolean"),
-    ("Higher_Peak", "boolean"), ("Lower_Trough", "boolean"), ("price_search", "int"),
-    ("FI_2_Peak", "boolean"), ("FI_2_Trough", "boolean"),
-    ("MACD_hist_trend", "string"), ("FI_13_trend", "string"),
-    ("MACD_hist_trend_pair", "string"), ("FI_13_trend_pair", "string"),
-    ("Bull_Power_trend", "string"), ("Bear_Power_trend", "string"),
-    ("Bull_Power_trend_pair", "string"), ("Bear_Power_trend_pair", "string"),
-    ("EMA_bullbear", "string"), ("EMA13_slope", "double"),
-    ("FI_13_diff", "double"), ("FI_13_Peak", "boolean"), ("FI_13_Trough", "boolean"),
-]
+def ema_column(period: int, ip: IndicatorParams) -> str:
+    """The column of an EMA: an output if its period is chosen, else internal."""
+    return f"EMA{period}" if period in ip.ema_periods else f"_ema{period}"
+
+
+def kernel_columns(ip: IndicatorParams, pp: PatternParams) -> list[tuple[str, str]]:
+    """Name and type of every column the kernel can emit under the parameters."""
+    emas = dict.fromkeys([*ip.ema_periods, ip.bb_period, ip.sd17_period, ip.power_period])
+    doubles = [*(ema_column(p, ip) for p in emas), "MACD", "MACD_signal", "MACD_hist", "ADX", "PLUS_DI", "MINUS_DI", "ATR",
+               "FI", *(f"FI_{p}" for p in ip.fi_periods)]
+    trends = [f"{name}_trend" for name, _ in pp.divergence] + ["Bull_Power_trend", "Bear_Power_trend"]
+    return [("rn", "int"), *((c, "double") for c in doubles),
+            *((c, "boolean") for c in ("price_Peak", "price_Trough", "Higher_Peak", "Lower_Trough")), ("price_search", "int"),
+            ("FI_2_Peak", "boolean"), ("FI_2_Trough", "boolean"),
+            *((c, "string") for t in trends for c in (t, f"{t}_pair")),
+            ("EMA_bullbear", "string"), (f"EMA{pp.ema_short}_slope", "double"),
+            ("FI_13_diff", "double"), ("FI_13_Peak", "boolean"), ("FI_13_Trough", "boolean")]
 
 
 def _lag(a: np.ndarray) -> np.ndarray:
@@ -406,20 +413,13 @@ def lag_patterns(ema_short: np.ndarray, ema_long: np.ndarray, fi13: np.ndarray,
     return cross.astype(object), slope, fdiff, peak, trough
 
 
-def _col(pdf: pd.DataFrame, name: str) -> list[float]:
-    return pdf[name].astype("float64").tolist()
-
-
-def analyse_series(pdf: pd.DataFrame, ip: IndicatorParams, pp: PatternParams) -> pd.DataFrame:
+def analyse_series(pdf: pd.DataFrame, ip: IndicatorParams, pp: PatternParams, wanted=None) -> pd.DataFrame:
     """Input columns plus the kernel columns of one series (any row order)."""
     pdf = pdf.sort_values("Date", kind="stable").reset_index(drop=True)
-    cols = {c: pdf[c] for c in pdf.columns}
-    cols.update(series_columns(pdf, ip, pp))
-    cols["price_search"] = pd.Series(cols["price_search"]).astype("Int32")
-    return pd.DataFrame(cols)
+    return _assemble(pdf, [0, len(pdf)], ip, pp, wanted)
 
 
-def analyse_partition(batches, ip: IndicatorParams, pp: PatternParams):
+def analyse_partition(batches, ip: IndicatorParams, pp: PatternParams, wanted=None):
     """Stream over Arrow batches of a partition sorted by (ticker, period,
     Date): every completed series is analysed, the series still open at a
     batch end is carried over.  Memory holds one batch plus one series; the
@@ -430,121 +430,157 @@ def analyse_partition(batches, ip: IndicatorParams, pp: PatternParams):
             pdf = pd.concat([pending, pdf], ignore_index=True)
         if not len(pdf):
             continue
-        key = (pdf["ticker"].astype(str) + "\x00" + pdf["period"].astype(str)).to_numpy()
-        cuts = np.flatnonzero(key[1:] != key[:-1]) + 1
+        ticker, period = pdf["ticker"].to_numpy(dtype=object), pdf["period"].to_numpy(dtype=object)
+        cuts = np.flatnonzero((ticker[1:] != ticker[:-1]) | (period[1:] != period[:-1])) + 1
         last_start = int(cuts[-1]) if len(cuts) else 0
         pending = pdf.iloc[last_start:].reset_index(drop=True)
         if last_start:
-            yield _assemble(pdf.iloc[:last_start].reset_index(drop=True), [0, *cuts[:-1].tolist(), last_start], ip, pp)
+            yield _assemble(pdf.iloc[:last_start].reset_index(drop=True), [0, *cuts[:-1].tolist(), last_start], ip, pp, wanted)
     if pending is not None and len(pending):
-        yield _assemble(pending, [0, len(pending)], ip, pp)
+        yield _assemble(pending, [0, len(pending)], ip, pp, wanted)
+
+
+INPUTS = ("High", "Low", "Close", "Volume", "FI")
 
 
-def _assemble(pdf: pd.DataFrame, bounds, ip, pp) -> pd.DataFrame:
-    parts = [series_columns(pdf.iloc[a:b].reset_index(drop=True), ip, pp) for a, b in zip(bounds[:-1], bounds[1:])]
+def _assemble(pdf: pd.DataFrame, bounds, ip, pp, wanted) -> pd.DataFrame:
+    names = dict.fromkeys([*(c for c in INPUTS if c in pdf), *((pp.price_column,) if pp.price_column in pdf else ())])
+    arrays = {c: pdf[c].to_numpy(dtype=np.float64, na_value=np.nan) for c in names}
+    emitted = [c for c, _ in kernel_columns(ip, pp) if c not in pdf and (wanted is None or c in wanted)]
+    parts = [series_columns({c: v[a:b] for c, v in arrays.items()}, ip, pp, emitted) for a, b in zip(bounds[:-1], bounds[1:])]
     cols = {c: pdf[c] for c in pdf.columns}
-    for name, _ in KERNEL_COLUMNS:
+    for name in emitted:
         cols[name] = np.concatenate([p[name] for p in parts])
-    cols["price_search"] = pd.Series(cols["price_search"]).astype("Int32")
+    if "price_search" in cols:
+        cols["price_search"] = pd.Series(cols["price_search"]).astype("Int32")
     return pd.DataFrame(cols)
 
 
-def series_columns(pdf: pd.DataFrame, ip: IndicatorParams, pp: PatternParams) -> dict:
-    """Kernel columns of one series whose rows are sorted by Date."""
-    n = len(pdf)
-    high, low, close = _col(pdf, "High"), _col(pdf, "Low"), _col(pdf, "Close")
-    volume = _col(pdf, "Volume")
-
-    res: dict[str, object] = {"rn": np.arange(n, dtype=np.int32)}
-    emas = {p: ema(close, p) for p in sorted(set(ip.ema_periods) | {ip.power_period, pp.ema_short, pp.ema_long})}
-    for p in ip.ema_periods:
-        res[f"EMA{p}"] = emas[p]
-    res["MACD"], res["MACD_signal"], res["MACD_hist"] = macd(close, ip.macd_fast, ip.macd_slow, ip.macd_signal)
-    pre = ranges(high, low, close)
-    res["ADX"] = adx(high, low, close, ip.adx_period, pre)
-    res["PLUS_DI"], res["MINUS_DI"] = directional(high, low, close, ip.di_period, pre)
-    res["ATR"] = atr(high, low, close, ip.atr_period, pre)
-    fi = [0.0] * n
-    for i in range(1, n):
-        fi[i] = (close[i] - close[i - 1]) * volume[i]
-    if n and volume[0] != volume[0]:
-        fi[0] = NAN
-    res["FI"] = fi
-    for p in ip.fi_periods:
-        res[f"FI_{p}"] = ema(fi, p)
-    power_ema = emas[ip.power_period]
-    bull = [high[i] - power_ema[i] for i in range(n)]
-    bear = [low[i] - power_ema[i] for i in range(n)]
-
-    # --- price extrema and swing points -----------------------------------
-    price = np.asarray(_col(pdf, pp.price_column))
-    peaks = find_extrema(price, pp.price_distance, pp.price_prominence)
-    troughs = find_extrema(-price, pp.price_distance, pp.price_prominence)
-    peak_flag = np.zeros(n, dtype=bool)
-    trough_flag = np.zeros(n, dtype=bool)
-    peak_flag[peaks] = True
-    trough_flag[troughs] = True
-    pl = price.tolist()
-    atr_l = res["ATR"]
-    higher = swing_search(pl, atr_l, peaks.tolist(), pp.search_quantity, higher=True)
-    lower = swing_search(pl, atr_l, troughs.tolist(), pp.search_quantity, higher=False)
-    search = [None] * n
-    for i, j in {**higher, **lower}.items():
-        search[i] = j
-    hp = np.zeros(n, dtype=bool)
-    lt = np.zeros(n, dtype=bool)
-    hp[list(higher)] = True
-    lt[list(lower)] = True
-
-    fi2 = np.asarray(res[f"FI_{ip.fi_periods[0]}"], dtype=np.float64)
-    fp = find_extrema(fi2, pp.fi2_distance, pp.fi2_prominence)
-    ft = find_extrema(-fi2, pp.fi2_distance, pp.fi2_prominence)
-    fi2_peak = np.zeros(n, dtype=bool)
-    fi2_trough = np.zeros(n, dtype=bool)
-    fi2_peak[fp[fi2[fp] > 0]] = True
-    fi2_trough[ft[fi2[ft] < 0]] = True
-
-    # --- divergence and power pairs ---------------------------------------
-    out_str = {k: [None] * n for k in (
-        "MACD_hist_trend", "FI_13_trend", "MACD_hist_trend_pair", "FI_13_trend_pair",
-        "Bull_Power_trend", "Bear_Power_trend", "Bull_Power_trend_pair", "Bear_Power_trend_pair")}
-    for swings, down in ((higher, True), (lower, False)):
-        for i, s in swings.items():
-            for ind, thr in pp.divergence:
-                j = divergence(res[ind], i, s, thr, down)
-                if j is not None:
-                    out_str[f"{ind}_trend"][i] = "Down" if down else "Up"
-                    out_str[f"{ind}_trend_pair"][i] = f"{j}_{i}"
-    for i, s in higher.items():
-        pair = power_pair(bull, i, s, positive=True)
-        if pair:
-            out_str["Bull_Power_trend"][i] = "Down"
-            out_str["Bull_Power_trend_pair"][i] = f"{pair[0]}_{pair[1]}"
-    for i, s in lower.items():
-        pair = power_pair(bear, i, s, positive=False)
-        if pair:
-            out_str["Bear_Power_trend"][i] = "Up"
-            out_str["Bear_Power_trend_pair"][i] = f"{pair[0]}_{pair[1]}"
-
-    cross, slope, fdiff, fpeak, ftrough = lag_patterns(
-        np.asarray(emas[pp.ema_short]), np.asarray(emas[pp.ema_long]),
-        np.asarray(res[f"FI_{ip.fi_periods[-1]}"], dtype=np.float64), pp.fi13_spike_pct)
-    res["EMA13_slope"] = slope
-    res["FI_13_diff"] = fdiff
+def force_index(close: np.ndarray, volume: np.ndarray) -> np.ndarray:
+    """(Close - previous Close) * Volume; 0 on the first row."""
+    out = (close - _lag(close)) * volume
+    if len(out):
+        out[0] = 0.0 if volume[0] == volume[0] else NAN
+    return out
+
+
+def series_columns(data, ip: IndicatorParams, pp: PatternParams, wanted=None) -> dict:
+    """The ``wanted`` kernel columns (default: all) of one series whose rows are
+    sorted by Date; only what they rest on is computed."""
+    data = {c: np.asarray(data[c], dtype=np.float64) for c in dict.fromkeys([*INPUTS, pp.price_column]) if c in data}
+    names = [c for c, _ in kernel_columns(ip, pp)] if wanted is None else list(wanted)
+    n = len(data["Close"])
+    lists: dict[str, list[float]] = {}
+    known: dict[str, object] = {}
+
+    def lst(name):
+        if name not in lists:
+            lists[name] = data[name].tolist()
+        return lists[name]
+
+    def once(name, make):
+        if name not in known:
+            known[name] = make()
+        return known[name]
+
+    def ema_of(p):
+        return once(("ema", p), lambda: ema(lst("Close"), p))
+
+    def fi():
+        return once("fi", lambda: data["FI"] if "FI" in data else force_index(data["Close"], data["Volume"]))
+
+    def fi_ema(p):
+        return once(("fi", p), lambda: ema(fi().tolist(), p))
+
+    def macds():
+        return once("macd", lambda: macd(lst("Close"), ip.macd_fast, ip.macd_slow, ip.macd_signal))
+
+    def moves():
+        return once("moves", lambda: ranges(lst("High"), lst("Low"), lst("Close")))
+
+    def bars():
+        return lst("High"), lst("Low"), lst("Close")
+
+    def atrs():
+        return once("atr", lambda: atr(*bars(), ip.atr_period, moves()))
+
+    def dis():
+        return once("di", lambda: directional(*bars(), ip.di_period, moves()))
+
+    def indicator(name):
+        if name.startswith("FI_"):
+            return fi_ema(int(name[3:]))
+        if name.startswith("EMA"):
+            return ema_of(int(name[3:]))
+        return {"MACD": lambda: macds()[0], "MACD_signal": lambda: macds()[1], "MACD_hist": lambda: macds()[2],
+                "ADX": lambda: adx(*bars(), ip.adx_period, moves()), "PLUS_DI": lambda: dis()[0],
+                "MINUS_DI": lambda: dis()[1], "ATR": atrs, "FI": fi}[name]()
+
+    def extrema(sign):
+        x = data[pp.price_column]
+        return once(("price", sign), lambda: find_extrema(sign * x, pp.price_distance, pp.price_prominence))
+
+    def swings(sign):
+        return once(("swing", sign), lambda: swing_search(data[pp.price_column].tolist(), atrs(), extrema(sign).tolist(),
+                                                          pp.search_quantity, higher=sign > 0))
+
+    def fi2_extrema(sign):
+        def make():
+            x = sign * np.asarray(fi_ema(ip.fi_periods[0]), dtype=np.float64)
+            found = find_extrema(x, pp.fi2_distance, pp.fi2_prominence)
+            return found[x[found] > 0]
+        return once(("fi2", sign), make)
+
+    def trend(name):
+        """{row: (direction, pair)} of a divergence or a power pair."""
+        out = {}
+        thresholds = dict(pp.divergence)
+        for sign, word in ((1, "Down"), (-1, "Up")):
+            for i, s in swings(sign).items():
+                if name in thresholds:
+                    j = divergence(indicator(name), i, s, thresholds[name], sign > 0)
+                    pair = None if j is None else (j, i)
+                else:
+                    bull = name == "Bull_Power"
+                    if bull != (sign > 0):
+                        continue
+                    power = once(name, lambda: (data["High" if bull else "Low"] - np.asarray(ema_of(ip.power_period))).tolist())
+                    pair = power_pair(power, i, s, positive=bull)
+                if pair:
+                    out[i] = word, f"{pair[0]}_{pair[1]}"
+        return out
+
+    def flags(rows):
+        out = np.zeros(n, dtype=bool)
+        out[list(rows)] = True
+        return out
+
+    def lags():
+        return once("lags", lambda: lag_patterns(np.asarray(ema_of(pp.ema_short)), np.asarray(ema_of(pp.ema_long)),
+                                                 np.asarray(fi_ema(ip.fi_periods[-1]), dtype=np.float64), pp.fi13_spike_pct))
+
+    special = {
+        "rn": lambda: np.arange(n, dtype=np.int32),
+        "price_Peak": lambda: flags(extrema(1)), "price_Trough": lambda: flags(extrema(-1)),
+        "Higher_Peak": lambda: flags(swings(1)), "Lower_Trough": lambda: flags(swings(-1)),
+        "FI_2_Peak": lambda: flags(fi2_extrema(1)), "FI_2_Trough": lambda: flags(fi2_extrema(-1)),
+        "EMA_bullbear": lambda: lags()[0], f"EMA{pp.ema_short}_slope": lambda: lags()[1], "FI_13_diff": lambda: lags()[2],
+        "FI_13_Peak": lambda: lags()[3], "FI_13_Trough": lambda: lags()[4]}
     cols = {}
-    for name, _ in KERNEL_COLUMNS:
-        if name in res:
-            cols[name] = np.asarray(res[name], dtype=np.int32 if name == "rn" else np.float64)
-    cols["price_Peak"] = peak_flag
-    cols["price_Trough"] = trough_flag
-    cols["Higher_Peak"] = hp
-    cols["Lower_Trough"] = lt
-    cols["price_search"] = np.asarray([np.nan if v is None else v for v in search], dtype=np.float64)
-    cols["FI_2_Peak"] = fi2_peak
-    cols["FI_2_Trough"] = fi2_trough
-    for k, v in out_str.items():
-        cols[k] = np.asarray(v, dtype=object)
-    cols["EMA_bullbear"] = cross
-    cols["FI_13_Peak"] = fpeak
-    cols["FI_13_Trough"] = ftrough
+    for name in names:
+        if name in special:
+            cols[name] = special[name]()
+        elif name == "price_search":
+            cols[name] = np.full(n, np.nan)
+            for i, j in {**swings(1), **swings(-1)}.items():
+                cols[name][i] = j
+        elif name.endswith(("_trend", "_trend_pair")):
+            base, part = (name[:-6], 0) if name.endswith("_trend") else (name[:-11], 1)
+            cols[name] = np.full(n, None, dtype=object)
+            for i, found in once(("trend", base), lambda: trend(base)).items():
+                cols[name][i] = found[part]
+        elif name.startswith("_ema"):
+            cols[name] = np.asarray(ema_of(int(name[4:])), dtype=np.float64)
+        else:
+            cols[name] = np.asarray(indicator(name), dtype=np.float64)
     return cols

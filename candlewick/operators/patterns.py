@@ -15,20 +15,23 @@ def trend_of(slope: Column) -> Column:
     return F.when(slope > 0, "Up").when(slope < 0, "Down")
 
 
+def signal_columns(pp: PatternParams = DEFAULT_PATTERNS) -> dict[str, tuple[tuple[str, ...], Column]]:
+    """The three Long/Short signals: the columns each reads and its expression."""
+    n1, n2 = (f"{ind}_trend" for ind, _ in pp.divergence[:2])
+    ema_trend = f"EMA{pp.ema_short}_trend"
+    t1, t2, up = F.col(n1), F.col(n2), F.col(ema_trend)
+    return {
+        "Side_1": ((n1, n2), F.when((t1 == "Up") & (t2 == "Up"), "Long").when((t1 == "Down") & (t2 == "Down"), "Short")),
+        "Side_2": ((ema_trend, "FI_2_Trough", "FI_2_Peak"),
+                   F.when((up == "Up") & F.col("FI_2_Trough"), "Long").when((up == "Down") & F.col("FI_2_Peak"), "Short")),
+        "Side_3": (("Bear_Power_trend", "Lower_Trough", "Bull_Power_trend", "Higher_Peak"),
+                   F.when((F.col("Bear_Power_trend") == "Up") & F.col("Lower_Trough"), "Long")
+                   .when((F.col("Bull_Power_trend") == "Down") & F.col("Higher_Peak"), "Short"))}
+
+
 def with_patterns(df: DataFrame, pp: PatternParams = DEFAULT_PATTERNS) -> DataFrame:
     """EMA trend and the three Long/Short signals from the kernel's columns
     (EMA_bullbear, EMA13_slope, FI_13_diff/Peak/Trough come from the kernel)."""
     slope = F.col(f"EMA{pp.ema_short}_slope")
     out = df.select("*", trend_of(slope).alias(f"EMA{pp.ema_short}_trend"))
-    return with_sides(out, pp)
-
-
-def with_sides(df: DataFrame, pp: PatternParams = DEFAULT_PATTERNS) -> DataFrame:
-    t1, t2 = (F.col(f"{ind}_trend") for ind, _ in pp.divergence[:2])
-    ema_trend = F.col(f"EMA{pp.ema_short}_trend")
-    side1 = F.when((t1 == "Up") & (t2 == "Up"), "Long").when((t1 == "Down") & (t2 == "Down"), "Short")
-    side2 = (F.when((ema_trend == "Up") & F.col("FI_2_Trough"), "Long")
-             .when((ema_trend == "Down") & F.col("FI_2_Peak"), "Short"))
-    side3 = (F.when((F.col("Bear_Power_trend") == "Up") & F.col("Lower_Trough"), "Long")
-             .when((F.col("Bull_Power_trend") == "Down") & F.col("Higher_Peak"), "Short"))
-    return df.select("*", side1.alias("Side_1"), side2.alias("Side_2"), side3.alias("Side_3"))
+    return out.select("*", *[e.alias(c) for c, (_, e) in signal_columns(pp).items()])

@@ -9,15 +9,15 @@ from candlewick.plans.jobs import job_conclusion, job_gold
 from candlewick.sources import fixtures as fx
 
 
-def gold_long(spark: SparkSession, sf_dir: str, gap_policy: str = "drop") -> DataFrame:
-    return job_gold(fx.with_silver_columns(fx.bars_long(spark, sf_dir)), gap_policy=gap_policy)
+SIGNALS = ("Side_1", "Side_2", "Side_3")
 
 
-def gold_wide(spark: SparkSession, sf_dir: str, gap_policy: str = "drop") -> DataFrame:
-    return job_gold(fx.with_silver_columns(fx.bars_wide(spark, sf_dir)), gap_policy=gap_policy)
+def gold_wide(spark: SparkSession, sf_dir: str, gap_policy: str = "drop", columns=None) -> DataFrame:
+    return job_gold(fx.with_silver_columns(fx.bars_wide(spark, sf_dir)), gap_policy=gap_policy, columns=columns)
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Entry conclusion over the six long series.  Gaps are dropped: at small
-    scale some weekly bins of these series are empty."""
-    return job_conclusion(gold_long(spark, sf_dir))
+    """Entry conclusion over one series per supplier; only the signals that the
+    mart shows are computed.  Gaps are dropped: at small scale some weekly bins
+    of these series are empty."""
+    return job_conclusion(gold_wide(spark, sf_dir, columns=SIGNALS))

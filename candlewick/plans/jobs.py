@@ -21,9 +21,10 @@ from candlewick.sources.tables import read_modified_between, with_ticker_from_pa
 
 
 def analyse(bars: DataFrame, ip: IndicatorParams = DEFAULT_INDICATORS,
-            pp: PatternParams = DEFAULT_PATTERNS) -> DataFrame:
-    """in_all + pt_mark_all over (ticker, period) series, untruncated."""
-    return indicators_and_patterns(bars, ip, pp)
+            pp: PatternParams = DEFAULT_PATTERNS, columns=None) -> DataFrame:
+    """in_all + pt_mark_all over (ticker, period) series, untruncated; all
+    columns, or those chosen."""
+    return indicators_and_patterns(bars, ip, pp, columns)
 
 
 def job_silver(bronze: DataFrame) -> DataFrame:
@@ -69,11 +70,15 @@ def staging_view(gold: DataFrame, period: str, as_of: str | None = None, lookbac
 
 def job_gold(silver: DataFrame, periods=PERIODS, gap_policy: str = "emit",
              ip: IndicatorParams = DEFAULT_INDICATORS, pp: PatternParams = DEFAULT_PATTERNS,
-             truncate: bool = True) -> DataFrame:
+             truncate: bool = True, columns=None) -> DataFrame:
     """job_gold: silver daily -> every period's bars with 24 indicator and 24
-    pattern/signal columns; numbers truncated to 2 decimals at the end."""
+    pattern/signal columns; numbers truncated to 2 decimals at the end.  With
+    ``columns``: ticker, period, Date and those, and no others are computed."""
     bars = resample(silver, periods, gap_policy)
-    out = analyse(bars, ip, pp).select(*[f"`{c}`" for c in GOLD_BASE + GOLD_INDICATORS + GOLD_PATTERNS])
+    if columns is None:
+        out = analyse(bars, ip, pp).select(*[f"`{c}`" for c in GOLD_BASE + GOLD_INDICATORS + GOLD_PATTERNS])
+    else:
+        out = analyse(bars, ip, pp, tuple(columns))
     return truncate_numeric(out, 2) if truncate else out
 
 

@@ -97,14 +97,14 @@ def q_resample_gaps(spark, sf):
 # Indicators on the daily series of every supplier ticker
 # ----------------------------------------------------------------------------
 
-def _analysed_daily(spark, sf):
+def _analysed_daily(spark, sf, *columns):
     bars = _wide_bars(spark, sf).withColumn("period", F.lit("D"))
-    return indicators_and_patterns(by_ticker(bars))
+    return indicators_and_patterns(by_ticker(bars), columns=columns)
 
 
 def _ind_query(cols, digits=6):
     def q(spark, sf):
-        return _analysed_daily(spark, sf).select("ticker", "Date", *[rnd(c, digits) for c in cols])
+        return _analysed_daily(spark, sf, *cols).select("ticker", "Date", *[rnd(c, digits) for c in cols])
     return q
 
 
@@ -172,19 +172,19 @@ SELECT ticker, "Date", {O.rnd('"EMA13" + std13 * 1.7::DOUBLE', 4)} AS upper_1_7,
 register("pt_ema_cross", f"""
 SELECT ticker, "Date", CASE WHEN ema_diff > 0 AND ema_diff_prev < 0 THEN 'Long'
                             WHEN ema_diff < 0 AND ema_diff_prev > 0 THEN 'Short' END AS "EMA_bullbear"
-FROM ({_IND}) i""")(lambda spark, sf: _analysed_daily(spark, sf).select("ticker", "Date", "EMA_bullbear"))
+FROM ({_IND}) i""")(lambda spark, sf: _analysed_daily(spark, sf, "EMA_bullbear").select("ticker", "Date", "EMA_bullbear"))
 
 register("pt_ema_slope", f"""
 SELECT ticker, "Date", {O.r("EMA13_slope")},
        CASE WHEN "EMA13_slope" > 0 THEN 'Up' WHEN "EMA13_slope" < 0 THEN 'Down' END AS "EMA13_trend"
-FROM ({_IND}) i""")(lambda spark, sf: _analysed_daily(spark, sf).select(
+FROM ({_IND}) i""")(lambda spark, sf: _analysed_daily(spark, sf, "EMA13_slope", "EMA13_trend").select(
     "ticker", "Date", rnd("EMA13_slope"), "EMA13_trend"))
 
 register("pt_fi13_spike", f"""
 SELECT ticker, "Date", {O.r("FI_13_diff")},
        COALESCE("FI_13" > 0 AND "FI_13_diff" > 0 AND (fi13_prev = 0 OR abs("FI_13_diff" / fi13_prev) * 100 >= 70), false) AS "FI_13_Peak",
        COALESCE("FI_13" < 0 AND "FI_13_diff" < 0 AND (fi13_prev = 0 OR abs("FI_13_diff" / fi13_prev) * 100 >= 70), false) AS "FI_13_Trough"
-FROM ({_IND}) i""")(lambda spark, sf: _analysed_daily(spark, sf).select(
+FROM ({_IND}) i""")(lambda spark, sf: _analysed_daily(spark, sf, "FI_13_diff", "FI_13_Peak", "FI_13_Trough").select(
     "ticker", "Date", rnd("FI_13_diff"), "FI_13_Peak", "FI_13_Trough"))
 
 

@@ -31,6 +31,7 @@ _GOLD_PAIR = f"""every_bar AS MATERIALIZED ({ALLP}),
 held AS MATERIALIZED (SELECT "Date", ticker, period, "Close" FROM every_bar WHERE "Date" <= DATE '{fx.GOLD_CUT}'),
 fresh AS MATERIALIZED (SELECT "Date", ticker, period, "Close" + ("Date" >= DATE '{fx.GOLD_CHANGE_FROM}')::INTEGER AS "Close"
                        FROM every_bar SEMI JOIN ({SUPP_LOW}) low USING (ticker))"""
+SIDES = ("Side_1", "Side_2", "Side_3")
 KEYC = '"Date", ticker, period, "Close"'
 
 
@@ -84,7 +85,7 @@ def _sides_sql(period: str, where: str = "true") -> str:
 def _staging_query(period, **options):
     def q(spark, sf):
         from candlewick.plans.jobs import job_gold, staging_view
-        gold = job_gold(fx.with_silver_columns(_daily(spark, sf)), periods=(period,), gap_policy="drop")
+        gold = job_gold(fx.with_silver_columns(_daily(spark, sf)), periods=(period,), gap_policy="drop", columns=SIDES)
         return staging_view(gold, period, **options)
     return q
 
@@ -481,7 +482,7 @@ UNPIVOT (threshold FOR label IN (upperband, lowerband, upper_1_7, lower_1_7)) u
 JOIN (VALUES ('upperband', 60, 'critical'), ('lowerband', 60, 'critical'), ('upper_1_7', 30, 'warning'),
              ('lower_1_7', 30, 'warning')) v(label2, cooldown, level) ON u.label = v.label2
 WHERE ticker IN ({SUPP_LOW})""")(
-    lambda spark, sf: tk.alert_config(latest_row(_analysed_daily(spark, sf)), _supp(spark, sf, True)).select(
+    lambda spark, sf: tk.alert_config(latest_row(_analysed_daily(spark, sf, *tk.ALERT_LINES)), _supp(spark, sf, True)).select(
         "ticker", "label", (F.floor(F.col("threshold") * 10000.0 + 0.5) / 10000.0).alias("threshold"), "cooldown", "level"))
 
 
@@ -490,7 +491,7 @@ WHERE ticker IN ({SUPP_LOW})""")(
 # ----------------------------------------------------------------------------
 
 def _pat(cols):
-    return lambda spark, sf: _analysed_daily(spark, sf).select("ticker", "Date", *cols)
+    return lambda spark, sf: _analysed_daily(spark, sf, *cols).select("ticker", "Date", *cols)
 
 
 _PAT = O.patterns_sql()
@@ -524,7 +525,7 @@ def q_job_gold(spark, sf):
 def q_job_conclusion(spark, sf):
     from candlewick.plans.flagship import gold_wide
     from candlewick.plans.jobs import job_conclusion
-    return job_conclusion(gold_wide(spark, sf))
+    return job_conclusion(gold_wide(spark, sf, columns=SIDES))
 
 
 @register("snk_report", O.report_sql())
@@ -532,7 +533,7 @@ def q_report(spark, sf):
     from candlewick.plans.flagship import gold_wide
     from candlewick.plans.jobs import job_conclusion
     from candlewick.sinks.files import report_frame
-    return report_frame(job_conclusion(gold_wide(spark, sf)))
+    return report_frame(job_conclusion(gold_wide(spark, sf, columns=SIDES)))
 
 
 
@@ -545,7 +546,8 @@ def q_report(spark, sf):
 FROM ({O.indicators_sql()}) i""")
 def q_trunc2(spark, sf):
     from candlewick.functions.scalars import truncate_numeric
-    return truncate_numeric(_analysed_daily(spark, sf).select("ticker", "Date", "EMA13", "MACD_hist", "ATR", "FI_13"), 2)
+    names = ("EMA13", "MACD_hist", "ATR", "FI_13")
+    return truncate_numeric(_analysed_daily(spark, sf, *names).select("ticker", "Date", *names), 2)
 
 
 @register("sc_time_key", f"""SELECT event_id, strftime({_LOCAL}, '%Y%m%d') AS day_key, strftime({_LOCAL}, '%Y%m') AS month_key,

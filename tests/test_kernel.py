@@ -199,3 +199,57 @@ def test_analyse_series_shapes_and_bounds():
         assert np.allclose(a[c], one[c], equal_nan=True)
     for c in ("price_Peak", "Higher_Peak", "FI_2_Trough", "Bull_Power_trend_pair"):
         assert a[c].tolist() == one[c].tolist()
+
+
+def test_chosen_columns_equal_those_of_the_full_run():
+    rng = np.random.default_rng(8)
+    close = np.round(100 + np.cumsum(rng.standard_normal(300) * 6), 2)
+    data = {"High": close + 3, "Low": close - 3, "Close": close, "Volume": rng.integers(1, 50, 300).astype(float)}
+    ip, pp = IndicatorParams(), PatternParams()
+    full = K.series_columns(data, ip, pp)
+    assert list(full) == [c for c, _ in K.kernel_columns(ip, pp)]
+    for name, column in full.items():
+        alone = K.series_columns(data, ip, pp, [name])
+        assert list(alone) == [name]
+        assert all(a == b or (a != a and b != b) for a, b in zip(alone[name].tolist(), column.tolist()))
+
+
+def test_prominence_equals_the_walk():
+    rng = np.random.default_rng(12)
+    for _ in range(200):
+        x = rng.integers(0, 12, 60).astype(float)
+        x[rng.random(60) < 0.05] = np.nan
+        peaks = K.local_maxima(x).tolist()
+
+        def walk(p, step):
+            low, i = x[p], p
+            while 0 <= i < 60 and x[i] <= x[p]:
+                low, i = min(low, x[i]), i + step
+            return low
+        assert K.prominences(x.tolist(), peaks) == [x[p] - max(walk(p, -1), walk(p, 1)) for p in peaks]
+
+
+def test_periods_are_free(spark):
+    from pyspark.sql import functions as F
+
+    from candlewick.operators.indicators import by_ticker, indicators_and_patterns
+    from candlewick.sources import fixtures as fx
+    from conftest import SF_SMALL
+    bars = by_ticker(fx.bars_wide(spark, SF_SMALL).withColumn("period", F.lit("D")))
+    ip = IndicatorParams(ema_periods=(12, 26), fi_periods=(3, 13), sma_periods=(20,), bb_period=9, power_period=5)
+    free = indicators_and_patterns(bars, ip)
+    assert {"EMA12", "EMA26", "FI_3", "FI_13", "SMA20", "upperband", "Bull_Power", "Side_2"} <= set(free.columns)
+    assert not [c for c in free.columns if c.startswith("_")]
+    plain = indicators_and_patterns(bars, columns=("EMA13", "EMA26", "SMA200"))
+    assert plain.columns == ["ticker", "period", "Date", "EMA13", "EMA26", "SMA200"]
+    key = ["ticker", "Date"]
+    joined = free.select(*key, F.col("EMA26").alias("a")).join(plain.select(*key, "EMA26"), key)
+    assert joined.filter(~F.col("a").eqNullSafe(F.col("EMA26"))).count() == 0 and joined.count() == bars.count()
+
+
+def test_window_indicators_need_no_python(spark):
+    from candlewick.plans.registry import QUERIES
+    from conftest import SF_SMALL
+    for key in ("in_sma", "in_stoch", "in_willr", "in_force_index"):
+        assert "MapInPandas" not in QUERIES[key](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInPandas" in QUERIES["in_ema"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from candlewick.operators.asof import asof_periods
 from candlewick.operators.resample import resample
 from candlewick.params import ASOF_OFFSET_DAYS
+from candlewick.sources import fixtures as fx
 
 PANDAS_RULE = {"W": "W", "2W": "2W", "3W": "3W", "ME": "ME", "2ME": "2ME", "3ME": "3ME"}
 
@@ -78,9 +79,9 @@ def test_gold_with_empty_bins_poisons_recursions(spark):
     """Empty bins (gap_policy='emit') carry NULL prices; recursive indicators
     are NULL from the first empty bin of a series on, nothing fails."""
     from conftest import SF_SMALL
-    from candlewick.plans.flagship import gold_long
+    from candlewick.plans.jobs import job_gold
 
-    g = gold_long(spark, SF_SMALL, gap_policy="emit").filter(F.col("period") == "W")
+    g = job_gold(fx.with_silver_columns(fx.bars_long(spark, SF_SMALL)), gap_policy="emit").filter(F.col("period") == "W")
     pdf = g.select("ticker", "Date", "Close", "EMA13", "SMA50", "Side_1").toPandas().sort_values(["ticker", "Date"])
     assert pdf["Close"].isna().any()
     for _, s in pdf.groupby("ticker"):
@@ -93,9 +94,9 @@ def test_gold_with_empty_bins_poisons_recursions(spark):
 def test_conclusion_lookback_and_drop_latest(spark):
     from conftest import SF_SMALL
     from candlewick.operators.asof import conclusion
-    from candlewick.plans.flagship import gold_long
+    from candlewick.plans.jobs import job_gold
 
-    g = gold_long(spark, SF_SMALL)
+    g = job_gold(fx.with_silver_columns(fx.bars_long(spark, SF_SMALL)), gap_policy="drop")
     full = conclusion(g)
     recent = conclusion(g, as_of="1998-12-31")
     assert recent.count() < full.count()
@@ -112,7 +113,6 @@ def test_per_period_parameters(spark):
     from conftest import SF_SMALL
     from candlewick.params import IndicatorParams, PatternParams
     from candlewick.plans.jobs import job_gold, job_gold_per_period
-    from candlewick.sources import fixtures as fx
 
     silver = fx.with_silver_columns(fx.bars_long(spark, SF_SMALL))
     base = (IndicatorParams(), PatternParams())
