@@ -1,4 +1,6 @@
-"""Small fixtures: tables of rows, written as Parquet, and a query's SQL over them."""
+"""Fixtures of these tests: tables of rows, written as Parquet, and a query's SQL over them.
+
+Test modules import them by name, so that no second ``conftest`` hides the first."""
 
 import math
 

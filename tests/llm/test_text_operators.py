@@ -6,6 +6,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from fixtures_llm import agrees, tables  # noqa: F401
+
 from candlewick.llm import chat_format as C
 from candlewick.llm.license_scan import LICENCE_TEMPLATES, Templates, best_licence, bigrams, normalised, scan_licences
 from candlewick.llm.line_dedup import dedup_lines

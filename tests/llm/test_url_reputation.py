@@ -3,6 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
+from fixtures_llm import agrees, tables  # noqa: F401
+
 from candlewick.llm.queries import URL_RULES
 from candlewick.llm.url_reputation import domain_levels, host_reputation, judge_urls, matching_rule, url_host, url_path
 
