@@ -21,7 +21,7 @@ SILVER_PRICES = T.StructType([
 
 OHLCV = ["Open", "High", "Low", "Close", "Adj Close", "Volume"]
 
-# Gold column groups, in table order.
+# --- fixed values: gold column groups, in table order -------------------------
 GOLD_BASE = ["Date", "Open", "High", "Low", "Close", "Adj Close", "Volume", "Dividends",
              "Stock Splits", "created_at", "ticker", "period"]
 GOLD_INDICATORS = [
@@ -37,14 +37,7 @@ GOLD_PATTERNS = [
     "Side_1", "Side_2", "Side_3",
 ]
 GOLD_KEY = ["Date", "ticker", "period"]
-
-COMPANY_LIST = T.StructType([
-    T.StructField("cik", T.LongType(), False),
-    T.StructField("ticker", T.StringType(), False),
-    T.StructField("title", T.StringType(), True),
-    T.StructField("last_updated", T.TimestampType(), True),
-    T.StructField("is_active", T.BooleanType(), True),
-])
+# ------------------------------------------------------------------------------
 
 # Company list JSON: {"0": {"cik_str": 1045810, "ticker": "NVDA", "title": "NVIDIA CORP"}, ...}
 COMPANY_JSON = T.MapType(T.StringType(), T.StructType([
@@ -84,12 +77,6 @@ FUNDAMENTAL_COLUMNS = [
 # -----------------------------------------------------------------------------
 FUNDAMENTAL_NUMERIC = [a for _, a in FUNDAMENTAL_COLUMNS if a != "analyst_key"]
 
-SCREEN = T.StructType([
-    T.StructField("created_at", T.DateType(), False),
-    T.StructField("ticker", T.StringType(), False),
-    T.StructField("is_selected", T.StringType(), False),
-])
-
 TRADE = T.StructType([
     T.StructField("s", T.StringType()),
     T.StructField("p", T.DoubleType()),
@@ -103,14 +90,6 @@ TRADE_ENVELOPE = T.StructType([
     T.StructField("data", T.ArrayType(TRADE)),
 ])
 
-THRESHOLDS = T.StructType([
-    T.StructField("ticker", T.StringType(), False),
-    T.StructField("label", T.StringType(), False),
-    T.StructField("threshold", T.DoubleType(), True),
-    T.StructField("cooldown", T.IntegerType(), False),
-    T.StructField("level", T.StringType(), False),
-])
-
 HOLIDAYS = T.StructType([
     T.StructField("atDate", T.StringType(), False),
     T.StructField("tradingHour", T.StringType(), True),

@@ -18,16 +18,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def _packed_key(px: Column) -> Column:
     """(l_orderkey, l_linenumber, l_partkey, px) as one DECIMAL(38,0) with the
-    same order: 16 + 2 + 12 + 8 digits.  A component outside its width makes
-    the ANSI decimal arithmetic fail instead of silently misordering."""
-    def d(c: Column) -> Column:
-        return c.cast("decimal(38,0)")
+    same order: 16 + 2 + 12 + 8 digits.  A component outside its width fails
+    the job instead of spilling into its neighbour."""
+    def d(c: Column, digits: int, name: str) -> Column:
+        fits = (c >= 0) & (c < F.lit(10 ** digits))
+        return F.when(fits, c).otherwise(F.raise_error(F.lit(f"{name} has over {digits} digits")).cast("bigint")).cast("decimal(38,0)")
 
     def scale(e: int) -> Column:
         return F.lit("1" + "0" * e).cast("decimal(38,0)")
 
-    return (d(F.col("l_orderkey")) * scale(22) + d(F.col("l_linenumber")) * scale(20)
-            + d(F.col("l_partkey")) * scale(8) + d(px))
+    return (d(F.col("l_orderkey"), 16, "l_orderkey") * scale(22) + d(F.col("l_linenumber"), 2, "l_linenumber") * scale(20)
+            + d(F.col("l_partkey"), 12, "l_partkey") * scale(8) + d(px, 8, "price in cents"))
 
 
 def _daily_bars(li: DataFrame, ticker: Column, per_supplier: bool = False) -> DataFrame:

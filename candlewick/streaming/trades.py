@@ -156,3 +156,11 @@ def start_alerts(trades: DataFrame, thresholds: DataFrame, checkpoint: str, sink
     if path is not None:
         w = w.option("path", path)
     return w.start()
+
+
+def start_realtime(trades, thresholds: DataFrame, root: str, landing_seconds: int = 600) -> list:
+    """job_realtime: landing, monitor and alerts as three queries over the trade
+    stream that ``trades()`` opens, each with its own checkpoint under ``root``."""
+    return [start_landing(trades(), f"{root}/landing", f"{root}/checkpoints/landing", landing_seconds),
+            start_monitor(trades(), f"{root}/checkpoints/monitor", sink="memory", query_name="monitor"),
+            start_alerts(trades(), thresholds, f"{root}/checkpoints/alerts", path=f"{root}/alerts")]

@@ -135,3 +135,16 @@ def test_equal_keys_of_one_batch_do_not_depend_on_order(spark):
 def test_set_difference_ignores_repeats(spark):
     a = spark.createDataFrame([("x",), ("x",), ("y",)], "ticker string")
     assert [r[0] for r in a.subtract(a.filter("ticker = 'x'").distinct()).collect()] == ["y"]
+
+
+def test_packed_key_guards_its_widths(spark):
+    from candlewick.sources.fixtures import _packed_key
+    li = spark.createDataFrame([(1, 7, 10 ** 12)], "l_orderkey long, l_linenumber int, l_partkey long")
+    try:
+        li.select(_packed_key(F.lit(5).cast("bigint"))).collect()
+    except Exception as e:  # noqa: BLE001
+        assert "l_partkey has over 12 digits" in str(e)
+    else:
+        raise AssertionError("an oversized component must fail")
+    ok = li.withColumn("l_partkey", F.lit(3).cast("bigint")).select(_packed_key(F.lit(5).cast("bigint"))).first()[0]
+    assert int(ok) == 10 ** 22 + 7 * 10 ** 20 + 3 * 10 ** 8 + 5

@@ -123,3 +123,21 @@ def test_landing_sink_partitions(spark):
     kept = tk.exclude_codes(parse_trade_envelopes(spark.read.text(src)))
     assert landed.count() == kept.count()
     assert landed.filter(F.col("s").isNull()).count() == 0
+
+
+def test_realtime_runs_its_three_queries_together(spark):
+    root = tempfile.mkdtemp(prefix="cw-real-")
+    os.makedirs(f"{root}/in")
+    msgs = [m.value for m in fx.trade_messages(spark, SF_SMALL).collect()] + ["{broken", '{"type": "ping"}']
+    with open(f"{root}/in/a.txt", "w") as fh:
+        fh.write("\n".join(msgs) + "\n")
+    t = fx.ticks(spark, SF_SMALL)
+    queries = st.start_realtime(lambda: st.envelope_file_stream(spark, f"{root}/in"), tk.tick_thresholds(t, LINES), root, 1)
+    for q in queries:
+        q.processAllAvailable()
+    for q in queries:
+        q.stop()
+    kept = tk.exclude_codes(t.filter("s <> 'error'"))
+    assert spark.read.json(f"{root}/landing").count() == spark.table("monitor").count() == kept.count()
+    rows = [(r.event_id, r.s, r.p, r.t, r.c) for r in kept.collect()]
+    assert {(r.s, r.label, r.t) for r in spark.read.parquet(f"{root}/alerts").collect()} == brute_alerts(rows)
