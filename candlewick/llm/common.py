@@ -31,6 +31,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def shuffled(keys: DataFrame) -> DataFrame:
+    """A table of ids that grows with the corpus, for a join with its texts: dealt
+    out by key at every size, never broadcast, and texts need no sort."""
+    return keys.hint("shuffle_hash")
+
+
 def word_blocks(data: bytes, size: int = 1 << 20) -> Iterator[list[bytes]]:
     """The words ``[^\\x20\\x09-\\x0D]+`` of ``data`` in blocks of about ``size`` bytes,
     so that a very long text never becomes one long list."""

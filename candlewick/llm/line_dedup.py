@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.llm.common import written
+from candlewick.llm.common import shuffled, written
 
 #: (words at least, distinct sites at least): the longer a line, the less likely
 #: is it that independent authors wrote it, so the fewer sites prove a copy
@@ -93,7 +93,7 @@ def dedup_lines(docs: DataFrame, *, spread: Sequence[tuple[int, int]] = SPREAD,
     text = F.col(text_col)
     meets = (rows[id_col].cast("long").eqNullSafe(gone["_cw_doc"])
              & (F.xxhash64(rows[text_col]) == gone["_cw_mark"]))
-    joined = rows.join(gone, meets, "left")
+    joined = rows.join(shuffled(gone), meets, "left")
     split = F.split(text, "\n")
     left = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), F.col("_cw_gone"))
     kept = F.array_join(F.transform(left, lambda i: F.get(F.col("_cw_lines"), i)), "\n")

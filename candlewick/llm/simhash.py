@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.llm.common import prepared, word_blocks, written
+from candlewick.llm.common import prepared, shuffled, word_blocks, written
 from candlewick.llm.components import components
 
 #: Per byte value, its eight bits (lowest first).
@@ -181,6 +181,7 @@ def one_of_each(docs: DataFrame, *, shingle_words: int = 4, radius: int = 4, id_
     own = "_cw_kept_id"
     found = simhash_groups(docs, shingle_words=shingle_words, radius=radius, id_col=id_col, text_col=text_col)
     kept = written(found.filter("kept").groupBy(F.col("doc_id").alias(own)).agg(F.count("*").alias("_cw_rows")), "kept")
-    once, often = kept.filter("_cw_rows = 1").select(own), kept.filter("_cw_rows > 1").select(own)
-    match = lambda keys: docs.join(keys, docs[id_col].cast("long").eqNullSafe(keys[own]), "left_semi")
-    return match(once).unionByName(match(often).dropDuplicates([id_col]))
+    # ids that stand for several rows are rare, so they are a table of their own
+    once, often = kept.filter("_cw_rows = 1").select(own), written(kept.filter("_cw_rows > 1").select(own), "often")
+    match = lambda keys: docs.join(keys, docs[id_col].cast("long").eqNullSafe(F.col(own)), "left_semi")
+    return match(shuffled(once)).unionByName(match(often).dropDuplicates([id_col]))

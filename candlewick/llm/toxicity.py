@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.llm.common import prepared, text_blocks, written
+from candlewick.llm.common import prepared, shuffled, text_blocks, written
 
 _WORD = re.compile(r"[^\W\d_]+")
 #: lengths of word beginnings that are terms besides the words
@@ -297,5 +297,5 @@ def without_toxic(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
         .select(F.col("doc_id").alias("_cw_doc"), F.col("text_hash").alias("_cw_hash")).distinct()
     found = written(found, "toxic")
     own = options.get("id_col", "doc_id"), options.get("text_col", "text")
-    return docs.join(found, docs[own[0]].cast("long").eqNullSafe(found["_cw_doc"])
+    return docs.join(shuffled(found), docs[own[0]].cast("long").eqNullSafe(found["_cw_doc"])
                      & (F.xxhash64(docs[own[1]].cast("string")) == found["_cw_hash"]), "left_anti")
