@@ -173,15 +173,21 @@ def choose_terms(labelled: DataFrame, *, max_terms: int, least_docs: int, chi_sq
     """The terms of ``labelled(text, toxic)`` that mark label 1: seen in ``least_docs``
     such rows, label 1 in at least ``purity`` of their rows, and a chi-square
     statistic of at least ``chi_square``; the ``max_terms`` highest."""
+    def counted(seen: tuple[Counter, Counter]) -> pa.RecordBatch:
+        terms = list(seen[0].keys() | seen[1].keys())
+        return pa.RecordBatch.from_arrays(
+            [pa.array(terms, pa.string()), *(pa.array([seen[y][t] for t in terms], pa.int64()) for y in (1, 0))],
+            ["term", "bad", "good"])
+
     def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: tuple[Counter, Counter] = Counter(), Counter()
         for batch in stream:
-            seen: tuple[Counter, Counter] = Counter(), Counter()
             for text, label in zip(batch.column(0), batch.column(1).to_pylist()):
                 seen[label].update({t for w in word_counts(text.as_py()) for t in word_terms(w)})
-            terms = list(seen[0] | seen[1])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(terms, pa.string()), *(pa.array([seen[y][t] for t in terms], pa.int64()) for y in (1, 0))],
-                ["term", "bad", "good"])
+                if len(seen[0]) + len(seen[1]) > 200_000:  # partial counts: they are summed after the shuffle
+                    yield counted(seen)
+                    seen = Counter(), Counter()
+        yield counted(seen)
 
     totals = labelled.groupBy("toxic").count().collect()
     n = {0: 0, 1: 0} | {r["toxic"]: r["count"] for r in totals}
