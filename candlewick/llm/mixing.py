@@ -49,7 +49,10 @@ def fit_exponent(sources: DataFrame, *, target_entropy: float | None = None, max
     """The smallest exponent in [0, 1] at which the mix is no flatter than asked:
     entropy (nats) at most ``target_entropy`` and no source repeated over
     ``max_epochs`` times as often as the least repeated one.  Entropy and
-    repetition fall as the exponent grows, so it is bisected."""
+    repetition fall as the exponent grows, so it is bisected.  Without a target
+    it is 1: the sources' own shares."""
+    if target_entropy is None and max_epochs is None:
+        return 1.0
     def fits(found: dict[str, float]) -> bool:
         return ((target_entropy is None or found["entropy"] <= target_entropy)
                 and (max_epochs is None or found["epochs"] <= max_epochs))

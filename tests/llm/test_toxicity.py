@@ -92,7 +92,7 @@ def test_scores_depend_on_texts_alone(spark):
 def test_edges(spark):
     none, marks = spark.createDataFrame([], DOCS), spark.createDataFrame([], LABELS)
     assert score_toxicity(none, marks).collect() == []
-    docs, labels = crafted(60)
+    docs, labels = crafted(150)
     df = spark.createDataFrame(docs[:2], DOCS)
     assert {r["score"] for r in score_toxicity(df, marks).collect()} == {0.5}
     odd = [(1000, None, None, None, None), (1001, "", "en", "s", 0), (None, "schimpfa " * 5, "en", "s", 1), docs[3], docs[3],
@@ -101,7 +101,7 @@ def test_edges(spark):
     got = score_toxicity(spark.createDataFrame(docs + odd, DOCS), marks).collect()
     assert len(got) == len(docs) + len(odd)
     by = {r["doc_id"]: r for r in got}
-    assert by[1000]["score"] == by[1001]["score"] < 0.5 and by[None]["predicted"] == 1 and by[None]["held_out"] is False
+    assert by[1000]["score"] == by[1001]["score"] < 0.2 and by[None]["predicted"] == 1 and by[None]["held_out"] is False
     assert len({r["score"] for r in got if r["doc_id"] == 3}) == 1 and by[1002]["predicted"] == 1
     kept = without_toxic(spark.createDataFrame(docs + odd, DOCS), marks).collect()
     assert {r["doc_id"] for r in kept} == {r["doc_id"] for r in got if not r["predicted"]}
