@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from candlewick.llm.kmeans_tree import KMeansTree, nearest
-from candlewick.llm.rp_forest import Tree, cell_links, embedding_groups
+from candlewick.llm.rp_forest import Tree, cell_links, embedding_groups, first_meeting, fit_forest, trees_needed
 
 SCHEMA = "vec_id long, embedding array<float>, label int"
 ODD = [None, [], [0.0] * 16, [float("nan")] + [1.0] * 15, [float("inf")] * 16, [None] + [1.0] * 15]
@@ -81,6 +81,48 @@ def test_spill_sends_border_rows_both_ways():
     assert (met >= 1).all() and 1.1 < met.mean() < 2.5
 
 
+def topics(n, d=64, seed=3):
+    """A third of the rows is one topic with a few links in a hundred pairs, the rest are small topics."""
+    rng = np.random.default_rng(seed)
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    hot = unit(rng.standard_normal((1, d))) + 0.45 * rng.gamma(36, 1 / 36, (n // 3, 1)) * unit(rng.standard_normal((n // 3, d)))
+    rest = np.repeat(unit(rng.standard_normal(((n - n // 3) // 20 + 1, d))), 20, axis=0)[:n - n // 3]
+    rows = np.vstack([hot, rest + 0.4 * unit(rng.standard_normal((len(rest), d)))])
+    return unit(rows)[rng.permutation(n)].astype(np.float32)
+
+
+def links_by_row(rows, threshold=0.9):
+    x = rows.astype(np.float64)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    return np.concatenate([(x[s:s + 1000] @ x.T >= threshold).sum(axis=1) - 1 for s in range(0, len(x), 1000)])
+
+
+def test_links_of_a_hot_topic_are_met(spark):
+    rows = topics(30_000)
+    want = links_by_row(rows)
+    df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(rows)], SCHEMA)
+    got = np.zeros(len(rows), dtype=np.int64)
+    for r in embedding_groups(df, sample_rows=5_000, leaf_rows=128, calibration=256).select("vec_id", "n_links").collect():
+        got[r["vec_id"]] = r["n_links"]
+    assert (got <= want).all() and got.sum() >= 0.98 * want.sum()
+    assert (got[want > 0] / want[want > 0]).mean() >= 0.98
+
+
+def test_meeting_is_counted_by_the_first_tree_that_shares_a_leaf():
+    rows = topics(2_000).astype(np.float64)
+    rows /= np.linalg.norm(rows, axis=1, keepdims=True)
+    forest = fit_forest(rows, 5, 60, 0.05, 0.9, 1, 0, 0.5)
+    leaves = [dict(tree.cells(rows)) for tree in forest]
+    met = first_meeting(forest, rows[:30], rows, 0.9)
+    for i in range(30):
+        want = [0] * 6
+        for j in np.flatnonzero(rows[i] @ rows.T >= 0.9):
+            want[next((t for t, own in enumerate(leaves) if any(i in m and j in m for m in own.values())), 5)] += 1
+        assert met[i].tolist() == want
+    assert trees_needed(np.array([[1, 8, 1], [5, 5, 0]]), 0.9, 1) == 2
+    assert trees_needed(np.array([[1, 7, 2]]), 0.9, 1) is None and trees_needed(np.zeros((2, 4)), 0.9, 3) == 3
+
+
 def test_odd_vectors_link_with_nothing(spark):
     rows = [(i, v, 0) for i, v in enumerate(ODD)] + [(10, [1.0, 2.0], 0), (11, [2.0, 4.0], 0), (11, [2.0, 4.0], 0),
                                                      (12, [1.0] * 16, 0), (13, [0.0, -0.0, 1.0], 0), (None, [1.0, 2.0], 0)]
