@@ -46,11 +46,13 @@ def _at(sources: DataFrame, points: list[float]) -> dict[float, dict[str, float]
 
 
 def fit_exponent(sources: DataFrame, *, target_entropy: float | None = None, max_epochs: float | None = None) -> float:
-    """The smallest exponent in [0, 1] at which the mix is no flatter than asked:
+    """The smallest exponent at which the mix is no flatter than asked:
     entropy (nats) at most ``target_entropy`` and no source repeated over
     ``max_epochs`` times as often as the least repeated one.  Entropy and
-    repetition fall as the exponent grows, so it is bisected.  Without a target
-    it is 1: the sources' own shares."""
+    repetition fall as the exponent grows to 1, so it is bisected.  A target under
+    the sources' own entropy asks for an exponent over 1, where repetition rises
+    again: a pair of targets that no exponent meets is an error, as is an entropy
+    that none up to 32 reaches.  Without a target it is 1: the sources' own shares."""
     if target_entropy is None and max_epochs is None:
         return 1.0
     def fits(found: dict[str, float]) -> bool:
@@ -60,13 +62,23 @@ def fit_exponent(sources: DataFrame, *, target_entropy: float | None = None, max
     ends = _at(sources, [0.0, 1.0])
     if not ends or fits(ends[0.0]):
         return 0.0
-    low, high = 0.0, 1.0  # does not fit, fits (the shares themselves at the latest)
+    low, high = 0.0, 1.0  # does not fit, fits
+    entropy = ends[1.0]["entropy"]  # if that is met, the shares themselves fit
+    while target_entropy is not None and entropy > target_entropy + 1e-12:
+        if high >= 32:
+            raise ValueError(f"no exponent up to {high} reaches an entropy of {target_entropy}: {entropy}")
+        low, high = high, 2 * high
+        entropy = _at(sources, [high])[high]["entropy"]
+    if high > 1:  # repetition rises here: the smallest exponent that meets the entropy, or none
+        limit, max_epochs = max_epochs, None
     for _ in range(PASSES):
         points = [low + (high - low) * i / (POINTS + 1) for i in range(1, POINTS + 1)]
         found = _at(sources, points)
         good = [p for p in points if fits(found[p])]
         bad = [p for p in points if not fits(found[p])]
         low, high = max(bad, default=low), min(good, default=high)
+    if high > 1 and limit is not None and _at(sources, [high])[high]["epochs"] > limit:
+        raise ValueError(f"no exponent meets an entropy of {target_entropy} and {limit} epochs")
     return high
 
 

@@ -142,6 +142,18 @@ def test_exponent_meets_entropy_and_repetition(spark):
     assert fit_exponent(df, target_entropy=5.0) == 0.0 and fit_exponent(df, max_epochs=1.0) == 1.0
 
 
+def test_exponent_over_one_meets_an_entropy_under_the_sources_own(spark):
+    import math
+    n = {"a": 1000, "b": 100, "c": 10}
+    df = spark.createDataFrame([(s, t, t / 1110) for s, t in n.items()], "source string, tokens long, share double")
+    a = fit_exponent(df, target_entropy=0.05)
+    q = [(t / 1110) ** a for t in n.values()]
+    assert a > 1 and abs(-sum(x / sum(q) * math.log(x / sum(q)) for x in q) - 0.05) < 1e-9
+    for bad in ({"target_entropy": 0.05, "max_epochs": 1.5}, {"target_entropy": -1.0}):
+        with pytest.raises(ValueError):
+            fit_exponent(df, **bad)
+
+
 def test_budget_is_met_within_a_document(spark):
     rows = mix_docs()
     df = spark.createDataFrame(rows, DOCS)
