@@ -1,8 +1,8 @@
 """Toxicity: nearest labelled examples by exact TF-IDF cosine.
 
-1. Terms are words and word beginnings.  Those that mark the label are chosen
-   on a bounded sample of labelled rows; they and one term for all other words
-   (so that density counts, not presence alone) span the vector space.
+1. Terms are all words of a text, hashed, and as extra weight the words and
+   word beginnings that mark the label, chosen on a bounded sample of labelled
+   rows.
 2. One pass over all texts writes each text's term counts; document
    frequencies are counted over all documents.
 3. The labelled examples' unit vectors form an inverted index whose postings
@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -33,6 +34,8 @@ from candlewick.llm.common import prepared, shuffled, text_blocks, written
 _WORD = re.compile(r"[^\W\d_]+")
 #: lengths of word beginnings that are terms besides the words
 BEGINNINGS = (4, 5, 6, 7)
+#: numbers that hashed words are dealt to
+BUCKETS = 1 << 18
 
 
 def word_counts(text: str | None) -> Counter:
@@ -49,10 +52,12 @@ def word_terms(word: str) -> list[str]:
 
 
 class Vocabulary:
-    """Term numbers of words, remembered per word (at most ``keep`` words)."""
+    """Term numbers of words, remembered per word (at most ``keep`` words): known
+    terms and, with ``buckets``, one of so many numbers after them for every word."""
 
-    def __init__(self, terms: list[str], keep: int = 300_000):
+    def __init__(self, terms: list[str], keep: int = 300_000, buckets: int = 0):
         self.numbers, self.keep, self.known = {t: i for i, t in enumerate(terms)}, keep, {}
+        self.buckets = buckets
 
     def vector(self, text: str | None) -> tuple[dict[int, int], int]:
         """Count per known term of a text, and its words without any."""
@@ -63,7 +68,10 @@ class Vocabulary:
             if hits is None:
                 if len(self.known) >= self.keep:
                     self.known.clear()
-                hits = self.known[word] = tuple(self.numbers[t] for t in word_terms(word) if t in self.numbers)
+                hits = tuple(self.numbers[t] for t in word_terms(word) if t in self.numbers)
+                if self.buckets:
+                    hits += (len(self.numbers) + zlib.crc32(word.encode()) % self.buckets,)
+                self.known[word] = hits
             for i in hits:
                 out[i] = out.get(i, 0) + n
             if not hits:
@@ -71,59 +79,75 @@ class Vocabulary:
         return out, others
 
 
+def _ranges(begin: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of all ranges one after the other, and the range of each."""
+    of = np.repeat(np.arange(len(begin)), length)
+    return np.arange(len(of)) + (begin - np.cumsum(length) + length)[of], of
+
+
 class BlockMaxIndex:
     """Exact top cosines among unit vectors by block-max pruning."""
 
     def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], labels: list[int], ids: list, terms: int,
                  block: int = 64):
         # alike vectors lie together, so a block's bounds are tight
-        order = sorted(range(len(vectors)), key=lambda i: (vectors[i][0][np.argsort(-vectors[i][1])].tolist(),
-                                                           vectors[i][1].tolist()))
+        order = sorted(range(len(vectors)), key=lambda i: vectors[i][0][np.argsort(-vectors[i][1], kind="stable")[:8]].tolist())
         self.block, self.blocks = block, -(-len(order) // block)
         self.labels = np.array([labels[i] for i in order], dtype=np.float64)
         self.ids = [ids[i] for i in order]
+        self.at: dict = {}
+        for i, name in enumerate(self.ids):
+            self.at.setdefault(name, []).append(i)
         size = [len(vectors[i][0]) for i in order]
         term = np.concatenate([vectors[i][0] for i in order]) if order else np.zeros(0, dtype=np.int64)
         weight = np.concatenate([vectors[i][1] for i in order]) if order else np.zeros(0)
-        place = np.repeat(np.arange(len(order)), size)
+        place = np.repeat(np.arange(len(order), dtype=np.int32), size)
         by = np.lexsort((place, term))
         self.place, self.weight = place[by], weight[by]
-        cell = term[by] * max(1, self.blocks) + self.place // block
-        #: where the postings of (term, block) begin
-        self.begin = np.searchsorted(cell, np.arange(terms * max(1, self.blocks) + 1))
-        self.most = np.zeros(terms * max(1, self.blocks))
-        np.maximum.at(self.most, cell, self.weight)
-        self.most = self.most.reshape(terms, max(1, self.blocks))
+        # the (term, block) cells that hold postings, by term
+        cell = term[by].astype(np.int64) * max(1, self.blocks) + self.place // block
+        self.begin = np.flatnonzero(np.diff(cell, prepend=-1)).astype(np.int32)
+        cells = cell[self.begin]
+        self.first = np.searchsorted(cells, np.arange(terms + 1) * max(1, self.blocks))
+        self._derive()
+
+    def _derive(self) -> None:
+        self.length = np.diff(np.append(self.begin, len(self.place))).astype(np.int32)
+        self.cell_block = self.place[self.begin] // self.block
+        self.most = np.maximum.reduceat(self.weight, self.begin) if len(self.begin) else np.zeros(0)
+
+    def __getstate__(self) -> dict:  # what follows from the rest does not travel
+        return {k: v for k, v in self.__dict__.items() if k not in ("length", "cell_block", "most")}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self._derive()
 
     def top(self, terms: np.ndarray, weights: np.ndarray, k: int, leave_out=None) -> tuple[np.ndarray, np.ndarray]:
         """``(places, cosines)`` of the k nearest examples with a cosine above zero and
         of all that tie with the last of them; ``leave_out`` is an id to skip."""
         if not self.blocks or not len(terms):
             return np.zeros(0, dtype=np.int64), np.zeros(0)
-        bound = weights @ self.most[terms]
-        places, scores, last = [], [], 0.0
-        for b in np.argsort(-bound, kind="stable").tolist():
-            if bound[b] <= 0 or bound[b] < last - 1e-9:
-                break
-            found = np.zeros(self.block)
-            for t, w in zip(terms.tolist(), weights.tolist()):
-                cell = t * self.blocks + b
-                low, high = self.begin[cell], self.begin[cell + 1]
-                if low < high:
-                    found[self.place[low:high] - b * self.block] += w * self.weight[low:high]
-            hit = np.flatnonzero(found)
-            if leave_out is not None:
-                hit = hit[[self.ids[b * self.block + i] != leave_out for i in hit.tolist()]]
-            places.append(hit + b * self.block)
-            scores.append(found[hit])
-            flat = np.concatenate(scores)
-            if len(flat) >= k:
-                last = np.partition(flat, len(flat) - k)[len(flat) - k]
-        place, score = np.concatenate(places), np.concatenate(scores)
-        near = score >= last - 1e-12
-        place, score = place[near], score[near]
-        order = np.lexsort((place, -score))
-        return place[order], score[order]
+        cells, of = _ranges(self.first[terms], self.first[terms + 1] - self.first[terms])
+        block, weight = self.cell_block[cells], weights[of]
+        bound = np.bincount(block, weight * self.most[cells], self.blocks)
+        order = np.argsort(-bound, kind="stable")
+        scores, last, step, at = np.zeros(len(self.ids)), 0.0, 2 + k // self.block, 0
+        while at < len(order) and bound[order[at]] > 0 and bound[order[at]] >= last - 1e-9:
+            chosen = np.zeros(self.blocks, dtype=bool)
+            chosen[order[at:at + step]] = True
+            chosen &= bound >= last - 1e-9
+            take = chosen[block]
+            where, own = _ranges(self.begin[cells[take]], self.length[cells[take]])
+            scores += np.bincount(self.place[where], weight[take][own] * self.weight[where], len(scores))
+            if leave_out is not None and leave_out in self.at:
+                scores[self.at[leave_out]] = 0
+            if np.count_nonzero(scores > 0) >= k:
+                last = np.partition(scores, len(scores) - k)[len(scores) - k]
+            at, step = at + step, self.blocks  # after the best blocks all that can still hold a neighbour
+        near = np.flatnonzero((scores > 0) & (scores >= last - 1e-12))
+        order = np.lexsort((near, -scores[near]))
+        return near[order], scores[near][order]
 
     def vote(self, terms: np.ndarray, weights: np.ndarray, k: int, prior: float, leave_out=None) -> tuple[float, list]:
         """Cosine-weighted share of label 1 among the k nearest, drawn to ``prior`` by one
@@ -156,10 +180,12 @@ def isotonic(votes: np.ndarray, labels: np.ndarray, prior: float) -> tuple[np.nd
 
 
 def unit(vector: dict[int, int], others: int, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Term numbers and weights, of length one: ``(1 + ln tf) * idf`` for chosen terms,
+    """Term numbers and weights, of length one: ``(1 + ln tf) * idf`` for known terms,
     the square root of the count for the term of all other words (the last)."""
     terms = np.array(sorted(vector), dtype=np.int64)
-    weights = np.array([1 + math.log(vector[t]) for t in terms.tolist()]) * idf[terms]
+    weights = (1 + np.log(np.array([vector[t] for t in terms.tolist()], dtype=np.float64))) * idf[terms]
+    if not others:
+        return terms, weights / np.sqrt(weights @ weights)
     terms, weights = np.append(terms, len(idf)), np.append(weights, math.sqrt(others))
     return terms, weights / np.sqrt(weights @ weights)
 
@@ -204,7 +230,7 @@ def choose_terms(labelled: DataFrame, *, max_terms: int, least_docs: int, chi_sq
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, *, k: int = 25, max_examples: int = 20_000,
                    max_terms: int = 4_096, least_docs: int = 3, chi_square: float = 20.0, purity: float = 0.5,
-                   threshold: float = 0.7, id_col: str = "doc_id", text_col: str = "text",
+                   marking: float = 1.5, threshold: float = 0.7, id_col: str = "doc_id", text_col: str = "text",
                    label_col: str = "toxic") -> DataFrame:
     """``(doc_id, text_hash, held_out, score, predicted, evidence)`` for every row.
 
@@ -212,8 +238,10 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, *, k: int = 25, max_examp
     nearest examples ``(doc_id, cosine, label)``.  Learnt are the texts of at
     most ``max_examples`` training rows (documented bound, drawn by a hash of
     the id); document frequencies and scores cover all rows.  Only texts enter
-    a score.  A text without any chosen term (so NULL and empty texts) has the
-    label's share among such examples.  Without labels every score is 0.5.
+    a score.  All words of a text are terms (hashed to ``BUCKETS`` numbers); the
+    terms that mark the label weigh ``marking`` times their TF-IDF on top.  A text
+    without words (so NULL and empty texts) has the label's share among the
+    examples without a marking term.  Without labels every score is 0.5.
     Of several labels of one id the highest counts; labels other than 0 and 1
     or NULL are ignored; rows with a NULL id are scored and held in (they are
     not learnt); repeated rows repeat their score; other columns are not read."""
@@ -228,43 +256,47 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, *, k: int = 25, max_examp
     terms = choose_terms(learnt, max_terms=max_terms, least_docs=least_docs, chi_square=chi_square, purity=purity)
 
     def vectors(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Vocabulary(terms)
+        known = Vocabulary(terms, buckets=BUCKETS)
         for batch in stream:
-            found = [known.vector(t.as_py()) for t in batch.column(2)]
+            found = [sorted(known.vector(t.as_py())[0].items()) for t in batch.column(2)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([list(v) for v, _ in found], pa.list_(pa.int32())),
-                 pa.array([list(v.values()) for v, _ in found], pa.list_(pa.int64())),
-                 pa.array([n for _, n in found], pa.int64())], ["doc_id", "text_hash", "terms", "counts", "others"])
+                [batch.column(0), batch.column(1), pa.array([[t for t, _ in v] for v in found], pa.list_(pa.int32())),
+                 pa.array([[n for _, n in v] for v in found], pa.list_(pa.int64()))], ["doc_id", "text_hash", "terms", "counts"])
 
     counted = written(rows.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(
-        vectors, "doc_id long, text_hash long, terms array<int>, counts array<long>, others long"), "vectors")
+        vectors, "doc_id long, text_hash long, terms array<int>, counts array<long>"), "vectors")
     every = counted.count()
-    frequency = np.zeros(len(terms))
-    for r in counted.select(F.explode("terms").alias("t")).groupBy("t").count().collect():  # a row per chosen term
-        frequency[r["t"]] = r["count"]
+    frequency = np.zeros(len(terms) + BUCKETS)
+    seen_in = counted.select(F.explode("terms").alias("t")).groupBy("t").count().toArrow()  # a row per term, bounded
+    frequency[np.asarray(seen_in.column("t"))] = np.asarray(seen_in.column("count"))
     idf = np.log((1 + every) / (1 + frequency)) + 1
+    idf[:len(terms)] *= marking
 
     examples = counted.join(F.broadcast(marks), F.col("doc_id") == F.col("label_id"))
-    blank = examples.filter(F.size("terms") == 0).agg(F.count("*").alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("k")).first()
+    unmarked = examples.filter(~F.exists("terms", lambda t: t < len(terms)))
+    blank = unmarked.agg(F.count("*").alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("k")).first()
     # at most max_examples rows (once per id): the index
-    told = (examples.filter(F.size("terms") > 0).groupBy("doc_id")
-            .agg(F.min(F.struct("text_hash", "terms", "counts", "others", "toxic")).alias("x")).select("doc_id", "x.*").collect())
-    shapes = [unit(dict(zip(r["terms"], r["counts"])), r["others"], idf) for r in told]
-    index = BlockMaxIndex(shapes, [r["toxic"] for r in told], [r["doc_id"] for r in told], len(terms) + 1)
-    seen, bad = blank["n"] + len(told), blank["k"] + sum(r["toxic"] for r in told)
-    prior, nothing = (bad + 1) / (seen + 2), (blank["k"] + 0.5) / (blank["n"] + 1)
+    apart = written(examples.filter(F.size("terms") > 0).groupBy("doc_id")
+                    .agg(F.min(F.struct("text_hash", "terms", "counts", "toxic")).alias("x"))
+                    .select("doc_id", "x.terms", "x.counts", "x.toxic"), "examples")
+    told = apart.toArrow().combine_chunks().sort_by("doc_id")
+    names, toxic = told.column("doc_id").to_pylist(), told.column("toxic").to_pylist()
+    shapes = [unit(dict(zip(t.as_py(), c.as_py())), 0, idf) for t, c in zip(told.column("terms"), told.column("counts"))]
+    del told
+    index = BlockMaxIndex(shapes, toxic, names, len(idf))
+    del shapes
+    totals = examples.agg(F.count("*").alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("k")).first()
+    prior, nothing = (totals["k"] + 1) / (totals["n"] + 2), (blank["k"] + 0.5) / (blank["n"] + 1)
     shipped = spark.sparkContext.broadcast((index, idf, prior))
 
     def votes(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, weights, base = shipped.value
         for batch in stream:
-            out = [own.vote(*unit(dict(zip(t, c)), n, weights), k, base, doc)[0]
-                   for doc, t, c, n in zip(*(batch.column(i).to_pylist() for i in range(4)))]
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.float64()), batch.column(4)], ["vote", "toxic"])
+            out = [own.vote(*unit(dict(zip(t.as_py(), c.as_py())), 0, weights), k, base, doc.as_py())[0]
+                   for doc, t, c in zip(*(batch.column(i) for i in range(3)))]
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.float64()), batch.column(3)], ["vote", "toxic"])
 
-    apart = spark.createDataFrame([(r["doc_id"], r["terms"], r["counts"], r["others"], r["toxic"]) for r in told],
-                                  "doc_id long, terms array<int>, counts array<long>, others long, toxic int")
-    own = apart.repartition(max(1, len(told) // 500)).mapInArrow(votes, "vote double, toxic int").collect()
+    own = apart.repartition(max(1, len(names) // 500)).mapInArrow(votes, "vote double, toxic int").collect()
     if own:
         knots, levels = isotonic(np.array([r["vote"] for r in own]), np.array([r["toxic"] for r in own]), prior)
     else:
@@ -275,15 +307,16 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, *, k: int = 25, max_examp
         kept: dict[tuple, tuple] = {}  # equal vectors vote once
         for batch in stream:
             out = []
-            for t, c, n in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4))):
-                if not t:
+            for t, c in zip(batch.column(2), batch.column(3)):
+                if not len(t):
                     out.append((nothing, []))
                     continue
-                key = tuple(sorted(zip(t, c))), n
+                t, c = np.asarray(t.values), np.asarray(c.values)
+                key = t.tobytes(), c.tobytes()
                 if key not in kept:
-                    if len(kept) > 20_000:
+                    if len(kept) > 2_000:
                         kept.clear()
-                    vote, evidence = own.vote(*unit(dict(key[0]), n, weights), k, base)
+                    vote, evidence = own.vote(*unit(dict(zip(t.tolist(), c.tolist())), 0, weights), k, base)
                     kept[key] = float(np.interp(vote, knots, levels)), evidence
                 out.append(kept[key])
             proof = pa.array([[{"doc_id": d, "cosine": s, "label": y} for d, s, y in e] for _, e in out],

@@ -44,6 +44,15 @@ def test_block_max_search_is_exact(block):
             assert np.allclose(score, [cosines[index.ids[p]] for p in place.tolist()])
 
 
+def test_a_shipped_index_is_the_same():
+    import pickle
+    units = [unit(v, 0, np.linspace(1, 5, 30)) for v in random_vectors(200, 30, 1)]
+    index = BlockMaxIndex(units, [0] * 200, list(range(200)), 30, 7)
+    again = pickle.loads(pickle.dumps(index))
+    for u in units[:20]:
+        assert all(np.array_equal(a, b) for a, b in zip(index.top(*u, 5), again.top(*u, 5)))
+
+
 def test_isotonic_is_rising_and_calibrated():
     rng = np.random.default_rng(0)
     votes = rng.random(500)
@@ -89,6 +98,19 @@ def test_scores_depend_on_texts_alone(spark):
     assert again == {i: r["score"] for i, r in base.items()}
 
 
+def test_texts_without_a_marking_term_meet_their_nearest_examples(spark):
+    docs, labels = crafted()
+    letters = str.maketrans("0123456789", "abcdefghij")  # words are runs of letters
+    docs = [(i, text.translate(letters), *rest) for i, text, *rest in docs]
+    plain = [d for d in docs if d[0] % 3]
+    got = {r["doc_id"]: r for r in score_toxicity(spark.createDataFrame(docs, DOCS), spark.createDataFrame(labels, LABELS)).collect()}
+    assert all(len(got[d[0]]["evidence"]) == 3 for d in plain)
+    words = dict((d[0], set(d[1].split())) for d in docs)
+    for d in plain:  # the nearest share its words
+        near = got[d[0]]["evidence"][0]
+        assert near["cosine"] > 0.5 and len(words[near["doc_id"]] & words[d[0]]) > 20
+
+
 def test_edges(spark):
     none, marks = spark.createDataFrame([], DOCS), spark.createDataFrame([], LABELS)
     assert score_toxicity(none, marks).collect() == []
