@@ -14,6 +14,7 @@ from candlewick.llm.license_scan import LICENCE_TEMPLATES, scan_licences
 from candlewick.llm.line_dedup import dedup_lines
 from candlewick.llm.mixing import mix_sources
 from candlewick.llm.packing import pack
+from candlewick.llm.periodic_runs import periodic_runs
 from candlewick.llm.rp_forest import embedding_groups
 from candlewick.llm.simhash import simhash_groups
 from candlewick.llm.toxicity import score_toxicity
@@ -223,6 +224,72 @@ def op10(spark, sf_dir):
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+#: CRC-32 of a doc_id as text, bit by bit (reflected polynomial 0xEDB88320)
+CRC32_SQL = """xor(4294967295::BIGINT, list_reduce(
+  list_transform(range(1, length(doc_id::VARCHAR) + 1), lambda i: ascii(substr(doc_id::VARCHAR, i, 1))::BIGINT),
+  lambda crc, byte: list_reduce([0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[], lambda k, z: xor(k >> 1, 3988292384::BIGINT * (k & 1)),
+                                xor(crc, byte)), 4294967295::BIGINT))"""
+
+OP13_SQL = f"""
+WITH v AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^ \\t-\\r]+') AS v, {CRC32_SQL} AS h FROM documents),
+a AS (SELECT *, len(v) AS n, CASE WHEN h % 10 = 0 AND len(v) > 0 THEN (h // 10) % len(v) END AS a FROM v),
+p AS (SELECT *, 1 + (n - a) // (3 + (h // 10) % 8) AS p FROM a),
+w AS (SELECT rid, doc_id, n, CASE WHEN a IS NULL THEN v
+             ELSE list_transform(range(n), lambda i: v[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END]) END AS w FROM p),
+-- words as numbers of their first place: a gram is five numbers
+t AS (SELECT rid, n, unnest(w) AS x, unnest(range(n)) AS i FROM w),
+f AS (SELECT rid, i, lead(x, 4) OVER o IS NOT NULL AS whole,
+             md5_number(concat_ws(' ', x, lead(x, 1) OVER o, lead(x, 2) OVER o, lead(x, 3) OVER o, lead(x, 4) OVER o)) AS g
+      FROM t WINDOW o AS (PARTITION BY rid ORDER BY i)),
+e AS (SELECT l.rid, l.i, r.i - l.i AS d FROM f l JOIN f r ON l.rid = r.rid AND l.g = r.g AND l.i < r.i
+      WHERE l.whole AND r.whole),
+s AS (SELECT rid, d, min(i) AS start, count(*) + 4 + d AS length
+      FROM (SELECT *, i - row_number() OVER (PARTITION BY rid, d ORDER BY i) AS island FROM e) q
+      GROUP BY rid, d, island HAVING count(*) + 4 + d >= greatest(6, 4 * d)),
+r AS (SELECT * FROM s WHERE NOT EXISTS (SELECT 1 FROM s z WHERE z.rid = s.rid AND z.d < s.d AND z.start <= s.start
+                                        AND z.start + z.length >= s.start + s.length)),
+b AS (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY (length * 1000000000000) // d DESC, start, d) AS k FROM r),
+o AS (SELECT rid, count(*) AS n_runs, max(start) FILTER (k = 1) AS start, max(length) FILTER (k = 1) AS length,
+             max(d) FILTER (k = 1) AS period, string_agg(start || ',' || length || ',' || d || chr(10), '' ORDER BY start, d) AS said
+      FROM b GROUP BY rid),
+gone AS (SELECT DISTINCT rid, unnest(range(start + d, start + length)) AS i FROM r),
+c AS (SELECT rid, string_agg(x, ' ' ORDER BY i) AS kept FROM t ANTI JOIN gone USING (rid, i) GROUP BY rid)
+SELECT w.doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, start::BIGINT AS start, length::BIGINT AS length, period::BIGINT AS period,
+       (1000 * length // period)::BIGINT AS exponent_milli, sha256(coalesce(said, '')) AS runs_sha256,
+       sha256(coalesce(kept, '')) AS collapsed_sha256
+FROM w LEFT JOIN o ON w.rid = o.rid LEFT JOIN c ON w.rid = c.rid
+"""
+
+
+def repeated_tails(docs: DataFrame) -> DataFrame:
+    """``(doc_id, text)``: of every tenth text (by crc32 of its id) the words from some
+    place on repeat the first of them."""
+    words = F.array_remove(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), "")
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    chosen = docs.select("doc_id", "text", words.alias("w"), h.alias("h")).withColumn("n", F.size("w").cast("long"))
+    g = F.floor(F.col("h") / 10).cast("long")
+    first = F.when((F.col("h") % 10 == 0) & (F.col("n") > 0), g % F.greatest("n", F.lit(1)))
+    unit = 1 + F.floor((F.col("n") - F.col("a")) / (3 + g % 8)).cast("long")
+    cut = chosen.withColumn("a", first).withColumn("p", unit)
+    times = F.ceil((F.col("n") - F.col("a")) / F.col("p")).cast("int")
+    tail = F.slice(F.flatten(F.array_repeat(F.slice("w", F.col("a").cast("int") + 1, F.col("p").cast("int")), times)),
+                   1, (F.col("n") - F.col("a")).cast("int"))
+    text = F.concat_ws(" ", F.slice("w", F.lit(1), F.col("a").cast("int")), tail)
+    return cut.select("doc_id", F.when(F.col("a").isNull(), F.col("text")).otherwise(text).alias("text"))
+
+
+@register("op13_periodic_runs", OP13_SQL)
+def op13(spark, sf_dir):
+    found = periodic_runs(repeated_tails(table(spark, sf_dir, "documents")), min_length=6, min_exponent=4)
+    main = {c: F.col(f"main_run.{c}") for c in ("start", "length", "period")}
+    listed = F.concat_ws("", F.transform("runs", lambda r: F.concat(
+        F.concat_ws(",", *(r[c].cast("string") for c in main)), F.lit("\n"))))
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), *(c.alias(k) for k, c in main.items()),
+                        F.expr("(1000 * main_run.length) div main_run.period").alias("exponent_milli"),
+                        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
