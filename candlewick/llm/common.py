@@ -6,6 +6,9 @@ import re
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from candlewick.session import ensure_checkpoint_dir, ship_package
@@ -62,3 +65,24 @@ def text_blocks(text: str, size: int = 1 << 20) -> Iterator[str]:
             end = blank.start() if blank else len(text)
         yield text[start:end]
         start = end
+
+
+def text_parts(texts: pa.Array, size: int = 2_000_000) -> Iterator[pa.Array]:
+    """An Arrow array of texts in slices of about ``size`` bytes; a longer text is a slice of its own."""
+    sizes = np.asarray(pc.fill_null(pc.binary_length(texts), 0)).astype(np.int64)
+    part = np.cumsum(sizes) // size
+    start = 0
+    for end in [*(np.flatnonzero(np.diff(part)) + 1).tolist(), len(texts)]:
+        if end > start:
+            yield texts.slice(start, end - start)
+        start = end
+
+
+def blank_separated(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """All words ``[^\\x20\\x09-\\x0D]+`` of an Arrow array of texts (none NULL), and the number of each word's text."""
+    lists = pc.ascii_split_whitespace(texts)
+    words = lists.flatten()
+    ends = np.asarray(lists.offsets).astype(np.int64)
+    of = np.searchsorted(ends[1:] - ends[0], np.arange(len(words)), side="right")
+    full = np.asarray(pc.binary_length(words)) > 0
+    return words.filter(pa.array(full)), of[full]

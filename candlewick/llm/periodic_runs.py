@@ -36,10 +36,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.llm.common import prepared
+from candlewick.llm.common import blank_separated, prepared, text_parts
 
-#: characters of texts that are ranked together
-PART_BYTES = 2_000_000
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
 RUN = pa.struct([("start", pa.int64()), ("length", pa.int64()), ("period", pa.int64())])
@@ -170,25 +168,9 @@ def runs_of_texts(codes: np.ndarray, doc: np.ndarray, min_length: int, min_expon
     return [(int(at[s]), n, q) for s, n, q in runs_of(symbols, min_length, min_exponent)]
 
 
-def _parts(texts: pa.Array) -> Iterator[pa.Array]:
-    sizes = np.asarray(pc.fill_null(pc.binary_length(texts), 0)).astype(np.int64)
-    part = np.cumsum(sizes) // PART_BYTES
-    start = 0
-    for end in [*(np.flatnonzero(np.diff(part)) + 1).tolist(), len(texts)]:
-        if end > start:
-            yield texts.slice(start, end - start)
-        start = end
-
-
 def analysed(texts: pa.Array, min_length: int, min_exponent: int) -> tuple[pa.Array, pa.Array, pa.Array]:
     """Runs, main run and collapsed text of every text of an Arrow array."""
-    lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
-    words = lists.flatten()
-    ends = np.asarray(lists.offsets).astype(np.int64)
-    ends = ends[1:] - ends[0]
-    doc = np.searchsorted(ends, np.arange(len(words)), side="right")
-    full = np.asarray(pc.binary_length(words)) > 0
-    words, doc = words.filter(pa.array(full)), doc[full]
+    words, doc = blank_separated(pc.fill_null(texts, ""))
     begin = np.searchsorted(doc, np.arange(len(texts) + 1))
     runs: list[list[tuple[int, int, int]]] = [[] for _ in range(len(texts))]
     change = np.zeros(len(words) + 1, dtype=np.int64)
@@ -231,7 +213,7 @@ def periodic_runs(docs: DataFrame, *, min_length: int = 6, min_exponent: int = 4
     def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in stream:
             at = 0
-            for part in _parts(batch.column(1)):
+            for part in text_parts(batch.column(1)):
                 found = analysed(part, min_length, min_exponent)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(part)), *found],
                                                  ["doc_id", "runs", "main_run", "collapsed"])

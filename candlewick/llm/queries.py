@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from candlewick.llm.best_position import best_documents
 from candlewick.llm.chat_format import conversations_in_order, format_chat, read_loss, read_turns
 from candlewick.llm.kmeans_tree import nearest
 from candlewick.llm.license_scan import LICENCE_TEMPLATES, scan_licences
@@ -224,6 +225,30 @@ def op10(spark, sf_dir):
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+OP12_SQL = """
+WITH t AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                        '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM documents),
+n AS (SELECT doc_id, count(*) AS n FROM t GROUP BY doc_id),
+s AS (SELECT count(*) AS docs, sum(n)::BIGINT AS words FROM n),
+i AS (SELECT item_id, term, count(*) AS r FROM (
+        SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                               '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM benchmark) q GROUP BY ALL),
+p AS (SELECT doc_id, term, count(*) AS tf FROM t WHERE term IN (SELECT term FROM i) GROUP BY ALL),
+f AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM p, s GROUP BY term, docs),
+g AS (SELECT term, doc_id, w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // words))) AS x
+      FROM p JOIN n USING (doc_id) JOIN f USING (term), s),
+c AS (SELECT item_id, doc_id, sum(r * x)::BIGINT AS score FROM i JOIN g USING (term) GROUP BY ALL HAVING sum(r * x) > 0),
+k AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM c)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM k WHERE rank <= 20
+"""
+
+
+@register("op12_ranked_search", OP12_SQL)
+def op12(spark, sf_dir):
+    return best_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
+
+
 #: CRC-32 of a doc_id as text, bit by bit (reflected polynomial 0xEDB88320)
 CRC32_SQL = """xor(4294967295::BIGINT, list_reduce(
   list_transform(range(1, length(doc_id::VARCHAR) + 1), lambda i: ascii(substr(doc_id::VARCHAR, i, 1))::BIGINT),
