@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +21,8 @@ from candlewick.llm.rp_forest import embedding_groups
 from candlewick.llm.simhash import simhash_groups
 from candlewick.llm.toxicity import score_toxicity
 from candlewick.llm.url_reputation import judge_urls
+from candlewick.llm.warc import read_warc, write_warc
+from candlewick.session import ensure_checkpoint_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -225,6 +228,30 @@ def op10(spark, sf_dir):
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+OP11_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages),
+b AS (SELECT *, list_reduce(list_transform(range(1, 41), lambda i:
+        right('000' || bin(strpos('0123456789abcdef', substr(hex, i, 1)) - 1), 4)), lambda x, y: x || y) AS bits FROM p),
+d AS (SELECT *, list_reduce(list_transform(range(32), lambda g: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+        1 + 16 * substr(bits, 5 * g + 1, 1)::INTEGER + 8 * substr(bits, 5 * g + 2, 1)::INTEGER + 4 * substr(bits, 5 * g + 3, 1)::INTEGER
+          + 2 * substr(bits, 5 * g + 4, 1)::INTEGER + substr(bits, 5 * g + 5, 1)::INTEGER, 1)), lambda x, y: x || y) AS digest FROM b),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY hex) AS first FROM d)
+SELECT page_id, octet_length(encode(html))::BIGINT AS payload_bytes, digest AS payload_digest,
+       CASE WHEN page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id > first THEN first END AS refers_to, 'ok' AS status
+FROM f
+"""
+
+
+@register("op11_warc", OP11_SQL)
+def op11(spark, sf_dir):
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/candlewick-warc-{uuid.uuid4().hex}"
+    write_warc(table(spark, sf_dir, "pages"), folder, min_revisit_bytes=0)
+    records = read_warc(spark, folder, payloads=False).filter("warc_type <> 'warcinfo'")
+    return records.select("page_id", "payload_bytes", "payload_digest", F.col("warc_type").alias("record_type"),
+                          F.col("refers_to_page").alias("refers_to"), "status")
+
+
 OP12_SQL = """
 WITH t AS (
   SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
