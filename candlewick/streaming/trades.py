@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from candlewick.operators.ticks import ALERT_LINES, exclude_codes, monitor_lines
 from candlewick.sources.records import parse_trade_envelopes
@@ -89,14 +90,14 @@ def start_monitor(trades: DataFrame, checkpoint: str, sink: str = "console", que
 # ----------------------------------------------------------------------------
 
 LABELS = list(ALERT_LINES)
-STATE_SCHEMA = T.StructType([T.StructField("prev", T.DoubleType())]
-                            + [T.StructField(f"last_{lab}", T.LongType()) for lab in LABELS])
 ALERT_OUT = T.StructType([
     T.StructField("s", T.StringType()), T.StructField("label", T.StringType()),
     T.StructField("t", T.LongType()), T.StructField("event_id", T.LongType()),
     T.StructField("prev_p", T.DoubleType()), T.StructField("p", T.DoubleType()),
     T.StructField("threshold", T.DoubleType()), T.StructField("level", T.StringType()),
 ])
+#: the state store that the alert query needs (value and map states)
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def thresholds_wide(thresholds: DataFrame) -> DataFrame:
@@ -104,54 +105,104 @@ def thresholds_wide(thresholds: DataFrame) -> DataFrame:
     return thresholds.groupBy(F.col("ticker").alias("s")).pivot("label", LABELS).agg(F.first("threshold"))
 
 
-def _cross_alert_fn(key, batches, state):
-    """Per symbol: previous price and last sent time per line live in the
-    state store, so they survive restarts; rows are handled in (t, event_id)
-    order within each micro-batch, whose size the intake bounds."""
-    import pandas as pd
-
-    if state.exists:
-        prev, *last = state.get
-        last = dict(zip(LABELS, last))
-    else:
-        prev, last = None, {lab: 0 for lab in LABELS}
-    pdf = pd.concat(list(batches), ignore_index=True).sort_values(["t", "event_id"], kind="stable")
-    out = []
-    for row in pdf.itertuples(index=False):
-        price = float(row.p)
-        if prev is not None:
+class CrossAlerts(StatefulProcessor):
+    """Per symbol: the previous price (value state), the time of the last alert sent
+    and the threshold by line (map states).
+
+    Of a micro-batch's rows of one symbol only times, ids and prices are held, as
+    plain arrays (24 bytes a trade; the intake bounds their number); they are put in
+    (t, event_id) order and compared as arrays, so only crossings are looped over.
+    A threshold message counts for trades from its time on and replaces the
+    line's threshold for good.  ``idle_ms`` lets the states of a symbol that sends
+    nothing for so long expire."""
+
+    def __init__(self, idle_ms: int | None = None):
+        self.idle_ms = idle_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.previous = handle.getValueState("previous", "p double", self.idle_ms)
+        self.sent = handle.getMapState("sent", "label string", "t long", self.idle_ms)
+        self.lines = handle.getMapState("lines", "label string", "threshold double", self.idle_ms)
+
+    def handleInputRows(self, key, rows, timerValues):
+        import numpy as np
+        import pandas as pd
+
+        parts, updates, static = [], [], {}
+        for pdf in rows:
+            news = pdf["label"].notna().to_numpy()
+            if news.any():
+                updates += list(pdf.loc[news, ["t", "label", "threshold"]].itertuples(index=False, name=None))
+            trades = pdf[~news]
+            if len(trades):
+                static = {lab: float(trades[lab].iloc[0]) for lab in LABELS}
+                parts.append([trades[c].to_numpy() for c in ("t", "event_id", "p")])
+        updates.sort(key=lambda u: u[0])
+        held = {lab: (self.lines.getValue((lab,))[0] if self.lines.containsKey((lab,)) else static.get(lab, np.nan)) for lab in LABELS}
+        out = []
+        if parts:
+            t, event, price = (np.concatenate([x[i] for x in parts]) for i in range(3))
+            order = np.lexsort((event, t))
+            t, event, price = t[order].astype(np.int64), event[order].astype(np.int64), price[order].astype(np.float64)
+            first = self.previous.get()[0] if self.previous.exists() else np.nan
+            before = np.concatenate([[np.nan if first is None else first], price[:-1]])
             for lab in LABELS:
-                thr = getattr(row, lab)
-                if thr is None or thr != thr:
+                own = [(at, value) for at, name, value in updates if name == lab]
+                line = np.full(len(t), held[lab])
+                for at, value in own:  # few: one per message about this line
+                    line[np.searchsorted(t, at):] = value
+                crossed = ((before <= line) & (line < price)) if "upper" in lab else ((before >= line) & (line > price))
+                hits = np.flatnonzero(crossed)
+                if not len(hits):
                     continue
-                up = "upper" in lab
-                crossed = (prev <= thr < price) if up else (prev >= thr > price)
-                if crossed and row.t - (last[lab] or 0) > ALERT_LINES[lab][0] * 1000:
-                    out.append((key[0], lab, int(row.t), int(row.event_id), prev, price, float(thr),
-                                ALERT_LINES[lab][1]))
-                    last[lab] = int(row.t)
-        prev = price
-    state.update((prev, *[last[lab] for lab in LABELS]))
-    yield pd.DataFrame(out, columns=[f.name for f in ALERT_OUT.fields])
-
-
-def cross_alerts(trades: DataFrame, thresholds: DataFrame, broadcast_thresholds: bool = False) -> DataFrame:
-    """st_cross_alert over a (streaming or batch) trade DataFrame.
+                cooldown, level = ALERT_LINES[lab]
+                last = self.sent.getValue((lab,))[0] if self.sent.containsKey((lab,)) else 0
+                at = 0
+                while at < len(hits):  # one step per alert sent
+                    at += int(np.searchsorted(t[hits[at:]], last + cooldown * 1000, side="right"))
+                    if at < len(hits):
+                        i = hits[at]
+                        last = int(t[i])
+                        out.append((key[0], lab, last, int(event[i]), float(before[i]), float(price[i]), float(line[i]), level))
+                        at += 1
+                self.sent.updateValue((lab,), (last,))
+            self.previous.update((float(price[-1]),))
+        for _, lab, value in updates:
+            self.lines.updateValue((lab,), (float(value),))
+        yield pd.DataFrame(out, columns=[f.name for f in ALERT_OUT.fields])
+
+    def close(self) -> None:
+        pass
+
+
+def cross_alerts(trades: DataFrame, thresholds: DataFrame, broadcast_thresholds: bool = False,
+                 updates: DataFrame | None = None, idle_ms: int | None = None) -> DataFrame:
+    """st_cross_alert over a streaming trade DataFrame.
 
     ``thresholds`` is a static table, one row per symbol after pivoting; a
-    caller that knows it to be small may have it broadcast."""
+    caller that knows it to be small may have it broadcast.  ``updates`` is a
+    stream of (ticker, label, threshold, t): new thresholds reach the running
+    query without a restart.  The session's state store must be ``STATE_STORE``."""
+    spark = trades.sparkSession
+    if spark.conf.get("spark.sql.streaming.stateStore.providerClass") != STATE_STORE:
+        raise RuntimeError(f"set spark.sql.streaming.stateStore.providerClass to {STATE_STORE}")
     t = with_event_id(exclude_codes(trades)).select("s", "p", "t", "event_id")
     lines = thresholds_wide(thresholds)
     j = t.join(F.broadcast(lines) if broadcast_thresholds else lines, "s", "left")
-    return j.groupBy("s").applyInPandasWithState(
-        _cross_alert_fn, ALERT_OUT, STATE_SCHEMA, "append", "NoTimeout")
+    j = j.withColumn("label", F.lit(None).cast("string")).withColumn("threshold", F.lit(None).cast("double"))
+    if updates is not None:
+        news = updates.filter("ticker IS NOT NULL AND label IS NOT NULL AND t IS NOT NULL")
+        j = j.unionByName(news.select(F.col("ticker").alias("s"), F.col("label"), F.col("threshold").cast("double"),
+                                      F.col("t").cast("long").alias("t")), allowMissingColumns=True)
+    return j.groupBy("s").transformWithStateInPandas(CrossAlerts(idle_ms), ALERT_OUT, "Append",
+                                                     "ProcessingTime" if idle_ms else "None")
 
 
 def start_alerts(trades: DataFrame, thresholds: DataFrame, checkpoint: str, sink: str = "parquet",
-                 path: str | None = None, query_name: str = "alerts"):
+                 path: str | None = None, query_name: str = "alerts", updates: DataFrame | None = None):
     """Alert query; a file sink (default) is exactly-once across restarts with
     the checkpoint, the memory sink is for interactive use only."""
-    w = (cross_alerts(trades, thresholds).writeStream.format(sink).queryName(query_name)
+    w = (cross_alerts(trades, thresholds, updates=updates).writeStream.format(sink).queryName(query_name)
          .option("checkpointLocation", checkpoint).outputMode("append"))
     if path is not None:
         w = w.option("path", path)
