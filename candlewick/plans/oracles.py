@@ -234,8 +234,8 @@ def asof_sql(values=("Close",)) -> str:
 def patterns_sql(series: str = DAILY_WIDE) -> str:
     """Extrema, swing points, divergence, power pairs and the three signals in
     SQL: runs of equal values for local maxima, a recursive CTE (per ticker and
-    signal, in height order) for the minimum-distance rule, range subqueries
-    for prominence, and range joins over [search, i) for the swing searches."""
+    signal, in height order) for the minimum-distance rule, joins with the series
+    for prominence, and the rows of [search, i) for the swing searches."""
     ind = indicators_sql(series)
     return f"""
     WITH RECURSIVE base AS MATERIALIZED (SELECT * FROM ({ind}) i),
@@ -262,33 +262,14 @@ def patterns_sql(series: str = DAILY_WIDE) -> str:
           FROM g JOIN ranked r ON r.ticker = g.ticker AND r.sig = g.sig AND r.k = g.k + 1),
     kept AS (SELECT ticker, sig, unnest(kept) AS pos FROM g
              QUALIFY k = max(k) OVER (PARTITION BY ticker, sig)),
-    -- previous / next strictly higher sample of every sample (monotonic stack,
-    -- one recursion step per row; a missing value acts as a barrier)
-    sb AS (SELECT ticker, sig, rn, coalesce(v, 'inf'::DOUBLE) AS vb,
-                  max(rn) OVER (PARTITION BY ticker, sig) AS last_rn FROM sigs),
-    lst AS (SELECT ticker, sig, rn, CAST(NULL AS INTEGER) AS g, [struct_pack(r := rn, v := vb)] AS st
-            FROM sb WHERE rn = 0
-            UNION ALL
-            SELECT b.ticker, b.sig, b.rn,
-                   list_filter(l.st, lambda e: e.v > b.vb)[-1].r,
-                   list_append(list_filter(l.st, lambda e: e.v > b.vb), struct_pack(r := b.rn, v := b.vb))
-            FROM lst l JOIN sb b ON b.ticker = l.ticker AND b.sig = l.sig AND b.rn = l.rn + 1),
-    rst AS (SELECT ticker, sig, rn, CAST(NULL AS INTEGER) AS g, [struct_pack(r := rn, v := vb)] AS st
-            FROM sb WHERE rn = last_rn
-            UNION ALL
-            SELECT b.ticker, b.sig, b.rn,
-                   list_filter(l.st, lambda e: e.v > b.vb)[-1].r,
-                   list_append(list_filter(l.st, lambda e: e.v > b.vb), struct_pack(r := b.rn, v := b.vb))
-            FROM rst l JOIN sb b ON b.ticker = l.ticker AND b.sig = l.sig AND b.rn = l.rn - 1),
-    prom AS (SELECT f.ticker, f.sig, f.pos, s.v AS h, l.g AS lj, r.g AS rj
-             FROM kept f JOIN sigs s ON s.ticker = f.ticker AND s.sig = f.sig AND s.rn = f.pos
-             JOIN lst l ON l.ticker = f.ticker AND l.sig = f.sig AND l.rn = f.pos
-             JOIN rst r ON r.ticker = f.ticker AND r.sig = f.sig AND r.rn = f.pos),
-    pm AS (SELECT p.ticker, p.sig, p.pos, any_value(p.h) AS h, min(s3.v) FILTER (s3.rn <= p.pos) AS lmin,
-                  min(s3.v) FILTER (s3.rn >= p.pos) AS rmin
-           FROM prom p JOIN sigs s3 ON s3.ticker = p.ticker AND s3.sig = p.sig
-                AND s3.rn > coalesce(p.lj, -1) AND s3.rn < coalesce(p.rj, 2147483647)
-           GROUP BY p.ticker, p.sig, p.pos),
+    -- previous / next strictly higher sample of the kept peaks, counted from the peak (a missing value is a barrier)
+    arrs AS MATERIALIZED (SELECT ticker, sig, list(v ORDER BY rn) AS vs FROM sigs GROUP BY ticker, sig),
+    prom AS (SELECT ticker, sig, pos, vs, vs[pos + 1] AS h,
+                    list_position(list_transform(list_reverse(vs[1:pos]), lambda y: coalesce(y > vs[pos + 1], true)), true) AS lp,
+                    list_position(list_transform(vs[pos + 2:], lambda y: coalesce(y > vs[pos + 1], true)), true) AS rp
+             FROM kept JOIN arrs USING (ticker, sig)),
+    pm AS (SELECT ticker, sig, pos, h, list_min(vs[coalesce(pos - nullif(lp, 0) + 2, 1):pos + 1]) AS lmin,
+                  list_min(vs[pos + 1:coalesce(pos + nullif(rp, 0), len(vs))]) AS rmin FROM prom),
     ext AS MATERIALIZED (SELECT ticker, sig, pos FROM pm
             WHERE h - greatest(lmin, rmin) >= CASE WHEN sig IN ('pp', 'pt') THEN 1 ELSE 5 END
               AND (sig IN ('pp', 'pt') OR h > 0)),
@@ -303,18 +284,20 @@ def patterns_sql(series: str = DAILY_WIDE) -> str:
                 END AS s
               FROM sp WINDOW w AS (PARTITION BY ticker, sig ORDER BY rn)),
     sw AS MATERIALIZED (SELECT ticker, rn AS i, s, CASE WHEN sig = 'pp' THEN 'Down' ELSE 'Up' END AS dir FROM swing WHERE s IS NOT NULL),
-    iv AS (SELECT ticker, rn, 'MACD_hist' AS name, 30.0::DOUBLE AS thr, "MACD_hist" AS val FROM base
+    iv AS MATERIALIZED (SELECT ticker, rn, 'MACD_hist' AS name, 30.0::DOUBLE AS thr, "MACD_hist" AS val FROM base
            UNION ALL SELECT ticker, rn, 'FI_13', 70.0::DOUBLE, "FI_13" FROM base),
-    dv AS (SELECT sw.ticker, sw.i, sw.dir, a.name, b.rn AS j,
+    swv AS MATERIALIZED (SELECT sw.*, a.name, a.thr, a.val FROM sw JOIN iv a ON a.ticker = sw.ticker AND a.rn = sw.i),
+    -- the rows of every swing's interval, one look-up each
+    swj AS MATERIALIZED (SELECT *, unnest(range(s, i)) AS j FROM swv),
+    dv AS (SELECT a.ticker, a.i, a.dir, a.name, a.j,
                   CASE WHEN b.val = 0 THEN 'inf'::DOUBLE ELSE abs(a.val - b.val) / abs(b.val) * 100 END AS ch, a.thr
-           FROM sw JOIN iv a ON a.ticker = sw.ticker AND a.rn = sw.i
-                   JOIN iv b ON b.ticker = sw.ticker AND b.name = a.name AND b.rn >= sw.s AND b.rn < sw.i
-           WHERE (sw.dir = 'Down' AND a.val < b.val) OR (sw.dir = 'Up' AND a.val > b.val)),
+           FROM swj a JOIN iv b ON b.ticker = a.ticker AND b.name = a.name AND b.rn = a.j
+           WHERE (a.dir = 'Down' AND a.val < b.val) OR (a.dir = 'Up' AND a.val > b.val)),
     dbest AS (SELECT ticker, i, dir, name, j FROM dv WHERE ch >= thr
               QUALIFY row_number() OVER (PARTITION BY ticker, i, name ORDER BY ch DESC, j) = 1),
     pw AS (SELECT sw.ticker, sw.i, sw.dir, b.rn AS j,
                   abs(CASE WHEN sw.dir = 'Down' THEN b."Bull_Power" ELSE b."Bear_Power" END) AS av
-           FROM sw JOIN base b ON b.ticker = sw.ticker AND b.rn >= sw.s AND b.rn < sw.i
+           FROM (SELECT *, unnest(range(s, i)) AS j FROM sw) sw JOIN base b ON b.ticker = sw.ticker AND b.rn = sw.j
            WHERE (sw.dir = 'Down' AND b."Bull_Power" > 0) OR (sw.dir = 'Up' AND b."Bear_Power" < 0)),
     ppair AS (SELECT ticker, i, dir, max(CASE WHEN r = 1 THEN j END) AS j1, max(CASE WHEN r = 2 THEN j END) AS j2
               FROM (SELECT *, row_number() OVER (PARTITION BY ticker, i ORDER BY av DESC, j) AS r FROM pw) q
