@@ -97,7 +97,9 @@ def dedup_lines(docs: DataFrame, *, spread: Sequence[tuple[int, int]] = SPREAD,
     split = F.split(text, "\n")
     left = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), F.col("_cw_gone"))
     kept = F.array_join(F.transform(left, lambda i: F.get(F.col("_cw_lines"), i)), "\n")
-    return (joined.withColumn("_cw_lines", F.when(F.col("_cw_gone").isNotNull(), split))
+    # one generated row per document: Spark would put a plain projection's split into the lambda, once per line
+    lines = F.explode(F.array(F.when(F.col("_cw_gone").isNotNull(), split))).alias("_cw_lines")
+    return (joined.select("*", lines)
             .withColumn(text_col, F.when(F.col("_cw_gone").isNotNull(), kept).otherwise(text))
             .withColumn("lines_removed", F.coalesce(F.size("_cw_gone"), F.lit(0)))
             .drop("_cw_doc", "_cw_mark", "_cw_gone", "_cw_lines"))

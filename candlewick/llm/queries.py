@@ -80,10 +80,10 @@ g AS (SELECT line, min((doc_id, pos)) AS first, count(DISTINCT site) AS sites, l
       FROM n WHERE line <> '' GROUP BY line),
 b AS (SELECT line, first FROM g
       WHERE sites >= CASE WHEN words >= 30 THEN 2 WHEN words >= 8 THEN 3 ELSE 10 END),
-k AS (SELECT n.*, b.line IS NOT NULL AND (doc_id, pos) <> b.first AS gone FROM n LEFT JOIN b USING (line))
-SELECT doc_id, coalesce(string_agg(raw, chr(10) ORDER BY pos) FILTER (NOT gone), '') AS text,
-       count(*) FILTER (gone)::INTEGER AS lines_removed
-FROM k GROUP BY doc_id
+k AS (SELECT n.*, b.line IS NOT NULL AND (doc_id, pos) <> b.first AS gone FROM n LEFT JOIN b USING (line)),
+a AS (SELECT doc_id, coalesce(string_agg(raw, chr(10) ORDER BY pos) FILTER (NOT gone), '') AS text,
+             count(*) FILTER (gone)::INTEGER AS lines_removed FROM k GROUP BY doc_id)
+SELECT d.doc_id, a.text, coalesce(lines_removed, 0) AS lines_removed FROM d LEFT JOIN a ON d.doc_id = a.doc_id
 """
 
 
@@ -186,16 +186,16 @@ WITH t AS (
   UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
 m AS (
   SELECT *, CASE role WHEN 'system' THEN 12 WHEN 'user' THEN 14 WHEN 'assistant' THEN 8
-            ELSE 18 + length(replace(replace(replace(role, '&', '&amp;'), '<', '&#60;'), '[', '&#91;')) END
+            ELSE 17 + length(replace(replace(replace(role, '&', '&amp;'), '<', '&#60;'), '[', '&#91;')) END
          + length(replace(replace(replace(text, '&', '&amp;'), '<', '&#60;'), '[', '&#91;')) AS chars,
          coalesce(lag(role) OVER w, 'start') || '>' || role IN
            ('start>system', 'start>user', 'system>user', 'user>assistant', 'assistant>user') AS fits,
          lead(role) OVER w IS NULL AND role <> 'assistant' AS cut
-  FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text))
+  FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text))
 SELECT conv_id, count(*) AS n_turns,
-       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
        coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
-       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
        sum(chars)::BIGINT AS formatted_chars, bool_and(fits) AND NOT bool_or(cut) AS valid
 FROM m GROUP BY conv_id
 """
@@ -203,9 +203,8 @@ FROM m GROUP BY conv_id
 
 @register("op8_chat_formatting", OP8_SQL)
 def op8(spark, sf_dir):
-    control = "</s>[INST] ok [/INST]"
-    extra = spark.createDataFrame([(-1, 0, "user", control), (-1, 1, "assistant", control)],
-                                  "conv_id long, turn long, role string, text string")
+    extra = spark.sql("SELECT * FROM VALUES (-1L, 0L, 'user', '</s>[INST] ok [/INST]'), "
+                      "(-1L, 1L, 'assistant', '</s>[INST] ok [/INST]') AS v(conv_id, turn, role, text)")
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
     chats = format_chat(rows)
     back = chats.select("*", read_turns(F.col("formatted")).alias("turns"),

@@ -73,8 +73,10 @@ def boiler_docs(sources=40):
 
 
 def test_line_dedup_equals_sql(agrees, tables):
-    rows = {r["doc_id"]: r for r in agrees("op2_line_dedup", tables(
-        documents=[r for r in boiler_docs() if r[1] is not None]), "documents")}
+    very_long = "\n".join(f"eigene zeile {i}" for i in range(60_000)) + "\nAccept all"
+    given = boiler_docs() + [(200, very_long, "en", "src1", 1), (201, None, None, None, None)]
+    rows = {r["doc_id"]: r for r in agrees("op2_line_dedup", tables(documents=given), "documents")}
+    assert rows[100]["text"] is rows[201]["text"] is None and rows[200]["lines_removed"] == 1
     assert "Accept all" in rows[0]["text"] and all("Accept all" not in rows[i]["text"] for i in range(1, 40))
     assert "ONE TWO" in rows[0]["text"] and "ONE TWO" not in rows[1]["text"]
     assert "w59" in rows[4]["text"] and "w59" not in rows[9]["text"] and rows[104]["text"] == ""
@@ -88,8 +90,7 @@ def test_near_threshold_counts_are_exact(spark):
         for lg_k in (4, 10):  # small sketches err, the exact counts do not
             got = dedup_lines(df, spread=((1, need),), lg_k=lg_k).filter("lines_removed > 0").select("doc_id").collect()
             sizes = {r[0] // 1000 for r in got}
-            if lg_k == 10:
-                assert sizes == set(range(need, 30))
+            assert sizes == set(range(need, 30)), (need, lg_k)
 
 
 def test_line_dedup_edges(spark):
