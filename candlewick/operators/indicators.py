@@ -1,31 +1,29 @@
-"""Technical indicators (in_*) and the per-series pass.
+"""Technical indicators (in_*) and patterns (pt_*) of bar series.
 
 Plan of the series stage (one shuffle by ticker for everything):
 
 1. ``with_window_indicators``: every indicator a window can express (SMA,
    STOCH, WILLR, FI, the rolling standard deviation of the bands) with Spark
    window functions partitioned by (ticker, period), ordered by Date;
-2. ``series_pass``: the grouped-map kernel once per series for the recursive
-   indicators, previous-row patterns and swing searches, on the same
-   partitioning and sort order;
-3. ``derived_columns``: projections that combine both (bands, power, signals).
-
-Each step makes only the columns that are asked for and what they rest on.
-
-The window step runs before the kernel on purpose: Spark cannot see that
-the kernel's output keeps the ticker partitioning, so a window after it
-would shuffle the series again.
+2. ``recursions``: EMA, MACD, ATR, DI, ADX and EMAs of FI by a fold over each
+   series' bars, previous-row patterns by ``lag``;
+3. ``swings``: extrema, swings and the searches between them by windows and
+   folds over arrays of a series, only if one of these is asked for;
+4. ``derived_columns``: projections that combine them (bands, power, signals).
+
+Each step makes only the columns that are asked for and what they rest on, on
+the same partitioning by ticker.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from candlewick.operators import kernel
 from candlewick.operators.patterns import signal_columns, trend_of
+from candlewick.operators.recursions import ema_column, previous_row_patterns, recursive_columns, with_recursions
+from candlewick.operators.swings import swing_columns, with_swings
 from candlewick.params import DEFAULT_INDICATORS, DEFAULT_PATTERNS, IndicatorParams, PatternParams
 
 SERIES_KEY = ["ticker", "period"]
@@ -35,39 +33,6 @@ def series_window() -> Window:
     return Window.partitionBy(*SERIES_KEY).orderBy("Date")
 
 
-def series_pass(bars: DataFrame, ip: IndicatorParams = DEFAULT_INDICATORS,
-                pp: PatternParams = DEFAULT_PATTERNS, wanted=None) -> DataFrame:
-    """Run the recursive kernel over each (ticker, period) series of ``bars``.
-
-    ``bars`` must be hash-partitioned so that a ticker's rows share one
-    partition (``by_ticker``).  The kernel streams over each sorted partition
-    with ``mapInPandas`` instead of one ``applyInPandas`` call per series:
-    thousands of short series would otherwise pay the per-group Arrow and
-    pandas conversion many times over.
-
-    ``bars`` needs ticker, period, Date, High, Low, Close, Volume; every
-    other column passes through.  Adds the columns of
-    ``kernel.kernel_columns`` that ``wanted`` names (default: all) and
-    ``bars`` lacks; nothing else is computed.
-    """
-    if "period" not in bars.columns:
-        bars = bars.withColumn("period", F.lit("D"))
-    added = [(c, t) for c, t in kernel.kernel_columns(ip, pp)
-             if c not in bars.columns and (wanted is None or c in wanted)]
-    if not added:
-        return bars
-    schema = T.StructType([*bars.schema.fields, *(T.StructField(c, T._parse_datatype_string(t), True) for c, t in added)])
-    names = [c for c, _ in added]
-
-    def fn(batches):
-        return kernel.analyse_partition(batches, ip, pp, names)
-
-    # Rows of a series are co-located (hash partitioning by ticker) and sorted;
-    # the window step before already sorted them, so this sort is elided.
-    ordered = bars.sortWithinPartitions(*SERIES_KEY, "Date")
-    return ordered.mapInPandas(fn, schema=schema)
-
-
 def by_ticker(df: DataFrame, partitions: int | None = None) -> DataFrame:
     """Hash-partition by ticker into ``partitions`` tasks, by default
     ``spark.sql.shuffle.partitions``, which is sized to the data.
@@ -75,7 +40,7 @@ def by_ticker(df: DataFrame, partitions: int | None = None) -> DataFrame:
     The count is explicit because the stage is CPU-bound: it must not be
     coalesced into a few tasks just because its bytes are few.  Every later
     per-ticker step (period anchor window, resample aggregation, series
-    kernel, indicator windows, as-of window) reuses this partitioning."""
+    folds, indicator windows, as-of window) reuses this partitioning."""
     if partitions is None:
         partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return df.repartition(partitions, "ticker")
@@ -164,10 +129,26 @@ def with_window_indicators(df: DataFrame, ip: IndicatorParams = DEFAULT_INDICATO
             .drop("_fastk", "_slowk"))
 
 
+def previous_row_columns(pp: PatternParams) -> list[str]:
+    return ["rn", "EMA_bullbear", f"EMA{pp.ema_short}_slope", "FI_13_diff", "FI_13_Peak", "FI_13_Trough"]
+
+
+def rests_on(ip: IndicatorParams, pp: PatternParams) -> dict[str, tuple[str, ...]]:
+    """The recursive columns that previous-row and swing columns are made of."""
+    short, long, power = (ema_column(n, ip) for n in (pp.ema_short, pp.ema_long, ip.power_period))
+    first, last = f"FI_{ip.fi_periods[0]}", f"FI_{ip.fi_periods[-1]}"
+    found = {"EMA_bullbear": (short, long), f"EMA{pp.ema_short}_slope": (short,),
+             **{c: (last,) for c in ("FI_13_diff", "FI_13_Peak", "FI_13_Trough")},
+             **{c: ("ATR",) for c in ("Higher_Peak", "Lower_Trough", "price_search")}, "FI_2_Peak": (first,), "FI_2_Trough": (first,)}
+    for name, own in [*((n, n) for n, _ in pp.divergence), ("Bull_Power", power), ("Bear_Power", power)]:
+        found |= {f"{name}_trend": ("ATR", own), f"{name}_trend_pair": ("ATR", own)}
+    return found
+
+
 def derived_columns(ip: IndicatorParams, pp: PatternParams) -> list[dict[str, tuple[tuple[str, ...], Column]]]:
     """Columns that are projections of others, in two layers: what each reads
     and its expression."""
-    bb, sd, power = (kernel.ema_column(p, ip) for p in (ip.bb_period, ip.sd17_period, ip.power_period))
+    bb, sd, power = (ema_column(p, ip) for p in (ip.bb_period, ip.sd17_period, ip.power_period))
     slope = f"EMA{pp.ema_short}_slope"
     first = {
         "upperband": ((bb, "_std_bb"), F.col(bb) + F.col("_std_bb") * ip.bb_dev),
@@ -190,25 +171,27 @@ def indicators_and_patterns(bars: DataFrame, ip: IndicatorParams = DEFAULT_INDIC
     express them all, there is no Python step.  Every period of ``ip`` is
     free; EMA, SMA and FI columns are named by theirs."""
     layers = derived_columns(ip, pp)
+    reads = rests_on(ip, pp)
     needed = None
     if columns is not None:
         needed = set(columns)
         for layer in reversed(layers):
-            needed |= {c for name, (reads, _) in layer.items() if name in needed for c in reads}
-        in_kernel = {c for c, _ in kernel.kernel_columns(ip, pp)} & needed
-        if in_kernel - {"FI"}:
-            needed.add("FI")
-        elif in_kernel:
-            in_kernel = set()
+            needed |= {c for name, (own, _) in layer.items() if name in needed for c in own}
+        needed |= {c for name in needed for c in reads.get(name, ())}
+    in_fold = {c for c in recursive_columns(ip, pp) if needed is None or c in needed}
+    by_row = {c for c in previous_row_columns(pp) if needed is None or c in needed}
+    in_swings = {c for c in swing_columns(pp) if needed is None or c in needed}
+    if needed is not None and any(c.startswith("FI_") for c in in_fold):
+        needed.add("FI")
     if "period" not in bars.columns:
         bars = bars.withColumn("period", F.lit("D"))
     if needed is not None:
         kept = {"ticker", "period", "Date", "High", "Low", "Close", "Volume", pp.price_column, *needed}
         bars = bars.select(*[F.col(f"`{c}`") for c in bars.columns if c in kept])
-    out = with_window_indicators(bars, ip, needed)
-    out = series_pass(out, ip, pp, None if needed is None else in_kernel)
+    out = with_recursions(with_window_indicators(bars, ip, needed), ip, in_fold)
+    out = with_swings(previous_row_patterns(out, ip, pp, by_row), ip, pp, in_swings, ema_column(ip.power_period, ip))
     for layer in layers:
         out = out.select("*", *[e.alias(c) for c, (_, e) in layer.items() if needed is None or c in needed])
     if columns is not None:
         return out.select("ticker", "period", "Date", *[F.col(f"`{c}`") for c in columns])
-    return out.drop("_std_bb", "_std_17", *(c for c, _ in kernel.kernel_columns(ip, pp) if c.startswith("_ema")))
+    return out.drop("_std_bb", "_std_17", *(c for c in out.columns if c.startswith("_ema")))

@@ -1,7 +1,7 @@
 """Pattern and signal operators that are projections of the series
 columns (EMA trend, pt_side_1/2/3).  Previous-row patterns (pt_ema_cross,
-pt_ema_slope, pt_fi13_spike), extrema, swings, divergence and power pairs are
-computed in the series kernel's single pass."""
+pt_ema_slope, pt_fi13_spike) are in ``recursions``, extrema, swings, divergence
+and power pairs in ``swings``."""
 
 from __future__ import annotations
 
@@ -30,8 +30,7 @@ def signal_columns(pp: PatternParams = DEFAULT_PATTERNS) -> dict[str, tuple[tupl
 
 
 def with_patterns(df: DataFrame, pp: PatternParams = DEFAULT_PATTERNS) -> DataFrame:
-    """EMA trend and the three Long/Short signals from the kernel's columns
-    (EMA_bullbear, EMA13_slope, FI_13_diff/Peak/Trough come from the kernel)."""
+    """EMA trend and the three Long/Short signals from the series columns."""
     slope = F.col(f"EMA{pp.ema_short}_slope")
     out = df.select("*", trend_of(slope).alias(f"EMA{pp.ema_short}_trend"))
     return out.select("*", *[e.alias(c) for c, (_, e) in signal_columns(pp).items()])

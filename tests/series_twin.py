@@ -443,8 +443,13 @@ def analyse_partition(batches, ip: IndicatorParams, pp: PatternParams, wanted=No
 INPUTS = ("High", "Low", "Close", "Volume", "FI")
 
 
+def made_before(ip: IndicatorParams, pp: PatternParams) -> list[str]:
+    """Recursive columns that the kernel reads where the rows already hold them."""
+    return ["ATR", *(name for name, _ in pp.divergence), f"FI_{ip.fi_periods[0]}", ema_column(ip.power_period, ip)]
+
+
 def _assemble(pdf: pd.DataFrame, bounds, ip, pp, wanted) -> pd.DataFrame:
-    names = dict.fromkeys([*(c for c in INPUTS if c in pdf), *((pp.price_column,) if pp.price_column in pdf else ())])
+    names = dict.fromkeys([*(c for c in (*INPUTS, *made_before(ip, pp)) if c in pdf), *((pp.price_column,) if pp.price_column in pdf else ())])
     arrays = {c: pdf[c].to_numpy(dtype=np.float64, na_value=np.nan) for c in names}
     emitted = [c for c, _ in kernel_columns(ip, pp) if c not in pdf and (wanted is None or c in wanted)]
     parts = [series_columns({c: v[a:b] for c, v in arrays.items()}, ip, pp, emitted) for a, b in zip(bounds[:-1], bounds[1:])]
@@ -467,7 +472,8 @@ def force_index(close: np.ndarray, volume: np.ndarray) -> np.ndarray:
 def series_columns(data, ip: IndicatorParams, pp: PatternParams, wanted=None) -> dict:
     """The ``wanted`` kernel columns (default: all) of one series whose rows are
     sorted by Date; only what they rest on is computed."""
-    data = {c: np.asarray(data[c], dtype=np.float64) for c in dict.fromkeys([*INPUTS, pp.price_column]) if c in data}
+    data = {c: np.asarray(data[c], dtype=np.float64)
+            for c in dict.fromkeys([*INPUTS, *made_before(ip, pp), pp.price_column]) if c in data}
     names = [c for c, _ in kernel_columns(ip, pp)] if wanted is None else list(wanted)
     n = len(data["Close"])
     lists: dict[str, list[float]] = {}
@@ -484,12 +490,16 @@ def series_columns(data, ip: IndicatorParams, pp: PatternParams, wanted=None) ->
         return known[name]
 
     def ema_of(p):
+        if ema_column(p, ip) in data:
+            return lst(ema_column(p, ip))
         return once(("ema", p), lambda: ema(lst("Close"), p))
 
     def fi():
         return once("fi", lambda: data["FI"] if "FI" in data else force_index(data["Close"], data["Volume"]))
 
     def fi_ema(p):
+        if f"FI_{p}" in data:
+            return lst(f"FI_{p}")
         return once(("fi", p), lambda: ema(fi().tolist(), p))
 
     def macds():
@@ -502,12 +512,16 @@ def series_columns(data, ip: IndicatorParams, pp: PatternParams, wanted=None) ->
         return lst("High"), lst("Low"), lst("Close")
 
     def atrs():
+        if "ATR" in data:
+            return lst("ATR")
         return once("atr", lambda: atr(*bars(), ip.atr_period, moves()))
 
     def dis():
         return once("di", lambda: directional(*bars(), ip.di_period, moves()))
 
     def indicator(name):
+        if name in data:
+            return lst(name)
         if name.startswith("FI_"):
             return fi_ema(int(name[3:]))
         if name.startswith("EMA"):

@@ -7,7 +7,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from candlewick.operators import kernel as K
+import series_twin as K
 from candlewick.params import IndicatorParams, PatternParams
 
 
