@@ -36,139 +36,123 @@ def ema_column(period: int, ip: IndicatorParams) -> str:
 
 
 class Fold:
-    """The fields of the state: name -> (initial value, next value of (state, bar))."""
+    """The fields of the state (name -> next value of (state, bar)) and the seeds a bar brings."""
 
     def __init__(self):
-        self.fields: dict[str, tuple[Column, object]] = {}
+        self.fields: dict[str, object] = {}
+        self.seeds: dict[str, tuple[str, str, int, float]] = {}
 
-    def add(self, name: str, start: Column, following) -> str:
-        self.fields.setdefault(name, (start, following))
+    def add(self, name: str, following) -> str:
+        self.fields.setdefault(name, following)
         return name
 
-    def counter(self, name: str, valid) -> str:
-        """Rows since the first valid one, itself included (0 before)."""
-        return self.add(name, F.lit(0), lambda a, x: F.when((a[name] > 0) | valid(a, x), a[name] + 1).otherwise(F.lit(0)))
+    def seeded(self, name: str, value: str, count: str, skip: int, n: int, parts: float, following) -> str:
+        """A recursion that starts on row ``skip + n`` of ``count`` with the sum of ``value`` over
+        the last ``n`` rows, divided by ``parts``; before that it is NULL."""
+        self.seeds[name] = value, count, skip, n, parts
+        return self.add(name, lambda a, x: F.coalesce(x[f"seed_{name}"], following(a, x)))
 
-    def ema(self, name: str, n: int, count: str, value, skip: int = 0) -> str:
-        """EMA of ``value(a, x)`` from row ``skip`` of the counter on: a running sum up
-        to the seed, its mean on row ``skip + n - 1``, the recursion after it."""
+    def ema(self, name: str, n: int, value: str, count: str, skip: int = 0) -> str:
         k = 2.0 / (n + 1)
+        return self.seeded(name, value, count, skip, n, n, lambda a, x: (x[value] - a[name]) * k + a[name])
 
-        def following(a, x):
-            at, v = self.fields[count][1](a, x), value(a, x)
-            total = F.when(at == skip + 1, v).otherwise(a[name] + v)
-            return (F.when(at <= skip, _NONE).when(at < skip + n, total).when(at == skip + n, total / n)
-                    .otherwise((v - a[name]) * k + a[name]))
-        return self.add(name, _NONE, following)
 
-
-def _before(a: Column) -> tuple[Column, Column, Column]:
-    return a["ph"], a["pl"], a["pc"]
-
-
-def _true_range(a: Column, x: Column) -> Column:
-    _, _, c = _before(a)
-    missing = x["h"].isNull() | x["l"].isNull() | c.isNull()
-    return F.when(~missing, F.greatest(x["h"] - x["l"], F.abs(c - x["h"]), F.abs(c - x["l"])))
-
-
-def _moves(a: Column, x: Column) -> tuple[Column, Column]:
-    h, l, _ = _before(a)
-    up, down = x["h"] - h, l - x["l"]
-    missing = up.isNull() | down.isNull()
-    return (F.when(missing, _NONE).when((up > 0) & (up > down), up).otherwise(F.lit(0.0)),
-            F.when(missing, _NONE).when((down > 0) & (up < down), down).otherwise(F.lit(0.0)))
+def _bars(df: DataFrame, fold: Fold) -> DataFrame:
+    """Adds what a fold reads of a bar: close ``c`` and FI ``f``; ``nc``, ``nf``, ``nb``: the bars since the first one
+    with a close, an FI, a whole bar (itself included, 0 before); true range and
+    directional movements against the bar before where a fold reads them; and on
+    the row where a recursion starts its seed, a running sum from its first row."""
+    moves = any(count == "nb" for _, count, *_ in fold.seeds.values())
+    w = Window.partitionBy("ticker", "period").orderBy("Date")
+    number = lambda c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double"))
+    df = df.select("*", (F.row_number().over(w)).alias("_n"), *(number(v).alias(f"_{k}") for k, v in (
+        ("h", "High"), ("l", "Low"), ("c", "Close"), ("f", "FI")) if v in df.columns))
+    whole = F.col("_h").isNotNull() & F.col("_l").isNotNull() & F.col("_c").isNotNull()
+    valid = {"nc": F.col("_c").isNotNull(), **({"nf": F.col("_f").isNotNull()} if "FI" in df.columns else {}), **({"nb": whole} if moves else {})}
+    so_far = w.rowsBetween(Window.unboundedPreceding, 0)
+    df = df.select("*", *(F.min(F.when(ok, F.col("_n"))).over(so_far).alias(f"_{k}") for k, ok in valid.items()),
+                   *((F.lag(f"_{k}").over(w).alias(f"_{k}_before") for k in "hlc") if moves else ()))
+    read = [*(F.coalesce(F.col("_n") - F.col(f"_{k}") + 1, F.lit(0)).alias(k) for k in valid),
+            F.col("_c").alias("c"), *([F.col("_f").alias("f")] if "FI" in df.columns else [])]
+    if moves:
+        h, l, c = (F.col(f"_{k}_before") for k in "hlc")
+        up, down = F.col("_h") - h, l - F.col("_l")
+        known = up.isNotNull() & down.isNotNull()
+        span = F.greatest(F.col("_h") - F.col("_l"), F.abs(c - F.col("_h")), F.abs(c - F.col("_l")))
+        read += [F.when(known & c.isNotNull(), span).alias("tr"),
+                 F.when(known, F.when((up > 0) & (up > down), up).otherwise(F.lit(0.0))).alias("up"),
+                 F.when(known, F.when((down > 0) & (up < down), down).otherwise(F.lit(0.0))).alias("down")]
+    df = df.select("*", F.struct(*read).alias("_bar"))
+    sums = {name: F.sum(F.when((F.col(f"_bar.{count}") > skip) & (F.col(f"_bar.{count}") <= skip + n), F.col(f"_bar.{value}"))).over(so_far)
+            for name, (value, count, skip, n, _) in fold.seeds.items()}
+    # a missing bar among a seed's rows leaves the recursion without a start
+    whole_until = {name: F.count(F.when((F.col(f"_bar.{count}") > skip) & (F.col(f"_bar.{count}") <= skip + n), F.col(f"_bar.{value}"))).over(so_far)
+                   for name, (value, count, skip, n, _) in fold.seeds.items()}
+    df = df.select("*", *(c.alias(f"_sum_{k}") for k, c in sums.items()), *(c.alias(f"_count_{k}") for k, c in whole_until.items()))
+    seeds = [F.when((F.col(f"_bar.{count}") == skip + n) & (F.col(f"_count_{name}") == n), F.col(f"_sum_{name}") / F.lit(float(parts)))
+             .alias(f"seed_{name}") for name, (_, count, skip, n, parts) in fold.seeds.items()]
+    return df.select("*", F.struct("_bar.*", *seeds).alias("_read"))
 
 
 def _plan(ip: IndicatorParams, wanted: set[str]) -> tuple[Fold, dict[str, Column]]:
     """The fold's fields for the ``wanted`` columns and each column from a bar's state ``_s``."""
     fold, out = Fold(), {}
-    s = lambda name: F.col(f"_s.{name}")
-
-    close, bars, force = "nc", "nb", "nf"
-
-    def closes():
-        return fold.counter(close, lambda a, x: x["c"].isNotNull())
-
-    def bars_counted():
-        for name, field in (("ph", "h"), ("pl", "l"), ("pc", "c")):
-            fold.add(name, _NONE, lambda a, x, field=field: x[field])
-        return fold.counter(bars, lambda a, x: x["h"].isNotNull() & x["l"].isNotNull() & x["c"].isNotNull())
+    s, seen = (lambda name: F.col(f"_s.{name}")), (lambda name: F.col(f"_x.{name}"))
 
     def close_ema(n, skip=0):
-        return fold.ema(f"e{n}_{skip}", n, closes(), lambda a, x: x["c"], skip)
+        return fold.ema(f"e{n}_{skip}", n, "c", "nc", skip)
 
     for name in sorted(wanted):
         digits = name.removeprefix("_ema").removeprefix("EMA")
         if digits != name and digits.isdigit():
             n = int(digits)
-            out[name] = F.when(s(closes()) >= n, s(close_ema(n)))
+            out[name] = F.when(seen("nc") >= n, s(close_ema(n)))
         elif name.startswith("FI_") and name[3:].isdigit():
             n = int(name[3:])
-            fold.counter(force, lambda a, x: x["f"].isNotNull())
-            out[name] = F.when(s(force) >= n, s(fold.ema(f"f{n}", n, force, lambda a, x: x["f"])))
+            out[name] = F.when(seen("nf") >= n, s(fold.ema(f"f{n}", n, "f", "nf")))
     if wanted & {"MACD", "MACD_signal", "MACD_hist"}:
         fast, slow = sorted((ip.macd_fast, ip.macd_slow))
         f_name, s_name = close_ema(fast, slow - fast), close_ema(slow)
 
-        def line(a, x):
-            return fold.fields[f_name][1](a, x) - fold.fields[s_name][1](a, x)
+        first, length, k = slow, ip.macd_signal, 2.0 / (ip.macd_signal + 1)
+
+        def signal(a, x):
+            """The line's running sum, its mean on row ``slow + n - 1``, the EMA after it."""
+            at = x["nc"]
+            line = fold.fields[f_name](a, x) - fold.fields[s_name](a, x)
+            return (F.when(at >= first + length, (line - a["sig"]) * k + a["sig"]).when(at < first, F.lit(0.0))
+                    .when(at == first + length - 1, (a["sig"] + line) / length).otherwise(a["sig"] + line))
 
-        g_name = fold.ema("sig", ip.macd_signal, close, line, slow - 1)
-        shown = s(close) >= slow + ip.macd_signal - 1
+        g_name = fold.add("sig", signal)
+        shown = seen("nc") >= slow + ip.macd_signal - 1
         macd = s(f_name) - s(s_name)
         out |= {"MACD": F.when(shown, macd), "MACD_signal": F.when(shown, s(g_name)), "MACD_hist": F.when(shown, macd - s(g_name))}
     if "ATR" in wanted:
-        n = ip.atr_period
-        count = bars_counted()
-
-        def average(a, x):
-            at, tr = fold.fields[count][1](a, x), _true_range(a, x)
-            total = F.when(at == 2, tr).otherwise(a["atr"] + tr)
-            return (F.when(at <= 1, _NONE).when(at <= n, total).when(at == n + 1, total / n)
-                    .otherwise((a["atr"] * (n - 1) + tr) / n))
-        out["ATR"] = F.when(s(count) > n, s(fold.add("atr", _NONE, average)))
+        of = ip.atr_period
+        fold.seeded("atr", "tr", "nb", 1, of, of, lambda a, x: (a["atr"] * (of - 1) + x["tr"]) / of)
+        out["ATR"] = F.when(seen("nb") > of, s("atr"))
 
     def wilder(tag, n, value):
         """Plain sums of rows 1 .. n-1, Wilder's sum from row n on (0-based from the first valid bar)."""
-        count = bars_counted()
-
-        def following(a, x):
-            at, v = fold.fields[count][1](a, x), value(a, x)
-            return F.when(at <= 1, F.lit(0.0)).when(at <= n, a[tag] + v).otherwise(a[tag] - a[tag] / n + v)
-        return fold.add(tag, F.lit(0.0), following)
+        return fold.seeded(tag, value, "nb", 1, n - 1, 1, lambda a, x: a[tag] - a[tag] / n + x[value])
 
     def sums(prefix, n):
-        return (wilder(f"{prefix}p", n, lambda a, x: _moves(a, x)[0]), wilder(f"{prefix}m", n, lambda a, x: _moves(a, x)[1]),
-                wilder(f"{prefix}t", n, _true_range))
+        return wilder(f"{prefix}p", n, "up"), wilder(f"{prefix}m", n, "down"), wilder(f"{prefix}t", n, "tr")
 
     if wanted & {"PLUS_DI", "MINUS_DI"}:
         n = ip.di_period
         p, m, t = sums("d", n)
-        shown = s(bars_counted()) > n
+        shown = seen("nb") > n
         for name, part in (("PLUS_DI", p), ("MINUS_DI", m)):
             out[name] = F.when(shown, F.when(_zero(s(t)), F.lit(0.0)).otherwise(100.0 * (s(part) / s(t))))
     if "ADX" in wanted:
         n = ip.adx_period
         p, m, t = sums("w", n)
-        count = bars_counted()
-        # a bar's sums enter its directional index when the next bar (or the end) is reached, so no expression repeats them
-
-        def dx(a):
-            mdi, pdi = 100.0 * (a[m] / a[t]), 100.0 * (a[p] / a[t])
-            return F.when(~_zero(a[t]), F.when(~_zero(mdi + pdi), 100.0 * (F.abs(mdi - pdi) / (mdi + pdi))))
-
-        def known(a):  # the sums are numbers
-            return a[m].isNotNull() & a[p].isNotNull() & a[t].isNotNull()
-
-        def index(a):
-            """ADX (or the sum that seeds it) after the bar whose sums ``a`` holds."""
-            at, d = a[count], dx(a)
-            total = a["adx"] + F.coalesce(d, F.lit(0.0))
-            return (F.when(at <= n, F.lit(0.0)).when(~known(a), _NONE).when(at < 2 * n, total).when(at == 2 * n, total / n)
-                    .when(d.isNull(), a["adx"]).otherwise((a["adx"] * (n - 1) + d) / n))
-        fold.add("adx", F.lit(0.0), lambda a, x: index(a))
-        out["ADX"] = F.when(s(count) >= 2 * n, index(F.col("_s")))
+        # the directional index of every bar from its sums, then one more fold
+        mdi, pdi = 100.0 * (s(m) / s(t)), 100.0 * (s(p) / s(t))
+        dx = F.when(~_zero(s(t)), F.when(~_zero(mdi + pdi), 100.0 * (F.abs(mdi - pdi) / (mdi + pdi))))
+        out["_dx"] = F.when((seen("nb") > n) & s(m).isNotNull() & s(p).isNotNull() & s(t).isNotNull(), F.coalesce(dx, F.lit(-1.0)))
+        out["_at"] = seen("nb")
     return fold, out
 
 
@@ -187,27 +171,50 @@ def with_recursions(bars: DataFrame, ip: IndicatorParams, wanted: set[str]) -> D
     One aggregation by series on the series' partitioning; every other column passes through."""
     if not wanted:
         return bars
+    if "ADX" in wanted:
+        sums = with_recursions_of(bars, ip, wanted)
+        return _average_index(sums, ip.adx_period).drop("_dx", "_at")
+    return with_recursions_of(bars, ip, wanted)
+
+
+def _average_index(bars: DataFrame, n: int) -> DataFrame:
+    """ADX from the directional index ``_dx`` (-1 where it is undefined, NULL without sums) and the bar number ``_at``."""
+    w = Window.partitionBy("ticker", "period").orderBy("Date").rowsBetween(Window.unboundedPreceding, 0)
+    early = (F.col("_at") > n) & (F.col("_at") <= 2 * n)
+    total = F.sum(F.when(early, F.when(F.col("_dx") >= 0, F.col("_dx")).otherwise(F.when(F.col("_dx") < 0, F.lit(0.0))))).over(w)
+    whole = F.count(F.when(early, F.col("_dx"))).over(w)
+    bars = bars.select("*", F.when((F.col("_at") == 2 * n) & (whole == n), total / F.lit(float(n))).alias("_seed"))
+    fold = Fold()
+    fold.add("adx", lambda a, x: F.coalesce(x["seed"], F.when(x["dx"] < 0, a["adx"]).otherwise((a["adx"] * (n - 1) + x["dx"]) / n)))
+    read = F.struct(F.col("_dx").alias("dx"), F.col("_seed").alias("seed"))
+    return _folded(bars, [c for c in bars.columns if c != "_seed"], read, fold, {"ADX": F.col("_s.adx")})
+
+
+def with_recursions_of(bars: DataFrame, ip: IndicatorParams, wanted: set[str]) -> DataFrame:
     fold, out = _plan(ip, wanted)
-    number = lambda c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double"))
-    inputs = {"h": "High", "l": "Low", "c": "Close", "f": "FI"}
-    given = [c for c in bars.columns if c not in ("ticker", "period")]
-    row = F.struct(F.col("Date").alias("_d"), F.struct(*(F.col(f"`{c}`") for c in given)).alias("row"),
-                   F.struct(*(number(v).alias(k) for k, v in inputs.items() if v in bars.columns)).alias("x"))
-    rows = bars.groupBy("ticker", "period").agg(F.sort_array(F.collect_list(row)).alias("_rows"))
-    # a generated column, so that no lambda holds the expression that makes it
-    rows = rows.select("ticker", "period", F.explode(F.array("_rows")).alias("_rows"))
+    return _folded(_bars(bars, fold), bars.columns, F.col("_read"), fold, out)
+
+
+def _folded(df: DataFrame, columns: list[str], read: Column, fold: Fold, out: dict[str, Column]) -> DataFrame:
+    """``columns`` of ``df`` and ``out``, made of a bar's state ``_s`` and what the fold reads of it, ``_x``."""
+    given = [c for c in columns if c not in ("ticker", "period")]
+    row = F.struct(F.col("Date").alias("_d"), F.struct(*(F.col(f"`{c}`") for c in given)).alias("row"), read.alias("x"))
+    rows = df.groupBy("ticker", "period").agg(F.sort_array(F.collect_list(row)).alias("_rows"))
+    # generated columns, so that no lambda holds the expression that makes them
+    made = F.explode(F.array(F.struct(F.col("_rows"), F.transform("_rows", lambda r: r["x"]).alias("_xs")))).alias("_made")
+    rows = rows.select("ticker", "period", made).select("ticker", "period", "_made.*")
     kind = _state_type(fold)
-    start = F.struct(*(v[0].alias(k) for k, v in fold.fields.items()))
+    start = F.struct(*(_NONE.alias(k) for k in fold.fields))
     empty = F.array().cast(f"array<{kind}>")
 
     def of_block(last, block):
         """The state after a block and, for each of its bars, the state before the bar."""
         return F.aggregate(block, F.struct(last.alias("last"), empty.alias("out")), lambda a, bar: F.struct(
-            F.struct(*(v[1](a["last"], bar["x"]).alias(k) for k, v in fold.fields.items())).alias("last"),
+            F.struct(*(v(a["last"], bar).alias(k) for k, v in fold.fields.items())).alias("last"),
             F.concat(a["out"], F.array(a["last"])).alias("out")))
 
     blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size("_rows") - 1) / BLOCK).cast("int")),
-                         lambda i: F.slice("_rows", i * BLOCK + 1, BLOCK))
+                         lambda i: F.slice("_xs", i * BLOCK + 1, BLOCK))
     nothing = F.struct(F.struct(start.alias("last"), empty.alias("out")).alias("block"), F.array().cast(f"array<array<{kind}>>").alias("done"))
     states = F.aggregate(
         blocks, nothing, lambda a, block: F.struct(of_block(a["block"]["last"], block).alias("block"),
@@ -215,12 +222,12 @@ def with_recursions(bars: DataFrame, ip: IndicatorParams, wanted: set[str]) -> D
         lambda a: F.concat(F.flatten(a["done"]), a["block"]["out"], F.array(a["block"]["last"])))
     # states[i] is the state before bar i, so the state after it is the next one
     both = rows.select("ticker", "period", "_rows", F.slice(states, F.lit(2), F.size("_rows")).alias("_s"))
-    flat = both.select("ticker", "period", F.inline(F.arrays_zip("_rows", "_s"))).select("ticker", "period", "_rows.row.*", "_s")
-    return flat.select(*(F.col(f"`{c}`") for c in bars.columns), *(c.alias(k) for k, c in out.items()))
+    flat = both.select("ticker", "period", F.inline(F.arrays_zip("_rows", "_s"))).select("ticker", "period", "_rows.row.*", F.col("_rows.x").alias("_x"), "_s")
+    return flat.select(*(F.col(f"`{c}`") for c in columns), *(c.alias(k) for k, c in out.items()))
 
 
 def _state_type(fold: Fold) -> str:
-    return "struct<" + ",".join(f"{k}:{'int' if k in ('nc', 'nb', 'nf') else 'double'}" for k in fold.fields) + ">"
+    return "struct<" + ",".join(f"{k}:double" for k in fold.fields) + ">"
 
 
 def previous_row_patterns(df: DataFrame, ip: IndicatorParams, pp: PatternParams, wanted: set[str]) -> DataFrame:

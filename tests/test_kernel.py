@@ -247,9 +247,50 @@ def test_periods_are_free(spark):
     assert joined.filter(~F.col("a").eqNullSafe(F.col("EMA26"))).count() == 0 and joined.count() == bars.count()
 
 
-def test_window_indicators_need_no_python(spark):
+def test_no_indicator_or_pattern_needs_python(spark):
     from candlewick.plans.registry import QUERIES
     from conftest import SF_SMALL
-    for key in ("in_sma", "in_stoch", "in_willr", "in_force_index"):
-        assert "MapInPandas" not in QUERIES[key](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
-    assert "MapInPandas" in QUERIES["in_ema"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    for key in ("in_sma", "in_ema", "in_adx", "pt_local_extrema", "pt_side_1"):
+        plan = QUERIES[key](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+        assert "InPandas" not in plan and "InArrow" not in plan
+
+
+def test_series_with_gaps_equal_the_twin(spark):
+    """Short, long, flat and broken series, prices with ties: every column of the plain per-series version."""
+    import numpy as np
+    import pandas as pd
+
+    from candlewick.operators.indicators import indicators_and_patterns
+    from candlewick.params import IndicatorParams, PatternParams
+
+    rng = np.random.default_rng(4)
+    frames = []
+    for i, n in enumerate([1, 2, 13, 14, 27, 28, 40, 90, 150, 330]):
+        close = np.round(50 + np.cumsum(rng.integers(-3, 4, n)) * 0.5, 2) if i % 3 else np.full(n, 20.0)
+        pdf = pd.DataFrame({"ticker": f"T{i}", "period": "D", "Date": pd.date_range("2020-01-01", periods=n).date, "Open": close,
+                            "High": close + rng.integers(0, 3, n), "Low": close - rng.integers(0, 3, n), "Close": close,
+                            "Volume": rng.integers(1, 50, n).astype(float)})
+        if i == 7:
+            pdf.loc[:4, ["High", "Low", "Close"]] = None   # missing at the start
+        if i == 8:
+            pdf.loc[100, ["High", "Low", "Close"]] = None  # a gap
+        frames.append(pdf)
+    ip = IndicatorParams(ema_periods=(13, 26), fi_periods=(2, 13))
+    pp = PatternParams(price_prominence=0.75, search_quantity=2, divergence=(("MACD_hist", 10.0), ("FI_13", 20.0)))
+    schema = "ticker string, period string, Date date, Open double, High double, Low double, Close double, Volume double"
+    data = pd.concat(frames).astype(object)
+    bars = spark.createDataFrame(list(data.where(data.notna(), None).itertuples(index=False, name=None)), schema)
+    got = indicators_and_patterns(bars, ip, pp).toPandas().sort_values(["ticker", "Date"]).reset_index(drop=True)
+    columns = [c for c, _ in K.kernel_columns(ip, pp) if c not in ("rn", "FI") and not c.startswith("_")]
+    swings = 0
+    for i, pdf in enumerate(frames):
+        want = K.analyse_series(pdf, ip, pp, None)
+        own = got[got["ticker"] == f"T{i}"].reset_index(drop=True)
+        for c in columns:
+            a, b = own[c], want[c]
+            same = (a == b) | (a.isna() & b.isna())
+            if a.dtype == np.float64 and c != "price_search":
+                same |= np.isclose(a.astype(float), b.astype(float), rtol=1e-12, atol=1e-12, equal_nan=True)
+            assert same.all(), (i, c, a[~same].head(3).tolist(), b[~same].head(3).tolist(), np.flatnonzero(~same)[:3])
+        swings += int(want["Higher_Peak"].sum() + want["Lower_Trough"].sum())
+    assert swings > 5
