@@ -3,9 +3,9 @@ patterns as DataFrame expressions, without a Python step.
 
 A recursion needs its rows in order, so a series becomes an array of its bars
 (bounded: one bar per calendar day of a ticker) and one fold goes over it.  The
-fold is nested: bars lie in blocks of ``BLOCK``, an inner fold makes the
-states of a block, an outer one hands the last state to the next block, so no
-step copies more than a block's states or the list of finished blocks.  The
+fold is nested: the bars of a part, the parts of a block, the blocks of the series,
+each handing its last state on, because a step copies what its fold has
+collected; so a bar costs a dozen copies of a state, not the series.  The
 state of every bar comes back as columns; indicators are projections of it.
 
 Operation order is the technical-analysis library's (sequential seed sums,
@@ -21,7 +21,8 @@ from pyspark.sql.window import Window
 
 from candlewick.params import IndicatorParams, PatternParams
 
-BLOCK = 64
+#: bars of a block and of a part of it: a fold's step copies what it has collected so far
+BLOCK, PART = 64, 8
 _NONE = F.lit(None).cast("double")
 _TINY = 0.00000001
 
@@ -207,19 +208,25 @@ def _folded(df: DataFrame, columns: list[str], read: Column, fold: Fold, out: di
     start = F.struct(*(_NONE.alias(k) for k in fold.fields))
     empty = F.array().cast(f"array<{kind}>")
 
-    def of_block(last, block):
-        """The state after a block and, for each of its bars, the state before the bar."""
-        return F.aggregate(block, F.struct(last.alias("last"), empty.alias("out")), lambda a, bar: F.struct(
+    def bar_by_bar(last, bars):
+        """The state after some bars and, for each of them, the state before it."""
+        return F.aggregate(bars, F.struct(last.alias("last"), empty.alias("out")), lambda a, bar: F.struct(
             F.struct(*(v(a["last"], bar).alias(k) for k, v in fold.fields.items())).alias("last"),
             F.concat(a["out"], F.array(a["last"])).alias("out")))
 
-    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size("_rows") - 1) / BLOCK).cast("int")),
-                         lambda i: F.slice("_xs", i * BLOCK + 1, BLOCK))
-    nothing = F.struct(F.struct(start.alias("last"), empty.alias("out")).alias("block"), F.array().cast(f"array<array<{kind}>>").alias("done"))
-    states = F.aggregate(
-        blocks, nothing, lambda a, block: F.struct(of_block(a["block"]["last"], block).alias("block"),
-                                                   F.concat(a["done"], F.array(a["block"]["out"])).alias("done")),
-        lambda a: F.concat(F.flatten(a["done"]), a["block"]["out"], F.array(a["block"]["last"])))
+    def part_by_part(last, bars, size, inner):
+        """The same, in parts of ``size`` bars that ``inner`` handles."""
+        parts = F.transform(F.sequence(F.lit(0), F.floor((F.size(bars) - 1) / size).cast("int")),
+                            lambda i: F.slice(bars, i * size + 1, size))
+        start = F.struct(F.struct(last.alias("last"), empty.alias("out")).alias("part"), empty.alias("done"))
+        return F.aggregate(
+            parts, start, lambda a, part: F.struct(inner(a["part"]["last"], part).alias("part"),
+                                                   F.concat(a["done"], a["part"]["out"]).alias("done")),
+            lambda a: F.struct(a["part"]["last"].alias("last"), F.concat(a["done"], a["part"]["out"]).alias("out")))
+
+    folded = part_by_part(start, F.col("_xs"), BLOCK, lambda last, bars: part_by_part(last, bars, PART, bar_by_bar))
+    rows = rows.select("ticker", "period", "_rows", F.explode(F.array(folded)).alias("_folded"))
+    states = F.concat(F.col("_folded.out"), F.array("_folded.last"))
     # states[i] is the state before bar i, so the state after it is the next one
     both = rows.select("ticker", "period", "_rows", F.slice(states, F.lit(2), F.size("_rows")).alias("_s"))
     flat = both.select("ticker", "period", F.inline(F.arrays_zip("_rows", "_s"))).select("ticker", "period", "_rows.row.*", F.col("_rows.x").alias("_x"), "_s")
