@@ -23,7 +23,6 @@ from candlewick.params import IndicatorParams, PatternParams
 
 #: bars of a block and of a part of it: a fold's step copies what it has collected so far
 BLOCK, PART = 64, 8
-_NONE = F.lit(None).cast("double")
 _TINY = 0.00000001
 
 
@@ -205,7 +204,7 @@ def _folded(df: DataFrame, columns: list[str], read: Column, fold: Fold, out: di
     made = F.explode(F.array(F.struct(F.col("_rows"), F.transform("_rows", lambda r: r["x"]).alias("_xs")))).alias("_made")
     rows = rows.select("ticker", "period", made).select("ticker", "period", "_made.*")
     kind = _state_type(fold)
-    start = F.struct(*(_NONE.alias(k) for k in fold.fields))
+    start = F.struct(*(F.lit(None).cast("double").alias(k) for k in fold.fields))
     empty = F.array().cast(f"array<{kind}>")
 
     def bar_by_bar(last, bars):
