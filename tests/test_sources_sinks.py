@@ -96,3 +96,27 @@ def test_alert_text(spark):
     a = tk.alert_text(tk.alerts(t, tk.tick_thresholds(t, fx.TICK_LINES)))
     r = a.filter(F.col("label") == "upperband").first()
     assert r.text.startswith("🚨 [ CRITICAL]") and "▲" in r.text and "→" in r.text
+
+
+def test_report_computes_its_input_once(spark):
+    """The global sort samples its input for the ranges; the rows must not be made a second time for that."""
+    import datetime
+
+    from pyspark.sql import functions as F
+
+    from candlewick.sinks.files import report_frame
+    made = spark.sparkContext.accumulator(0)
+
+    def note(n):
+        made.add(1)
+        return n
+    rows = [(f"T{i % 7}", datetime.date(2020, 1, 1) + datetime.timedelta(days=i % 30), i) for i in range(200)]
+    rows += [(None, None, None), ("T1", None, 5)]
+    frame = spark.createDataFrame(rows, "ticker string, Date_D date, n int").repartition(4)
+    noted = frame.select("ticker", "Date_D", F.udf(note, "int").asNondeterministic()("n").alias("n"))
+    got = [tuple(r) for r in report_frame(noted).collect()]
+    assert made.value == len(rows)
+    text = lambda v: "None" if v is None else str(v)
+    order = sorted(rows, key=lambda r: (r[1] is None, -(r[1] or datetime.date.min).toordinal(), r[0] is not None, r[0] or ""))
+    assert [(t, d) for t, d, _ in got] == [(text(t), text(d)) for t, d, _ in order]
+    assert sorted(got) == sorted(tuple(map(text, r)) for r in rows)
