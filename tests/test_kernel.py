@@ -294,3 +294,30 @@ def test_series_with_gaps_equal_the_twin(spark):
             assert same.all(), (i, c, a[~same].head(3).tolist(), b[~same].head(3).tolist(), np.flatnonzero(~same)[:3])
         swings += int(want["Higher_Peak"].sum() + want["Lower_Trough"].sum())
     assert swings > 5
+
+
+def test_marks_of_a_long_series_are_placed_not_searched(spark):
+    """Marks come as arrays aligned with the bars, so no bar searches the extrema; the distance rule ranks
+    close runs of candidates alone.  Long series, ties and plateaus give the plain version's rows."""
+    from candlewick.operators.indicators import indicators_and_patterns
+
+    rng = np.random.default_rng(31)
+    names = ["price_Peak", "price_Trough", "FI_2_Peak", "FI_2_Trough", "Higher_Peak", "Lower_Trough", "price_search",
+             "MACD_hist_trend_pair", "FI_13_trend_pair", "Bull_Power_trend_pair", "Bear_Power_trend_pair"]
+    frames = []
+    for i, (n, spread) in enumerate([(1500, 3), (400, 1), (3, 2), (5, 2)]):
+        close = 60.0 + np.cumsum(rng.integers(-spread, spread + 1, n)) * 0.5
+        frames.append(pd.DataFrame({
+            "ticker": f"T{i}", "period": "D", "Date": pd.date_range("2015-01-01", periods=n).date, "High": close + rng.integers(0, 3, n),
+            "Low": close - rng.integers(0, 3, n), "Close": close, "Volume": rng.integers(1, 50, n).astype(float)}))
+    bars = spark.createDataFrame(list(pd.concat(frames).astype(object).itertuples(index=False, name=None)),
+                                 "ticker string, period string, Date date, High double, Low double, Close double, Volume double")
+    marked = indicators_and_patterns(bars, columns=names)
+    assert "array_contains" not in marked._jdf.queryExecution().optimizedPlan().toString()
+    got = marked.toPandas().sort_values(["ticker", "Date"]).reset_index(drop=True)
+    for i, pdf in enumerate(frames):
+        want = K.analyse_series(pdf.assign(Open=pdf["Close"]), IndicatorParams(), PatternParams(), None)
+        own = got[got["ticker"] == f"T{i}"].reset_index(drop=True)
+        for c in names:
+            same = (own[c] == want[c]) | (own[c].isna() & want[c].isna())
+            assert same.all(), (i, c, own[c][~same].head(3).tolist(), want[c][~same].head(3).tolist())
