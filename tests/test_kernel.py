@@ -321,3 +321,12 @@ def test_marks_of_a_long_series_are_placed_not_searched(spark):
         for c in names:
             same = (own[c] == want[c]) | (own[c].isna() & want[c].isna())
             assert same.all(), (i, c, own[c][~same].head(3).tolist(), want[c][~same].head(3).tolist())
+
+
+def test_adx_is_made_in_the_fold_of_its_sums(spark):
+    """One pass over a series gives ADX too (values: the twin test); before, its bars were collected twice."""
+    from candlewick.operators.indicators import indicators_and_patterns
+
+    bars = spark.createDataFrame([], "ticker string, period string, Date date, High double, Low double, Close double, Volume double")
+    plan = indicators_and_patterns(bars.repartition(2, "ticker"), columns=("ADX", "PLUS_DI"))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("collect_list") == 1
