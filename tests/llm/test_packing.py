@@ -36,6 +36,38 @@ def test_word_encoder_equals_the_tokenizer():
             assert enc.encode(pa.array([t]))[0].tolist() == plain(t)
 
 
+@pytest.mark.parametrize("text", [
+    "ab!!! cd?' x's) (é) #$& y-z_ ab'' f' s ß.\" q' s'' ñ's!", "don't! we'll? 'tis' 's's' x're. x're' . a .", "1st! 2nd. 3' 4's",
+    "İ. İ!! x", "\u0958. \u0958!! x", "e\u0301. e\u0301!! x", "ΣΑΣ. Жук!? 日本. が!! か\u3099!! x", "a<\u0338 b.=\u0338 c. \u0301",
+    "J\u030c x", "T\u0344 x", "T\u0323\u0308 x", "ªº. µ! ǅ, Ŀ. x"])
+def test_stops_and_marks_as_the_tokenizer_has_them(text):
+    enc = WordEncoder(tokenizer_path(), 2)
+    assert enc.simple
+    for t in (text, text + " ", text.upper() + "\n"):
+        assert enc.encode(pa.array([t]))[0].tolist() == plain(t)
+
+
+def test_words_are_encoded_once_while_the_store_has_room():
+    enc, sent = WordEncoder(tokenizer_path(), 2, keep_words=100), []
+    word = enc._word
+    enc._word = lambda w: sent.append(w) or word(w)
+
+    def encode(words):
+        del sent[:]
+        assert enc.encode(pa.array([" ".join(words)]))[0].tolist() == plain(" ".join(words))
+        return set(sent)
+
+    words = ["x" + chr(97 + i // 26) + chr(97 + i % 26) for i in range(300)]
+    assert encode(words[:60]) == set(words[:60])
+    assert encode(words[:60]) == set()  # known words need no room
+    assert encode(words[:20]) == set()
+    assert encode(words[100:160]) == set(words[100:160])  # no room: the most used stay
+    assert encode(words[:20] + words[100:110]) == set()
+    assert encode(words[50:60]) == set(words[50:60])
+    assert len(enc.index) <= 120
+    assert encode([f"{w}!" for w in words[:20]]) == {"!", f"{words[19]}!"}  # parted from the stops after them, but for the text's last
+
+
 @pytest.mark.parametrize("window,partitions", [(4096, 3), (16, 5), (7, 1)])
 def test_every_id_lies_in_one_piece(spark, window, partitions):
     rows = [(i, t, "s", 1) for i, t in enumerate(TEXTS)] + [(3, "again", None, 2), (None, "no id", None, 3)]
